@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+Every job this library rebuilds is a batch report that is re-run on a schedule and stamped with a
+refresh time (the ``as_of`` parameter of each job).  None of them reads a stream, keeps state between
+runs or uses event-time windows, so there is nothing to express with Structured Streaming.
+"""
