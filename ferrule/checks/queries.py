@@ -45,3 +45,37 @@ def q_window_min_max(spark, sf_dir):
     d = A.Driver(spark, sf_dir)
     return H.window_bounds_agg(A.submissions(d), "loan_nbr", "dt_sbmt_to_hud", BONUS_START, BONUS_END,
                                "min_submitted", "max_submitted")
+
+
+# ---- W1 letter drop -----------------------------------------------------------------------------
+from ferrule.plans import letters as L  # noqa: E402
+
+
+def _letter_tables(d: A.Driver) -> dict[str, DataFrame]:
+    return {"loan_status": A.loan_status(d), "hud_status": A.hud_status(d), "workable": A.workable(d),
+            "loan_master": A.loan_master(d), "exceptions": A.exceptions(d)}
+
+
+def _letters(spark, sf_dir) -> dict[str, DataFrame]:
+    d = A.Driver(spark, sf_dir)
+    return L.run(_letter_tables(d), L.LetterParams(as_of=A.AS_OF_TS))
+
+
+for _key, _part in [("base_population", "population"), ("exception_scrub", "exceptions"), ("hoa_flags", "hoa"),
+                    ("occ_flags", "occ"), ("nts_flags", "nts"), ("final_flags", "final"),
+                    ("letter_templates", "templates"), ("letter_manifest", "manifest")]:
+    def _mk(part):
+        def q(spark, sf_dir):
+            return _letters(spark, sf_dir)[part]
+        q.__name__ = f"q_{part}"
+        return q
+    QUERIES[_key] = _mk(_part)
+
+
+@register("rule_hits")
+def q_rule_hits(spark, sf_dir):
+    d = A.Driver(spark, sf_dir)
+    t = _letter_tables(d)
+    p = L.LetterParams(as_of=A.AS_OF_TS)
+    pop = L.population(t, p)
+    return L.rule_coverage(pop, L.exception_scrub(t, pop, p), p)

@@ -49,7 +49,8 @@ def ts_lit(t) -> Column:
         t = _dt.datetime.fromisoformat(t)
     elif isinstance(t, _dt.date) and not isinstance(t, _dt.datetime):
         t = _dt.datetime(t.year, t.month, t.day)
-    return F.lit(t).cast("timestamp_ntz")
+    # from text, so the Python process time zone never shifts the wall-clock value
+    return F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def as_date(c) -> Column:
