@@ -79,3 +79,37 @@ def q_rule_hits(spark, sf_dir):
     p = L.LetterParams(as_of=A.AS_OF_TS)
     pop = L.population(t, p)
     return L.rule_coverage(pop, L.exception_scrub(t, pop, p), p)
+
+
+# ---- W2 document scrub --------------------------------------------------------------------------
+from ferrule.plans import documents as DOC  # noqa: E402
+
+
+def _document_tables(d: A.Driver) -> dict[str, DataFrame]:
+    return {"loan_status": A.loan_status(d), "workable": A.workable(d), "exceptions": A.exceptions(d),
+            "assignment": A.assignment(d), "exception_total": A.exception_total(d), "roster": A.roster(d),
+            "invalid_documents": A.invalid_documents(d), "document_repository": A.document_repository(d)}
+
+
+def _documents(spark, sf_dir):
+    return DOC.run(_document_tables(A.Driver(spark, sf_dir)), DOC.DocumentParams(as_of=A.AS_OF_TS))
+
+
+@register("open_exception_base")
+def q_open_exception_base(spark, sf_dir):
+    return _documents(spark, sf_dir)["base"]
+
+
+@register("document_match")
+def q_document_match(spark, sf_dir):
+    return _documents(spark, sf_dir)["matches"]
+
+
+@register("latest_valid_document")
+def q_latest_valid_document(spark, sf_dir):
+    return _documents(spark, sf_dir)["latest_valid"]
+
+
+@register("row_min_date")
+def q_row_min_date(spark, sf_dir):
+    return DOC.min_letter_date(A.exceptions(A.Driver(spark, sf_dir)))
