@@ -113,3 +113,33 @@ def q_latest_valid_document(spark, sf_dir):
 @register("row_min_date")
 def q_row_min_date(spark, sf_dir):
     return DOC.min_letter_date(A.exceptions(A.Driver(spark, sf_dir)))
+
+
+# ---- W4 slow movers -----------------------------------------------------------------------------
+from ferrule.plans import slow_movers as SM  # noqa: E402
+
+SM_BOM, SM_EOM = dt.date(2024, 1, 10), dt.date(2024, 1, 20)
+
+
+@register("period_bounds")
+def q_period_bounds(spark, sf_dir):
+    return SM.period_bounds(A.business_dates(A.Driver(spark, sf_dir)), A.AS_OF)
+
+
+@register("latest_per_key")
+def q_latest_per_key(spark, sf_dir):
+    return H.latest_per_key(A.exception_history(A.Driver(spark, sf_dir)), "excp_id", "eff_dttm", ties=True)
+
+
+@register("snapshot_compare")
+def q_snapshot_compare(spark, sf_dir):
+    loans = A.loan_history(A.Driver(spark, sf_dir))
+    new = H.snapshot(loans, "loan_nbr", "eff_dttm", SM_EOM, ties=False, tie_break="seq")
+    old = H.snapshot(loans, "loan_nbr", "eff_dttm", SM_BOM, ties=False, tie_break="seq")
+    return H.compare_snapshots(new, old, "loan_nbr", ["mca_percent", "loan_status"])
+
+
+@register("slow_movers")
+def q_slow_movers(spark, sf_dir):
+    d = A.Driver(spark, sf_dir)
+    return SM.run({"exception_history": A.exception_history(d), "loan_history": A.loan_history(d)}, SM_BOM, SM_EOM)

@@ -13,6 +13,7 @@ Histories hold many rows per key with an effective timestamp.  The operators red
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -41,20 +42,21 @@ def latest_per_key(df: DataFrame, keys, order_col, ties: bool = True) -> DataFra
     return df.withColumn("_r", fn.over(w)).where(F.col("_r") == 1).drop("_r")
 
 
-def snapshot(df: DataFrame, key, eff_col: str, as_of, ties: bool = True) -> DataFrame:
+def snapshot(df: DataFrame, key, eff_col: str, as_of, ties: bool = True, tie_break=None) -> DataFrame:
     """State of every key as of a point in time: latest row with ``eff_col <= as_of``.
 
-    ``as_of`` may be a date (then the whole day is included) or a timestamp.  The filter is a plain
-    comparison on the stored column, so it reaches the Parquet scan (and partition pruning when the
-    history is stored partitioned by effective month).
+    ``as_of`` is a date (or a date Column, e.g. a scalar subquery) -> the whole day is included,
+    or a datetime -> compared as a timestamp.  ``ties=False`` keeps one row per key, picked by the
+    greatest ``tie_break`` among tied rows.  The filter is a plain comparison on the stored column,
+    so it reaches the Parquet scan (and partition pruning when the history is stored partitioned by
+    effective month).
     """
-    if isinstance(as_of, Column):
-        cond = col_(eff_col) <= as_of
-    elif hasattr(as_of, "hour"):
+    if isinstance(as_of, dt.datetime):
         cond = col_(eff_col) <= ts_lit(as_of)
     else:
         cond = col_(eff_col).cast("date") <= date_lit(as_of)
-    return latest_per_key(df.where(cond), key, eff_col, ties=ties)
+    order = [eff_col] + ([tie_break] if tie_break is not None else [])
+    return latest_per_key(df.where(cond), key, order, ties=ties)
 
 
 def conditional_max(df: DataFrame, keys, value_col, conditions: Mapping[str, Column | None]) -> DataFrame:
