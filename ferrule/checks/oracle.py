@@ -19,6 +19,10 @@ from ferrule.checks.oracle_history import ORACLE as _HIST  # noqa: E402
 
 ORACLE.update(_HIST)
 
+from ferrule.checks.oracle_hr_climate import ORACLE as _HRC  # noqa: E402
+
+ORACLE.update(_HRC)
+
 ORACLE["bonus_status"] = with_views("""
 SELECT s.loan_nbr, s.status_code, s.status_description, b.dt_sbmt_to_hud AS min_submitted,
  d.dt_sbmt_to_hud AS max_submitted, CAST(c.denial_dt AS DATE) AS denial_dt,

@@ -143,3 +143,195 @@ def q_snapshot_compare(spark, sf_dir):
 def q_slow_movers(spark, sf_dir):
     d = A.Driver(spark, sf_dir)
     return SM.run({"exception_history": A.exception_history(d), "loan_history": A.loan_history(d)}, SM_BOM, SM_EOM)
+
+
+def _round(df: DataFrame, digits: dict[str, int]) -> DataFrame:
+    """Presentation rounding of floating aggregates (summation order differs between engines)."""
+    return df.select(*[F.round(c, digits[c]).alias(c) if c in digits else F.col(c) for c in df.columns])
+
+
+# ---- W5 employees -------------------------------------------------------------------------------
+from ferrule.plans import employees as EMP  # noqa: E402
+
+
+def _hr(spark, sf_dir) -> dict[str, DataFrame]:
+    d = A.Driver(spark, sf_dir)
+    return {"employees": A.employees(d), "departments": A.departments(d), "dept_emp": A.dept_emp(d),
+            "salaries": A.salaries(d), "titles": A.titles(d), "dept_manager": A.dept_manager(d)}
+
+
+HIRE_YEAR, FIRST_NAME, LAST_PREFIX = 1996, "red", "b"
+
+
+@register("emp_salary")
+def q_emp_salary(spark, sf_dir):
+    return EMP.salary_report(_hr(spark, sf_dir))
+
+
+@register("hired_in_year")
+def q_hired_in_year(spark, sf_dir):
+    return EMP.hired_in_year(_hr(spark, sf_dir), HIRE_YEAR)
+
+
+@register("managers")
+def q_managers(spark, sf_dir):
+    return EMP.managers(_hr(spark, sf_dir))
+
+
+@register("emp_department")
+def q_emp_department(spark, sf_dir):
+    return EMP.employee_departments(_hr(spark, sf_dir))
+
+
+@register("name_prefix")
+def q_name_prefix(spark, sf_dir):
+    return EMP.name_prefix(_hr(spark, sf_dir), FIRST_NAME, LAST_PREFIX)
+
+
+@register("one_department")
+def q_one_department(spark, sf_dir):
+    return EMP.employee_departments(_hr(spark, sf_dir), ["d007"])
+
+
+@register("two_departments")
+def q_two_departments(spark, sf_dir):
+    return EMP.employee_departments(_hr(spark, sf_dir), ["d007", "d005"])
+
+
+@register("name_frequency")
+def q_name_frequency(spark, sf_dir):
+    return EMP.name_frequency(_hr(spark, sf_dir))
+
+
+@register("salary_histogram")
+def q_salary_histogram(spark, sf_dir):
+    return EMP.salary_histogram(_hr(spark, sf_dir), 10)
+
+
+@register("avg_by_title")
+def q_avg_by_title(spark, sf_dir):
+    return _round(EMP.avg_salary_by_title(_hr(spark, sf_dir)), {"avg_salary": 4})
+
+
+# ---- W6 climate ---------------------------------------------------------------------------------
+from ferrule.plans import climate as CL  # noqa: E402
+
+C_START, C_END = dt.date(2024, 1, 5), dt.date(2024, 1, 25)
+C_SINCE = dt.date(2024, 1, 10)
+TRIP_START, TRIP_END = dt.date(2001, 2, 1), dt.date(2001, 2, 14)          # price series trip
+RAIN_START, RAIN_END = dt.date(2025, 1, 10), dt.date(2025, 1, 16)          # measured one year earlier
+
+
+def _m(spark, sf_dir):
+    return A.measurement(A.Driver(spark, sf_dir))
+
+
+@register("daily_mean")
+def q_daily_mean(spark, sf_dir):
+    return _round(CL.daily_mean(_m(spark, sf_dir), C_START, C_END), {"precipitation": 4})
+
+
+@register("station_count")
+def q_station_count(spark, sf_dir):
+    return CL.station_count(A.station(A.Driver(spark, sf_dir)))
+
+
+@register("station_activity")
+def q_station_activity(spark, sf_dir):
+    return CL.station_activity(_m(spark, sf_dir))
+
+
+@register("top_station_hist")
+def q_top_station_hist(spark, sf_dir):
+    return CL.top_station_hist(_m(spark, sf_dir), C_SINCE, 12)
+
+
+@register("station_list")
+def q_station_list(spark, sf_dir):
+    return CL.station_list(A.station(A.Driver(spark, sf_dir)))
+
+
+@register("top_station_name")
+def q_top_station_name(spark, sf_dir):
+    d = A.Driver(spark, sf_dir)
+    return CL.top_station_name(A.measurement(d), A.station(d))
+
+
+@register("date_values")
+def q_date_values(spark, sf_dir):
+    return CL.date_values(_m(spark, sf_dir))
+
+
+@register("last_year_values")
+def q_last_year_values(spark, sf_dir):
+    return CL.last_year_values(A.price_series(A.Driver(spark, sf_dir)))
+
+
+@register("range_stats_open")
+def q_range_stats_open(spark, sf_dir):
+    return _round(CL.temperature_stats(_m(spark, sf_dir), dt.date(2024, 1, 20)), {"tavg": 4})
+
+
+@register("range_stats_closed")
+def q_range_stats_closed(spark, sf_dir):
+    return _round(CL.temperature_stats(_m(spark, sf_dir), dt.date(2024, 1, 10), dt.date(2024, 1, 15)), {"tavg": 4})
+
+
+@register("summary_stats")
+def q_summary_stats(spark, sf_dir):
+    return _round(CL.precipitation_summary(_m(spark, sf_dir), C_START, C_END),
+                  {"mean": 6, "std": 6, "p25": 6, "p50": 6, "p75": 6})
+
+
+@register("same_dates_last_year")
+def q_same_dates_last_year(spark, sf_dir):
+    return _round(CL.trip_last_year(A.price_series(A.Driver(spark, sf_dir)), TRIP_START, TRIP_END), {"tavg": 4})
+
+
+@register("daily_normals")
+def q_daily_normals(spark, sf_dir):
+    return _round(CL.daily_normals(A.price_series(A.Driver(spark, sf_dir)), TRIP_START, TRIP_END), {"tavg": 4})
+
+
+@register("rain_per_station")
+def q_rain_per_station(spark, sf_dir):
+    d = A.Driver(spark, sf_dir)
+    return _round(CL.rain_per_station(A.measurement(d), A.station(d), RAIN_START, RAIN_END), {"total_prcp": 4})
+
+
+@register("two_month_t")
+def q_two_month_t(spark, sf_dir):
+    return _round(CL.june_december(A.price_series(A.Driver(spark, sf_dir))),
+                  {"mean1": 4, "mean2": 4, "var1": 0, "var2": 0, "t": 6, "dof": 4})
+
+
+@register("nth_row")
+def q_nth_row(spark, sf_dir):
+    return _round(CL.nth_daily_mean(_m(spark, sf_dir), C_START, C_END, 10), {"precipitation": 4})
+
+
+# ---- sinks and data quality ---------------------------------------------------------------------
+from ferrule.sources.io import to_json_rows  # noqa: E402
+from ferrule.operators import quality as Q  # noqa: E402
+
+
+@register("json_rows")
+def q_json_rows(spark, sf_dir):
+    """JSON text differs between engines (key order, float text): rows-only check."""
+    return to_json_rows(A.station(A.Driver(spark, sf_dir)))
+
+
+@register("null_check")
+def q_null_check(spark, sf_dir):
+    return Q.null_counts(A.Driver(spark, sf_dir)["lineitem"])
+
+
+@register("pk_violations")
+def q_pk_violations(spark, sf_dir):
+    return Q.pk_violations(A.Driver(spark, sf_dir)["lineitem"], ["l_orderkey", "l_linenumber"])
+
+
+@register("fk_orphans")
+def q_fk_orphans(spark, sf_dir):
+    d = A.Driver(spark, sf_dir)
+    return Q.fk_orphans(d["lineitem"], "l_orderkey", d["orders"], "o_orderkey")
