@@ -61,7 +61,12 @@ def _letters(spark, sf_dir) -> dict[str, DataFrame]:
     return L.run(_letter_tables(d), L.LetterParams(as_of=A.AS_OF_TS))
 
 
-for _key, _part in [("base_population", "population"), ("exception_scrub", "exceptions"), ("hoa_flags", "hoa"),
+@register("base_population")
+def q_base_population(spark, sf_dir):
+    return L.population(_letter_tables(A.Driver(spark, sf_dir)), L.LetterParams(as_of=A.AS_OF_TS))
+
+
+for _key, _part in [("exception_scrub", "exceptions"), ("hoa_flags", "hoa"),
                     ("occ_flags", "occ"), ("nts_flags", "nts"), ("final_flags", "final"),
                     ("letter_templates", "templates"), ("letter_manifest", "manifest")]:
     def _mk(part):

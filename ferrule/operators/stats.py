@@ -74,25 +74,30 @@ def histogram(df: DataFrame, c, bins: int = 12) -> DataFrame:
     subquery; counting is a grouped count with map-side combine.
     """
     vals = df.select(col_(c).cast("double").alias("x")).where(F.col("x").isNotNull())
-    rng = vals.agg(F.min("x").alias("a"), F.max("x").alias("b"))
-    lo = rng.select(F.when(F.col("a") == F.col("b"), F.col("a") - 0.5).otherwise(F.col("a"))).scalar()
-    hi = rng.select(F.when(F.col("a") == F.col("b"), F.col("b") + 0.5).otherwise(F.col("b"))).scalar()
-    step = (hi - lo) / F.lit(float(bins))
+    a, b = F.min("x"), F.max("x")
+    # one scalar subquery (a struct) carries the range: one pass for min/max, one for counting
+    r = vals.select(F.struct(F.when(a == b, a - 0.5).otherwise(a).alias("lo"),
+                             F.when(a == b, b + 0.5).otherwise(b).alias("hi")).alias("r")).scalar()
+    nb = F.lit(float(bins))
+    lo, hi, x, i = F.col("lo"), F.col("hi"), F.col("x"), F.col("i")
 
     def edge(k):
-        return F.when(k == bins, hi).otherwise(k * step + lo)
-
-    x = F.col("x")
-    i0 = F.floor((x - lo) / (hi - lo) * F.lit(float(bins))).cast("int")
-    i1 = F.when(i0 >= bins, F.lit(bins - 1)).otherwise(i0)
-    i2 = F.when(x < edge(i1), i1 - 1).otherwise(i1)
-    i3 = F.when((x >= edge(i2 + 1)) & (i2 != bins - 1), i2 + 1).otherwise(i2)
-    counts = vals.select(i3.alias("i")).groupBy("i").agg(F.count(F.lit(1)).alias("count"))
-    # the bin list is generated from the same range (at most `bins` rows) so empty bins show up
-    all_bins = rng.where(F.col("a").isNotNull()).select(F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("i"))
-    k = F.col("i")
+        return F.when(k == bins, hi).otherwise(k * ((hi - lo) / nb) + lo)
+
+    # numpy: i = floor((x-lo)/(hi-lo)*bins) clamped to the last bin, then one step down when x lies
+    # below the bin's lower edge, else one step up when x reaches the next edge (not for the last
+    # bin); the two corrections exclude each other, so the expression stays flat.
+    i1 = F.least(F.floor((x - lo) / (hi - lo) * nb).cast("int"), F.lit(bins - 1))
+    idx = (vals.select("x", r.alias("r")).select("x", "r.lo", "r.hi")
+           .select("x", "lo", "hi", i1.alias("i"))
+           .select(F.when(x < edge(i), i - 1).when((x >= edge(i + 1)) & (i != bins - 1), i + 1)
+                   .otherwise(i).alias("i")))
+    counts = idx.groupBy("i").agg(F.count(F.lit(1)).alias("count"))
+    # the bin list has `bins` rows (a parameter, not data); no bins at all for an empty input
+    all_bins = (df.sparkSession.range(bins).select(F.col("id").cast("int").alias("i"), r.alias("r"))
+                .select("i", "r.lo", "r.hi").where(lo.isNotNull()))
     return (all_bins.join(counts, "i", "left")
-            .select((k + 1).alias("bin"), edge(k).alias("lower"), edge(k + 1).alias("upper"),
+            .select((i + 1).alias("bin"), edge(i).alias("lower"), edge(i + 1).alias("upper"),
                     F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count")))
 
 

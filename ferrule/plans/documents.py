@@ -30,6 +30,7 @@ from ferrule.functions.rules import Rule, first_match
 from ferrule.functions.semantics import (braced, ci_in, ci_not_in, date_lit, day_diff, in_or_null, month_diff,
                                          recode, strip_zeros, ts_lit, SENTINEL_NEVER_DATE)
 from ferrule.plans.letters import GC, LEDGER, NON_GC
+from ferrule.sources.io import materialize
 
 # ---- fixed values of the report ---------------------------------------------------------------
 GROUPS = ("Grp 1 NSM Balance Sheet", "Grp 2 FNMA", "Grp 3 GNMA excl BofA", "Grp 4 Trust / Private exlc BofA")
@@ -165,10 +166,19 @@ def latest_valid(b: DataFrame, m: DataFrame, p: DocumentParams, ordered: bool =
     return out
 
 
-def run(tables: dict[str, DataFrame], params: DocumentParams | None = None, ordered: bool = True) -> dict[str, DataFrame]:
+def run(tables: dict[str, DataFrame], params: DocumentParams | None = None, ordered: bool = True,
+        materialized: bool = True) -> dict[str, DataFrame]:
     """tables: loan_status, workable, exceptions, assignment, exception_total, roster,
-    invalid_documents, document_repository."""
+    invalid_documents, document_repository.
+
+    The base and the matches are each read by several later steps; with ``materialized`` they are
+    checkpointed once (hash-partitioned by loan number / exception id).
+    """
     p = params or DocumentParams()
     b = base(tables, p)
+    if materialized:
+        b = materialize(b, "loan_number")
     m = matches(b, tables, p)
+    if materialized:
+        m = materialize(m, "exception_id")
     return {"base": b, "matches": document_match(m), "latest_valid": latest_valid(b, m, p, ordered)}

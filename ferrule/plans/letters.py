@@ -26,6 +26,7 @@ from ferrule.functions.rowwise import by_kind, row_count, row_max
 from ferrule.functions.rules import Rule, first_match, rule_hits
 from ferrule.functions.semantics import (address_class, ci_eq, ci_in, ci_not_in, date_lit, day_diff,
                                          in_or_null, month_diff, real, ts_lit, us_date, zip4)
+from ferrule.sources.io import materialize
 from ferrule.sources.schemas import LETTER_DATE_COLUMNS
 
 # ---- fixed values of the report ---------------------------------------------------------------
@@ -319,14 +320,21 @@ def rule_coverage(pop: DataFrame, exc: DataFrame, p: LetterParams) -> DataFrame:
             .unionByName(rule_hits(nts_frame(pop, exc, p, True), nts_rules(p), "NTS")))
 
 
-def run(tables: dict[str, DataFrame], params: LetterParams | None = None, ordered: bool = True) -> dict[str, DataFrame]:
+def run(tables: dict[str, DataFrame], params: LetterParams | None = None, ordered: bool = True,
+        materialized: bool = True) -> dict[str, DataFrame]:
     """tables: loan_status, hud_status, workable, loan_master, exceptions.
 
-    Returns population, exceptions, hoa, occ, nts, final, templates, manifest (all lazy).
+    Returns population, exceptions, hoa, occ, nts, final, templates, manifest.  The population
+    and the scrubbed exceptions are read by every later step; with ``materialized`` they are
+    checkpointed once, hash-partitioned by loan number (the key of all joins that follow them).
     """
     p = params or LetterParams()
     pop = population(tables, p)
+    if materialized:
+        pop = materialize(pop, "loan_number")
     exc = exception_scrub(tables, pop, p)
+    if materialized:
+        exc = materialize(exc, "loan_number")
     hoa, occ, nts = hoa_frame(pop, exc, p), occ_frame(pop, exc, p), nts_frame(pop, exc, p)
     final = final_flags(pop, exc, hoa, occ, nts)
     return {"population": pop, "exceptions": exc, "hoa": hoa, "occ": occ, "nts": nts, "final": final,

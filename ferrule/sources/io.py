@@ -61,10 +61,27 @@ def write_json_rows(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
-def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Cut lineage of an intermediate read several times: a reliable checkpoint into the shared
-    ``spark.checkpoint.dir`` (survives executor loss, unlike a local checkpoint or cache)."""
+def materialize(df: DataFrame, *partition_cols: str, eager: bool = True) -> DataFrame:
+    """Materialise an intermediate that later steps read several times (a temp table).
+
+    Optionally hash-partitions it by ``partition_cols`` first: the checkpointed frame keeps that
+    partitioning, so later joins/aggregations on the same key need no new shuffle.  The checkpoint
+    is reliable (files in the shared ``spark.checkpoint.dir``), so it survives executor loss,
+    unlike a local checkpoint or a cache; it also cuts the lineage.
+    """
     from ferrule.session import ensure_checkpoint_dir
 
+    from pyspark import StorageLevel
+
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    if partition_cols:
+        df = df.repartition(*partition_cols)
+    if not eager:
+        return df.checkpoint(eager=False)
+    # the checkpoint write re-runs the plan after the counting job; the short-lived persist makes
+    # that second pass read the first pass's blocks instead of recomputing the input
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
