@@ -66,7 +66,14 @@ def q_base_population(spark, sf_dir):
     return L.population(_letter_tables(A.Driver(spark, sf_dir)), L.LetterParams(as_of=A.AS_OF_TS))
 
 
-for _key, _part in [("exception_scrub", "exceptions"), ("hoa_flags", "hoa"),
+@register("exception_scrub")
+def q_exception_scrub(spark, sf_dir):
+    t = _letter_tables(A.Driver(spark, sf_dir))
+    p = L.LetterParams(as_of=A.AS_OF_TS)
+    return L.exception_scrub(t, L.population(t, p), p)
+
+
+for _key, _part in [("hoa_flags", "hoa"),
                     ("occ_flags", "occ"), ("nts_flags", "nts"), ("final_flags", "final"),
                     ("letter_templates", "templates"), ("letter_manifest", "manifest")]:
     def _mk(part):
