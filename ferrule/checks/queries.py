@@ -243,6 +243,11 @@ def q_daily_mean(spark, sf_dir):
     return _round(CL.daily_mean(_m(spark, sf_dir), C_START, C_END), {"precipitation": 4})
 
 
+@register("precipitation_rows")
+def q_precipitation_rows(spark, sf_dir):
+    return CL.precipitation_rows(_m(spark, sf_dir), C_START, C_END)
+
+
 @register("station_count")
 def q_station_count(spark, sf_dir):
     return CL.station_count(A.station(A.Driver(spark, sf_dir)))

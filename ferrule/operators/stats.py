@@ -7,6 +7,7 @@ ever reach the driver, and only when the caller collects the result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,8 +15,8 @@ from pyspark.sql import functions as F
 
 from ferrule.functions.semantics import col_, date_lit
 
-__all__ = ["mean_by", "count_by", "top_1", "nth_row", "range_stats", "histogram",
-           "exact_quantiles", "summary", "daily_normals", "two_month_t"]
+__all__ = ["mean_by", "count_by", "top_1", "nth_row", "range_stats", "histogram", "exact_quantiles",
+           "summary", "daily_normals", "two_month_t", "t_pvalue", "with_t_pvalue", "date_range"]
 
 
 def mean_by(df: DataFrame, key, c, name: str = "mean") -> DataFrame:
@@ -57,12 +58,9 @@ def nth_row(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
 def range_stats(df: DataFrame, date_col, c, start, stop=None,
                 names: tuple[str, str, str] = ("tmin", "tavg", "tmax")) -> DataFrame:
     """MIN/AVG/MAX of ``c`` for dates >= start (and <= stop when given); empty range -> one NULL row."""
-    d = col_(date_col)
-    cond = d >= date_lit(start)
-    if stop is not None:
-        cond = cond & (d <= date_lit(stop))
     v = col_(c)
-    return df.where(cond).agg(F.min(v).alias(names[0]), F.avg(v).alias(names[1]), F.max(v).alias(names[2]))
+    return date_range(df, date_col, start, stop).agg(F.min(v).alias(names[0]), F.avg(v).alias(names[1]),
+                                                     F.max(v).alias(names[2]))
 
 
 def histogram(df: DataFrame, c, bins: int = 12) -> DataFrame:
@@ -189,10 +187,62 @@ def two_month_t(df: DataFrame, date_col, c, m1: int = 6, m2: int = 12) -> DataFr
     return a.select("*", t.alias("t"), dof.alias("dof"))
 
 
-def t_pvalue(t: float, dof: float) -> float | None:
-    """Two-sided p-value of a t statistic (scalar helper for the one-row result; needs scipy)."""
-    try:
-        from scipy import stats as _st  # type: ignore
-    except Exception:  # pragma: no cover - optional dependency
+def _betacf(a: float, b: float, x: float, itmax: int = 500, eps: float = 1e-15) -> float:
+    """Continued fraction of the incomplete beta function (modified Lentz)."""
+    tiny = 1e-300
+    qab, qap, qam = a + b, a + 1.0, a - 1.0
+    c, d = 1.0, 1.0 - qab * x / qap
+    d = 1.0 / (d if abs(d) > tiny else tiny)
+    h = d
+    for m in range(1, itmax + 1):
+        m2 = 2 * m
+        for aa in (m * (b - m) * x / ((qam + m2) * (a + m2)), -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))):
+            d = 1.0 + aa * d
+            d = 1.0 / (d if abs(d) > tiny else tiny)
+            c = 1.0 + aa / c
+            c = c if abs(c) > tiny else tiny
+            h *= d * c
+        if abs(d * c - 1.0) < eps:
+            break
+    return h
+
+
+def betainc_regularized(a: float, b: float, x: float) -> float:
+    if x <= 0.0:
+        return 0.0
+    if x >= 1.0:
+        return 1.0
+    lbt = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
+    if x < (a + 1.0) / (a + b + 2.0):
+        return math.exp(lbt) * _betacf(a, b, x) / a
+    return 1.0 - math.exp(lbt) * _betacf(b, a, 1.0 - x) / b
+
+
+def t_pvalue(t: float | None, dof: float | None) -> float | None:
+    """Two-sided p-value of a t statistic with ``dof`` degrees of freedom (scalar helper)."""
+    if t is None or dof is None or not math.isfinite(t) or not dof > 0:
         return None
-    return float(2 * _st.t.sf(abs(t), dof))
+    return betainc_regularized(dof / 2.0, 0.5, dof / (dof + t * t))
+
+
+def with_t_pvalue(df: DataFrame, t: str = "t", dof: str = "dof", name: str = "p_value") -> DataFrame:
+    """Add the two-sided p-value column to a t-statistic result (Arrow-batched; the input of a
+    t test is one aggregated row, so this never touches raw data)."""
+    import pandas as pd
+
+    @F.pandas_udf("double")
+    def _p(ts: pd.Series, ds: pd.Series) -> pd.Series:
+        return pd.Series([t_pvalue(None if pd.isna(a) else float(a), None if pd.isna(b) else float(b))
+                          for a, b in zip(ts, ds)], dtype="float64")
+
+    return df.withColumn(name, _p(F.col(t), F.col(dof)))
+
+
+def date_range(df: DataFrame, date_col, start=None, stop=None) -> DataFrame:
+    """Rows with ``start <= date`` and, when given, ``date <= stop`` (both ends inclusive)."""
+    d = col_(date_col)
+    if start is not None:
+        df = df.where(d >= date_lit(start))
+    if stop is not None:
+        df = df.where(d <= date_lit(stop))
+    return df

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ferrule.functions.semantics import date_lit, same_day_last_year
 from ferrule.operators.stats import (count_by, daily_normals as _normals, histogram, nth_row, range_stats,
-                                     summary, top_1, two_month_t)
+                                     summary, top_1, two_month_t, with_t_pvalue)
 
 
 def daily_mean(m: DataFrame, start, end) -> DataFrame:
@@ -23,6 +23,12 @@ def daily_mean(m: DataFrame, start, end) -> DataFrame:
             .groupBy("date").agg(F.avg("prcp").alias("precipitation")))
 
 
+def precipitation_rows(m: DataFrame, start, end, ordered: bool = True) -> DataFrame:
+    """The text version of the one-year query: plain (date, prcp) rows in [start, end], by date."""
+    out = m.where(F.col("date").between(date_lit(start), date_lit(end))).select("date", F.col("prcp").alias("precipitation"))
+    return out.orderBy("date") if ordered else out
+
+
 def station_count(stations: DataFrame) -> DataFrame:
     return stations.agg(F.count("station").alias("station_count"))
 
@@ -93,8 +99,10 @@ def rain_per_station(m: DataFrame, stations: DataFrame, start, end) -> DataFrame
             .orderBy(F.col("total_prcp").desc_nulls_last(), F.col("station")))
 
 
-def june_december(m: DataFrame, m1: int = 6, m2: int = 12) -> DataFrame:
-    return two_month_t(m, "date", "tobs", m1, m2)
+def june_december(m: DataFrame, m1: int = 6, m2: int = 12, with_p: bool = False) -> DataFrame:
+    """Welch t statistic (and optionally its two-sided p-value) of month m1 vs month m2."""
+    out = two_month_t(m, "date", "tobs", m1, m2)
+    return with_t_pvalue(out) if with_p else out
 
 
 def nth_daily_mean(m: DataFrame, start, end, n: int) -> DataFrame:

@@ -83,3 +83,18 @@ def test_daily_normals_and_t(spark):
     b = np.array([v for (d, v) in rows if d.month == 12])
     se = a.var(ddof=1) / len(a) + b.var(ddof=1) / len(b)
     assert math.isclose(r.t, (a.mean() - b.mean()) / math.sqrt(se), rel_tol=1e-9)
+
+
+def test_t_pvalue_known_values():
+    from ferrule.operators.stats import t_pvalue
+    assert math.isclose(t_pvalue(2.0, 10.0), 0.073388, abs_tol=1e-6)
+    assert math.isclose(t_pvalue(1.959964, 1e7), 0.05, abs_tol=1e-5)
+    assert math.isclose(t_pvalue(0.0, 5.0), 1.0, abs_tol=1e-12)
+    assert t_pvalue(None, 3.0) is None
+
+
+def test_with_t_pvalue_column(spark):
+    from ferrule.operators.stats import with_t_pvalue
+    df = spark.createDataFrame([(2.0, 10.0), (None, 4.0)], "t double, dof double")
+    got = [r.p_value for r in with_t_pvalue(df).collect()]
+    assert math.isclose(got[0], 0.073388, abs_tol=1e-6) and got[1] is None
