@@ -36,13 +36,13 @@ def _bonus_tables(d: A.Driver) -> dict[str, DataFrame]:
 
 @register("bonus_status")
 def q_bonus_status(spark, sf_dir):
-    d = A.Driver(spark, sf_dir)
+    d = A.driver(spark, sf_dir)
     return bonus.run(_bonus_tables(d), BONUS_START, BONUS_END)
 
 
 @register("window_min_max")
 def q_window_min_max(spark, sf_dir):
-    d = A.Driver(spark, sf_dir)
+    d = A.driver(spark, sf_dir)
     return H.window_bounds_agg(A.submissions(d), "loan_nbr", "dt_sbmt_to_hud", BONUS_START, BONUS_END,
                                "min_submitted", "max_submitted")
 
@@ -57,18 +57,18 @@ def _letter_tables(d: A.Driver) -> dict[str, DataFrame]:
 
 
 def _letters(spark, sf_dir) -> dict[str, DataFrame]:
-    d = A.Driver(spark, sf_dir)
+    d = A.driver(spark, sf_dir)
     return L.run(_letter_tables(d), L.LetterParams(as_of=A.AS_OF_TS))
 
 
 @register("base_population")
 def q_base_population(spark, sf_dir):
-    return L.population(_letter_tables(A.Driver(spark, sf_dir)), L.LetterParams(as_of=A.AS_OF_TS))
+    return L.population(_letter_tables(A.driver(spark, sf_dir)), L.LetterParams(as_of=A.AS_OF_TS))
 
 
 @register("exception_scrub")
 def q_exception_scrub(spark, sf_dir):
-    t = _letter_tables(A.Driver(spark, sf_dir))
+    t = _letter_tables(A.driver(spark, sf_dir))
     p = L.LetterParams(as_of=A.AS_OF_TS)
     return L.exception_scrub(t, L.population(t, p), p)
 
@@ -86,11 +86,7 @@ for _key, _part in [("hoa_flags", "hoa"),
 
 @register("rule_hits")
 def q_rule_hits(spark, sf_dir):
-    d = A.Driver(spark, sf_dir)
-    t = _letter_tables(d)
-    p = L.LetterParams(as_of=A.AS_OF_TS)
-    pop = L.population(t, p)
-    return L.rule_coverage(pop, L.exception_scrub(t, pop, p), p)
+    return _letters(spark, sf_dir)["rule_hits"]
 
 
 # ---- W2 document scrub --------------------------------------------------------------------------
@@ -104,7 +100,7 @@ def _document_tables(d: A.Driver) -> dict[str, DataFrame]:
 
 
 def _documents(spark, sf_dir):
-    return DOC.run(_document_tables(A.Driver(spark, sf_dir)), DOC.DocumentParams(as_of=A.AS_OF_TS))
+    return DOC.run(_document_tables(A.driver(spark, sf_dir)), DOC.DocumentParams(as_of=A.AS_OF_TS))
 
 
 @register("open_exception_base")
@@ -124,7 +120,7 @@ def q_latest_valid_document(spark, sf_dir):
 
 @register("row_min_date")
 def q_row_min_date(spark, sf_dir):
-    return DOC.min_letter_date(A.exceptions(A.Driver(spark, sf_dir)))
+    return DOC.min_letter_date(A.exceptions(A.driver(spark, sf_dir)))
 
 
 # ---- W4 slow movers -----------------------------------------------------------------------------
@@ -135,17 +131,17 @@ SM_BOM, SM_EOM = dt.date(2024, 1, 10), dt.date(2024, 1, 20)
 
 @register("period_bounds")
 def q_period_bounds(spark, sf_dir):
-    return SM.period_bounds(A.business_dates(A.Driver(spark, sf_dir)), A.AS_OF)
+    return SM.period_bounds(A.business_dates(A.driver(spark, sf_dir)), A.AS_OF)
 
 
 @register("latest_per_key")
 def q_latest_per_key(spark, sf_dir):
-    return H.latest_per_key(A.exception_history(A.Driver(spark, sf_dir)), "excp_id", "eff_dttm", ties=True)
+    return H.latest_per_key(A.exception_history(A.driver(spark, sf_dir)), "excp_id", "eff_dttm", ties=True)
 
 
 @register("snapshot_compare")
 def q_snapshot_compare(spark, sf_dir):
-    loans = A.loan_history(A.Driver(spark, sf_dir))
+    loans = A.loan_history(A.driver(spark, sf_dir))
     new = H.snapshot(loans, "loan_nbr", "eff_dttm", SM_EOM, ties=False, tie_break="seq")
     old = H.snapshot(loans, "loan_nbr", "eff_dttm", SM_BOM, ties=False, tie_break="seq")
     return H.compare_snapshots(new, old, "loan_nbr", ["mca_percent", "loan_status"])
@@ -153,7 +149,7 @@ def q_snapshot_compare(spark, sf_dir):
 
 @register("slow_movers")
 def q_slow_movers(spark, sf_dir):
-    d = A.Driver(spark, sf_dir)
+    d = A.driver(spark, sf_dir)
     return SM.run({"exception_history": A.exception_history(d), "loan_history": A.loan_history(d)}, SM_BOM, SM_EOM)
 
 
@@ -167,7 +163,7 @@ from ferrule.plans import employees as EMP  # noqa: E402
 
 
 def _hr(spark, sf_dir) -> dict[str, DataFrame]:
-    d = A.Driver(spark, sf_dir)
+    d = A.driver(spark, sf_dir)
     return {"employees": A.employees(d), "departments": A.departments(d), "dept_emp": A.dept_emp(d),
             "salaries": A.salaries(d), "titles": A.titles(d), "dept_manager": A.dept_manager(d)}
 
@@ -235,7 +231,7 @@ RAIN_START, RAIN_END = dt.date(2025, 1, 10), dt.date(2025, 1, 16)          # mea
 
 
 def _m(spark, sf_dir):
-    return A.measurement(A.Driver(spark, sf_dir))
+    return A.measurement(A.driver(spark, sf_dir))
 
 
 @register("daily_mean")
@@ -250,7 +246,7 @@ def q_precipitation_rows(spark, sf_dir):
 
 @register("station_count")
 def q_station_count(spark, sf_dir):
-    return CL.station_count(A.station(A.Driver(spark, sf_dir)))
+    return CL.station_count(A.station(A.driver(spark, sf_dir)))
 
 
 @register("station_activity")
@@ -265,12 +261,12 @@ def q_top_station_hist(spark, sf_dir):
 
 @register("station_list")
 def q_station_list(spark, sf_dir):
-    return CL.station_list(A.station(A.Driver(spark, sf_dir)))
+    return CL.station_list(A.station(A.driver(spark, sf_dir)))
 
 
 @register("top_station_name")
 def q_top_station_name(spark, sf_dir):
-    d = A.Driver(spark, sf_dir)
+    d = A.driver(spark, sf_dir)
     return CL.top_station_name(A.measurement(d), A.station(d))
 
 
@@ -281,7 +277,7 @@ def q_date_values(spark, sf_dir):
 
 @register("last_year_values")
 def q_last_year_values(spark, sf_dir):
-    return CL.last_year_values(A.price_series(A.Driver(spark, sf_dir)))
+    return CL.last_year_values(A.price_series(A.driver(spark, sf_dir)))
 
 
 @register("range_stats_open")
@@ -302,23 +298,23 @@ def q_summary_stats(spark, sf_dir):
 
 @register("same_dates_last_year")
 def q_same_dates_last_year(spark, sf_dir):
-    return _round(CL.trip_last_year(A.price_series(A.Driver(spark, sf_dir)), TRIP_START, TRIP_END), {"tavg": 4})
+    return _round(CL.trip_last_year(A.price_series(A.driver(spark, sf_dir)), TRIP_START, TRIP_END), {"tavg": 4})
 
 
 @register("daily_normals")
 def q_daily_normals(spark, sf_dir):
-    return _round(CL.daily_normals(A.price_series(A.Driver(spark, sf_dir)), TRIP_START, TRIP_END), {"tavg": 4})
+    return _round(CL.daily_normals(A.price_series(A.driver(spark, sf_dir)), TRIP_START, TRIP_END), {"tavg": 4})
 
 
 @register("rain_per_station")
 def q_rain_per_station(spark, sf_dir):
-    d = A.Driver(spark, sf_dir)
+    d = A.driver(spark, sf_dir)
     return _round(CL.rain_per_station(A.measurement(d), A.station(d), RAIN_START, RAIN_END), {"total_prcp": 4})
 
 
 @register("two_month_t")
 def q_two_month_t(spark, sf_dir):
-    return _round(CL.june_december(A.price_series(A.Driver(spark, sf_dir))),
+    return _round(CL.june_december(A.price_series(A.driver(spark, sf_dir))),
                   {"mean1": 4, "mean2": 4, "var1": 0, "var2": 0, "t": 6, "dof": 4})
 
 
@@ -335,20 +331,20 @@ from ferrule.operators import quality as Q  # noqa: E402
 @register("json_rows")
 def q_json_rows(spark, sf_dir):
     """JSON text differs between engines (key order, float text): rows-only check."""
-    return to_json_rows(A.station(A.Driver(spark, sf_dir)))
+    return to_json_rows(A.station(A.driver(spark, sf_dir)))
 
 
 @register("null_check")
 def q_null_check(spark, sf_dir):
-    return Q.null_counts(A.Driver(spark, sf_dir)["lineitem"])
+    return Q.null_counts(A.driver(spark, sf_dir)["lineitem"])
 
 
 @register("pk_violations")
 def q_pk_violations(spark, sf_dir):
-    return Q.pk_violations(A.Driver(spark, sf_dir)["lineitem"], ["l_orderkey", "l_linenumber"])
+    return Q.pk_violations(A.driver(spark, sf_dir)["lineitem"], ["l_orderkey", "l_linenumber"])
 
 
 @register("fk_orphans")
 def q_fk_orphans(spark, sf_dir):
-    d = A.Driver(spark, sf_dir)
+    d = A.driver(spark, sf_dir)
     return Q.fk_orphans(d["lineitem"], "l_orderkey", d["orders"], "o_orderkey")

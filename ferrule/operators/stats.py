@@ -10,6 +10,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import pandas as pd
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -103,15 +105,18 @@ def exact_quantiles(df: DataFrame, c, probs: Sequence[float]) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas/numpy default), fully distributed.
 
     1. count per distinct value (map-side combine collapses a hot value to one row);
-    2. range-sort the distinct values and checkpoint them (stable partition ids);
+    2. range-sort the distinct values and materialise them (stable partition ids);
     3. running count inside each sorted partition + offsets of the partitions (one row each)
        give every distinct value its rank interval [lo_rank, hi_rank);
-    4. the ranks each quantile needs (2 per p) are matched against those intervals.
+    4. only the values whose interval holds one of the 2 ranks each quantile needs are kept
+       (a filter), and a one-row aggregate interpolates.
     Output: (p, value), one row per requested probability.
     """
+    from ferrule.sources.io import materialize
+
     vals = df.select(col_(c).cast("double").alias("x")).where(F.col("x").isNotNull())
     dist = vals.groupBy("x").agg(F.count(F.lit(1)).alias("m"))
-    s = dist.orderBy("x").withColumn("pid", F.spark_partition_id()).checkpoint()
+    s = materialize(dist.orderBy("x").withColumn("pid", F.spark_partition_id()))
     local = Window.partitionBy("pid").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     per_part = s.groupBy("pid").agg(F.sum("m").alias("pm"))
     # one row per partition: the offsets are computed in one task over a partition-count-sized table
@@ -121,17 +126,24 @@ def exact_quantiles(df: DataFrame, c, probs: Sequence[float]) -> DataFrame:
               .join(F.broadcast(offsets), "pid")
               .select("x", (F.col("off") + F.col("cum") - F.col("m")).alias("lo_rank"),
                       (F.col("off") + F.col("cum")).alias("hi_rank")))
-    n = vals.agg(F.count(F.lit(1))).scalar()
-    targets = (vals.sparkSession.createDataFrame([(float(p),) for p in probs], "p double")
-               .select("p", ((n - 1) * F.col("p")).alias("h"))
-               .select("p", "h", F.floor("h").cast("long").alias("k_lo"), F.ceil("h").cast("long").alias("k_hi")))
-    t_lo = targets.select("p", "h", "k_lo", F.col("k_lo").alias("k"), F.lit("lo").alias("side"))
-    t_hi = targets.select("p", "h", "k_lo", F.col("k_hi").alias("k"), F.lit("hi").alias("side"))
-    t = t_lo.unionByName(t_hi)
-    hit = ranked.join(F.broadcast(t), (F.col("k") >= F.col("lo_rank")) & (F.col("k") < F.col("hi_rank")))
-    piv = hit.groupBy("p", "h", "k_lo").agg(F.max(F.when(F.col("side") == "lo", F.col("x"))).alias("x_lo"),
-                                         F.max(F.when(F.col("side") == "hi", F.col("x"))).alias("x_hi"))
-    return piv.select("p", (F.col("x_lo") + (F.col("h") - F.col("k_lo")) * (F.col("x_hi") - F.col("x_lo"))).alias("value"))
+    n = s.agg(F.sum("m")).scalar()
+    h = [(n - 1) * F.lit(float(p)) for p in probs]
+    k_lo = [F.floor(x).cast("long") for x in h]
+    k_hi = [F.ceil(x).cast("long") for x in h]
+    lo_r, hi_r, x = F.col("lo_rank"), F.col("hi_rank"), F.col("x")
+    holds = None
+    for k in k_lo + k_hi:
+        cond = (k >= lo_r) & (k < hi_r)
+        holds = cond if holds is None else holds | cond
+    hit = ranked.where(holds)
+
+    def at(k):
+        return F.max(F.when((k >= lo_r) & (k < hi_r), x))
+
+    row = hit.agg(*[F.struct(F.lit(float(p)).alias("p"),
+                             (at(k_lo[i]) + (h[i] - k_lo[i]) * (at(k_hi[i]) - at(k_lo[i]))).alias("value"))
+                    .alias(f"q{i}") for i, p in enumerate(probs)])
+    return row.select(F.explode(F.array(*[F.col(f"q{i}") for i in range(len(probs))])).alias("q")).select("q.p", "q.value")
 
 
 def summary(df: DataFrame, c, probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
@@ -140,10 +152,11 @@ def summary(df: DataFrame, c, probs: Sequence[float] = (0.25, 0.5, 0.75)) -> Dat
     base = df.agg(F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
                   F.min(v).alias("min"), F.max(v).alias("max"))
     q = exact_quantiles(df, c, probs)
-    # each quartile is a scalar subquery over the (tiny) quantile table: no join, no cross product
-    quart = [q.where(F.col("p") == float(p)).select("value").scalar().alias(f"p{int(round(p * 100))}")
-             for p in probs]
-    return base.select("count", "mean", "std", "min", *quart, "max")
+    names = [f"p{int(round(p * 100))}" for p in probs]
+    # the quartiles travel as one struct scalar subquery over the (one row per p) quantile table
+    qs = q.agg(F.struct(*[F.max(F.when(F.col("p") == float(p), F.col("value"))).alias(nm)
+                          for p, nm in zip(probs, names)])).scalar()
+    return base.select("count", "mean", "std", "min", *[qs.getField(nm).alias(nm) for nm in names], "max")
 
 
 def daily_normals(df: DataFrame, date_col, c, days: DataFrame | Sequence[str] | None = None,
@@ -228,8 +241,6 @@ def t_pvalue(t: float | None, dof: float | None) -> float | None:
 def with_t_pvalue(df: DataFrame, t: str = "t", dof: str = "dof", name: str = "p_value") -> DataFrame:
     """Add the two-sided p-value column to a t-statistic result (Arrow-batched; the input of a
     t test is one aggregated row, so this never touches raw data)."""
-    import pandas as pd
-
     @F.pandas_udf("double")
     def _p(ts: pd.Series, ds: pd.Series) -> pd.Series:
         return pd.Series([t_pvalue(None if pd.isna(a) else float(a), None if pd.isna(b) else float(b))

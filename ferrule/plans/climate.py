@@ -44,8 +44,9 @@ def top_station(m: DataFrame) -> DataFrame:
 
 
 def top_station_temps(m: DataFrame, since) -> DataFrame:
-    top = F.broadcast(top_station(m).select("station"))   # exactly one row
-    return m.join(top, "station").where(F.col("date") >= date_lit(since)).select("date", "tobs")
+    # the top station is a scalar subquery: computed once per query, no join at all
+    top = top_station(m).select("station").scalar()
+    return m.where((F.col("station") == top) & (F.col("date") >= date_lit(since))).select("date", "tobs")
 
 
 def top_station_hist(m: DataFrame, since, bins: int = 12) -> DataFrame:
@@ -57,7 +58,7 @@ def station_list(stations: DataFrame) -> DataFrame:
 
 
 def top_station_name(m: DataFrame, stations: DataFrame) -> DataFrame:
-    return F.broadcast(top_station(m).select("station")).join(stations.select("station", "name"), "station")
+    return stations.where(F.col("station") == top_station(m).select("station").scalar()).select("station", "name")
 
 
 def date_values(m: DataFrame, value: str = "prcp", name: str = "precipitation") -> DataFrame:

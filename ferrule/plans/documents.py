@@ -30,6 +30,7 @@ from ferrule.functions.rules import Rule, first_match
 from ferrule.functions.semantics import (braced, ci_in, ci_not_in, date_lit, day_diff, in_or_null, month_diff,
                                          recode, strip_zeros, ts_lit, SENTINEL_NEVER_DATE)
 from ferrule.plans.letters import GC, LEDGER, NON_GC
+from ferrule.plans import JobResult
 from ferrule.sources.io import materialize
 
 # ---- fixed values of the report ---------------------------------------------------------------
@@ -167,7 +168,7 @@ def latest_valid(b: DataFrame, m: DataFrame, p: DocumentParams, ordered: bool =
 
 
 def run(tables: dict[str, DataFrame], params: DocumentParams | None = None, ordered: bool = True,
-        materialized: bool = True) -> dict[str, DataFrame]:
+        materialized: bool = True) -> JobResult:
     """tables: loan_status, workable, exceptions, assignment, exception_total, roster,
     invalid_documents, document_repository.
 
@@ -175,10 +176,20 @@ def run(tables: dict[str, DataFrame], params: DocumentParams | None = None, orde
     checkpointed once (hash-partitioned by loan number / exception id).
     """
     p = params or DocumentParams()
-    b = base(tables, p)
-    if materialized:
-        b = materialize(b, "loan_number")
-    m = matches(b, tables, p)
-    if materialized:
-        m = materialize(m, "exception_id")
-    return {"base": b, "matches": document_match(m), "latest_valid": latest_valid(b, m, p, ordered)}
+    r: JobResult
+
+    def b():
+        d = base(tables, p)
+        return materialize(d, "loan_number") if materialized else d
+
+    def m():
+        d = matches(r["base"], tables, p)
+        return materialize(d, "exception_id") if materialized else d
+
+    r = JobResult({
+        "base": b,
+        "_matches": m,
+        "matches": lambda: document_match(r["_matches"]),
+        "latest_valid": lambda: latest_valid(r["base"], r["_matches"], p, ordered),
+    })
+    return r

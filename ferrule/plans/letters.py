@@ -26,6 +26,7 @@ from ferrule.functions.rowwise import by_kind, row_count, row_max
 from ferrule.functions.rules import Rule, first_match, rule_hits
 from ferrule.functions.semantics import (address_class, ci_eq, ci_in, ci_not_in, date_lit, day_diff,
                                          in_or_null, month_diff, real, ts_lit, us_date, zip4)
+from ferrule.plans import JobResult
 from ferrule.sources.io import materialize
 from ferrule.sources.schemas import LETTER_DATE_COLUMNS
 
@@ -275,23 +276,39 @@ def _template(col: str, flag: Column, doc: Column | None) -> Column:
     return e
 
 
+TEMPLATE_COLUMNS = ["hoa_template", "occ_template", "dc_template", "trust_template", "por_template"]
+_NO_TEMPLATE = "\u0000"          # stands for NULL inside a set (collect_set drops NULLs)
+
+
 def letter_templates(pop: DataFrame, hoa: DataFrame, occ: DataFrame, nts: DataFrame) -> DataFrame:
     """Distinct template combinations per loan.
 
-    Each kind contributes the *set* of its template values for the loan (at most three), so the
-    result is the distinct form of the per-loan product without materialising that product.
+    Every flagged row contributes (loan, kind, template); one grouping by loan collects the *set*
+    of template values of each kind (at most three), and the sets are expanded into their product
+    (at most 3*3*2*2*3 rows per loan).  That is the distinct form of the per-loan row product,
+    without materialising the product of the loan's rows.
     """
-    parts = {
-        "hoa_template": hoa.select("loan_number", _template("hoa_template", F.col("send_flag"), None).alias("hoa_template")),
-        "occ_template": occ.select("loan_number", _template("occ_template", F.col("send_flag"), None).alias("occ_template")),
-    }
+    flag = F.col("send_flag")
+    parts = [hoa.select("loan_number", F.lit("hoa_template").alias("kind"),
+                        _template("hoa_template", flag, None).alias("tpl")),
+             occ.select("loan_number", F.lit("occ_template").alias("kind"),
+                        _template("occ_template", flag, None).alias("tpl"))]
     for col, doc in TEMPLATE_DOCUMENT.items():
-        parts[col] = nts.where(ci_in("document", [doc])).select(
-            "loan_number", _template(col, F.col("send_flag"), F.col("document")).alias(col))
-    out = pop.select("loan_number").distinct()
-    for col in ["hoa_template", "occ_template", "dc_template", "trust_template", "por_template"]:
-        out = out.join(parts[col].distinct(), "loan_number", "left")
-    return out
+        parts.append(nts.where(ci_in("document", [doc]))
+                     .select("loan_number", F.lit(col).alias("kind"), _template(col, flag, F.col("document")).alias("tpl")))
+    rows = parts[0]
+    for p_ in parts[1:]:
+        rows = rows.unionByName(p_)
+    tpl = F.coalesce(F.col("tpl"), F.lit(_NO_TEMPLATE))
+    sets = rows.groupBy("loan_number").agg(
+        *[F.collect_set(F.when(F.col("kind") == k, tpl)).alias(k) for k in TEMPLATE_COLUMNS])
+    out = pop.select("loan_number").distinct().join(sets, "loan_number", "left")
+    for k in TEMPLATE_COLUMNS:
+        # a kind without rows (or a loan without any) is one NULL template
+        arr = F.when(F.size(F.coalesce(F.col(k), F.array())) == 0, F.array(F.lit(_NO_TEMPLATE))).otherwise(F.col(k))
+        out = out.withColumn(k, F.explode(arr))
+    return out.select("loan_number", *[F.when(F.col(k) == _NO_TEMPLATE, F.lit(None).cast("string"))
+                                       .otherwise(F.col(k)).alias(k) for k in TEMPLATE_COLUMNS])
 
 
 def manifest(final: DataFrame, master: DataFrame, p: LetterParams, ordered: bool = True) -> DataFrame:
@@ -321,22 +338,34 @@ def rule_coverage(pop: DataFrame, exc: DataFrame, p: LetterParams) -> DataFrame:
 
 
 def run(tables: dict[str, DataFrame], params: LetterParams | None = None, ordered: bool = True,
-        materialized: bool = True) -> dict[str, DataFrame]:
+        materialized: bool = True) -> JobResult:
     """tables: loan_status, hud_status, workable, loan_master, exceptions.
 
-    Returns population, exceptions, hoa, occ, nts, final, templates, manifest.  The population
+    Returns population, exceptions, hoa, occ, nts, final, templates, manifest, rule_hits (each
+    built on first access, see ``JobResult``).  The population
     and the scrubbed exceptions are read by every later step; with ``materialized`` they are
     checkpointed once, hash-partitioned by loan number (the key of all joins that follow them).
     """
     p = params or LetterParams()
-    pop = population(tables, p)
-    if materialized:
-        pop = materialize(pop, "loan_number")
-    exc = exception_scrub(tables, pop, p)
-    if materialized:
-        exc = materialize(exc, "loan_number")
-    hoa, occ, nts = hoa_frame(pop, exc, p), occ_frame(pop, exc, p), nts_frame(pop, exc, p)
-    final = final_flags(pop, exc, hoa, occ, nts)
-    return {"population": pop, "exceptions": exc, "hoa": hoa, "occ": occ, "nts": nts, "final": final,
-            "templates": letter_templates(pop, hoa, occ, nts),
-            "manifest": manifest(final, tables["loan_master"], p, ordered)}
+    r: JobResult
+
+    def pop():
+        d = population(tables, p)
+        return materialize(d, "loan_number") if materialized else d
+
+    def exc():
+        d = exception_scrub(tables, r["population"], p)
+        return materialize(d, "loan_number") if materialized else d
+
+    r = JobResult({
+        "population": pop,
+        "exceptions": exc,
+        "hoa": lambda: hoa_frame(r["population"], r["exceptions"], p),
+        "occ": lambda: occ_frame(r["population"], r["exceptions"], p),
+        "nts": lambda: nts_frame(r["population"], r["exceptions"], p),
+        "final": lambda: final_flags(r["population"], r["exceptions"], r["hoa"], r["occ"], r["nts"]),
+        "templates": lambda: letter_templates(r["population"], r["hoa"], r["occ"], r["nts"]),
+        "manifest": lambda: manifest(r["final"], tables["loan_master"], p, ordered),
+        "rule_hits": lambda: rule_coverage(r["population"], r["exceptions"], p),
+    })
+    return r

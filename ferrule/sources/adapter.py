@@ -30,11 +30,16 @@ DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "
 
 
 class Driver:
-    """Lazy access to the driver Parquet tables of one scale factor directory."""
+    """Lazy access to the driver Parquet tables of one scale factor directory.
+
+    Table and view DataFrames are plans, not data: they are built once per session and directory
+    (file listing, footer reads and expression construction happen on the driver) and reused.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
         self._t: dict[str, DataFrame] = {}
+        self._views: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._t:
@@ -42,6 +47,26 @@ class Driver:
         return self._t[name]
 
 
+_DRIVERS: dict[tuple, Driver] = {}
+
+
+def driver(spark: SparkSession, root: str) -> Driver:
+    key = (spark.sparkContext.applicationId, root)
+    if key not in _DRIVERS:
+        _DRIVERS[key] = Driver(spark, root)
+    return _DRIVERS[key]
+
+
+def _view(fn):
+    """Build a role view once per Driver."""
+    def wrapper(d: Driver) -> DataFrame:
+        if fn.__name__ not in d._views:
+            d._views[fn.__name__] = fn(d)
+        return d._views[fn.__name__]
+    wrapper.__name__, wrapper.__doc__ = fn.__name__, fn.__doc__
+    return wrapper
+
+
 def _s(c) -> F.Column:
     return F.col(c).cast("string")
 
@@ -61,6 +86,7 @@ def _mca(key: str) -> F.Column:
 
 # ---- W1/W2 loan roles ---------------------------------------------------------------------------
 
+@_view
 def loan_status(d: Driver) -> DataFrame:
     c = d["customer"]
     seg = (F.when(F.col("c_mktsegment") == "AUTOMOBILE", "Grp 1 NSM Balance Sheet")
@@ -78,6 +104,7 @@ def loan_status(d: Driver) -> DataFrame:
     )
 
 
+@_view
 def hud_status(d: Driver) -> DataFrame:
     c = d["customer"]
     return c.select(
@@ -87,6 +114,7 @@ def hud_status(d: Driver) -> DataFrame:
     )
 
 
+@_view
 def workable(d: Driver) -> DataFrame:
     c = d["customer"]
     return c.select(
@@ -96,6 +124,7 @@ def workable(d: Driver) -> DataFrame:
     )
 
 
+@_view
 def loan_master(d: Driver) -> DataFrame:
     c = d["customer"]
     k = F.col("c_custkey")
@@ -128,6 +157,7 @@ def loan_master(d: Driver) -> DataFrame:
     )
 
 
+@_view
 def letter_dates(d: Driver) -> DataFrame:
     """Letter/processing dates per order: one grouped pass over lineitem (partial aggregation)."""
     li = d["lineitem"]
@@ -150,6 +180,7 @@ def letter_dates(d: Driver) -> DataFrame:
     )
 
 
+@_view
 def exceptions(d: Driver) -> DataFrame:
     o = d["orders"]
     k = F.col("o_orderkey")
@@ -188,6 +219,7 @@ def assignment(d: Driver) -> DataFrame:
     )
 
 
+@_view
 def exception_total(d: Driver) -> DataFrame:
     o = d["orders"]
     open_ = F.col("o_orderstatus") != "F"
@@ -199,6 +231,7 @@ def exception_total(d: Driver) -> DataFrame:
     ).select(_s("o_custkey").alias("loan_number"), "open_exceptions", "open_curative", "open_hacg")
 
 
+@_view
 def roster(d: Driver) -> DataFrame:
     n = d["nation"]
     return n.select(F.concat(F.lit("Agent "), _s("n_nationkey")).alias("agnt_nm"),
@@ -209,12 +242,14 @@ def roster(d: Driver) -> DataFrame:
 DOC_TYPES = ["OCCERT", "Trust", "HOADOCS", "C.DEATH", "REPAIRS", "REPAIRINS", "OTHER"]
 
 
+@_view
 def _documents_base(d: Driver) -> DataFrame:
     li, o = d["lineitem"], d["orders"]
     j = li.join(o.select("o_orderkey", "o_custkey"), li.l_orderkey == o.o_orderkey)
     return j
 
 
+@_view
 def document_repository(d: Driver) -> DataFrame:
     j = _documents_base(d)
     code = None
@@ -229,6 +264,7 @@ def document_repository(d: Driver) -> DataFrame:
     )
 
 
+@_view
 def invalid_documents(d: Driver) -> DataFrame:
     j = _documents_base(d).where((F.col("l_returnflag") == "R") & (F.col("l_discount") == 0))
     return j.select(_s("o_custkey").alias("loan_nbr"),
@@ -237,6 +273,7 @@ def invalid_documents(d: Driver) -> DataFrame:
 
 # ---- W3 bonus roles -----------------------------------------------------------------------------
 
+@_view
 def status_snapshot(d: Driver) -> DataFrame:
     c = d["customer"]
     m = F.col("c_custkey") % 4
@@ -245,11 +282,13 @@ def status_snapshot(d: Driver) -> DataFrame:
                     F.concat(F.lit("Status "), F.col("c_mktsegment")).alias("status_description"))
 
 
+@_view
 def submissions(d: Driver) -> DataFrame:
     o = d["orders"]
     return o.select(_s("o_custkey").alias("loan_nbr"), F.col("o_orderdate").alias("dt_sbmt_to_hud"))
 
 
+@_view
 def denials(d: Driver) -> DataFrame:
     o = d["orders"]
     return o.select(_s("o_custkey").alias("loan_nbr"),
@@ -258,6 +297,7 @@ def denials(d: Driver) -> DataFrame:
 
 # ---- W4 slow-mover roles ------------------------------------------------------------------------
 
+@_view
 def exception_history(d: Driver) -> DataFrame:
     e = d["events"]
     x = F.col("event_id") % 3000
@@ -274,6 +314,7 @@ def exception_history(d: Driver) -> DataFrame:
     )
 
 
+@_view
 def loan_history(d: Driver) -> DataFrame:
     """Loan master history: one row per order, effective 24 years after the order date."""
     o = d["orders"]
@@ -286,12 +327,14 @@ def loan_history(d: Driver) -> DataFrame:
     )
 
 
+@_view
 def business_dates(d: Driver) -> DataFrame:
     return d["orders"].select(F.col("o_orderdate").alias("bus_proc_dt"))
 
 
 # ---- W5 HR roles --------------------------------------------------------------------------------
 
+@_view
 def employees(d: Driver) -> DataFrame:
     c, p, o = d["customer"], d["part"], d["orders"]
     hire = o.groupBy("o_custkey").agg(F.min("o_orderdate").cast("date").alias("hire_date"))
@@ -311,28 +354,33 @@ def _dept_no(c) -> F.Column:
     return F.concat(F.lit("d"), F.lpad(F.col(c).cast("string"), 3, "0"))
 
 
+@_view
 def departments(d: Driver) -> DataFrame:
     return d["nation"].select(_dept_no("n_nationkey").alias("dept_no"), F.col("n_name").alias("dept_name"))
 
 
+@_view
 def dept_emp(d: Driver) -> DataFrame:
     return d["customer"].select(F.col("c_custkey").alias("id"), F.col("c_custkey").alias("emp_no"),
                                 _dept_no("c_nationkey").alias("dept_no"),
                                 F.lit(dt.date(1990, 1, 1)).alias("from_date"), F.lit(dt.date(9999, 1, 1)).alias("to_date"))
 
 
+@_view
 def salaries(d: Driver) -> DataFrame:
     return d["orders"].select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("emp_no"),
                               F.col("o_totalprice").alias("salary"), F.col("o_orderdate").cast("date").alias("from_date"),
                               F.lit(dt.date(9999, 1, 1)).alias("to_date"))
 
 
+@_view
 def titles(d: Driver) -> DataFrame:
     return d["customer"].select(F.col("c_custkey").alias("id"), F.col("c_custkey").alias("emp_no"),
                                 F.col("c_mktsegment").alias("title"), F.lit(dt.date(1990, 1, 1)).alias("from_date"),
                                 F.lit(dt.date(9999, 1, 1)).alias("to_date"))
 
 
+@_view
 def dept_manager(d: Driver) -> DataFrame:
     s = d["supplier"]
     top = s.groupBy("s_nationkey").agg(F.max("s_suppkey").alias("top_key"))
@@ -345,6 +393,7 @@ def dept_manager(d: Driver) -> DataFrame:
 
 # ---- W6 climate roles ---------------------------------------------------------------------------
 
+@_view
 def station(d: Driver) -> DataFrame:
     n = d["nation"]
     return n.select(F.col("n_name").alias("station"),
@@ -354,6 +403,7 @@ def station(d: Driver) -> DataFrame:
                     (F.col("n_nationkey").cast("double") * F.lit(12.5)).alias("elevation"))
 
 
+@_view
 def measurement(d: Driver) -> DataFrame:
     e, n = d["events"], d["nation"]
     j = e.join(n.select("n_nationkey", "n_name"), (e.user_id % 25) == n.n_nationkey)
@@ -363,6 +413,7 @@ def measurement(d: Driver) -> DataFrame:
                     F.col("value").alias("tobs"))
 
 
+@_view
 def price_series(d: Driver) -> DataFrame:
     """Multi-year daily series (1995-2001): order date and total price as the observation."""
     return d["orders"].select(F.col("o_orderdate").cast("date").alias("date"), F.col("o_totalprice").alias("tobs"))

@@ -39,7 +39,7 @@ def test_slow_movers_eom_day_close(spark):
 
 
 def test_document_match_on_exception_is_a_subset(spark):
-    d = A.Driver(spark, SF01)
+    d = A.driver(spark, SF01)
     t = {"loan_status": A.loan_status(d), "workable": A.workable(d), "exceptions": A.exceptions(d),
          "assignment": A.assignment(d), "exception_total": A.exception_total(d), "roster": A.roster(d),
          "invalid_documents": A.invalid_documents(d), "document_repository": A.document_repository(d)}
@@ -51,7 +51,7 @@ def test_document_match_on_exception_is_a_subset(spark):
 
 
 def test_name_frequency_ascending_as_coded(spark):
-    d = A.Driver(spark, SF01)
+    d = A.driver(spark, SF01)
     t = {"employees": A.employees(d)}
     asc = [r.count_of_last_name for r in EMP.name_frequency(t, descending=False).collect()]
     desc = [r.count_of_last_name for r in EMP.name_frequency(t).collect()]
