@@ -11,9 +11,9 @@ so here they are carried as counts, which is exact:
 * ``n_match`` = invalid ids equal to the document's guid (grouped by (loan, guid), equi-joined)
 * a matched document stands for ``n_match`` 'Invalid' rows and ``max(n_ids - n_match, 0)`` 'Valid'
   rows (1 'Valid' row when ``n_ids`` = 0).
-Document ⋈ exception matching is an equi-join on (loan, document code): the OR of the source's
-predicate is split into one join per code branch (the two codes of an exception never coincide),
-so no branch compares across the join.  Output rows the report repeats are re-expanded with
+Document ⋈ exception matching is one equi-join on (loan, document code): each exception offers
+its two codes (exploded), the second with the recency condition, so the OR of the source's
+predicate never becomes a filter above a loan-only join.  Output rows the report repeats are re-expanded with
 ``explode(sequence(1, n))`` at the very end, so results stay whole.
 """
 
@@ -107,29 +107,40 @@ def min_letter_date(exceptions: DataFrame) -> DataFrame:
 
 
 def matches(b: DataFrame, t: dict[str, DataFrame], p: DocumentParams) -> DataFrame:
-    """Base rows ⋈ repository documents with the counts that stand for the invalid-id fan-out."""
+    """Base rows ⋈ repository documents with the counts that stand for the invalid-id fan-out.
+
+    One row per (base row, matching document): loan_number, exception_id, document, obj_id,
+    original_doc_nm, cre_dt, n_valid, n_invalid.
+    """
     docs = t["document_repository"].select(
         strip_zeros("loan_key").alias("loan_number"), "doc_type_cd", "original_doc_nm", "obj_id", "cre_dt")
     recent = F.abs(month_diff(date_lit(p.run_ts.date()), F.col("cre_dt").cast("date"))) <= p.recency_months
-    # OR of two code branches -> two equi-joins on (loan, code); an exception's two codes always differ
-    b1 = b.withColumn("_code", F.col("excp_fn_code"))
-    b2 = b.withColumn("_code", F.coalesce(F.col("por_fn_code_2"), F.lit(NO_SECOND_CODE)))
-    m1 = b1.join(docs, (b1.loan_number == docs.loan_number) & (b1._code == docs.doc_type_cd)).drop(docs.loan_number)
-    m2 = (b2.join(docs, (b2.loan_number == docs.loan_number) & (b2._code == docs.doc_type_cd)).drop(docs.loan_number)
-          .where(recent))
-    m = m1.unionByName(m2).drop("_code")
-    ids = t["invalid_documents"]
-    per_loan = ids.groupBy(F.col("loan_nbr").alias("loan_number")).agg(F.count(F.lit(1)).alias("n_ids"))
-    per_guid = (ids.where(F.col("guid").isNotNull())
-                .groupBy(F.col("loan_nbr").alias("loan_number"), F.col("guid").alias("_guid"))
-                .agg(F.count(F.lit(1)).alias("n_match")))
+    # the OR of the two code branches becomes one equi-join on (loan, code): every base row offers
+    # its two codes (the second one with the recency condition); the two codes of a row always
+    # differ, so a document matches through at most one of them
+    offers = F.explode(F.array(
+        F.struct(F.col("excp_fn_code").alias("code"), F.lit(False).alias("needs_recent")),
+        F.struct(F.coalesce(F.col("por_fn_code_2"), F.lit(NO_SECOND_CODE)).alias("code"),
+                 F.lit(True).alias("needs_recent"))))
+    bc = b.select("loan_number", "exception_id", "document", offers.alias("o")) \
+        .select("loan_number", "exception_id", "document", F.col("o.code").alias("doc_type_cd"),
+                F.col("o.needs_recent").alias("_needs_recent"))
+    m = (bc.join(docs, ["loan_number", "doc_type_cd"])
+         .where(~F.col("_needs_recent") | recent).drop("_needs_recent"))
+    # invalid ids: one grouping by (loan, guid) gives both the ids per loan and the ids per guid
+    ids = t["invalid_documents"].groupBy(F.col("loan_nbr").alias("loan_number"), F.col("guid").alias("_guid")) \
+        .agg(F.count(F.lit(1)).alias("_n"))
+    per_loan = ids.groupBy("loan_number").agg(F.sum("_n").alias("n_ids"))
+    per_guid = ids.where(F.col("_guid").isNotNull()).select("loan_number", "_guid", F.col("_n").alias("n_match"))
     m = (m.join(per_loan, "loan_number", "left")
          .withColumn("_guid", braced("obj_id"))
          .join(per_guid, ["loan_number", "_guid"], "left").drop("_guid"))
     n_ids = F.coalesce(F.col("n_ids"), F.lit(0))
     n_match = F.coalesce(F.col("n_match"), F.lit(0))
-    return m.select("*", F.when(n_ids == 0, F.lit(1)).otherwise(n_ids - n_match).alias("n_valid"),
-                    n_match.alias("n_invalid")).drop("n_ids", "n_match")
+    # only what the later steps read; the base columns come back through the exception id
+    return m.select("loan_number", "exception_id", "document", "obj_id", "original_doc_nm", "cre_dt",
+                    F.when(n_ids == 0, F.lit(1)).otherwise(n_ids - n_match).alias("n_valid"),
+                    n_match.alias("n_invalid"))
 
 
 def document_match(m: DataFrame) -> DataFrame:
