@@ -46,3 +46,17 @@ def test_quality_checks(spark):
     assert sorted(r.v for r in fk_orphans(child, "k", parent).collect()) == ["b", "d"]
     assert [(r.k, r.n) for r in pk_violations(child, "k").collect()] == [(3, 2)]
     assert null_counts(child).collect()[0].asDict() == {"k": 1, "v": 0}
+
+
+def test_read_table_qualified(spark):
+    from ferrule.sources.io import read_table
+    spark.range(3).createOrReplaceGlobalTempView("ferrule_ids")
+    assert read_table(spark, "global_temp.ferrule_ids").count() == 3
+
+
+def test_write_json_rows_keeps_nulls(spark, tmp_path):
+    from ferrule.sources.io import write_json_rows
+    df = spark.createDataFrame([("S1", None)], "station string, elevation double")
+    write_json_rows(df, str(tmp_path / "out"))
+    text = "".join(p.read_text() for p in (tmp_path / "out").glob("part-*"))
+    assert json.loads(text.strip()) == {"station": "S1", "elevation": None}
