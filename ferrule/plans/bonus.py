@@ -45,5 +45,7 @@ def run(tables: dict[str, DataFrame], start=DEFAULT_START, end=DEFAULT_END, orde
                    F.col("denial_dt").cast("date").alias("denial_dt"),
                    first_match(final_status_rules(), "Pending").alias("final_status")))
     if ordered:
-        out = out.orderBy(F.col("final_status"), F.col("status_code").desc(), F.col("max_submitted").desc())
+        # two status values: the loan number keeps the range partitioning of the sort balanced
+        out = out.orderBy(F.col("final_status"), F.col("status_code").desc(), F.col("max_submitted").desc(),
+                          F.col("loan_nbr"))
     return out

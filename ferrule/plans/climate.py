@@ -26,7 +26,7 @@ def daily_mean(m: DataFrame, start, end) -> DataFrame:
 def precipitation_rows(m: DataFrame, start, end, ordered: bool = True) -> DataFrame:
     """The text version of the one-year query: plain (date, prcp) rows in [start, end], by date."""
     out = m.where(F.col("date").between(date_lit(start), date_lit(end))).select("date", F.col("prcp").alias("precipitation"))
-    return out.orderBy("date") if ordered else out
+    return out.orderBy("date", "precipitation") if ordered else out
 
 
 def station_count(stations: DataFrame) -> DataFrame:

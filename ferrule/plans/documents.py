@@ -174,7 +174,7 @@ def latest_valid(b: DataFrame, m: DataFrame, p: DocumentParams, ordered: bool =
                     F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))).alias("_copy"))
            .drop("_copy"))
     if ordered:
-        out = out.orderBy(F.col("document"), F.col("mca").desc())
+        out = out.orderBy(F.col("document"), F.col("mca").desc(), "loan_number", "guid")
     return out
 
 
@@ -184,18 +184,20 @@ def run(tables: dict[str, DataFrame], params: DocumentParams | None = None, orde
     invalid_documents, document_repository.
 
     The base and the matches are each read by several later steps; with ``materialized`` they are
-    checkpointed once (hash-partitioned by loan number / exception id).
+    checkpointed once.
     """
     p = params or DocumentParams()
     r: JobResult
 
+    # checkpointed without a forced partitioning: a loan or exception holding a large share of
+    # the rows must stay splittable by AQE in the joins and aggregations that follow
     def b():
         d = base(tables, p)
-        return materialize(d, "loan_number") if materialized else d
+        return materialize(d) if materialized else d
 
     def m():
         d = matches(r["base"], tables, p)
-        return materialize(d, "exception_id") if materialized else d
+        return materialize(d) if materialized else d
 
     r = JobResult({
         "base": b,

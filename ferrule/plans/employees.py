@@ -4,7 +4,8 @@ histogram and average salary by title.
 Joins are plain equi-joins on ``emp_no`` / ``dept_no``; ``departments`` is a small dimension that
 AQE broadcasts from its runtime size.  Filters use forms that reach the Parquet scan: a hire-year
 filter is a half-open date range (not ``year(d) = y``), a first-letter filter is ``startswith``.
-Sorts are the report order and run last.
+Sorts are the report order and run last; each ends in a unique key, so a dominant leading value
+cannot pin the range partitioning of the sort to one task.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ def hired_in_year(t: dict[str, DataFrame], year: int = 1986, ordered: bool = Tru
     d = F.col("hire_date")
     out = (t["employees"].where((d >= F.lit(dt.date(year, 1, 1))) & (d < F.lit(dt.date(year + 1, 1, 1))))
            .select("emp_no", "last_name", "first_name", "hire_date"))
-    return out.orderBy("hire_date") if ordered else out
+    return out.orderBy("hire_date", "emp_no") if ordered else out
 
 
 def managers(t: dict[str, DataFrame], ordered: bool = True) -> DataFrame:
@@ -42,7 +43,7 @@ def managers(t: dict[str, DataFrame], ordered: bool = True) -> DataFrame:
                    F.col("hire_date").alias("start_date"),
                    sentinel_date_text("to_date", label=STILL_EMPLOYED).alias("end_date"), "to_date")
     if ordered:
-        out = out.orderBy(F.col("to_date").desc())
+        out = out.orderBy(F.col("to_date").desc(), "dept_no", "emp_no")
     return out.drop("to_date")
 
 
@@ -65,7 +66,7 @@ def name_prefix(t: dict[str, DataFrame], first_name: str = "Hercules", last_pref
                 ordered: bool = True) -> DataFrame:
     """H5: exact first name and last-name prefix (case-sensitive)."""
     out = t["employees"].where((F.col("first_name") == first_name) & F.col("last_name").startswith(last_prefix))
-    return out.orderBy("last_name") if ordered else out
+    return out.orderBy("last_name", "emp_no") if ordered else out
 
 
 def name_frequency(t: dict[str, DataFrame], descending: bool = True) -> DataFrame:

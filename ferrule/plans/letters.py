@@ -326,7 +326,9 @@ def manifest(final: DataFrame, master: DataFrame, p: LetterParams, ordered: bool
         F.col("mca_percent").alias("mca_percent"),
     ).distinct()
     if ordered:
-        out = out.orderBy("document", "po_box_flag")
+        # document and address class have a handful of values: the exception id lets the range
+        # partitioner split a dominant document across tasks
+        out = out.orderBy("document", "po_box_flag", "exception_id")
     return out
 
 
@@ -344,7 +346,8 @@ def run(tables: dict[str, DataFrame], params: LetterParams | None = None, ordere
     Returns population, exceptions, hoa, occ, nts, final, templates, manifest, rule_hits (each
     built on first access, see ``JobResult``).  The population
     and the scrubbed exceptions are read by every later step; with ``materialized`` they are
-    checkpointed once, hash-partitioned by loan number (the key of all joins that follow them).
+    checkpointed once.  The population (one row per loan) is hash-partitioned by loan number, the
+    key of the joins that follow; the exceptions are not (a hot loan would become one task).
     """
     p = params or LetterParams()
     r: JobResult
@@ -354,8 +357,10 @@ def run(tables: dict[str, DataFrame], params: LetterParams | None = None, ordere
         return materialize(d, "loan_number") if materialized else d
 
     def exc():
+        # not hash-partitioned on purpose: one loan may own a large share of the exceptions, and
+        # a forced hash partitioning cannot be split; the joins that follow get AQE skew handling
         d = exception_scrub(tables, r["population"], p)
-        return materialize(d, "loan_number") if materialized else d
+        return materialize(d) if materialized else d
 
     r = JobResult({
         "population": pop,
