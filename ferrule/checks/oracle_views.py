@@ -168,13 +168,13 @@ VIEWS["v_dept_manager"] = """SELECT 'd' || lpad(CAST(s.s_nationkey AS VARCHAR),
 FROM supplier s LEFT JOIN (SELECT s_nationkey, max(s_suppkey) AS top_key FROM supplier GROUP BY s_nationkey) t
   ON s.s_nationkey = t.s_nationkey"""
 
-VIEWS["v_station"] = """SELECT n_name AS station, n_name || ', REGION ' || CAST(n_regionkey AS VARCHAR) AS name,
- 20.0 + CAST(n_nationkey AS DOUBLE) / 10.0 AS latitude, -150.0 - CAST(n_regionkey AS DOUBLE) AS longitude,
- CAST(n_nationkey AS DOUBLE) * 12.5 AS elevation FROM nation"""
+VIEWS["v_station"] = """SELECT s_name AS station, s_name || ', NATION ' || CAST(s_nationkey AS VARCHAR) AS name,
+ 20.0 + CAST(s_nationkey AS DOUBLE) / 10.0 AS latitude, -150.0 - CAST(s_suppkey % 10 AS DOUBLE) / 10.0 AS longitude,
+ s_acctbal AS elevation FROM supplier"""
 
-VIEWS["v_measurement"] = """SELECT event_id AS id, n_name AS station, CAST(ts AS DATE) AS date,
+VIEWS["v_measurement"] = """SELECT event_id AS id, s_name AS station, CAST(ts AS DATE) AS date,
  CASE WHEN event_type = 'error' THEN CAST(NULL AS DOUBLE) ELSE value END AS prcp, value AS tobs
-FROM events JOIN nation ON user_id % 25 = n_nationkey"""
+FROM events JOIN supplier ON user_id % (SELECT count(*) FROM supplier) = s_suppkey"""
 
 VIEWS["v_price_series"] = "SELECT CAST(o_orderdate AS DATE) AS date, o_totalprice AS tobs FROM orders"
 

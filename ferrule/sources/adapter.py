@@ -395,19 +395,23 @@ def dept_manager(d: Driver) -> DataFrame:
 
 @_view
 def station(d: Driver) -> DataFrame:
-    n = d["nation"]
-    return n.select(F.col("n_name").alias("station"),
-                    F.concat(F.col("n_name"), F.lit(", REGION "), _s("n_regionkey")).alias("name"),
-                    (F.lit(20.0) + F.col("n_nationkey").cast("double") / F.lit(10.0)).alias("latitude"),
-                    (F.lit(-150.0) - F.col("n_regionkey").cast("double")).alias("longitude"),
-                    (F.col("n_nationkey").cast("double") * F.lit(12.5)).alias("elevation"))
+    """Stations are suppliers (the station list grows with the scale factor)."""
+    s = d["supplier"]
+    return s.select(F.col("s_name").alias("station"),
+                    F.concat(F.col("s_name"), F.lit(", NATION "), _s("s_nationkey")).alias("name"),
+                    (F.lit(20.0) + F.col("s_nationkey").cast("double") / F.lit(10.0)).alias("latitude"),
+                    (F.lit(-150.0) - (F.col("s_suppkey") % 10).cast("double") / F.lit(10.0)).alias("longitude"),
+                    F.col("s_acctbal").alias("elevation"))
 
 
 @_view
 def measurement(d: Driver) -> DataFrame:
-    e, n = d["events"], d["nation"]
-    j = e.join(n.select("n_nationkey", "n_name"), (e.user_id % 25) == n.n_nationkey)
-    return j.select(F.col("event_id").alias("id"), F.col("n_name").alias("station"),
+    """Observations are events; a user reports to station ``user_id % (number of stations)``."""
+    e, s = d["events"], d["supplier"]
+    n_stations = s.agg(F.count(F.lit(1))).scalar()
+    keyed = e.withColumn("_station_key", F.col("user_id") % n_stations)
+    j = keyed.join(s.select("s_suppkey", "s_name"), keyed._station_key == s.s_suppkey)
+    return j.select(F.col("event_id").alias("id"), F.col("s_name").alias("station"),
                     F.col("ts").cast("date").alias("date"),
                     F.when(F.col("event_type") == "error", F.lit(None).cast("double")).otherwise(F.col("value")).alias("prcp"),
                     F.col("value").alias("tobs"))
