@@ -46,6 +46,16 @@ def period_bounds(business_dates: DataFrame, as_of, date_col: str = "bus_proc_dt
     return eom.select(bom.alias("bom"), "eom", yyyymmdd(bom).alias("bom_int"), yyyymmdd(F.col("eom")).alias("eom_int"))
 
 
+def run_for_month(tables: dict[str, DataFrame], as_of, strict_year: bool = False,
+                  eom_inclusive: bool = False) -> DataFrame:
+    """The whole report for the month before ``as_of``: the bounds come from ``business_dates``
+    (bus_proc_dt) as scalar subqueries, so nothing is collected to the driver."""
+    bounds = period_bounds(tables["business_dates"], as_of, strict_year=strict_year)
+    bom = bounds.select("bom").scalar()
+    eom = bounds.select("eom").scalar()
+    return run(tables, bom, eom, eom_inclusive)
+
+
 def qualifying_history(history: DataFrame, eom) -> DataFrame:
     cond = (ci_in("doc_desc", DOCUMENTS) | ci_in("issu_desc", ISSUES)) & \
         (F.col("eff_dttm").cast("date") <= date_lit(eom))

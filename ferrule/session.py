@@ -17,6 +17,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # materialised intermediates (the reports' temp tables) are deleted once unreachable
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

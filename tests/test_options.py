@@ -56,3 +56,22 @@ def test_name_frequency_ascending_as_coded(spark):
     asc = [r.count_of_last_name for r in EMP.name_frequency(t, descending=False).collect()]
     desc = [r.count_of_last_name for r in EMP.name_frequency(t).collect()]
     assert asc == sorted(asc) and desc == sorted(desc, reverse=True)
+
+
+def test_slow_movers_month_from_business_dates(spark):
+    T = dt.datetime
+    hist = spark.createDataFrame([
+        (1, "10", "Loss Draft", "x", "Open", T(2024, 1, 5), T(2024, 1, 1)),
+        (1, "10", "Loss Draft", "x", "CLOSED", T(2024, 1, 20, 0), T(2024, 1, 1)),
+        (2, "10", "Loss Draft", "x", "Open", T(2024, 1, 25), T(2024, 1, 1)),
+        (3, "10", "Loss Draft", "x", "Open", T(2024, 2, 2), T(2024, 1, 1)),
+    ], "excp_id long, loan_nbr string, doc_desc string, issu_desc string, excp_sts_desc string, "
+       "eff_dttm timestamp_ntz, excp_rqst_dttm timestamp_ntz")
+    loans = spark.createDataFrame([("10", 1, 97.0, "Active", T(2023, 1, 1))],
+                                  "loan_nbr string, seq long, mca_percent double, loan_status string, eff_dttm timestamp_ntz")
+    bdates = spark.createDataFrame([(T(2024, 1, 2),), (T(2024, 1, 30),), (T(2024, 2, 1),)], "bus_proc_dt timestamp_ntz")
+    t = {"exception_history": hist, "loan_history": loans, "business_dates": bdates}
+    got = SM.run_for_month(t, dt.date(2024, 2, 15))
+    want = SM.run(t, dt.date(2024, 1, 1), dt.date(2024, 1, 30))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert sorted(r.excp_id for r in got.collect()) == [1, 2]
