@@ -8,8 +8,6 @@ from ferrule.checks.oracle_views import with_views
 
 BOM, EOM = "DATE '2024-01-10'", "DATE '2024-01-20'"
 CLOSED = up("RESOLVED", "CLOSED", "NOT VALID", "CLOSED WITH VENDOR", "INCURABLE")
-QUAL = (f"({ci('doc_desc')} IN ({up('Loss Draft')}) OR {ci('issu_desc')} IN ({up('Forced Placed Insurance', 'Not enough repays')}))"
-        f" AND CAST(eff_dttm AS DATE) <= {EOM}")
 
 
 def _snap(d):
@@ -17,7 +15,10 @@ def _snap(d):
             f"FROM v_loan_history WHERE CAST(eff_dttm AS DATE) <= {d}) WHERE rn = 1")
 
 
-SLOW = f"""SELECT DISTINCT a.loan_nbr, a.mca_percent AS eom_mca, a.loan_status AS eom_loan_status, bmca.mca_percent AS bom_mca,
+def slow_sql(BOM: str, EOM: str) -> str:
+    QUAL = (f"({ci('doc_desc')} IN ({up('Loss Draft')}) OR {ci('issu_desc')} IN ({up('Forced Placed Insurance', 'Not enough repays')}))"
+            f" AND CAST(eff_dttm AS DATE) <= {EOM}")
+    return f"""SELECT DISTINCT a.loan_nbr, a.mca_percent AS eom_mca, a.loan_status AS eom_loan_status, bmca.mca_percent AS bom_mca,
  e.excp_id, {BOM} AS month, coalesce(e.doc_desc, 'No Exception') AS doc_desc, e.issu_desc, e.excp_sts_desc, e.eff_dttm,
  coalesce(b.open_excp, e.excp_rqst_dttm) AS open_excp, c.close_excp
 FROM ({_snap(EOM)}) a
@@ -35,6 +36,12 @@ LEFT JOIN ({_snap(BOM)}) bmca ON a.loan_nbr = bmca.loan_nbr
 WHERE (e.eff_dttm = d.end_excp) AND ((c.close_excp BETWEEN CAST({BOM} AS TIMESTAMP) AND CAST({EOM} AS TIMESTAMP))
    OR (c.close_excp IS NULL AND {ci('e.excp_sts_desc')} NOT IN ({CLOSED})))"""
 
+
+SLOW = slow_sql(BOM, EOM)
+# month before 2024-02-15: first of January, and the last January processing date (any year)
+MONTH_BOM = "DATE '2024-01-01'"
+MONTH_EOM = "(SELECT CAST(max(bus_proc_dt) AS DATE) FROM v_event_dates WHERE month(bus_proc_dt) = 1)"
+
 ORACLE = {
     "period_bounds": with_views("""SELECT DATE '2001-08-01' AS bom, eom,
  CAST(strftime(DATE '2001-08-01', '%Y%m%d') AS INTEGER) AS bom_int, CAST(strftime(eom, '%Y%m%d') AS INTEGER) AS eom_int
@@ -46,4 +53,5 @@ JOIN (SELECT excp_id, max(eff_dttm) AS m FROM v_exception_history GROUP BY excp_
  o.mca_percent AS old_mca_percent, o.loan_status AS old_loan_status
 FROM ({_snap(EOM)}) n LEFT JOIN ({_snap(BOM)}) o ON n.loan_nbr = o.loan_nbr"""),
     "slow_movers": with_views(SLOW),
+    "slow_movers_month": with_views(slow_sql(MONTH_BOM, MONTH_EOM)),
 }

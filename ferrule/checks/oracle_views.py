@@ -143,6 +143,8 @@ FROM orders"""
 
 VIEWS["v_business_dates"] = "SELECT o_orderdate AS bus_proc_dt FROM orders"
 
+VIEWS["v_event_dates"] = "SELECT ts AS bus_proc_dt FROM events"
+
 VIEWS["v_employees"] = """SELECT c_custkey AS emp_no,
  CAST(h.hire_date - INTERVAL 300 MONTH AS DATE) AS birth_date,
  string_split(p_name, ' ')[1] AS first_name, string_split(p_name, ' ')[2] AS last_name,

@@ -153,6 +153,14 @@ def q_slow_movers(spark, sf_dir):
     return SM.run({"exception_history": A.exception_history(d), "loan_history": A.loan_history(d)}, SM_BOM, SM_EOM)
 
 
+@register("slow_movers_month")
+def q_slow_movers_month(spark, sf_dir):
+    """The report for the month before 2024-02-15, bounds derived from the processing dates."""
+    d = A.driver(spark, sf_dir)
+    return SM.run_for_month({"exception_history": A.exception_history(d), "loan_history": A.loan_history(d),
+                             "business_dates": A.event_dates(d)}, dt.date(2024, 2, 15))
+
+
 def _round(df: DataFrame, digits: dict[str, int]) -> DataFrame:
     """Presentation rounding of floating aggregates (summation order differs between engines)."""
     return df.select(*[F.round(c, digits[c]).alias(c) if c in digits else F.col(c) for c in df.columns])

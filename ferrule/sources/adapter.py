@@ -332,6 +332,12 @@ def business_dates(d: Driver) -> DataFrame:
     return d["orders"].select(F.col("o_orderdate").alias("bus_proc_dt"))
 
 
+@_view
+def event_dates(d: Driver) -> DataFrame:
+    """Processing dates of the exception history (the events' time stamps)."""
+    return d["events"].select(F.col("ts").alias("bus_proc_dt"))
+
+
 # ---- W5 HR roles --------------------------------------------------------------------------------
 
 @_view
