@@ -40,7 +40,29 @@ TOP = "(SELECT station FROM v_measurement GROUP BY station ORDER BY count(id) DE
 DAILY = ("SELECT date, round(avg(prcp), 4) AS precipitation FROM v_measurement "
          "WHERE date BETWEEN DATE '2024-01-05' AND DATE '2024-01-25' GROUP BY date")
 
+_MONEY_O = _MONEY.replace("s.salary", "o.o_totalprice")
+_POB = " OR ".join(f"upper(addr) LIKE '{p.upper()}%'" for p in ("PO Box", "P.O. Box", "P O Box", "P. O. BOX"))
+
 ORACLE = {
+    "sql_functions": f"""SELECT o.o_orderkey,
+ CAST(date_diff('day', CAST(o.o_orderdate AS DATE), DATE '2001-09-01') AS INTEGER) AS age_days,
+ CAST((2001 * 12 + 9) - (year(o.o_orderdate) * 12 + month(o.o_orderdate)) AS INTEGER) AS age_months,
+ CAST(strftime(o.o_orderdate, '%Y%m%d') AS INTEGER) AS order_int,
+ strftime(o.o_orderdate, '%m/%d/%Y') AS order_text,
+ CAST(CAST(o.o_orderdate AS DATE) - INTERVAL 12 MONTH AS DATE) AS year_before,
+ {_MONEY_O} AS price_text,
+ replace(ltrim(replace(lpad(CAST(o.o_custkey AS VARCHAR), 10, '0'), '0', ' ')), ' ', '0') AS loan_key,
+ '{{' || CAST(o.o_orderkey AS VARCHAR) || '}}' AS guid,
+ CASE WHEN length(rtrim(lpad(CAST(c.c_custkey AS VARCHAR), 9, '0'))) > 5
+      THEN substring(lpad(CAST(c.c_custkey AS VARCHAR), 9, '0'), 1, 5) || '-' || substring(lpad(CAST(c.c_custkey AS VARCHAR), 9, '0'), 6, 4)
+      ELSE lpad(CAST(c.c_custkey AS VARCHAR), 9, '0') END AS zip,
+ upper(rtrim(c.c_mktsegment)) AS segment_key,
+ CASE WHEN c.c_nationkey = 3 THEN 'PR Address'
+      WHEN c.c_custkey % 2 = 0 THEN 'PO BOX' ELSE 'Standard Address' END AS po_box_flag
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""",
+    "snapshot_sql": with_views("""SELECT loan_nbr, mca_percent, loan_status, eff_dttm FROM (
+ SELECT *, row_number() OVER (PARTITION BY loan_nbr ORDER BY eff_dttm DESC, seq DESC) AS rn
+ FROM v_loan_history WHERE CAST(eff_dttm AS DATE) <= DATE '2024-01-20') WHERE rn = 1"""),
     "emp_salary": with_views(f"""SELECT e.emp_no, e.last_name, e.first_name, e.gender, {_MONEY} AS salary
 FROM v_employees e JOIN v_salaries s ON e.emp_no = s.emp_no"""),
     "hired_in_year": with_views("""SELECT emp_no, last_name, first_name, hire_date FROM v_employees

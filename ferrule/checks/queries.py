@@ -356,3 +356,41 @@ def q_pk_violations(spark, sf_dir):
 def q_fk_orphans(spark, sf_dir):
     d = A.driver(spark, sf_dir)
     return Q.fk_orphans(d["lineitem"], "l_orderkey", d["orders"], "o_orderkey")
+
+
+# ---- SQL surface --------------------------------------------------------------------------------
+from ferrule.functions import sql as FSQL  # noqa: E402
+
+
+@register("sql_functions")
+def q_sql_functions(spark, sf_dir):
+    """The dialect helpers called from Spark SQL over whole orders ⋈ customer."""
+    d = A.driver(spark, sf_dir)
+    FSQL.register_functions(spark)
+    d["orders"].createOrReplaceTempView("ferrule_orders")
+    d["customer"].createOrReplaceTempView("ferrule_customer")
+    return spark.sql("""
+        SELECT o.o_orderkey,
+               day_diff(o.o_orderdate, TIMESTAMP_NTZ'2001-09-01 00:00:00') AS age_days,
+               month_diff(o.o_orderdate, TIMESTAMP_NTZ'2001-09-01 00:00:00') AS age_months,
+               yyyymmdd(CAST(o.o_orderdate AS DATE)) AS order_int,
+               us_date(CAST(o.o_orderdate AS DATE)) AS order_text,
+               same_day_last_year(CAST(o.o_orderdate AS DATE)) AS year_before,
+               money_text(o.o_totalprice) AS price_text,
+               strip_zeros(lpad(CAST(o.o_custkey AS STRING), 10, '0')) AS loan_key,
+               braced(CAST(o.o_orderkey AS STRING)) AS guid,
+               zip4(lpad(CAST(c.c_custkey AS STRING), 9, '0')) AS zip,
+               ci_key(c.c_mktsegment) AS segment_key,
+               address_class(CASE WHEN c.c_nationkey = 3 THEN 'PR' ELSE 'N' END,
+                             CASE WHEN c.c_custkey % 2 = 0 THEN 'P.O. Box 1' ELSE '1 Main St' END) AS po_box_flag
+        FROM ferrule_orders o JOIN ferrule_customer c ON o.o_custkey = c.c_custkey""")
+
+
+@register("snapshot_sql")
+def q_snapshot_sql(spark, sf_dir):
+    """Loan state as of a date through the SQL table function (one row per loan)."""
+    d = A.driver(spark, sf_dir)
+    A.loan_history(d).createOrReplaceTempView("ferrule_loan_history")
+    FSQL.register_snapshot(spark, "loan_snapshot", "ferrule_loan_history", "loan_nbr", "eff_dttm",
+                           ties=False, tie_break="seq")
+    return spark.sql("SELECT loan_nbr, mca_percent, loan_status, eff_dttm FROM loan_snapshot(DATE'2024-01-20')")
