@@ -60,9 +60,13 @@ class DocumentParams:
     recency_months: int = 10
     match_on: str = "loan"          # 'loan' = as written; 'exception' = only the exception's own documents
 
+    def __post_init__(self):
+        if self.as_of is None:          # one run, one clock reading
+            self.as_of = dt.datetime.now().replace(microsecond=0)
+
     @property
     def run_ts(self) -> dt.datetime:
-        a = self.as_of or dt.datetime.now()
+        a = self.as_of
         return a if isinstance(a, dt.datetime) else dt.datetime(a.year, a.month, a.day)
 
 

@@ -6,8 +6,9 @@ Physical shape.  Every step is keyed by loan number until the rule tables, then
 
 * population = loans ⋈ HUD status ⋈ workable ⋈ loan master, all on ``loan_number``; the HUD
   filter makes that join inner, so it is written inner and the filter reaches the scan;
-* exceptions are joined to the population once on ``loan_number``; the rule frames re-join the
-  population on the same key, so the exchange on ``loan_number`` is reused (no new shuffle);
+* the population and the scrubbed exceptions are materialised once (reliable checkpoints, like the
+  report's temp tables); the population keeps a hash partitioning on ``loan_number``, so the rule
+  frames that re-join it on that key shuffle only the exception side;
 * the three flag frames are joined back on ``exception_id`` (same key for all three joins);
 * the template report is built from per-loan *distinct* template values of each kind, so a loan
   with many exceptions of one kind cannot blow up into the product of its rows (see README).
@@ -76,9 +77,13 @@ class LetterParams:
     hoa_issues: tuple = HOA_ISSUES
     extra: dict = field(default_factory=dict)
 
+    def __post_init__(self):
+        if self.as_of is None:          # one run, one clock reading
+            self.as_of = dt.datetime.now().replace(microsecond=0)
+
     @property
     def run_ts(self) -> dt.datetime:
-        a = self.as_of or dt.datetime.now()
+        a = self.as_of
         return a if isinstance(a, dt.datetime) else dt.datetime(a.year, a.month, a.day)
 
     @property
