@@ -1,6 +1,5 @@
 import datetime as dt
 
-import pytest
 
 from conftest import SF001, SF01
 from ferrule.plans import letters as L

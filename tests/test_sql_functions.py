@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from ferrule.functions import semantics as S
 from ferrule.functions.sql import register_functions, register_snapshot
