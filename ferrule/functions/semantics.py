@@ -34,6 +34,8 @@ def date_lit(d) -> Column:
     """A DATE literal from a date, datetime or ISO string."""
     if isinstance(d, Column):
         return d.cast("date")
+    if d is None:
+        return F.lit(None).cast("date")
     if isinstance(d, _dt.datetime):
         d = d.date()
     if isinstance(d, str):

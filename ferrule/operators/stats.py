@@ -70,12 +70,13 @@ def histogram(df: DataFrame, c, bins: int = 12) -> DataFrame:
 
     Edges are ``lo + k*(hi-lo)/bins`` with the last edge exactly ``hi``; the last bin is closed on
     the right; when all values are equal the range is widened to ``[v-0.5, v+0.5]``.  Output:
-    (bin 1..bins, lower, upper, count).  The range comes from one aggregate used as a scalar
-    subquery; counting is a grouped count with map-side combine.
+    (bin 1..bins, lower, upper, count).  Plan: one aggregate gives the range (a scalar subquery,
+    referenced once and attached to the rows through a generator, so it runs once); one grouped
+    count with map-side combine gives the bins; the at most ``bins`` result rows get their edges
+    from a window over those rows.
     """
     vals = df.select(col_(c).cast("double").alias("x")).where(F.col("x").isNotNull())
     a, b = F.min("x"), F.max("x")
-    # one scalar subquery (a struct) carries the range: one pass for min/max, one for counting
     r = vals.select(F.struct(F.when(a == b, a - 0.5).otherwise(a).alias("lo"),
                              F.when(a == b, b + 0.5).otherwise(b).alias("hi")).alias("r")).scalar()
     nb = F.lit(float(bins))
@@ -88,17 +89,20 @@ def histogram(df: DataFrame, c, bins: int = 12) -> DataFrame:
     # below the bin's lower edge, else one step up when x reaches the next edge (not for the last
     # bin); the two corrections exclude each other, so the expression stays flat.
     i1 = F.least(F.floor((x - lo) / (hi - lo) * nb).cast("int"), F.lit(bins - 1))
-    idx = (vals.select("x", r.alias("r")).select("x", "r.lo", "r.hi")
+    idx = (vals.select("x", F.inline(F.array(r)))
            .select("x", "lo", "hi", i1.alias("i"))
-           .select(F.when(x < edge(i), i - 1).when((x >= edge(i + 1)) & (i != bins - 1), i + 1)
+           .select("lo", "hi", F.when(x < edge(i), i - 1).when((x >= edge(i + 1)) & (i != bins - 1), i + 1)
                    .otherwise(i).alias("i")))
-    counts = idx.groupBy("i").agg(F.count(F.lit(1)).alias("count"))
-    # the bin list has `bins` rows (a parameter, not data); no bins at all for an empty input
-    all_bins = (df.sparkSession.range(bins).select(F.col("id").cast("int").alias("i"), r.alias("r"))
-                .select("i", "r.lo", "r.hi").where(lo.isNotNull()))
-    return (all_bins.join(counts, "i", "left")
-            .select((i + 1).alias("bin"), edge(i).alias("lower"), edge(i + 1).alias("upper"),
-                    F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count")))
+    counts = idx.groupBy("i").agg(F.count(F.lit(1)).alias("count"), F.max("lo").alias("lo"), F.max("hi").alias("hi"))
+    # the bin list has `bins` rows (a parameter, not data); the range reaches empty bins through a
+    # window over these few rows, and an empty input yields no bins at all
+    everything = Window.partitionBy()
+    out = (df.sparkSession.range(bins).select(F.col("id").cast("int").alias("i"))
+           .join(counts, "i", "left")
+           .select("i", "count", F.max("lo").over(everything).alias("lo"), F.max("hi").over(everything).alias("hi"))
+           .where(lo.isNotNull()))
+    return out.select((i + 1).alias("bin"), edge(i).alias("lower"), edge(i + 1).alias("upper"),
+                      F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"))
 
 
 def exact_quantiles(df: DataFrame, c, probs: Sequence[float]) -> DataFrame:
@@ -120,13 +124,15 @@ def exact_quantiles(df: DataFrame, c, probs: Sequence[float]) -> DataFrame:
     local = Window.partitionBy("pid").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     per_part = s.groupBy("pid").agg(F.sum("m").alias("pm"))
     # one row per partition: the offsets are computed in one task over a partition-count-sized table
+    # ... and the total count n rides along in the same partition-count-sized table
     offsets = per_part.select("pid", F.coalesce(F.sum("pm").over(
-        Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("off"))
+        Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("off"),
+        F.sum("pm").over(Window.partitionBy()).alias("n"))
     ranked = (s.withColumn("cum", F.sum("m").over(local))
               .join(F.broadcast(offsets), "pid")
-              .select("x", (F.col("off") + F.col("cum") - F.col("m")).alias("lo_rank"),
+              .select("x", "n", (F.col("off") + F.col("cum") - F.col("m")).alias("lo_rank"),
                       (F.col("off") + F.col("cum")).alias("hi_rank")))
-    n = s.agg(F.sum("m")).scalar()
+    n = F.col("n")
     h = [(n - 1) * F.lit(float(p)) for p in probs]
     k_lo = [F.floor(x).cast("long") for x in h]
     k_hi = [F.ceil(x).cast("long") for x in h]
@@ -140,8 +146,9 @@ def exact_quantiles(df: DataFrame, c, probs: Sequence[float]) -> DataFrame:
     def at(k):
         return F.max(F.when((k >= lo_r) & (k < hi_r), x))
 
+    # every kept row carries the same n, so max(h) is h
     row = hit.agg(*[F.struct(F.lit(float(p)).alias("p"),
-                             (at(k_lo[i]) + (h[i] - k_lo[i]) * (at(k_hi[i]) - at(k_lo[i]))).alias("value"))
+                             (at(k_lo[i]) + (F.max(h[i]) - F.max(k_lo[i])) * (at(k_hi[i]) - at(k_lo[i]))).alias("value"))
                     .alias(f"q{i}") for i, p in enumerate(probs)])
     return row.select(F.explode(F.array(*[F.col(f"q{i}") for i in range(len(probs))])).alias("q")).select("q.p", "q.value")
 
@@ -156,7 +163,8 @@ def summary(df: DataFrame, c, probs: Sequence[float] = (0.25, 0.5, 0.75)) -> Dat
     # the quartiles travel as one struct scalar subquery over the (one row per p) quantile table
     qs = q.agg(F.struct(*[F.max(F.when(F.col("p") == float(p), F.col("value"))).alias(nm)
                           for p, nm in zip(probs, names)])).scalar()
-    return base.select("count", "mean", "std", "min", *[qs.getField(nm).alias(nm) for nm in names], "max")
+    return base.select("count", "mean", "std", "min", "max", F.inline(F.array(qs))) \
+        .select("count", "mean", "std", "min", *names, "max")
 
 
 def daily_normals(df: DataFrame, date_col, c, days: DataFrame | Sequence[str] | None = None,

@@ -3,8 +3,8 @@ station and its temperature histogram, date-range statistics (open and closed ra
 optional analyses (summary statistics, last year's trip dates, daily normals, rainfall per
 station, June/December t statistic).
 
-The most active station is a one-row DataFrame (top-1 by count with a tie-break), used through a
-broadcast join of that single row, so no value is collected to the driver between steps.
+The most active station is a one-row DataFrame (top-1 by count with a tie-break), used through an
+equi-join against that single broadcast row, so no value is collected to the driver between steps.
 """
 
 from __future__ import annotations
@@ -44,9 +44,8 @@ def top_station(m: DataFrame) -> DataFrame:
 
 
 def top_station_temps(m: DataFrame, since) -> DataFrame:
-    # the top station is a scalar subquery: computed once per query, no join at all
-    top = top_station(m).select("station").scalar()
-    return m.where((F.col("station") == top) & (F.col("date") >= date_lit(since))).select("date", "tobs")
+    top = F.broadcast(top_station(m).select("station"))          # exactly one row
+    return m.where(F.col("date") >= date_lit(since)).join(top, "station").select("date", "tobs")
 
 
 def top_station_hist(m: DataFrame, since, bins: int = 12) -> DataFrame:
@@ -58,7 +57,7 @@ def station_list(stations: DataFrame) -> DataFrame:
 
 
 def top_station_name(m: DataFrame, stations: DataFrame) -> DataFrame:
-    return stations.where(F.col("station") == top_station(m).select("station").scalar()).select("station", "name")
+    return F.broadcast(top_station(m).select("station")).join(stations.select("station", "name"), "station")
 
 
 def date_values(m: DataFrame, value: str = "prcp", name: str = "precipitation") -> DataFrame:

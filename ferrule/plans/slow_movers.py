@@ -47,12 +47,14 @@ def period_bounds(business_dates: DataFrame, as_of, date_col: str = "bus_proc_dt
 
 def run_for_month(tables: dict[str, DataFrame], as_of, strict_year: bool = False,
                   eom_inclusive: bool = False) -> DataFrame:
-    """The whole report for the month before ``as_of``: the bounds come from ``business_dates``
-    (bus_proc_dt) as scalar subqueries, so nothing is collected to the driver."""
-    bounds = period_bounds(tables["business_dates"], as_of, strict_year=strict_year)
-    bom = bounds.select("bom").scalar()
-    eom = bounds.select("eom").scalar()
-    return run(tables, bom, eom, eom_inclusive)
+    """The whole report for the month before ``as_of``, bounds taken from ``business_dates``.
+
+    Like the report's ``SET @EOM = (SELECT MAX(...))``, the one-row bounds aggregate is read once
+    and its two dates become literals: every later filter on the effective time then reaches the
+    Parquet scan (and prunes month partitions), which a scalar subquery in each filter would not.
+    """
+    b = period_bounds(tables["business_dates"], as_of, strict_year=strict_year).first()
+    return run(tables, b["bom"], b["eom"], eom_inclusive)
 
 
 def qualifying_history(history: DataFrame, eom) -> DataFrame:

@@ -414,8 +414,11 @@ def station(d: Driver) -> DataFrame:
 def measurement(d: Driver) -> DataFrame:
     """Observations are events; a user reports to station ``user_id % (number of stations)``."""
     e, s = d["events"], d["supplier"]
-    n_stations = s.agg(F.count(F.lit(1))).scalar()
-    keyed = e.withColumn("_station_key", F.col("user_id") % n_stations)
+    # the number of stations is a parameter of the mapping, read once per session (a Parquet
+    # row count answered from the file footers)
+    if "_n_stations" not in d._views:
+        d._views["_n_stations"] = s.count()
+    keyed = e.withColumn("_station_key", F.col("user_id") % F.lit(d._views["_n_stations"]))
     j = keyed.join(s.select("s_suppkey", "s_name"), keyed._station_key == s.s_suppkey)
     return j.select(F.col("event_id").alias("id"), F.col("s_name").alias("station"),
                     F.col("ts").cast("date").alias("date"),

@@ -75,3 +75,16 @@ def test_slow_movers_month_from_business_dates(spark):
     want = SM.run(t, dt.date(2024, 1, 1), dt.date(2024, 1, 30))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     assert sorted(r.excp_id for r in got.collect()) == [1, 2]
+
+
+def test_slow_movers_january_as_written_is_empty(spark):
+    T = dt.datetime
+    hist = spark.createDataFrame([(1, "10", "Loss Draft", "x", "Open", T(2023, 12, 5), T(2023, 12, 1))],
+                                 "excp_id long, loan_nbr string, doc_desc string, issu_desc string, "
+                                 "excp_sts_desc string, eff_dttm timestamp_ntz, excp_rqst_dttm timestamp_ntz")
+    loans = spark.createDataFrame([("10", 1, 97.0, "Active", T(2023, 1, 1))],
+                                  "loan_nbr string, seq long, mca_percent double, loan_status string, eff_dttm timestamp_ntz")
+    bdates = spark.createDataFrame([(T(2023, 12, 29),)], "bus_proc_dt timestamp_ntz")
+    t = {"exception_history": hist, "loan_history": loans, "business_dates": bdates}
+    assert SM.run_for_month(t, dt.date(2024, 1, 15)).count() == 0               # EOM is NULL in January
+    assert SM.run_for_month(t, dt.date(2024, 1, 15), strict_year=True).count() == 1
