@@ -187,26 +187,23 @@ def run(tables: dict[str, DataFrame], params: DocumentParams | None = None, orde
     """tables: loan_status, workable, exceptions, assignment, exception_total, roster,
     invalid_documents, document_repository.
 
-    The base and the matches are each read by several later steps; with ``materialized`` they are
-    checkpointed once.
+    The newest-valid step reads the base and the matches twice each; with ``materialized`` it reads
+    one checkpointed copy of each.  Single-reader outputs use the plain plans.
     """
     p = params or DocumentParams()
     r: JobResult
 
-    # checkpointed without a forced partitioning: a loan or exception holding a large share of
-    # the rows must stay splittable by AQE in the joins and aggregations that follow
-    def b():
-        d = base(tables, p)
-        return materialize(d) if materialized else d
-
-    def m():
-        d = matches(r["base"], tables, p)
+    def mat(d):
         return materialize(d) if materialized else d
 
     r = JobResult({
-        "base": b,
-        "_matches": m,
-        "matches": lambda: document_match(r["_matches"]),
-        "latest_valid": lambda: latest_valid(r["base"], r["_matches"], p, ordered),
+        # single-reader outputs: plain plans
+        "base": lambda: base(tables, p),
+        "matches": lambda: document_match(matches(r["base"], tables, p)),
+        # the newest-valid step reads the base twice and the matches twice: one materialised copy
+        # each (not force-partitioned: a loan or exception may hold a large share of the rows)
+        "_base_m": lambda: mat(base(tables, p)),
+        "_matches_m": lambda: mat(matches(r["_base_m"], tables, p)),
+        "latest_valid": lambda: latest_valid(r["_base_m"], r["_matches_m"], p, ordered),
     })
     return r

@@ -348,33 +348,37 @@ def run(tables: dict[str, DataFrame], params: LetterParams | None = None, ordere
     """tables: loan_status, hud_status, workable, loan_master, exceptions.
 
     Returns population, exceptions, hoa, occ, nts, final, templates, manifest, rule_hits (each
-    built on first access, see ``JobResult``).  The population
-    and the scrubbed exceptions are read by every later step; with ``materialized`` they are
-    checkpointed once.  The population (one row per loan) is hash-partitioned by loan number, the
-    key of the joins that follow; the exceptions are not (a hot loan would become one task).
+    built on first access, see ``JobResult``).  Outputs that read the population and the scrubbed
+    exceptions several times (final, templates, manifest, rule_hits) share one materialised copy
+    of each (``materialized``); outputs that read them once use the plain plans.
     """
     p = params or LetterParams()
     r: JobResult
 
-    def pop():
-        d = population(tables, p)
-        return materialize(d, "loan_number") if materialized else d
-
-    def exc():
-        # not hash-partitioned on purpose: one loan may own a large share of the exceptions, and
-        # a forced hash partitioning cannot be split; the joins that follow get AQE skew handling
-        d = exception_scrub(tables, r["population"], p)
-        return materialize(d) if materialized else d
+    def shared():
+        """The population and exceptions as read by outputs that read them several times."""
+        if not materialized:
+            return r["population"], r["exceptions"]
+        return r["_population_m"], r["_exceptions_m"]
 
     r = JobResult({
-        "population": pop,
-        "exceptions": exc,
+        # single-reader outputs: plain plans, nothing written
+        "population": lambda: population(tables, p),
+        "exceptions": lambda: exception_scrub(tables, r["population"], p),
         "hoa": lambda: hoa_frame(r["population"], r["exceptions"], p),
         "occ": lambda: occ_frame(r["population"], r["exceptions"], p),
         "nts": lambda: nts_frame(r["population"], r["exceptions"], p),
-        "final": lambda: final_flags(r["population"], r["exceptions"], r["hoa"], r["occ"], r["nts"]),
-        "templates": lambda: letter_templates(r["population"], r["hoa"], r["occ"], r["nts"]),
+        # shared intermediates, materialised once (the population keeps its loan-number partitioning;
+        # the exceptions are not force-partitioned, a hot loan would become one task)
+        "_population_m": lambda: materialize(population(tables, p), "loan_number"),
+        "_exceptions_m": lambda: materialize(exception_scrub(tables, r["_population_m"], p)),
+        "_hoa_m": lambda: hoa_frame(*shared(), p),
+        "_occ_m": lambda: occ_frame(*shared(), p),
+        "_nts_m": lambda: nts_frame(*shared(), p),
+        # multi-reader outputs
+        "final": lambda: final_flags(*shared(), r["_hoa_m"], r["_occ_m"], r["_nts_m"]),
+        "templates": lambda: letter_templates(shared()[0], r["_hoa_m"], r["_occ_m"], r["_nts_m"]),
         "manifest": lambda: manifest(r["final"], tables["loan_master"], p, ordered),
-        "rule_hits": lambda: rule_coverage(r["population"], r["exceptions"], p),
+        "rule_hits": lambda: rule_coverage(*shared(), p),
     })
     return r
