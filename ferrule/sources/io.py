@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-__all__ = ["read_csv", "read_table", "read_parquet_tables", "read_jdbc", "with_row_id",
+__all__ = ["read_csv", "read_csv_tables", "read_table", "read_parquet_tables", "read_jdbc", "with_row_id",
            "to_json_rows", "write_json_rows", "materialize"]
 
 
@@ -21,6 +21,24 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFr
             .option("dateFormat", "yyyy-MM-dd").option("mode", "FAILFAST").schema(schema).csv(path))
 
 
+def read_csv_tables(spark: SparkSession, folder: str, names: Iterable[str] | None = None) -> dict[str, DataFrame]:
+    """``{name: read_csv(f'{folder}/{name}.csv', SCHEMAS[name])}`` for the declared tables present.
+
+    File readers make every column nullable, so the NOT NULL declarations are checked afterwards
+    with ``ferrule.operators.quality.null_counts`` (one pass per table).
+    """
+    import os
+
+    from ferrule.sources.schemas import SCHEMAS
+
+    out = {}
+    for n in (names or SCHEMAS):
+        path = f"{folder.rstrip('/')}/{n}.csv"
+        if names is not None or os.path.exists(path):
+            out[n] = read_csv(spark, path, SCHEMAS[n])
+    return out
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     """A catalog table, possibly catalog-qualified (``catalog.schema.table``)."""
     return spark.table(name)

@@ -60,3 +60,13 @@ def test_write_json_rows_keeps_nulls(spark, tmp_path):
     write_json_rows(df, str(tmp_path / "out"))
     text = "".join(p.read_text() for p in (tmp_path / "out").glob("part-*"))
     assert json.loads(text.strip()) == {"station": "S1", "elevation": None}
+
+
+def test_read_csv_tables_and_not_null_check(spark, tmp_path):
+    from ferrule.sources.io import read_csv_tables
+    (tmp_path / "departments.csv").write_text('"dept_no","dept_name"\n"d001","Marketing"\n"d002",\n')
+    (tmp_path / "dept_manager.csv").write_text(MANAGER_CSV)
+    t = read_csv_tables(spark, str(tmp_path))
+    assert sorted(t) == ["departments", "dept_manager"]
+    assert null_counts(t["departments"]).collect()[0].asDict() == {"dept_no": 0, "dept_name": 1}
+    assert t["dept_manager"].count() == 2
