@@ -343,6 +343,40 @@ def rule_coverage(pop: DataFrame, exc: DataFrame, p: LetterParams) -> DataFrame:
             .unionByName(rule_hits(nts_frame(pop, exc, p, True), nts_rules(p), "NTS")))
 
 
+def keys_unique(df: DataFrame, key: str) -> bool:
+    """True when no key value repeats (one aggregation with map-side combine, one boolean back)."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).limit(1).count() == 0
+
+
+def flag_frame(pop: DataFrame, exc: DataFrame, p: LetterParams) -> DataFrame:
+    """Every scrubbed exception with the rule table that decides it and its send flag, in one join.
+
+    Valid only when loan numbers (population) and exception ids (exceptions) are unique: then each
+    row of the HOA, OCC and NTS frames is exactly one exception row, so the three frames and the
+    joins back on the exception id collapse into one CASE per row.
+    """
+    j = _rule_base(pop, exc)
+    doc, mca = F.col("document"), F.col("mca")
+    kind = (F.when(ci_eq(doc, "HOA") & (mca >= 96), F.lit("HOA"))
+            .when(ci_eq(doc, "Current OCC Cert") & (mca >= 95), F.lit("OCC"))
+            .when((mca >= 95) & ci_in(doc, NTS_DOCUMENTS), F.lit("NTS")))
+    flag = (F.when(F.col("_kind") == "HOA", first_match(hoa_rules(p), DNS))
+            .when(F.col("_kind") == "OCC", first_match(occ_rules(p), DNS))
+            .when(F.col("_kind") == "NTS", first_match(nts_rules(p), DNS)))
+    return j.withColumn("_kind", kind).withColumn("send_flag", flag)
+
+
+def final_flags_unique(flags: DataFrame, exc: DataFrame) -> DataFrame:
+    """``final_flags`` for unique keys: the flag frame already holds every exception once."""
+    return flags.select("send_flag", F.col("mca").alias("mca_percent"), *[F.col(c) for c in exc.columns])
+
+
+def letter_templates_unique(pop: DataFrame, flags: DataFrame) -> DataFrame:
+    """``letter_templates`` for unique keys, from the one-pass flag frame."""
+    k = F.col("_kind")
+    return letter_templates(pop, flags.where(k == "HOA"), flags.where(k == "OCC"), flags.where(k == "NTS"))
+
+
 def run(tables: dict[str, DataFrame], params: LetterParams | None = None, ordered: bool = True,
         materialized: bool = True) -> JobResult:
     """tables: loan_status, hud_status, workable, loan_master, exceptions.
@@ -375,9 +409,15 @@ def run(tables: dict[str, DataFrame], params: LetterParams | None = None, ordere
         "_hoa_m": lambda: hoa_frame(*shared(), p),
         "_occ_m": lambda: occ_frame(*shared(), p),
         "_nts_m": lambda: nts_frame(*shared(), p),
-        # multi-reader outputs
-        "final": lambda: final_flags(*shared(), r["_hoa_m"], r["_occ_m"], r["_nts_m"]),
-        "templates": lambda: letter_templates(shared()[0], r["_hoa_m"], r["_occ_m"], r["_nts_m"]),
+        # multi-reader outputs.  With unique loan numbers and exception ids (checked once on the
+        # materialised frames) the flags come from one join; otherwise the report's join form.
+        "_unique": lambda: materialized and keys_unique(r["_population_m"], "loan_number")
+        and keys_unique(r["_exceptions_m"], "exception_id"),
+        "_flags_m": lambda: flag_frame(*shared(), p),
+        "final": lambda: (final_flags_unique(r["_flags_m"], shared()[1]) if r["_unique"] else
+                          final_flags(*shared(), r["_hoa_m"], r["_occ_m"], r["_nts_m"])),
+        "templates": lambda: (letter_templates_unique(shared()[0], r["_flags_m"]) if r["_unique"] else
+                              letter_templates(shared()[0], r["_hoa_m"], r["_occ_m"], r["_nts_m"])),
         "manifest": lambda: manifest(r["final"], tables["loan_master"], p, ordered),
         "rule_hits": lambda: rule_coverage(*shared(), p),
     })

@@ -87,3 +87,21 @@ def test_letter_scenarios(spark):
     tpl = {(r.loan_number, r.hoa_template, r.dc_template) for r in out["templates"].collect()}
     assert ("1", "94-13 CHP HOA Ledger Template", None) in tpl
     assert ("4", None, "93-65 CHP Death Certificate Template") in tpl
+
+
+def test_unique_key_fast_path_equals_join_form(spark):
+    from ferrule.checks import queries as Q
+    from ferrule.sources import adapter as A
+    t = Q._letter_tables(A.driver(spark, SF01))
+    p = L.LetterParams(as_of=AS_OF)
+    pop = L.population(t, p)
+    exc = L.exception_scrub(t, pop, p)
+    assert L.keys_unique(pop, "loan_number") and L.keys_unique(exc, "exception_id")
+    hoa, occ, nts = L.hoa_frame(pop, exc, p), L.occ_frame(pop, exc, p), L.nts_frame(pop, exc, p)
+    flags = L.flag_frame(pop, exc, p)
+    exact = L.final_flags(pop, exc, hoa, occ, nts)
+    fast = L.final_flags_unique(flags, exc)
+    assert exact.exceptAll(fast).count() == 0 and fast.exceptAll(exact).count() == 0
+    t_exact = L.letter_templates(pop, hoa, occ, nts)
+    t_fast = L.letter_templates_unique(pop, flags)
+    assert t_exact.exceptAll(t_fast).count() == 0 and t_fast.exceptAll(t_exact).count() == 0
