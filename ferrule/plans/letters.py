@@ -9,7 +9,9 @@ Physical shape.  Every step is keyed by loan number until the rule tables, then
 * the population and the scrubbed exceptions are materialised once (reliable checkpoints, like the
   report's temp tables); the population keeps a hash partitioning on ``loan_number``, so the rule
   frames that re-join it on that key shuffle only the exception side;
-* the three flag frames are joined back on ``exception_id`` (same key for all three joins);
+* the final flags: when loan numbers and exception ids are unique (checked once), every flag comes
+  from one CASE over the single population ⋈ exceptions join; otherwise the three flag frames are
+  joined back on ``exception_id`` as the report does (its row multiplication for repeated ids kept);
 * the template report is built from per-loan *distinct* template values of each kind, so a loan
   with many exceptions of one kind cannot blow up into the product of its rows (see README).
 Rule tables are data (``Rule`` lists); ``rule_hits`` counts the rows each rule decides.
@@ -24,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferrule.functions.rowwise import by_kind, row_count, row_max
-from ferrule.functions.rules import Rule, first_match, rule_hits
+from ferrule.functions.rules import Rule, first_match, rule_hits, rule_index
 from ferrule.functions.semantics import (address_class, ci_eq, ci_in, ci_not_in, date_lit, day_diff,
                                          in_or_null, month_diff, real, ts_lit, us_date, zip4)
 from ferrule.plans import JobResult
@@ -377,6 +379,20 @@ def letter_templates_unique(pop: DataFrame, flags: DataFrame) -> DataFrame:
     return letter_templates(pop, flags.where(k == "HOA"), flags.where(k == "OCC"), flags.where(k == "NTS"))
 
 
+def rule_coverage_unique(flags: DataFrame, p: LetterParams) -> DataFrame:
+    """``rule_coverage`` for unique keys: one grouping over the one-pass flag frame."""
+    k = F.col("_kind")
+    tables = {"HOA": hoa_rules(p), "OCC": occ_rules(p), "NTS": nts_rules(p)}
+    idx = None
+    for name, rules in tables.items():
+        idx = F.when(k == name, rule_index(rules)) if idx is None else idx.when(k == name, rule_index(rules))
+    labels = F.create_map(*[x for name, rules in tables.items() for i, r in enumerate(rules, start=1)
+                            for x in (F.lit(f"{name}:{i}"), F.lit(r.label))])
+    counts = flags.where(k.isNotNull()).groupBy(k.alias("table"), idx.alias("rule")).agg(F.count(F.lit(1)).alias("n"))
+    key = F.concat(F.col("table"), F.lit(":"), F.col("rule").cast("string"))
+    return counts.select("table", "rule", F.coalesce(labels[key], F.lit("ELSE")).alias("label"), "n")
+
+
 def run(tables: dict[str, DataFrame], params: LetterParams | None = None, ordered: bool = True,
         materialized: bool = True) -> JobResult:
     """tables: loan_status, hud_status, workable, loan_master, exceptions.
@@ -419,6 +435,7 @@ def run(tables: dict[str, DataFrame], params: LetterParams | None = None, ordere
         "templates": lambda: (letter_templates_unique(shared()[0], r["_flags_m"]) if r["_unique"] else
                               letter_templates(shared()[0], r["_hoa_m"], r["_occ_m"], r["_nts_m"])),
         "manifest": lambda: manifest(r["final"], tables["loan_master"], p, ordered),
-        "rule_hits": lambda: rule_coverage(*shared(), p),
+        "rule_hits": lambda: (rule_coverage_unique(r["_flags_m"], p) if r["_unique"] else
+                              rule_coverage(*shared(), p)),
     })
     return r

@@ -102,6 +102,8 @@ def test_unique_key_fast_path_equals_join_form(spark):
     exact = L.final_flags(pop, exc, hoa, occ, nts)
     fast = L.final_flags_unique(flags, exc)
     assert exact.exceptAll(fast).count() == 0 and fast.exceptAll(exact).count() == 0
+    h_exact, h_fast = L.rule_coverage(pop, exc, p), L.rule_coverage_unique(flags, p)
+    assert sorted(map(tuple, h_exact.collect())) == sorted(map(tuple, h_fast.collect()))
     t_exact = L.letter_templates(pop, hoa, occ, nts)
     t_fast = L.letter_templates_unique(pop, flags)
     assert t_exact.exceptAll(t_fast).count() == 0 and t_fast.exceptAll(t_exact).count() == 0
