@@ -63,6 +63,8 @@ class DocumentParams:
     def __post_init__(self):
         if self.as_of is None:          # one run, one clock reading
             self.as_of = dt.datetime.now().replace(microsecond=0)
+        if self.match_on not in ("loan", "exception"):
+            raise ValueError(f"match_on must be 'loan' or 'exception', not {self.match_on!r}")
 
     @property
     def run_ts(self) -> dt.datetime:
