@@ -74,3 +74,11 @@ def test_recode_default_and_null(spark):
     rows = [("TRUST",), ("Death Cert HACG",), ("HOA",), (None,)]
     v = one(spark, S.recode(F.col("d"), m, default=F.col("d"), null_value="No Issue"), rows, "d string")
     assert v == ["Trust", "Death Cert", "HOA", "No Issue"]
+
+
+def test_ci_like_and_in_or_null(spark):
+    rows = [("PR",), ("xpr",), ("P.R.",), (None,)]
+    assert one(spark, S.ci_like("s", "%PR%"), rows, "s string") == [True, True, False, None]
+    rows = [("Grp 2 FNMA",), ("grp 2 fnma",), ("Other",), (None,)]
+    assert one(spark, S.in_or_null("g", ["Grp 2 FNMA"]), rows, "g string") == [True, True, False, True]
+    assert one(spark, S.in_or_null("g", ["Grp 2 FNMA"], ci=False), rows, "g string") == [True, False, False, True]
