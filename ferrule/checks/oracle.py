@@ -4,24 +4,13 @@ own style: one aggregate per derived table, self-joins on group maxima, CASE cha
 from __future__ import annotations
 
 from ferrule.checks.oracle_views import with_views
+from ferrule.checks.oracle_letters import ORACLE as _LETTERS
+from ferrule.checks.oracle_documents import ORACLE as _DOCS
+from ferrule.checks.oracle_history import ORACLE as _HIST
+from ferrule.checks.oracle_hr_climate import ORACLE as _HRC
 
 ORACLE: dict[str, str] = {}
 
-from ferrule.checks.oracle_letters import ORACLE as _LETTERS  # noqa: E402
-
-ORACLE.update(_LETTERS)
-
-from ferrule.checks.oracle_documents import ORACLE as _DOCS  # noqa: E402
-
-ORACLE.update(_DOCS)
-
-from ferrule.checks.oracle_history import ORACLE as _HIST  # noqa: E402
-
-ORACLE.update(_HIST)
-
-from ferrule.checks.oracle_hr_climate import ORACLE as _HRC  # noqa: E402
-
-ORACLE.update(_HRC)
 
 ORACLE["bonus_status"] = with_views("""
 SELECT s.loan_nbr, s.status_code, s.status_description, b.dt_sbmt_to_hud AS min_submitted,
@@ -47,3 +36,8 @@ SELECT loan_nbr, min(dt_sbmt_to_hud) AS min_submitted, max(dt_sbmt_to_hud) AS ma
 FROM v_submissions WHERE CAST(dt_sbmt_to_hud AS DATE) BETWEEN DATE '2000-02-01' AND DATE '2000-02-29'
 GROUP BY loan_nbr
 """)
+
+ORACLE.update(_LETTERS)
+ORACLE.update(_DOCS)
+ORACLE.update(_HIST)
+ORACLE.update(_HRC)

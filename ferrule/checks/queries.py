@@ -12,9 +12,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrule.sources import adapter as A
-from ferrule.plans import bonus
+from ferrule.functions import sql as FSQL
 from ferrule.operators import history as H
+from ferrule.operators import quality as Q
+from ferrule.plans import bonus
+from ferrule.plans import climate as CL
+from ferrule.plans import documents as DOC
+from ferrule.plans import employees as EMP
+from ferrule.plans import letters as L
+from ferrule.plans import slow_movers as SM
+from ferrule.sources import adapter as A
+from ferrule.sources.io import to_json_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,7 +56,6 @@ def q_window_min_max(spark, sf_dir):
 
 
 # ---- W1 letter drop -----------------------------------------------------------------------------
-from ferrule.plans import letters as L  # noqa: E402
 
 
 def _letter_tables(d: A.Driver) -> dict[str, DataFrame]:
@@ -90,7 +97,6 @@ def q_rule_hits(spark, sf_dir):
 
 
 # ---- W2 document scrub --------------------------------------------------------------------------
-from ferrule.plans import documents as DOC  # noqa: E402
 
 
 def _document_tables(d: A.Driver) -> dict[str, DataFrame]:
@@ -124,7 +130,6 @@ def q_row_min_date(spark, sf_dir):
 
 
 # ---- W4 slow movers -----------------------------------------------------------------------------
-from ferrule.plans import slow_movers as SM  # noqa: E402
 
 SM_BOM, SM_EOM = dt.date(2024, 1, 10), dt.date(2024, 1, 20)
 
@@ -167,7 +172,6 @@ def _round(df: DataFrame, digits: dict[str, int]) -> DataFrame:
 
 
 # ---- W5 employees -------------------------------------------------------------------------------
-from ferrule.plans import employees as EMP  # noqa: E402
 
 
 def _hr(spark, sf_dir) -> dict[str, DataFrame]:
@@ -230,7 +234,6 @@ def q_avg_by_title(spark, sf_dir):
 
 
 # ---- W6 climate ---------------------------------------------------------------------------------
-from ferrule.plans import climate as CL  # noqa: E402
 
 C_START, C_END = dt.date(2024, 1, 5), dt.date(2024, 1, 25)
 C_SINCE = dt.date(2024, 1, 10)
@@ -332,8 +335,6 @@ def q_nth_row(spark, sf_dir):
 
 
 # ---- sinks and data quality ---------------------------------------------------------------------
-from ferrule.sources.io import to_json_rows  # noqa: E402
-from ferrule.operators import quality as Q  # noqa: E402
 
 
 @register("json_rows")
@@ -359,7 +360,6 @@ def q_fk_orphans(spark, sf_dir):
 
 
 # ---- SQL surface --------------------------------------------------------------------------------
-from ferrule.functions import sql as FSQL  # noqa: E402
 
 
 @register("sql_functions")
