@@ -15,8 +15,9 @@ def fixture():
     ls = pd.DataFrame({"loan_number": loans, "loan_status": "Active", "tag_2": None, "incurable_flag": "0",
                        "group": "Grp 2 FNMA", "stage": "S", "mca_pct": [97.5, 96.0, None, 99.0]})
     wk = pd.DataFrame({"loan_number": loans, "final_review_status": "F", "final_review_assigned_to": "R"})
-    asg = pd.DataFrame({"loan_number": loans, "hud_status": ["Not Started"] * 4, "hud_assigned_to": "Agent 1",
-                        "hud_preliminary_title_approval": None})
+    # loan 3 has two assignment rows, so its base rows (and everything built on them) repeat
+    asg = pd.DataFrame({"loan_number": loans + ["3"], "hud_status": ["Not Started"] * 4 + ["HUD Denied"],
+                        "hud_assigned_to": "Agent 1", "hud_preliminary_title_approval": None})
     tot = pd.DataFrame({"loan_number": loans, "open_exceptions": 1, "open_curative": 0, "open_hacg": 0})
     roster = pd.DataFrame({"agnt_nm": ["Agent 1"], "mgr_nm": ["M"], "st_loc": ["X"]})
     exc = pd.DataFrame([
