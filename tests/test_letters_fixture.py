@@ -69,6 +69,7 @@ def fixture(spark):
                 if doc == "HOA" and i % 4 == 1 and r == 0:   # a second exception of the same kind on the loan
                     exc.append(tuple([next(eid)] + row[1:]))
     exc.append(tuple([exc[5][0]] + list(exc[40][1:])))   # a repeated exception id on another loan
+    hud.append(("1", "Not Started", "A9"))                 # a second HUD row: loan 1 repeats in the population
     s = spark.createDataFrame
     ts = "timestamp_ntz"
     t = {
@@ -119,3 +120,9 @@ def test_fixture_reaches_many_rules(setup):
     out, _ = setup
     hit = {(r.table, r.rule) for r in out["rule_hits"].collect()}
     assert len(hit) >= 20
+
+
+def test_fixture_population_repeats_a_loan(setup):
+    out, _ = setup
+    counts = {r.loan_number: r["count"] for r in out["population"].groupBy("loan_number").count().collect()}
+    assert counts.get("1") == 2
