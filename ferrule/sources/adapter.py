@@ -351,7 +351,7 @@ def employees(d: Driver) -> DataFrame:
     return j.select(
         F.col("c_custkey").alias("emp_no"),
         F.add_months(F.col("hire_date"), -300).alias("birth_date"),
-        words.getItem(0).alias("first_name"), words.getItem(1).alias("last_name"),
+        F.get(words, 0).alias("first_name"), F.get(words, 1).alias("last_name"),      # NULL when missing
         F.when(F.col("c_custkey") % 2 == 0, "M").otherwise("F").alias("gender"),
         F.col("hire_date"),
     )
