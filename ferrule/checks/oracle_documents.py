@@ -74,5 +74,7 @@ ORACLE = {
     "document_match": with_views("""SELECT loan_number, exception_id, document, obj_id, invalid_excp_type, cre_dt,
  invalid_flag, count(*) AS n_rows FROM inv GROUP BY ALL""", *CTES),
     "latest_valid_document": with_views(FINAL, *CTES),
+    "latest_valid_by_exception": with_views(FINAL.replace("ON a.loan_number = b.loan_number",
+                                                           "ON a.exception_id = b.exception_id"), *CTES),
     "row_min_date": with_views(f"SELECT e.exception_id, e.document, {_minlet} AS min_letter_date FROM v_exceptions e"),
 }

@@ -124,6 +124,13 @@ def q_latest_valid_document(spark, sf_dir):
     return _documents(spark, sf_dir)["latest_valid"]
 
 
+@register("latest_valid_by_exception")
+def q_latest_valid_by_exception(spark, sf_dir):
+    """The tight form: an exception only picks up its own documents."""
+    t = _document_tables(A.driver(spark, sf_dir))
+    return DOC.run(t, DOC.DocumentParams(as_of=A.AS_OF_TS, match_on="exception"))["latest_valid"]
+
+
 @register("row_min_date")
 def q_row_min_date(spark, sf_dir):
     return DOC.min_letter_date(A.exceptions(A.driver(spark, sf_dir)))
