@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferrule.functions.rules import Rule, first_match
-from ferrule.operators.history import window_bounds_agg
+from ferrule.operators.history import snapshot, window_bounds_agg
 
 # Fixed values of the report.
 RESOLVED_CODE = 72
@@ -31,16 +31,28 @@ def final_status_rules() -> list[Rule]:
     ]
 
 
+def status_as_of(tables: dict[str, DataFrame], end) -> DataFrame:
+    """The status snapshot as of ``end``: given directly (``status_snapshot``), or taken from a
+    ``status_history`` (loan_nbr, status_code, status_description, eff_dttm) as the latest row per
+    loan on or before that day (one row per loan; the greatest status code breaks ties)."""
+    if "status_snapshot" in tables:
+        return tables["status_snapshot"]
+    h = tables["status_history"]
+    return snapshot(h, "loan_nbr", "eff_dttm", end, ties=False, tie_break="status_code") \
+        .select("loan_nbr", "status_code", "status_description")
+
+
 def run(tables: dict[str, DataFrame], start=DEFAULT_START, end=DEFAULT_END, ordered: bool = True) -> DataFrame:
-    """tables: ``status_snapshot`` (loan_nbr, status_code, status_description) as of ``end``,
-    ``submissions`` (loan_nbr, dt_sbmt_to_hud), ``denials`` (loan_nbr, hud_prelim_ttl_dny_dt)."""
+    """tables: ``status_snapshot`` (loan_nbr, status_code, status_description) as of ``end`` or a
+    ``status_history`` to take it from, ``submissions`` (loan_nbr, dt_sbmt_to_hud),
+    ``denials`` (loan_nbr, hud_prelim_ttl_dny_dt)."""
     subs = window_bounds_agg(tables["submissions"], "loan_nbr", "dt_sbmt_to_hud", start, end,
                              "min_submitted", "max_submitted")
     den = (tables["denials"].where(F.col("hud_prelim_ttl_dny_dt").isNotNull())
            .transform(lambda d: window_bounds_agg(d, "loan_nbr", "hud_prelim_ttl_dny_dt", start, end,
                                                   "_first_denial", "denial_dt"))
            .drop("_first_denial"))
-    out = (tables["status_snapshot"].join(subs, "loan_nbr", "left").join(den, "loan_nbr", "left")
+    out = (status_as_of(tables, end).join(subs, "loan_nbr", "left").join(den, "loan_nbr", "left")
            .select("loan_nbr", "status_code", "status_description", "min_submitted", "max_submitted",
                    F.col("denial_dt").cast("date").alias("denial_dt"),
                    first_match(final_status_rules(), "Pending").alias("final_status")))

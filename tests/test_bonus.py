@@ -31,3 +31,15 @@ def test_bonus_boundaries(spark):
     }
     # report order: status, code descending, last submission descending
     assert [r.loan_nbr for r in out] == ["C", "E", "F", "A", "D", "B"]
+
+
+def test_bonus_takes_the_status_snapshot_from_a_history(spark):
+    hist = spark.createDataFrame([
+        ("A", 0, "s0", T(2020, 1, 1)), ("A", 72, "s72", T(2020, 2, 29, 18)),     # same day as the end: counts
+        ("B", 3, "s3", T(2020, 2, 1)), ("B", 0, "late", T(2020, 3, 1)),         # after the end: ignored
+    ], "loan_nbr string, status_code int, status_description string, eff_dttm timestamp_ntz")
+    subs = spark.createDataFrame([], "loan_nbr string, dt_sbmt_to_hud timestamp_ntz")
+    den = spark.createDataFrame([], "loan_nbr string, hud_prelim_ttl_dny_dt timestamp_ntz")
+    out = bonus.run({"status_history": hist, "submissions": subs, "denials": den},
+                    dt.date(2020, 2, 1), dt.date(2020, 2, 29)).collect()
+    assert {(r.loan_nbr, r.status_code, r.final_status) for r in out} == {("A", 72, "Resolved"), ("B", 3, "Resolved")}
