@@ -31,6 +31,27 @@ LEFT JOIN (SELECT loan_nbr, max(dt_sbmt_to_hud) AS dt_sbmt_to_hud FROM v_submiss
   ON s.loan_nbr = d.loan_nbr
 """)
 
+ORACLE["bonus_status_history"] = with_views("""
+SELECT s.loan_nbr, s.status_code, s.status_description, b.dt_sbmt_to_hud AS min_submitted,
+ d.dt_sbmt_to_hud AS max_submitted, CAST(c.denial_dt AS DATE) AS denial_dt,
+ CASE WHEN s.status_code = 72 THEN 'Resolved'
+      WHEN s.status_code = 0 AND d.dt_sbmt_to_hud IS NOT NULL THEN 'Resolved'
+      WHEN s.status_code <> 0 THEN 'Resolved' ELSE 'Pending' END AS final_status
+FROM (SELECT loan_nbr, status_code, status_description FROM (
+  SELECT *, row_number() OVER (PARTITION BY loan_nbr ORDER BY eff_dttm DESC, status_code DESC NULLS LAST) AS rn
+  FROM v_status_history WHERE CAST(eff_dttm AS DATE) <= DATE '2000-02-29') WHERE rn = 1) s
+LEFT JOIN (SELECT loan_nbr, min(dt_sbmt_to_hud) AS dt_sbmt_to_hud FROM v_submissions
+           WHERE CAST(dt_sbmt_to_hud AS DATE) BETWEEN DATE '2000-02-01' AND DATE '2000-02-29' GROUP BY loan_nbr) b
+  ON s.loan_nbr = b.loan_nbr
+LEFT JOIN (SELECT loan_nbr, max(hud_prelim_ttl_dny_dt) AS denial_dt FROM v_denials
+           WHERE hud_prelim_ttl_dny_dt IS NOT NULL
+             AND CAST(hud_prelim_ttl_dny_dt AS DATE) BETWEEN DATE '2000-02-01' AND DATE '2000-02-29' GROUP BY loan_nbr) c
+  ON s.loan_nbr = c.loan_nbr
+LEFT JOIN (SELECT loan_nbr, max(dt_sbmt_to_hud) AS dt_sbmt_to_hud FROM v_submissions
+           WHERE CAST(dt_sbmt_to_hud AS DATE) BETWEEN DATE '2000-02-01' AND DATE '2000-02-29' GROUP BY loan_nbr) d
+  ON s.loan_nbr = d.loan_nbr
+""")
+
 ORACLE["window_min_max"] = with_views("""
 SELECT loan_nbr, min(dt_sbmt_to_hud) AS min_submitted, max(dt_sbmt_to_hud) AS max_submitted
 FROM v_submissions WHERE CAST(dt_sbmt_to_hud AS DATE) BETWEEN DATE '2000-02-01' AND DATE '2000-02-29'

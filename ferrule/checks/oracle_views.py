@@ -122,6 +122,11 @@ VIEWS["v_status_snapshot"] = """SELECT CAST(c_custkey AS VARCHAR) AS loan_nbr,
  CAST(CASE c_custkey % 4 WHEN 0 THEN 72 WHEN 1 THEN 0 WHEN 2 THEN 3 END AS INTEGER) AS status_code,
  'Status ' || c_mktsegment AS status_description FROM customer"""
 
+VIEWS["v_status_history"] = """SELECT CAST(o_custkey AS VARCHAR) AS loan_nbr,
+ CAST(CASE substring(o_orderpriority, 1, 1) WHEN '1' THEN 72 WHEN '2' THEN 0 WHEN '3' THEN 3 WHEN '4' THEN 5 END AS INTEGER)
+   AS status_code,
+ 'Priority ' || o_orderpriority AS status_description, o_orderdate AS eff_dttm FROM orders"""
+
 VIEWS["v_submissions"] = "SELECT CAST(o_custkey AS VARCHAR) AS loan_nbr, o_orderdate AS dt_sbmt_to_hud FROM orders"
 
 VIEWS["v_denials"] = """SELECT CAST(o_custkey AS VARCHAR) AS loan_nbr,

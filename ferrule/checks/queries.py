@@ -48,6 +48,14 @@ def q_bonus_status(spark, sf_dir):
     return bonus.run(_bonus_tables(d), BONUS_START, BONUS_END)
 
 
+@register("bonus_status_history")
+def q_bonus_status_history(spark, sf_dir):
+    """The bonus report with its status snapshot taken from a history as of the window end."""
+    d = A.driver(spark, sf_dir)
+    return bonus.run({"status_history": A.status_history(d), "submissions": A.submissions(d),
+                      "denials": A.denials(d)}, BONUS_START, BONUS_END)
+
+
 @register("window_min_max")
 def q_window_min_max(spark, sf_dir):
     d = A.driver(spark, sf_dir)

@@ -283,6 +283,17 @@ def status_snapshot(d: Driver) -> DataFrame:
                     F.concat(F.lit("Status "), F.col("c_mktsegment")).alias("status_description"))
 
 
+@_view
+def status_history(d: Driver) -> DataFrame:
+    """Loan status history: one row per order, effective on the order date."""
+    o = d["orders"]
+    pr = F.substring("o_orderpriority", 1, 1)
+    code = F.when(pr == "1", 72).when(pr == "2", 0).when(pr == "3", 3).when(pr == "4", 5)
+    return o.select(_s("o_custkey").alias("loan_nbr"), code.cast("int").alias("status_code"),
+                    F.concat(F.lit("Priority "), F.col("o_orderpriority")).alias("status_description"),
+                    F.col("o_orderdate").alias("eff_dttm"))
+
+
 @_view
 def submissions(d: Driver) -> DataFrame:
     o = d["orders"]
