@@ -132,7 +132,9 @@ def real(c) -> Column:
 
 
 def money_text(c) -> Column:
-    """``concat('$', CAST(x AS real))`` as PostgreSQL prints it: integral values without '.0'."""
+    """``concat('$', CAST(x AS real))`` as PostgreSQL prints it: integral values without '.0', others
+    as the shortest text of the REAL.  Exact for |x| < 1e6 (salaries); from 1e6 on PostgreSQL
+    switches to exponent form (``1.234567e+06``), which this fixed-point rendering does not copy."""
     f = col_(c).cast("float")
     txt = F.when(f == F.floor(f), f.cast("bigint").cast("string")).otherwise(f.cast("string"))
     return F.concat(F.lit("$"), txt)
