@@ -29,3 +29,26 @@ def test_cli_reads_declared_csv_tables(spark, tmp_path):
           "--output", "hired_in_year", "--out", str(out), "--format", "json"], spark=spark)
     assert spark.read.json(str(out / "name_prefix")).count() == 1
     assert spark.read.json(str(out / "hired_in_year")).count() == 1
+
+
+def test_cli_letters_end_to_end_equals_registered_query(spark, tmp_path):
+    from conftest import SF001
+    from ferrule.sources import adapter as A
+    import __spark_entry__ as E
+
+    d = A.driver(spark, SF001)
+    args = ["letters", "--as-of", "2001-09-01", "--out", str(tmp_path / "out"), "--output", "manifest"]
+    for name, fn in [("loan_status", A.loan_status), ("hud_status", A.hud_status), ("workable", A.workable),
+                     ("loan_master", A.loan_master), ("exceptions", A.exceptions)]:
+        path = tmp_path / "in" / name
+        fn(d).write.parquet(str(path))
+        args += ["--table", f"{name}={path}"]
+    main(args, spark=spark)
+    written = spark.read.parquet(str(tmp_path / "out" / "manifest"))
+    expected = E.queries()["letter_manifest"](spark, SF001)
+    written = written.select(*expected.columns)
+    for c, t in expected.dtypes:
+        if t == "timestamp_ntz":
+            written = written.withColumn(c, written[c].cast("timestamp_ntz"))
+    assert written.count() == expected.count() > 0
+    assert written.exceptAll(expected).count() == 0 and expected.exceptAll(written).count() == 0
