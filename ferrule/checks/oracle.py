@@ -52,6 +52,12 @@ LEFT JOIN (SELECT loan_nbr, max(dt_sbmt_to_hud) AS dt_sbmt_to_hud FROM v_submiss
   ON s.loan_nbr = d.loan_nbr
 """)
 
+ORACLE["bonus_rule_hits"] = """SELECT 'BONUS' AS "table", rule,
+ CASE rule WHEN 1 THEN 'Resolved' WHEN 2 THEN 'Resolved' WHEN 3 THEN 'Resolved' ELSE 'ELSE' END AS label, count(*) AS n
+FROM (SELECT CAST(CASE WHEN status_code = 72 THEN 1 WHEN status_code = 0 AND max_submitted IS NOT NULL THEN 2
+                       WHEN status_code <> 0 THEN 3 ELSE 0 END AS INTEGER) AS rule
+      FROM (""" + ORACLE["bonus_status"] + """) b) GROUP BY rule"""
+
 ORACLE["window_min_max"] = with_views("""
 SELECT loan_nbr, min(dt_sbmt_to_hud) AS min_submitted, max(dt_sbmt_to_hud) AS max_submitted
 FROM v_submissions WHERE CAST(dt_sbmt_to_hud AS DATE) BETWEEN DATE '2000-02-01' AND DATE '2000-02-29'

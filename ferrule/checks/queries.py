@@ -56,6 +56,12 @@ def q_bonus_status_history(spark, sf_dir):
                       "denials": A.denials(d)}, BONUS_START, BONUS_END)
 
 
+@register("bonus_rule_hits")
+def q_bonus_rule_hits(spark, sf_dir):
+    d = A.driver(spark, sf_dir)
+    return bonus.rule_coverage(_bonus_tables(d), BONUS_START, BONUS_END)
+
+
 @register("window_min_max")
 def q_window_min_max(spark, sf_dir):
     d = A.driver(spark, sf_dir)

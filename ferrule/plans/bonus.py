@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferrule.functions.rules import Rule, first_match
+from ferrule.functions.rules import Rule, first_match, rule_hits
 from ferrule.operators.history import snapshot, window_bounds_agg
 
 # Fixed values of the report.
@@ -42,6 +42,11 @@ def status_as_of(tables: dict[str, DataFrame], end) -> DataFrame:
         .select("loan_nbr", "status_code", "status_description")
 
 
+def rule_coverage(tables: dict[str, DataFrame], start=DEFAULT_START, end=DEFAULT_END) -> DataFrame:
+    """Rows decided by each final-status rule (rule 0 = ELSE, 'Pending')."""
+    return rule_hits(run(tables, start, end, ordered=False), final_status_rules(), "BONUS")
+
+
 def run(tables: dict[str, DataFrame], start=DEFAULT_START, end=DEFAULT_END, ordered: bool = True) -> DataFrame:
     """tables: ``status_snapshot`` (loan_nbr, status_code, status_description) as of ``end`` or a
     ``status_history`` to take it from, ``submissions`` (loan_nbr, dt_sbmt_to_hud),
