@@ -47,13 +47,16 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared (HDFS/object-store) folder there; we only invent one when it is unset,
-    which happens in local tests.
+    A cluster names a shared (HDFS/object-store) folder there.  Only a local-mode session without
+    one (tests) gets an invented folder; on a cluster a missing setting is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            # a machine-local folder would lose the checkpoints with the executor that wrote them
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared (HDFS/object-store) folder")
         d = tempfile.mkdtemp(prefix="ferrule-ckpt-", dir=os.environ.get("FERRULE_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
