@@ -216,7 +216,7 @@ def links(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
         extra = rest.select("s").distinct()
         rows = (rows.unionByName(post.join(extra, "s", "left_semi").select("s", "doc"))
                 .unionByName(rest.select("s", "doc")).distinct())
-        ends = rest.groupBy("doc").agg(F.max(F.struct(F.col("late").cast("int"), "s")).alias("e"))
+        ends = rest.groupBy("doc").agg(F.max(F.struct(F.col("late").cast("int").alias("late"), "s")).alias("e"))
         low = F.lit(np.iinfo(np.int64).min)
         place = (place.join(ends, "doc", "left")
                  .withColumn("cut", F.when(F.col("e.late") == 0, F.col("e.s")).otherwise(F.col("cut")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ferrule.llm import jaccard_join, quality
+from ferrule.llm import decontaminate, extraction, jaccard_join, language, quality, topk
 from ferrule.llm.common import table
 
 
@@ -14,7 +14,24 @@ def op2_jaccard_join(spark, sf_dir):
     return jaccard_join.link_components(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_jaccard_join)}
+def op3_language_id(spark, sf_dir):
+    return language.identify(spark, table(spark, sf_dir, "documents"))
+
+
+def op4_html_extraction(spark, sf_dir):
+    return extraction.extract(spark, table(spark, sf_dir, "pages"))
+
+
+def op5_decontamination(spark, sf_dir):
+    return decontaminate.contamination(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_top_k(spark, sf_dir):
+    return topk.top_k(spark, table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_jaccard_join, op3_language_id, op4_html_extraction,
+                                   op5_decontamination, op6_top_k)}
 
 _WORDS = r"list_filter(regexp_split_to_array(%s, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
@@ -39,4 +56,13 @@ edges AS (
 reach AS (SELECT doc_id AS node, doc_id AS root FROM s UNION SELECT e.b, reach.root FROM reach JOIN edges e ON e.a = reach.node)
 SELECT s.doc_id, len(s.s) AS n_shingles, c.component_id
 FROM s JOIN (SELECT node, min(root) AS component_id FROM reach GROUP BY node) c ON c.node = s.doc_id""",
+    "op6_top_k": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s) t WHERE rank <= 5""",
 }
