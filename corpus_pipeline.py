@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from ferrule.llm import jaccard_join, quality
-from ferrule.llm.common import shared_path, table
+from pyspark.sql import functions as F
+
+from ferrule.llm import decontaminate, jaccard_join, pieces, quality, secrets
+from ferrule.llm.common import stored, table
 
 
 def quality_stage(spark, docs, sf_dir):
@@ -16,15 +18,31 @@ def dedup_stage(spark, docs, sf_dir):
     return jaccard_join.keep_one(spark, docs)
 
 
-STAGES = [("quality", quality_stage), ("jaccard_dedup", dedup_stage)]
+def decontamination_stage(spark, docs, sf_dir):
+    """Documents that contain no benchmark item."""
+    return decontaminate.keep_clean(spark, docs, table(spark, sf_dir, "benchmark"))
+
+
+def secrets_stage(spark, docs, sf_dir):
+    """All documents, with their credentials replaced by a mark; n_chars follows the new text."""
+    return secrets.redact(spark, docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def tokens_stage(spark, docs, sf_dir):
+    """(doc_id, n_tokens, ids, round_trip) of every document."""
+    import public_tokenizers
+
+    return pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+STAGES = [("quality", quality_stage), ("jaccard_dedup", dedup_stage), ("decontamination", decontamination_stage),
+          ("secrets", secrets_stage), ("sentencepiece", tokens_stage)]
 
 
 def run(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        path = shared_path(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        docs = stored(spark, stage(spark, docs, sf_dir), name)
     return docs
 
 

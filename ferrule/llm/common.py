@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -161,3 +162,40 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBa
 def crc_mod(col, n: int):
     """crc32 of the id as text, mod n (null id: null)."""
     return F.crc32(col.cast("string").cast("binary")) % F.lit(n)
+
+
+class UnitCache:
+    """Token ids of text units by the unit's fingerprint, in flat arrays; emptied when full."""
+
+    def __init__(self, dtype, limit: int):
+        self.dtype, self.limit = np.dtype(dtype), limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.slot: dict[int, int] = {}
+        self.start, self.count = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int64)
+        self.flat, self.used = np.empty(1 << 18, self.dtype), 0
+
+    def add(self, keys: list[int], counts: np.ndarray, ids: np.ndarray) -> None:
+        n, m = len(self.slot), len(keys)
+        while n + m > len(self.start):
+            self.start, self.count = np.resize(self.start, 2 * len(self.start)), np.resize(self.count, 2 * len(self.count))
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * len(self.flat))
+        self.start[n:n + m] = self.used + np.cumsum(counts) - counts
+        self.count[n:n + m] = counts
+        self.flat[self.used:self.used + len(ids)] = ids
+        self.used += len(ids)
+        self.slot.update(zip(keys, range(n, n + m)))
+
+    def find(self, keys: list[int]) -> np.ndarray:
+        """Slots, -1 where unknown; call before ``add`` of a batch's units."""
+        if len(self.slot) + len(keys) > self.limit and self.slot:
+            self.clear()
+        return np.fromiter(map(self.slot.get, keys, repeat(-1)), np.int64, len(keys))
+
+    def gather(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the units one after the other, where each unit begins and the last ends)."""
+        count = self.count[slots]
+        at = np.concatenate([[0], np.cumsum(count)])
+        return self.flat[np.repeat(self.start[slots] - at[:-1], count) + np.arange(at[-1])], at

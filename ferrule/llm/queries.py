@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ferrule.llm import decontaminate, extraction, jaccard_join, language, quality, topk
+from ferrule.llm import decontaminate, extraction, jaccard_join, language, pieces, quality, records, secrets, substring_dedup, topk
 from ferrule.llm.common import table
 
 
@@ -30,8 +30,29 @@ def op6_top_k(spark, sf_dir):
     return topk.top_k(spark, table(spark, sf_dir, "embeddings"))
 
 
+def op7_token_records(spark, sf_dir):
+    import public_tokenizers
+
+    return records.token_records(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op8_substring_dedup(spark, sf_dir):
+    return substring_dedup.digest(substring_dedup.dedup(spark, table(spark, sf_dir, "documents")))
+
+
+def op9_secret_scan(spark, sf_dir):
+    return secrets.scan(spark, table(spark, sf_dir, "documents"))
+
+
+def op10_sentencepiece(spark, sf_dir):
+    import public_tokenizers
+
+    return pieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_jaccard_join, op3_language_id, op4_html_extraction,
-                                   op5_decontamination, op6_top_k)}
+                                   op5_decontamination, op6_top_k, op7_token_records, op8_substring_dedup, op9_secret_scan,
+                                   op10_sentencepiece)}
 
 _WORDS = r"list_filter(regexp_split_to_array(%s, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
@@ -65,4 +86,16 @@ s AS (
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
 SELECT query_id, rank, vec_id, score FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s) t WHERE rank <= 5""",
+    "op8_substring_dedup": f"""
+WITH w AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS % "coalesce(text, '')"} AS w FROM documents),
+x AS (SELECT r, unnest(range(1, len(w) - 33)) AS i, w FROM w WHERE len(w) >= 35),
+g AS (SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS g FROM x),
+d AS (SELECT g FROM g GROUP BY g HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS i FROM g JOIN d USING (g)),
+lists AS (SELECT r, list(i) AS gone FROM gone GROUP BY r),
+kept AS (
+  SELECT doc_id, len(w) AS n, coalesce(len(gone), 0) AS removed,
+    CASE WHEN gone IS NULL THEN w ELSE list_transform(list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(gone, i)), lambda i: w[i]) END AS k
+  FROM w LEFT JOIN lists USING (r))
+SELECT doc_id, n AS n_words, removed AS n_removed, sha256(array_to_string(k, ' ')) AS kept_sha256 FROM kept""",
 }
