@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -199,3 +200,32 @@ class UnitCache:
         count = self.count[slots]
         at = np.concatenate([[0], np.cumsum(count)])
         return self.flat[np.repeat(self.start[slots] - at[:-1], count) + np.arange(at[-1])], at
+
+
+class Membership:
+    """A bitmap of hashed values: ``in`` for all that were put in, and for a few others.
+
+    Built by grouped bit_or, so only the words of the bitmap reach the driver: at most ``2**most`` bits.
+    """
+
+    def __init__(self, values: DataFrame, least: int = 20, most: int = 27):
+        name = values.columns[0]
+        n = values.agg(F.count("*")).first()[0]
+        self.bits = min(most, max(least, (16 * n).bit_length()))
+        at = F.pmod(F.xxhash64(F.col(name).cast("long")), F.lit(1 << self.bits))
+        words = (values.select(at.alias("b")).selectExpr("shiftright(b, 6) as w", "shiftleft(1L, cast(b % 64 as int)) as m")
+                 .groupBy("w").agg(F.expr("bit_or(m)").alias("m")).toArrow())
+        table = np.zeros(1 << (self.bits - 6), dtype=np.uint64)
+        table[words.column("w").to_numpy()] = words.column("m").to_numpy().view(np.uint64)
+        self.table = values.sparkSession.sparkContext.broadcast(table)
+
+    def rows(self, df: DataFrame, column: str) -> DataFrame:
+        """Rows of ``df`` whose value may be a member."""
+        at = F.pmod(F.xxhash64(F.col(column).cast("long")), F.lit(1 << self.bits))
+        table = self.table
+
+        @F.pandas_udf("boolean")
+        def member(b: pd.Series) -> pd.Series:
+            x = b.to_numpy()
+            return pd.Series((table.value[x >> 6] >> (x & 63).astype(np.uint64)) & np.uint64(1) != 0)
+        return df.filter(F.col(column).isNotNull()).filter(member(at))

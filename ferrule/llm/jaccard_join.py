@@ -27,11 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrule.llm.common import Words, lists, map_arrow, mix, signed, slices, stored
+from ferrule.llm.common import Membership, Words, lists, map_arrow, mix, signed, slices, stored
 from ferrule.llm.components import components
 
 #: At most so many frequent shingles are put last in the order (8 bytes each, broadcast).
 FREQUENT_MAX = 200_000
+#: Shingles of each set that the first round looks at.
+FIRST = 16
 #: Candidates of one probe are dealt over so many groups.
 SALTS = 64
 _TRIE_STEP = 128
@@ -66,7 +68,7 @@ class Threshold:
 
     def kept(self, n: int) -> int:
         """Elements kept of a set: the prefix, and room for frequent shingles that move to the end."""
-        return n if n <= 64 else min(n, self.prefix(n) * 5 // 4 + 2)
+        return n if n <= 64 else min(n, self.prefix(n) * 21 // 20 + 2)
 
     def need(self, a: int, b: int) -> int:
         return -(-self.percent * (a + b) // (100 + self.percent))
@@ -113,7 +115,8 @@ def _verify(docs: DataFrame, pairs: DataFrame, size: int, t: Threshold) -> DataF
     p = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int").alias("salt"))
     ask = (p.select(F.col("a").alias("id"), "a", "salt", F.lit(0).alias("kind")).distinct()
            .unionByName(p.select(F.col("b").alias("id"), "a", "salt", F.lit(1).alias("kind"))))
-    rows = (ask.join(docs, F.col("id") == F.col("doc")).select("a", "salt", "kind", "id", "text")
+    texts = Membership(ask.select("id").distinct()).rows(docs, "doc")   # before the shuffle of texts
+    rows = (ask.join(texts, F.col("id") == F.col("doc")).select("a", "salt", "kind", "id", "text")
             .repartition("a", "salt").sortWithinPartitions("a", "salt", "kind", "id"))
 
     def run(batches):
@@ -189,30 +192,36 @@ def links(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
     cls = known.groupBy("n", "h1", "h2").agg(F.min("doc").alias("rep"))
     members = stored(spark, sig.select("doc", "n", "h1", "h2").join(cls, ["n", "h1", "h2"], "left").select("doc", "n", "rep"),
                      "members")
-    reps = known.join(cls.withColumnRenamed("rep", "doc"), ["doc", "n", "h1", "h2"], "left_semi").select("doc", "n", "pre")
-    post = reps.select("doc", "n", F.explode("pre").alias("s"))
-    lead = (post.groupBy("s").agg(F.count("*").alias("c"), F.min(F.struct("n", "doc")).alias("lead")).filter("c > 1").drop("c"))
-    shared = stored(spark, post.join(lead, "s").select("s", "doc", "n", F.col("lead.doc").alias("lead"),
-                                                       F.col("lead.n").alias("lead_n")), "shared")
-    near = (shared.filter("doc <> lead and 100 * lead_n >= %d * n" % percent)
-            .groupBy(F.col("lead").alias("a"), F.col("doc").alias("b")).agg(F.count("*").alias("c"), F.first("lead_n").alias("n"))
-            .filter("100 * c >= (100 - %d) * n / 3" % percent))
+    # copies are left out by a bitmap of the representatives: one that passes by chance is only one node more
+    reps = Membership(members.filter("rep is not null").select("rep").distinct()).rows(known.select("doc", "n", "pre"), "doc")
+
+    # first round: each node and the least node of each of its first shingles
+    few = reps.select("doc", "n", F.explode(F.slice("pre", 1, FIRST)).alias("s"))
+    lead = (few.groupBy("s").agg(F.count("*").alias("c"), F.min(F.struct("n", "doc")).alias("lead")).filter("c > 1")
+            .select("s", F.col("lead.doc").alias("a"), F.col("lead.n").alias("lead_n")))
+    near = (few.join(lead, "s").filter(f"doc <> a and 100 * lead_n >= {percent} * n")
+            .groupBy("a", F.col("doc").alias("b")).agg(F.count("*").alias("c"), F.first("lead_n").alias("n"))
+            .filter(f"4 * c >= least({FIRST}, n)"))
     first = stored(spark, _verify(docs, near, size, t), "links")
     comp = components(spark, first)
 
     # second round: exact, between components
     by_doc = comp.select(F.col("node").alias("doc"), "component")
-    here = shared.select("s", "doc").distinct().join(by_doc, "doc", "left").select("s", "doc", F.coalesce("component", "doc").alias("comp"))
-    several = here.select("s", "comp").distinct().groupBy("s").agg(F.count("*").alias("k")).filter("k > 1")
+    post = reps.select("doc", "n", F.explode("pre").alias("s"))
+    twice = post.groupBy("s").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo <> hi")
+    found = Membership(stored(spark, twice.select("s"), "twice")).rows(post, "s")
+    shared = stored(spark, found.join(by_doc, "doc", "left").select("s", "doc", F.coalesce("component", "doc").alias("comp")), "shared")
+    several = shared.select("s", "comp").distinct().groupBy("s").agg(F.count("*").alias("k")).filter("k > 1")
     many = stored(spark, several.filter(F.col("k") > frequent).orderBy(F.desc("k"), "s").limit(FREQUENT_MAX).select("s"), "frequent")
     late = np.array([r.s for r in many.collect()], dtype=np.int64)
     cuts = stored(spark, _cuts(reps, late, t), "cuts")
-    far = docs.join(cuts.filter("short").select("doc").distinct(), "doc", "left_semi")
-    rest = stored(spark, _whole(far, late, size, t), "rest")
+    short = cuts.filter("short").select("doc").distinct()
+    some = not short.isEmpty()
     place = cuts.join(by_doc, "doc", "left").withColumn("comp", F.coalesce("component", "doc")).drop("component", "short")
     flag = F.broadcast(many.withColumn("late", F.lit(True)))
     rows = shared.select("s", "doc").join(several.select("s"), "s", "left_semi")
-    if not rest.isEmpty():                                   # elements of these sets beyond the kept ones
+    if some:                                                 # elements of these sets beyond the kept ones
+        rest = stored(spark, _whole(Membership(short).rows(docs, "doc"), late, size, t), "rest")
         extra = rest.select("s").distinct()
         rows = (rows.unionByName(post.join(extra, "s", "left_semi").select("s", "doc"))
                 .unionByName(rest.select("s", "doc")).distinct())
@@ -233,7 +242,7 @@ def links(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
                     F.when(F.col("x.end") <= F.col("y.end"), F.col("x.n")).otherwise(F.col("y.n")).alias("nq"))
             .groupBy("a", "b", "na", "nb", "nq").agg(F.count("*").alias("c")))
     # common elements up to the earlier end are counted in c; beyond it only n - prefix elements are left
-    left = f"floor({percent} * nq / 100.0 + 0.999999) - 1"
+    left = f"({percent} * nq + 99) div 100 - 1"
     both = both.filter(f"(c + {left}) * {100 + percent} >= {percent} * (na + nb)").select("a", "b").distinct()
     second = stored(spark, _verify(docs, both, size, t), "links")
     return members, first.unionByName(second)
