@@ -13,7 +13,6 @@ from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +45,7 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write to the shared folder as Parquet and read it back."""
     path = shared_path(spark, name)
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()        # the driver's garbage holds the shuffle files of this write
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -208,24 +208,40 @@ class Membership:
     Built by grouped bit_or, so only the words of the bitmap reach the driver: at most ``2**most`` bits.
     """
 
-    def __init__(self, values: DataFrame, least: int = 20, most: int = 27):
+    def __init__(self, values: DataFrame, least: int = 16, most: int = 25):
         name = values.columns[0]
         n = values.agg(F.count("*")).first()[0]
         self.bits = min(most, max(least, (16 * n).bit_length()))
-        at = F.pmod(F.xxhash64(F.col(name).cast("long")), F.lit(1 << self.bits))
-        words = (values.select(at.alias("b")).selectExpr("shiftright(b, 6) as w", "shiftleft(1L, cast(b % 64 as int)) as m")
-                 .groupBy("w").agg(F.expr("bit_or(m)").alias("m")).toArrow())
+        # the place is computed the same way in ``mask``: signed shift and mask of the mixed value
+        words = map_arrow(values.select(F.col(name).cast("long").alias("v")), self._places, "w long, m long")
+        words = words.groupBy("w").agg(F.expr("bit_or(m)").alias("m")).toArrow()
         table = np.zeros(1 << (self.bits - 6), dtype=np.uint64)
         table[words.column("w").to_numpy()] = words.column("m").to_numpy().view(np.uint64)
         self.table = values.sparkSession.sparkContext.broadcast(table)
 
-    def rows(self, df: DataFrame, column: str) -> DataFrame:
-        """Rows of ``df`` whose value may be a member."""
-        at = F.pmod(F.xxhash64(F.col(column).cast("long")), F.lit(1 << self.bits))
-        table = self.table
-
-        @F.pandas_udf("boolean")
-        def member(b: pd.Series) -> pd.Series:
-            x = b.to_numpy()
-            return pd.Series((table.value[x >> 6] >> (x & 63).astype(np.uint64)) & np.uint64(1) != 0)
-        return df.filter(F.col(column).isNotNull()).filter(member(at))
+    def _at(self, v: np.ndarray) -> np.ndarray:
+        return (mix(v.view(np.uint64) + np.uint64(0x51ED270B)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _places(self, b: pa.RecordBatch):
+        at = np.unique(self._at(b.column(0).drop_null().to_numpy()))
+        w, first = np.unique(at >> 6, return_index=True)
+        if len(w):
+            m = np.bitwise_or.reduceat(np.uint64(1) << (at & 63).astype(np.uint64), first)
+            yield pa.RecordBatch.from_arrays([pa.array(w), pa.array(signed(m))], ["w", "m"])
+
+    def __getstate__(self):
+        return {"bits": self.bits, "table": self.__dict__.get("table")}
+
+    def mask(self, v: np.ndarray) -> np.ndarray:
+        """Which of the values (int64) may be members; for use inside tasks."""
+        at = self._at(v)
+        return (self.table.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) != 0
+
+    def rows(self, df: DataFrame) -> DataFrame:
+        """Rows of ``df`` whose first column (a long) may be a member; nulls are none."""
+        def run(b):
+            v = b.column(0)
+            keep = self.mask(v.fill_null(0).to_numpy()) & v.is_valid().to_numpy(zero_copy_only=False)
+            if keep.any():
+                yield b.filter(pa.array(keep))
+        return map_arrow(df, run, df.schema)

@@ -89,6 +89,26 @@ def _signatures(docs: DataFrame, size: int, t: Threshold) -> DataFrame:
     return map_arrow(docs, run, "doc long, n long, h1 long, h2 long, pre array<long>")
 
 
+def _postings(sig: DataFrame, rep: Membership, first: int | None = None, having: Membership | None = None) -> DataFrame:
+    """(s, doc, n): the kept shingles, or the first so many, of each representative."""
+    def run(b):
+        doc, n, pre = b.column(0), b.column(1).to_numpy(), b.column(2)
+        keep = rep.mask(doc.fill_null(0).to_numpy()) & doc.is_valid().to_numpy(zero_copy_only=False) & (n > 0)
+        off, flat = pre.offsets.to_numpy().astype(np.int64), pre.values.to_numpy(zero_copy_only=False)
+        size = np.where(keep, np.diff(off), 0)
+        if first is not None:
+            size = np.minimum(size, first)
+        at = np.repeat(off[:-1] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        row, s = np.repeat(np.arange(b.num_rows), size), flat[at]
+        if having is not None:
+            yes = having.mask(s)
+            row, s = row[yes], s[yes]
+        for a in range(0, len(s), 1 << 18):                      # bounded batches
+            r = row[a:a + (1 << 18)]
+            yield pa.RecordBatch.from_arrays([pa.array(s[a:a + (1 << 18)]), doc.take(pa.array(r)), pa.array(n[r])], ["s", "doc", "n"])
+    return map_arrow(sig.select("doc", "n", "pre"), run, "s long, doc long, n long")
+
+
 def _by_trie(probe: np.ndarray, cands: list[tuple[int, np.ndarray]], t: Threshold) -> list[int]:
     """Ids of the candidates that link with the probe."""
     out = []
@@ -115,7 +135,7 @@ def _verify(docs: DataFrame, pairs: DataFrame, size: int, t: Threshold) -> DataF
     p = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int").alias("salt"))
     ask = (p.select(F.col("a").alias("id"), "a", "salt", F.lit(0).alias("kind")).distinct()
            .unionByName(p.select(F.col("b").alias("id"), "a", "salt", F.lit(1).alias("kind"))))
-    texts = Membership(ask.select("id").distinct()).rows(docs, "doc")   # before the shuffle of texts
+    texts = Membership(ask.select("id").distinct()).rows(docs)   # before the shuffle of texts
     rows = (ask.join(texts, F.col("id") == F.col("doc")).select("a", "salt", "kind", "id", "text")
             .repartition("a", "salt").sortWithinPartitions("a", "salt", "kind", "id"))
 
@@ -193,10 +213,10 @@ def links(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
     members = stored(spark, sig.select("doc", "n", "h1", "h2").join(cls, ["n", "h1", "h2"], "left").select("doc", "n", "rep"),
                      "members")
     # copies are left out by a bitmap of the representatives: one that passes by chance is only one node more
-    reps = Membership(members.filter("rep is not null").select("rep").distinct()).rows(known.select("doc", "n", "pre"), "doc")
+    rep = Membership(members.filter("rep is not null").select("rep").distinct())
 
     # first round: each node and the least node of each of its first shingles
-    few = reps.select("doc", "n", F.explode(F.slice("pre", 1, FIRST)).alias("s"))
+    few = _postings(sig, rep, FIRST)
     lead = (few.groupBy("s").agg(F.count("*").alias("c"), F.min(F.struct("n", "doc")).alias("lead")).filter("c > 1")
             .select("s", F.col("lead.doc").alias("a"), F.col("lead.n").alias("lead_n")))
     near = (few.join(lead, "s").filter(f"doc <> a and 100 * lead_n >= {percent} * n")
@@ -207,23 +227,22 @@ def links(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
 
     # second round: exact, between components
     by_doc = comp.select(F.col("node").alias("doc"), "component")
-    post = reps.select("doc", "n", F.explode("pre").alias("s"))
-    twice = post.groupBy("s").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo <> hi")
-    found = Membership(stored(spark, twice.select("s"), "twice")).rows(post, "s")
+    twice = _postings(sig, rep).groupBy("s").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo <> hi")
+    found = _postings(sig, rep, having=Membership(stored(spark, twice.select("s"), "twice")))
     shared = stored(spark, found.join(by_doc, "doc", "left").select("s", "doc", F.coalesce("component", "doc").alias("comp")), "shared")
     several = shared.select("s", "comp").distinct().groupBy("s").agg(F.count("*").alias("k")).filter("k > 1")
     many = stored(spark, several.filter(F.col("k") > frequent).orderBy(F.desc("k"), "s").limit(FREQUENT_MAX).select("s"), "frequent")
     late = np.array([r.s for r in many.collect()], dtype=np.int64)
-    cuts = stored(spark, _cuts(reps, late, t), "cuts")
+    cuts = stored(spark, _cuts(rep.rows(sig.select("doc", "n", "pre")).filter("n > 0"), late, t), "cuts")
     short = cuts.filter("short").select("doc").distinct()
     some = not short.isEmpty()
     place = cuts.join(by_doc, "doc", "left").withColumn("comp", F.coalesce("component", "doc")).drop("component", "short")
     flag = F.broadcast(many.withColumn("late", F.lit(True)))
     rows = shared.select("s", "doc").join(several.select("s"), "s", "left_semi")
     if some:                                                 # elements of these sets beyond the kept ones
-        rest = stored(spark, _whole(Membership(short).rows(docs, "doc"), late, size, t), "rest")
+        rest = stored(spark, _whole(Membership(short).rows(docs), late, size, t), "rest")
         extra = rest.select("s").distinct()
-        rows = (rows.unionByName(post.join(extra, "s", "left_semi").select("s", "doc"))
+        rows = (rows.unionByName(_postings(sig, rep).join(extra, "s", "left_semi").select("s", "doc"))
                 .unionByName(rest.select("s", "doc")).distinct())
         ends = rest.groupBy("doc").agg(F.max(F.struct(F.col("late").cast("int").alias("late"), "s")).alias("e"))
         low = F.lit(np.iinfo(np.int64).min)

@@ -30,7 +30,9 @@ MARK = "▁"
 LONG = 256
 CACHE_UNITS = 400_000
 #: Characters of text handled at once inside a task.
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 500_000
+#: Characters of new units indexed by one suffix array (about 250 bytes each).
+INDEX_CHARS = 250_000
 _NONE = np.int32(2 ** 31 - 1)
 
 
@@ -206,7 +208,9 @@ class Pieces:
         slot = self.units.find(keys)
         new = np.flatnonzero(slot < 0)
         if len(new):
-            self._learn([keys[k] for k in new.tolist()], [cp[s[at[k]]:e[at[k]]] for k in new.tolist()])
+            size = np.cumsum(e[at[new]] - s[at[new]] + 1)
+            for part in np.split(new, np.flatnonzero(np.diff(size // INDEX_CHARS)) + 1):
+                self._learn([keys[k] for k in part.tolist()], [cp[s[at[k]]:e[at[k]]] for k in part.tolist()])
             slot[new] = [self.units.slot[keys[k]] for k in new.tolist()]
         ids, total = self.units.gather(slot[inv])
         cut = total[np.searchsorted(s, bound)]
