@@ -130,9 +130,9 @@ def _by_trie(probe: np.ndarray, cands: list[tuple[int, np.ndarray]], t: Threshol
     return out
 
 
-def _verify(docs: DataFrame, pairs: DataFrame, size: int, t: Threshold) -> DataFrame:
+def _verify(spark: SparkSession, docs: DataFrame, pairs: DataFrame, size: int, t: Threshold) -> DataFrame:
     """The pairs (a, b) that link."""
-    p = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int").alias("salt"))
+    p = stored(spark, pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int").alias("salt")), "pairs")
     ask = (p.select(F.col("a").alias("id"), "a", "salt", F.lit(0).alias("kind")).distinct()
            .unionByName(p.select(F.col("b").alias("id"), "a", "salt", F.lit(1).alias("kind"))))
     texts = Membership(ask.select("id").distinct()).rows(docs)   # before the shuffle of texts
@@ -222,7 +222,7 @@ def links(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
     near = (few.join(lead, "s").filter(f"doc <> a and 100 * lead_n >= {percent} * n")
             .groupBy("a", F.col("doc").alias("b")).agg(F.count("*").alias("c"), F.first("lead_n").alias("n"))
             .filter(f"4 * c >= least({FIRST}, n)"))
-    first = stored(spark, _verify(docs, near, size, t), "links")
+    first = stored(spark, _verify(spark, docs, near, size, t), "links")
     comp = components(spark, first)
 
     # second round: exact, between components
@@ -230,7 +230,7 @@ def links(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
     twice = _postings(sig, rep).groupBy("s").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo <> hi")
     found = _postings(sig, rep, having=Membership(stored(spark, twice.select("s"), "twice")))
     shared = stored(spark, found.join(by_doc, "doc", "left").select("s", "doc", F.coalesce("component", "doc").alias("comp")), "shared")
-    several = shared.select("s", "comp").distinct().groupBy("s").agg(F.count("*").alias("k")).filter("k > 1")
+    several = stored(spark, shared.select("s", "comp").distinct().groupBy("s").agg(F.count("*").alias("k")).filter("k > 1"), "several")
     many = stored(spark, several.filter(F.col("k") > frequent).orderBy(F.desc("k"), "s").limit(FREQUENT_MAX).select("s"), "frequent")
     late = np.array([r.s for r in many.collect()], dtype=np.int64)
     cuts = stored(spark, _cuts(rep.rows(sig.select("doc", "n", "pre")).filter("n > 0"), late, t), "cuts")
@@ -241,8 +241,8 @@ def links(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
     rows = shared.select("s", "doc").join(several.select("s"), "s", "left_semi")
     if some:                                                 # elements of these sets beyond the kept ones
         rest = stored(spark, _whole(Membership(short).rows(docs), late, size, t), "rest")
-        extra = rest.select("s").distinct()
-        rows = (rows.unionByName(_postings(sig, rep).join(extra, "s", "left_semi").select("s", "doc"))
+        extra = Membership(rest.select("s").distinct())      # what passes by chance is a posting all the same
+        rows = (rows.unionByName(_postings(sig, rep, having=extra).select("s", "doc"))
                 .unionByName(rest.select("s", "doc")).distinct())
         ends = rest.groupBy("doc").agg(F.max(F.struct(F.col("late").cast("int").alias("late"), "s")).alias("e"))
         low = F.lit(np.iinfo(np.int64).min)
@@ -263,7 +263,7 @@ def links(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
     # common elements up to the earlier end are counted in c; beyond it only n - prefix elements are left
     left = f"({percent} * nq + 99) div 100 - 1"
     both = both.filter(f"(c + {left}) * {100 + percent} >= {percent} * (na + nb)").select("a", "b").distinct()
-    second = stored(spark, _verify(docs, both, size, t), "links")
+    second = stored(spark, _verify(spark, docs, both, size, t), "links")
     return members, first.unionByName(second)
 
 
