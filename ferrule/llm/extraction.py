@@ -9,7 +9,8 @@ forms and reader comments go; where there is an ``article`` (else a ``main``) el
 and those are the page's own text even where another page quotes them.
 
 A host with many pages is dealt into groups of some ``GROUP`` pages by a hash of the path, each
-sorted and compared by itself, so no host is one task.  Inside a task three pages are held at once.
+sorted and compared by itself, so no host is one task.  Equal pages in a row count as one page here, so that
+their neighbours are other pages; inside a task three pages are held at once.
 
 Defined cases: null html is empty text; null urls have no neighbour; equal URLs are neighbours; unclosed
 elements end with their parent or the page; a page without text has the empty string.
@@ -166,24 +167,25 @@ def extract(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", url_
     src = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).alias("html"))
     host = F.lower(F.regexp_extract("url", r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1))
     path = F.regexp_extract("url", r"^(?:(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*)?([^?#]*)", 1)
-    sizes = src.select(host.alias("host")).groupBy("host").agg(F.ceil(F.count("*") / GROUP).alias("groups"))
-    lines = map_arrow(src, parse, "page_id long, url string, lines array<string>, places array<tinyint>")
     site = F.coalesce(host, F.lit(""))
+    sizes = src.select(site.alias("site")).groupBy("site").agg(F.ceil(F.count("*") / GROUP).alias("groups"))
+    lines = map_arrow(src, parse, "page_id long, url string, lines array<string>, places array<tinyint>")
     keyed = (lines.withColumn("site", site).withColumn("path", F.coalesce(path, F.lit("")))
-             .join(sizes.select(F.coalesce("host", F.lit("")).alias("site"), "groups"), "site"))
+             .join(sizes, "site"))
     # null urls are no neighbours of anything: each in a group of its own hash
     dealt = keyed.withColumn("part", F.when(F.col("url").isNull(), F.xxhash64("page_id"))
                              .otherwise(F.pmod(F.crc32(F.encode("path", "UTF-8")), F.col("groups"))))
     near = dealt.repartition("site", "part").sortWithinPartitions("site", "part", "path", "url", "page_id")
 
     def compare(batches):
-        held: list[tuple] = []                                 # the last pages of the group: (key, id, url, blocks)
+        held: list[tuple] = []                                 # the last runs of equal pages: (key, blocks, their ids and urls)
         out: list[tuple] = []
 
         def emit(i):
-            key = held[i][0]
-            near = [held[j][3] for j in (i - 1, i + 1) if 0 <= j < len(held) and held[j][0] == key]
-            out.append((held[i][1], held[i][2], main_text(held[i][3], near)))
+            key, page, members = held[i]
+            near = [held[j][1] for j in (i - 1, i + 1) if 0 <= j < len(held) and held[j][0] == key]
+            text = main_text(page, near)
+            out.extend((pid, url, text) for pid, url in members)
 
         def batch():
             rows = pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.string(), pa.string()))],
@@ -194,7 +196,11 @@ def extract(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", url_
         for b in batches:
             cols = [b.column(k).to_pylist() for k in range(6)]
             for site, part, pid, url, text, place in zip(*cols):
-                held.append(((site, part), pid, url, list(zip(text, place))))
+                page = list(zip(text, place))
+                if held and held[-1][:2] == ((site, part), page):
+                    held[-1][2].append((pid, url))
+                    continue
+                held.append(((site, part), page, [(pid, url)]))
                 if len(held) > 3:
                     held.pop(0)
                 if len(held) > 1:
