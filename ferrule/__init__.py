@@ -6,7 +6,6 @@ functions  Column-level helpers (date arithmetic, text rules, row-wise aggregate
 operators  DataFrame-level operators (history/snapshots, statistics, data-quality checks).
 sources    Readers, writers, schemas and the adapter that maps the driver tables onto job roles.
 plans      The six jobs, each a function from DataFrames and parameters to DataFrames.
-streaming  Nothing: every job is batch (see the package docstring there).
 """
 
 __all__ = ["functions", "operators", "sources", "plans"]

@@ -81,7 +81,8 @@ FROM v_salaries s JOIN v_titles t ON s.emp_no = t.emp_no GROUP BY t.title"""),
     "daily_mean": with_views(DAILY),
     "precipitation_rows": with_views("""SELECT date, prcp AS precipitation FROM v_measurement
 WHERE date BETWEEN DATE '2024-01-05' AND DATE '2024-01-25'"""),
-    "station_count": with_views("SELECT count(station) AS station_count FROM v_station"),
+    "json_rows": with_views("SELECT * FROM v_station"),
+    "station_count": with_views("SELECT count(*) AS station_count FROM v_station"),
     "station_activity": with_views("SELECT station, count(id) AS n FROM v_measurement GROUP BY station"),
     "top_station_hist": with_views(hist_sql(
         f"SELECT tobs FROM v_measurement WHERE station = {TOP} AND date >= DATE '2024-01-10'", "tobs", 12)),

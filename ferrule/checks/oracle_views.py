@@ -132,7 +132,7 @@ VIEWS["v_submissions"] = "SELECT CAST(o_custkey AS VARCHAR) AS loan_nbr, o_order
 VIEWS["v_denials"] = """SELECT CAST(o_custkey AS VARCHAR) AS loan_nbr,
  CASE WHEN o_orderstatus = 'F' THEN o_orderdate END AS hud_prelim_ttl_dny_dt FROM orders"""
 
-VIEWS["v_exception_history"] = """SELECT event_id % 3000 AS excp_id, CAST((event_id % 3000) % 1500 AS VARCHAR) AS loan_nbr,
+VIEWS["v_exception_history"] = """SELECT event_id // 4 AS excp_id, CAST(event_id // 8 AS VARCHAR) AS loan_nbr,
  CASE event_type WHEN 'click' THEN 'Loss Draft' WHEN 'view' THEN 'LOSS DRAFT' ELSE 'Occupancy Cert' END AS doc_desc,
  CASE WHEN value < 10 THEN 'Forced Placed Insurance' WHEN value < 20 THEN 'Not enough repays' ELSE 'Other' END AS issu_desc,
  CASE event_type WHEN 'signup' THEN 'CLOSED' WHEN 'purchase' THEN 'Resolved' WHEN 'error' THEN 'In Process'

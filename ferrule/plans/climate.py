@@ -25,12 +25,14 @@ def daily_mean(m: DataFrame, start, end) -> DataFrame:
 
 def precipitation_rows(m: DataFrame, start, end, ordered: bool = True) -> DataFrame:
     """The text version of the one-year query: plain (date, prcp) rows in [start, end], by date."""
-    out = m.where(F.col("date").between(date_lit(start), date_lit(end))).select("date", F.col("prcp").alias("precipitation"))
-    return out.orderBy("date", "precipitation") if ordered else out
+    out = m.where(F.col("date").between(date_lit(start), date_lit(end)))
+    if ordered:                                        # the last keys make the order unique
+        out = out.orderBy("date", "prcp", *[c for c in ("station", "id") if c in out.columns])
+    return out.select("date", F.col("prcp").alias("precipitation"))
 
 
 def station_count(stations: DataFrame) -> DataFrame:
-    return stations.agg(F.count("station").alias("station_count"))
+    return stations.agg(F.count(F.lit(1)).alias("station_count"))
 
 
 def station_activity(m: DataFrame) -> DataFrame:
@@ -66,8 +68,12 @@ def date_values(m: DataFrame, value: str = "prcp", name: str = "precipitation")
 
 
 def last_year_values(m: DataFrame) -> DataFrame:
-    """(date, tobs) from the same day one year before the latest date on (scalar subquery)."""
-    since = same_day_last_year(m.agg(F.max("date")).scalar())
+    """(date, tobs) from the same day one year before the latest date on.
+
+    The latest date is read first (one row), so that the bound is a literal and reaches the scan.
+    """
+    latest = m.agg(F.max("date").cast("date")).first()[0]
+    since = same_day_last_year(F.lit(latest).cast("date"))
     return m.where(F.col("date") >= since).select("date", "tobs")
 
 

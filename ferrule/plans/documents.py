@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ferrule.functions.rowwise import by_kind, row_min
 from ferrule.functions.rules import Rule, first_match
-from ferrule.functions.semantics import (braced, ci_in, ci_not_in, date_lit, day_diff, in_or_null, month_diff,
+from ferrule.functions.semantics import (braced, ci_in, ci_key, ci_not_in, date_lit, day_diff, in_or_null, month_diff,
                                          recode, strip_zeros, ts_lit, SENTINEL_NEVER_DATE)
 from ferrule.plans.letters import GC, LEDGER, NON_GC
 from ferrule.plans import JobResult
@@ -83,7 +83,7 @@ def base(t: dict[str, DataFrame], p: DocumentParams) -> DataFrame:
          .join(e, "loan_number", "inner")                                 # WHERE document IS NOT NULL
          .join(c, "loan_number", "inner")
          .join(t["exception_total"], "loan_number", "left")
-         .join(r, F.col("hud_assigned_to") == r.agnt_nm, "left"))
+         .join(r, ci_key("hud_assigned_to") == ci_key(r.agnt_nm), "left"))
     doc = F.col("document")
     mca = F.col("mca_pct")
     return j.select(
@@ -119,7 +119,7 @@ def matches(b: DataFrame, t: dict[str, DataFrame], p: DocumentParams) -> DataFra
     original_doc_nm, cre_dt, n_valid, n_invalid.
     """
     docs = t["document_repository"].select(
-        strip_zeros("loan_key").alias("loan_number"), "doc_type_cd", "original_doc_nm", "obj_id", "cre_dt")
+        strip_zeros("loan_key").alias("loan_number"), ci_key("doc_type_cd").alias("_code"), "original_doc_nm", "obj_id", "cre_dt")
     recent = F.abs(month_diff(date_lit(p.run_ts.date()), F.col("cre_dt").cast("date"))) <= p.recency_months
     # the OR of the two code branches becomes one equi-join on (loan, code): every base row offers
     # its two codes (the second one with the recency condition); the two codes of a row always
@@ -129,17 +129,17 @@ def matches(b: DataFrame, t: dict[str, DataFrame], p: DocumentParams) -> DataFra
         F.struct(F.coalesce(F.col("por_fn_code_2"), F.lit(NO_SECOND_CODE)).alias("code"),
                  F.lit(True).alias("needs_recent"))))
     bc = b.select("loan_number", "exception_id", "document", offers.alias("o")) \
-        .select("loan_number", "exception_id", "document", F.col("o.code").alias("doc_type_cd"),
+        .select("loan_number", "exception_id", "document", ci_key(F.col("o.code")).alias("_code"),
                 F.col("o.needs_recent").alias("_needs_recent"))
-    m = (bc.join(docs, ["loan_number", "doc_type_cd"])
+    m = (bc.join(docs, ["loan_number", "_code"])
          .where(~F.col("_needs_recent") | recent).drop("_needs_recent"))
     # invalid ids: one grouping by (loan, guid) gives both the ids per loan and the ids per guid
-    ids = t["invalid_documents"].groupBy(F.col("loan_nbr").alias("loan_number"), F.col("guid").alias("_guid")) \
+    ids = t["invalid_documents"].groupBy(F.col("loan_nbr").alias("loan_number"), ci_key("guid").alias("_guid")) \
         .agg(F.count(F.lit(1)).alias("_n"))
     per_loan = ids.groupBy("loan_number").agg(F.sum("_n").alias("n_ids"))
     per_guid = ids.where(F.col("_guid").isNotNull()).select("loan_number", "_guid", F.col("_n").alias("n_match"))
     m = (m.join(per_loan, "loan_number", "left")
-         .withColumn("_guid", braced("obj_id"))
+         .withColumn("_guid", ci_key(braced("obj_id")))
          .join(per_guid, ["loan_number", "_guid"], "left").drop("_guid"))
     n_ids = F.coalesce(F.col("n_ids"), F.lit(0))
     n_match = F.coalesce(F.col("n_match"), F.lit(0))

@@ -418,9 +418,9 @@ def run(tables: dict[str, DataFrame], params: LetterParams | None = None, ordere
         "hoa": lambda: hoa_frame(r["population"], r["exceptions"], p),
         "occ": lambda: occ_frame(r["population"], r["exceptions"], p),
         "nts": lambda: nts_frame(r["population"], r["exceptions"], p),
-        # shared intermediates, materialised once (the population keeps its loan-number partitioning;
-        # the exceptions are not force-partitioned, a hot loan would become one task)
-        "_population_m": lambda: materialize(population(tables, p), "loan_number"),
+        # shared intermediates, materialised once (not force-partitioned: later joins shuffle anyway,
+        # and a hot loan would become one task)
+        "_population_m": lambda: materialize(population(tables, p)),
         "_exceptions_m": lambda: materialize(exception_scrub(tables, r["_population_m"], p)),
         "_hoa_m": lambda: hoa_frame(*shared(), p),
         "_occ_m": lambda: occ_frame(*shared(), p),

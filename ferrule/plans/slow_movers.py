@@ -32,7 +32,7 @@ def period_bounds(business_dates: DataFrame, as_of, date_col: str = "bus_proc_dt
 
     bom = first day of the previous month (correct in January, unlike text built from month-1).
     eom = last business date whose month is the previous month; as written that is *any year*
-    (and NULL in January); ``strict_year=True`` restricts it to the previous month itself.
+    (in January: December); ``strict_year=True`` restricts it to the previous month itself.
     """
     a = date_lit(as_of)
     bom = F.trunc(F.add_months(a, -1), "MM")
@@ -40,7 +40,7 @@ def period_bounds(business_dates: DataFrame, as_of, date_col: str = "bus_proc_dt
     if strict_year:
         cond = d.cast("date").between(bom, F.last_day(bom))
     else:
-        cond = F.month(d) == F.month(a) - 1
+        cond = F.month(d) == F.month(F.add_months(a, -1))
     eom = business_dates.agg(F.max(F.when(cond, d)).cast("date").alias("eom"))
     return eom.select(bom.alias("bom"), "eom", yyyymmdd(bom).alias("bom_int"), yyyymmdd(F.col("eom")).alias("eom_int"))
 
