@@ -1,5 +1,5 @@
-"""DuckDB oracle for the document scrub, in the source report's shape: ``#INVALID`` is built by
-brute force (every invalid id x every matching document), then grouped / filtered."""
+"""DuckDB oracle for the document scrub, from its contracts: documents are counted against the listed ids
+first, then matched to what the base rows ask for."""
 
 from __future__ import annotations
 
@@ -45,36 +45,50 @@ WHERE {ci('a.loan_status')} IN ('ACTIVE') AND a.tag_2 IS NULL AND a.incurable_fl
  AND {ci('c.hud_status')} NOT IN ({up('HUD Approved', 'Pkg Submitted to HUD', 'Resubmitted to HUD', 'Rebuttal to HUD')})
  AND e.document IS NOT NULL"""
 
-INV = f"""SELECT b.*, d.obj_id,
- CASE WHEN {ci('d.original_doc_nm')} = 'OCCERT' THEN 'Current OCC Cert' WHEN {ci('d.original_doc_nm')} = 'TRUST' THEN 'Trust'
-      WHEN {ci('d.original_doc_nm')} = 'HOADOCS' THEN 'HOA' WHEN {ci('d.original_doc_nm')} = 'C.DEATH' THEN 'Death Cert'
-      WHEN {ci('d.original_doc_nm')} IN ('REPAIRINS', 'REPAIRS') THEN 'Proof of Repair' END AS invalid_excp_type,
- d.cre_dt, CASE WHEN upper(rtrim('{{' || d.obj_id || '}}', ' ')) = {ci('c.guid')} THEN 'Invalid' ELSE 'Valid' END AS invalid_flag
-FROM base b
-LEFT JOIN v_invalid_documents c ON b.loan_number = c.loan_nbr
-LEFT JOIN v_document_repository d ON b.loan_number = replace(ltrim(replace(d.loan_key, '0', ' ')), ' ', '0')
-WHERE {ci('d.doc_type_cd')} = {ci('b.excp_fn_code')}
-   OR coalesce(b.por_fn_code_2, 'NOTPOREXCEPTION') = {ci('d.doc_type_cd')}
-      AND abs((year(d.cre_dt) * 12 + month(d.cre_dt)) - (year({TODAY}) * 12 + month({TODAY}))) <= 10"""
-
-FINAL = """SELECT a.loan_number, a.refreshed, a.mca, a.mca_flag, '{' || b.obj_id || '}' AS guid, b.cre_dt AS date_created,
- a.document, a.issue, a.exception_request_date
-FROM base a
-LEFT JOIN inv b ON a.loan_number = b.loan_number
-LEFT JOIN (SELECT exception_id, max(cre_dt) AS invalid_dt FROM inv WHERE invalid_flag = 'Invalid' GROUP BY exception_id) c
-  ON a.exception_id = c.exception_id
-LEFT JOIN (SELECT exception_id, max(cre_dt) AS valid_dt FROM inv WHERE invalid_flag = 'Valid' GROUP BY exception_id) d
-  ON a.exception_id = d.exception_id
-WHERE b.cre_dt = d.valid_dt AND b.cre_dt > coalesce(c.invalid_dt, TIMESTAMP '1900-01-01 00:00:00')"""
-
-CTES = [("base", BASE), ("inv", INV)]
+# How often each invalid id is listed for a loan; a document listed k of n times stands for k Invalid rows and
+# n - k Valid ones, and for one Valid row where the loan lists nothing.
+LISTED = f"""SELECT loan_nbr AS loan, {ci('guid')} AS id, count(*) AS k FROM v_invalid_documents GROUP BY ALL"""
+
+STORED = f"""SELECT *, CASE WHEN n = 0 THEN 1 ELSE n - k END AS valid_rows, k AS invalid_rows FROM (
+ SELECT regexp_replace(d.loan_key, '^0+', '') AS loan, {ci('d.doc_type_cd')} AS code, d.obj_id, d.cre_dt, {ci('d.original_doc_nm')} AS kind,
+  12 * (year({TODAY}) - year(d.cre_dt)) + month({TODAY}) - month(d.cre_dt) AS months,
+  coalesce((SELECT sum(k) FROM listed l WHERE l.loan = regexp_replace(d.loan_key, '^0+', '')), 0) AS n,
+  coalesce((SELECT sum(k) FROM listed l WHERE l.loan = regexp_replace(d.loan_key, '^0+', '')
+            AND l.id = upper(rtrim(concat('{{', d.obj_id, '}}'), ' '))), 0) AS k
+ FROM v_document_repository d) AS counted"""
+
+TYPES = """SELECT * FROM (VALUES ('OCCERT', 'Current OCC Cert'), ('TRUST', 'Trust'), ('HOADOCS', 'HOA'), ('C.DEATH', 'Death Cert'),
+ ('REPAIRINS', 'Proof of Repair'), ('REPAIRS', 'Proof of Repair')) AS kinds(kind, invalid_excp_type)"""
+
+# a base row asks for its own code at any age, and for its second code only among recent documents
+ASKED = f"""SELECT loan_number, exception_id, document, {ci('excp_fn_code')} AS code, 1000000 AS within FROM base
+ UNION ALL SELECT loan_number, exception_id, document, coalesce(por_fn_code_2, 'NOTPOREXCEPTION'), 10 FROM base"""
+
+MATCHED = """SELECT a.loan_number, a.exception_id, a.document, s.obj_id, s.cre_dt, t.invalid_excp_type, s.valid_rows, s.invalid_rows
+FROM stored s JOIN asked a ON s.loan = a.loan_number AND s.code = a.code AND abs(s.months) <= a.within LEFT JOIN kinds t USING (kind)"""
+
+NEWEST = """SELECT exception_id, max(cre_dt) FILTER (valid_rows > 0) AS good, max(cre_dt) FILTER (invalid_rows > 0) AS bad
+FROM matched GROUP BY exception_id"""
+
+
+def _latest(key: str) -> str:
+    return f"""SELECT b.loan_number, b.refreshed, b.mca, b.mca_flag, concat('{{', m.obj_id, '}}') AS guid, m.cre_dt AS date_created,
+ b.document, b.issue, b.exception_request_date
+FROM newest n JOIN base b USING (exception_id) JOIN matched m ON m.{key} = b.{key} AND m.cre_dt = n.good,
+ range(CAST(m.valid_rows + m.invalid_rows AS BIGINT)) AS copies
+WHERE n.bad IS NULL OR n.good > n.bad"""
+
+
+CTES = [("base", BASE), ("listed", LISTED), ("stored", STORED), ("kinds", TYPES), ("asked", ASKED), ("matched", MATCHED),
+        ("newest", NEWEST)]
 
 ORACLE = {
     "open_exception_base": with_views("SELECT * FROM base", *CTES),
-    "document_match": with_views("""SELECT loan_number, exception_id, document, obj_id, invalid_excp_type, cre_dt,
- invalid_flag, count(*) AS n_rows FROM inv GROUP BY ALL""", *CTES),
-    "latest_valid_document": with_views(FINAL, *CTES),
-    "latest_valid_by_exception": with_views(FINAL.replace("ON a.loan_number = b.loan_number",
-                                                           "ON a.exception_id = b.exception_id"), *CTES),
+    "document_match": with_views("""SELECT loan_number, exception_id, document, obj_id, invalid_excp_type, cre_dt, f.flag AS invalid_flag,
+ CAST(sum(f.n) AS BIGINT) AS n_rows
+FROM (SELECT *, unnest([{'flag': 'Valid', 'n': valid_rows}, {'flag': 'Invalid', 'n': invalid_rows}]) AS f FROM matched) AS flagged
+WHERE f.n > 0 GROUP BY ALL""", *CTES),
+    "latest_valid_document": with_views(_latest("loan_number"), *CTES),
+    "latest_valid_by_exception": with_views(_latest("exception_id"), *CTES),
     "row_min_date": with_views(f"SELECT e.exception_id, e.document, {_minlet} AS min_letter_date FROM v_exceptions e"),
 }

@@ -10,7 +10,7 @@ def test_period_bounds_january_and_strict_year(spark):
     dates = spark.createDataFrame([(dt.datetime(2019, 12, 31),), (dt.datetime(2020, 1, 15),), (dt.datetime(2020, 2, 20),),
                                    (dt.datetime(2021, 2, 27),)], "bus_proc_dt timestamp_ntz")
     r = SM.period_bounds(dates, dt.date(2020, 1, 10)).collect()[0]
-    assert (r.bom, r.eom, r.bom_int) == (dt.date(2019, 12, 1), None, 20191201)       # as written: NULL in January
+    assert (r.bom, r.eom, r.bom_int) == (dt.date(2019, 12, 1), dt.date(2019, 12, 31), 20191201)   # January: the December before
     r = SM.period_bounds(dates, dt.date(2020, 1, 10), strict_year=True).collect()[0]
     assert r.eom == dt.date(2019, 12, 31)
     r = SM.period_bounds(dates, dt.date(2020, 3, 1)).collect()[0]
