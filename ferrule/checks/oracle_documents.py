@@ -49,11 +49,14 @@ WHERE {ci('a.loan_status')} IN ('ACTIVE') AND a.tag_2 IS NULL AND a.incurable_fl
 # n - k Valid ones, and for one Valid row where the loan lists nothing.
 LISTED = f"""SELECT loan_nbr AS loan, {ci('guid')} AS id, count(*) AS k FROM v_invalid_documents GROUP BY ALL"""
 
+# fixed expression: leading zeros go, inner blanks turn into zeros
+_KEY = "replace(ltrim(replace(d.loan_key, '0', ' ')), ' ', '0')"
+
 STORED = f"""SELECT *, CASE WHEN n = 0 THEN 1 ELSE n - k END AS valid_rows, k AS invalid_rows FROM (
- SELECT regexp_replace(d.loan_key, '^0+', '') AS loan, {ci('d.doc_type_cd')} AS code, d.obj_id, d.cre_dt, {ci('d.original_doc_nm')} AS kind,
+ SELECT {_KEY} AS loan, {ci('d.doc_type_cd')} AS code, d.obj_id, d.cre_dt, {ci('d.original_doc_nm')} AS kind,
   12 * (year({TODAY}) - year(d.cre_dt)) + month({TODAY}) - month(d.cre_dt) AS months,
-  coalesce((SELECT sum(k) FROM listed l WHERE l.loan = regexp_replace(d.loan_key, '^0+', '')), 0) AS n,
-  coalesce((SELECT sum(k) FROM listed l WHERE l.loan = regexp_replace(d.loan_key, '^0+', '')
+  coalesce((SELECT sum(k) FROM listed l WHERE l.loan = {_KEY}), 0) AS n,
+  coalesce((SELECT sum(k) FROM listed l WHERE l.loan = {_KEY}
             AND l.id = upper(rtrim(concat('{{', d.obj_id, '}}'), ' '))), 0) AS k
  FROM v_document_repository d) AS counted"""
 
@@ -71,7 +74,7 @@ NEWEST = """SELECT exception_id, max(cre_dt) FILTER (valid_rows > 0) AS good, ma
 FROM matched GROUP BY exception_id"""
 
 
-def _latest(key: str) -> str:
+def latest(key: str) -> str:
     return f"""SELECT b.loan_number, b.refreshed, b.mca, b.mca_flag, concat('{{', m.obj_id, '}}') AS guid, m.cre_dt AS date_created,
  b.document, b.issue, b.exception_request_date
 FROM newest n JOIN base b USING (exception_id) JOIN matched m ON m.{key} = b.{key} AND m.cre_dt = n.good,
@@ -79,16 +82,18 @@ FROM newest n JOIN base b USING (exception_id) JOIN matched m ON m.{key} = b.{ke
 WHERE n.bad IS NULL OR n.good > n.bad"""
 
 
+MATCH = """SELECT loan_number, exception_id, document, obj_id, invalid_excp_type, cre_dt, f.flag AS invalid_flag,
+ CAST(sum(f.n) AS BIGINT) AS n_rows
+FROM (SELECT *, unnest([{'flag': 'Valid', 'n': valid_rows}, {'flag': 'Invalid', 'n': invalid_rows}]) AS f FROM matched) AS flagged
+WHERE f.n > 0 GROUP BY ALL"""
+
 CTES = [("base", BASE), ("listed", LISTED), ("stored", STORED), ("kinds", TYPES), ("asked", ASKED), ("matched", MATCHED),
         ("newest", NEWEST)]
 
 ORACLE = {
     "open_exception_base": with_views("SELECT * FROM base", *CTES),
-    "document_match": with_views("""SELECT loan_number, exception_id, document, obj_id, invalid_excp_type, cre_dt, f.flag AS invalid_flag,
- CAST(sum(f.n) AS BIGINT) AS n_rows
-FROM (SELECT *, unnest([{'flag': 'Valid', 'n': valid_rows}, {'flag': 'Invalid', 'n': invalid_rows}]) AS f FROM matched) AS flagged
-WHERE f.n > 0 GROUP BY ALL""", *CTES),
-    "latest_valid_document": with_views(_latest("loan_number"), *CTES),
-    "latest_valid_by_exception": with_views(_latest("exception_id"), *CTES),
+    "document_match": with_views(MATCH, *CTES),
+    "latest_valid_document": with_views(latest("loan_number"), *CTES),
+    "latest_valid_by_exception": with_views(latest("exception_id"), *CTES),
     "row_min_date": with_views(f"SELECT e.exception_id, e.document, {_minlet} AS min_letter_date FROM v_exceptions e"),
 }

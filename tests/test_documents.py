@@ -1,3 +1,4 @@
+import collections
 import datetime as dt
 
 import duckdb
@@ -56,7 +57,23 @@ def brute_force(tables, sql):
              "document_repository": "v_document_repository", "invalid_documents": "v_invalid_documents"}
     for k, pdf in tables.items():
         con.register(names[k], pdf)
-    return con.execute(f"WITH base AS ({OD.BASE}), inv AS ({OD.INV}) {sql}").fetchall()
+    ctes = ", ".join(f"{name} AS ({body})" for name, body in OD.CTES)
+    return con.execute(f"WITH {ctes} {sql}").fetchall()
+
+
+def fan_out(pdfs):
+    """(loan, document, flag) -> rows, one row at a time: each matched document against each id listed for its loan."""
+    base = brute_force(pdfs, "SELECT loan_number, code, within FROM asked")
+    rows = collections.Counter()
+    for d in pdfs["document_repository"].itertuples():
+        loan = d.loan_key.replace("0", " ").lstrip().replace(" ", "0")
+        ids = list(pdfs["invalid_documents"].query("loan_nbr == @loan").guid) or [None]
+        age = 12 * (AS_OF.year - d.cre_dt.year) + AS_OF.month - d.cre_dt.month
+        for b in base:
+            if b[0] == loan and b[1] == d.doc_type_cd.upper() and abs(age) <= b[2]:
+                for i in ids:
+                    rows[loan, d.obj_id, "Invalid" if (i or "").upper() == f"{{{d.obj_id}}}".upper() else "Valid"] += 1
+    return dict(rows)
 
 
 def norm(rows):
@@ -88,11 +105,14 @@ def test_count_based_fan_out_equals_brute_force(spark):
     out = DOC.run(sdfs, DOC.DocumentParams(as_of=AS_OF))
     got = norm(tuple(r) for r in out["matches"].select(
         "loan_number", "exception_id", "document", "obj_id", "invalid_excp_type", "cre_dt", "invalid_flag", "n_rows").collect())
-    want = norm(brute_force(pdfs, """SELECT loan_number, exception_id, document, obj_id, invalid_excp_type, cre_dt,
-        invalid_flag, count(*) FROM inv GROUP BY ALL"""))
+    want = norm(brute_force(pdfs, OD.MATCH))
+    rows = collections.Counter()
+    for r in got:                                       # a document may match several exceptions of its loan
+        rows[r[0], r[3], r[6]] += r[7]
+    assert dict(rows) == fan_out(pdfs)
     assert got == want and len(got) > 5
     got = norm(tuple(r) for r in out["latest_valid"].select("loan_number", "guid", "date_created", "document").collect())
-    want = norm(brute_force(pdfs, "SELECT loan_number, guid, date_created, document FROM (" + OD.FINAL + ")"))
+    want = norm(brute_force(pdfs, "SELECT loan_number, guid, date_created, document FROM (" + OD.latest("loan_number") + ")"))
     assert got == want
     # the loan whose newest document is invalid gets nothing; the zero key gets nothing
     assert {r[0] for r in got} == {"2", "3"}
