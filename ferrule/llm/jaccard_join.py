@@ -11,9 +11,12 @@ reach the needed overlap.
 Scale.  Equal sets are one node.  A first round links every node to the least node of each of its
 shingles only (as many rows as postings), so a huge group of near copies becomes one component; the
 exact second round then needs only pairs between different components.  Shingles in more than
-``frequent`` components go last in the order: for them no pairs are made unless a set consists of
-little else, and those pairs come from a join that Spark splits by itself.  That order is a hint:
-it changes the candidates, never the links.
+``frequent`` components, or in more than ``frequent`` of the sets that consist of little else, go last
+in the order: for them no pairs are made unless a set consists of little else, and those pairs come
+from a join that Spark splits by itself.  Two sets that share nothing but frequent shingles have at
+most as many in common as the poorer one has frequent shingles, so a large group of texts that are
+similar, but less than the threshold asks, is left out inside that join.  That order is a hint: it
+changes the candidates, never the links.
 
 Defined cases: null or empty texts have an empty set and link with nothing; texts with fewer words
 than the shingle size have one shingle, the whole sequence; a null id links with nothing; rows that
@@ -175,13 +178,21 @@ def _verify(spark: SparkSession, docs: DataFrame, pairs: DataFrame, size: int, t
     return rows.mapInArrow(run, "a long, b long").distinct()
 
 
+def _is_in(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    """Which values are in a sorted array."""
+    if not len(ordered):
+        return np.zeros(len(values), dtype=bool)
+    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
+
+
 def _cuts(rows: DataFrame, frequent: np.ndarray, t: Threshold) -> DataFrame:
-    """Where each prefix ends in the order (frequent, fingerprint).  ``short``: the kept elements do not reach it."""
+    """Where each prefix ends in the order (frequent, fingerprint).  ``short``: the kept elements do not reach it.
+    ``n_late``: a bound of the set's frequent shingles, exact where the prefix reaches into them."""
     def run(b):
         n, pre = b.column(1).to_numpy(), b.column(2)
         off, flat = pre.offsets.to_numpy(), pre.values.to_numpy(zero_copy_only=False)
-        late = np.isin(flat, frequent)
-        cut, cut_late, short = [], [], []
+        late = _is_in(flat, frequent)
+        cut, cut_late, short, n_late = [], [], [], []
         low = np.iinfo(np.int64).min
         for i in range(b.num_rows):
             s, f = flat[off[i]:off[i + 1]], late[off[i]:off[i + 1]]
@@ -190,14 +201,18 @@ def _cuts(rows: DataFrame, frequent: np.ndarray, t: Threshold) -> DataFrame:
                 cut.append(first[want - 1])
                 cut_late.append(low)
                 short.append(False)
+                n_late.append(n[i])
             else:
                 whole = len(s) == n[i]
+                n_late.append(int(f.sum()) if whole else n[i])
                 cut.append(np.iinfo(np.int64).max)
                 cut_late.append(s[f][want - len(first) - 1] if whole else low)
                 short.append(not whole)
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(cut, pa.int64()), pa.array(cut_late, pa.int64()),
-                                          pa.array(short)], ["doc", "n", "cut", "cut_late", "short"])
-    return map_arrow(rows.select("doc", "n", "pre"), run, "doc long, n long, cut long, cut_late long, short boolean")
+                                          pa.array(short), pa.array(n_late, pa.int64())],
+                                         ["doc", "n", "cut", "cut_late", "short", "n_late"])
+    return map_arrow(rows.select("doc", "n", "pre"), run,
+                     "doc long, n long, cut long, cut_late long, short boolean, n_late long")
 
 
 def links(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4,
@@ -232,52 +247,82 @@ def links(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
     shared = stored(spark, found.join(by_doc, "doc", "left").select("s", "doc", F.coalesce("component", "doc").alias("comp")), "shared")
     several = stored(spark, shared.select("s", "comp").distinct().groupBy("s").agg(F.count("*").alias("k")).filter("k > 1"), "several")
     many = stored(spark, several.filter(F.col("k") > frequent).orderBy(F.desc("k"), "s").limit(FREQUENT_MAX).select("s"), "frequent")
-    late = np.array([r.s for r in many.collect()], dtype=np.int64)
-    cuts = stored(spark, _cuts(rep.rows(sig.select("doc", "n", "pre")).filter("n > 0"), late, t), "cuts")
+    heads = rep.rows(sig.select("doc", "n", "pre")).filter("n > 0")
+    late = _ordered(many)
+    short = stored(spark, _cuts(heads, late, t).filter("short").select("doc").distinct(), "short")
+    if not short.isEmpty():              # sets of little else: what is frequent in them beyond their kept elements, too
+        more = (_whole_sets(Membership(short).rows(docs), size).groupBy("s").agg(F.count("*").alias("k"))
+                .filter(F.col("k") > frequent).join(many, "s", "left_anti")
+                .orderBy(F.desc("k"), "s").limit(max(0, FREQUENT_MAX - len(late))).select("s"))
+        many = stored(spark, many.unionByName(more), "frequent")
+        late = _ordered(many)
+    cuts = stored(spark, _cuts(heads, late, t), "cuts")
     short = cuts.filter("short").select("doc").distinct()
     some = not short.isEmpty()
     place = cuts.join(by_doc, "doc", "left").withColumn("comp", F.coalesce("component", "doc")).drop("component", "short")
     flag = F.broadcast(many.withColumn("late", F.lit(True)))
     rows = shared.select("s", "doc").join(several.select("s"), "s", "left_semi")
+    low = F.lit(np.iinfo(np.int64).min)
     if some:                                                 # elements of these sets beyond the kept ones
         rest = stored(spark, _whole(Membership(short).rows(docs), late, size, t), "rest")
         extra = Membership(rest.select("s").distinct())      # what passes by chance is a posting all the same
         rows = (rows.unionByName(_postings(sig, rep, having=extra).select("s", "doc"))
                 .unionByName(rest.select("s", "doc")).distinct())
-        ends = rest.groupBy("doc").agg(F.max(F.struct(F.col("late").cast("int").alias("late"), "s")).alias("e"))
-        low = F.lit(np.iinfo(np.int64).min)
+        ends = rest.groupBy("doc").agg(F.max(F.struct(F.col("late").cast("int").alias("late"), "s")).alias("e"),
+                                       F.max("n_late").alias("l"))
         place = (place.join(ends, "doc", "left")
                  .withColumn("cut", F.when(F.col("e.late") == 0, F.col("e.s")).otherwise(F.col("cut")))
                  .withColumn("cut_late", F.when(F.col("e.late") == 1, F.col("e.s")).when(F.col("e.late") == 0, low)
-                             .otherwise(F.col("cut_late"))).drop("e"))
+                             .otherwise(F.col("cut_late")))
+                 .withColumn("n_late", F.coalesce("l", "n_late")).drop("e", "l"))
+    # a frequent shingle finds nothing for a set with fewer frequent shingles than any link of its size needs
     rows = (rows.join(flag, "s", "left").join(place, "doc")
-            .filter("(late is null and s <= cut) or (late and s <= cut_late)")
-            .select("s", "doc", "n", "comp", F.struct((F.col("cut_late") > F.lit(np.iinfo(np.int64).min)).alias("f"),
-                                                      F.when(F.col("cut_late") > F.lit(np.iinfo(np.int64).min), F.col("cut_late"))
-                                                      .otherwise(F.col("cut")).alias("at")).alias("end")).distinct())
+            .filter(f"(late is null and s <= cut) or (late and s <= cut_late and 100 * n_late >= {percent} * n)")
+            .select("s", "doc", "n", "comp", "n_late", F.coalesce("late", F.lit(False)).alias("late"),
+                    F.struct((F.col("cut_late") > low).alias("f"),
+                             F.when(F.col("cut_late") > low, F.col("cut_late")).otherwise(F.col("cut")).alias("at")).alias("end"))
+            .distinct())
     x, y = rows.alias("x"), rows.alias("y")
-    both = (x.join(y, F.expr(f"x.s = y.s and x.doc < y.doc and x.comp <> y.comp and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"))
+    fits = f"least(x.n_late, y.n_late) * {100 + percent} >= {percent} * (x.n + y.n)"
+    both = (x.join(y, F.expr("x.s = y.s and x.doc < y.doc and x.comp <> y.comp and "
+                             f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) and (not x.late or {fits})"))
             .select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb"),
-                    F.when(F.col("x.end") <= F.col("y.end"), F.col("x.n")).otherwise(F.col("y.n")).alias("nq"))
-            .groupBy("a", "b", "na", "nb", "nq").agg(F.count("*").alias("c")))
-    # common elements up to the earlier end are counted in c; beyond it only n - prefix elements are left
-    left = f"({percent} * nq + 99) div 100 - 1"
+                    F.when(F.col("x.end") <= F.col("y.end"), F.col("x.n")).otherwise(F.col("y.n")).alias("nq"),
+                    F.when(F.expr(f"x.end.f and y.end.f and not ({fits})"), F.least("x.n_late", "y.n_late")).alias("rest"))
+            .groupBy("a", "b", "na", "nb", "nq", "rest").agg(F.count("*").alias("c")))
+    # Common elements up to the earlier end are counted in c; beyond it only n - prefix elements are left.  Where
+    # frequent shingles were left out, c has all the others, and ``rest`` bounds the frequent ones in common.
+    left = f"coalesce(rest, ({percent} * nq + 99) div 100 - 1)"
     both = both.filter(f"(c + {left}) * {100 + percent} >= {percent} * (na + nb)").select("a", "b").distinct()
     second = stored(spark, _verify(spark, docs, both, size, t), "links")
     return members, first.unionByName(second)
 
 
+def _ordered(shingles: DataFrame) -> np.ndarray:
+    """At most FREQUENT_MAX shingles as a sorted array."""
+    return np.sort(np.array([r.s for r in shingles.collect()], dtype=np.int64))
+
+
+def _whole_sets(docs: DataFrame, size: int) -> DataFrame:
+    """(s): one row for each shingle of each set."""
+    def run(b):
+        for _, s in shingle_sets(b.column(1), size):
+            yield pa.RecordBatch.from_arrays([pa.array(s)], ["s"])
+    return map_arrow(docs.select("doc", "text"), run, "s long")
+
+
 def _whole(docs: DataFrame, frequent: np.ndarray, size: int, t: Threshold) -> DataFrame:
-    """(doc, s, late): the prefix of whole sets."""
+    """(doc, s, late, n_late): the prefix of whole sets, and how many frequent shingles the set has."""
     def run(b):
         ids = b.column(0).to_pylist()
         for row, s in shingle_sets(b.column(1), size):
-            late = np.isin(s, frequent)
+            late = _is_in(s, frequent)
             k = t.prefix(len(s))
             p = np.concatenate([s[~late], s[late]])[:k]
             f = np.concatenate([late[~late], late[late]])[:k]
-            yield pa.RecordBatch.from_arrays([pa.array([ids[row]] * len(p), pa.int64()), pa.array(p), pa.array(f)], ["doc", "s", "late"])
-    return map_arrow(docs.select("doc", "text"), run, "doc long, s long, late boolean")
+            yield pa.RecordBatch.from_arrays([pa.array([ids[row]] * len(p), pa.int64()), pa.array(p), pa.array(f),
+                                              pa.array(np.full(len(p), late.sum(), np.int64))], ["doc", "s", "late", "n_late"])
+    return map_arrow(docs.select("doc", "text"), run, "doc long, s long, late boolean, n_late long")
 
 
 def link_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4,
