@@ -8,9 +8,10 @@ decided exactly: the sets compared with one probe form a trie (sorted sets, shar
 once), along which the partial overlap is carried, and a subtree ends when the elements left cannot
 reach the needed overlap.
 
-Scale.  Equal sets are one node.  A first round links every node to the least node of each of its
-shingles only (as many rows as postings), so a huge group of near copies becomes one component; the
-exact second round then needs only pairs between different components.  Shingles in more than
+Scale.  Equal sets are one node.  A first round links every node to the least node of its size class
+for each of its first shingles only (at most as many rows as postings), so a huge group of near
+copies becomes one component; the exact second round then needs only pairs between different
+components.  Shingles in more than
 ``frequent`` components, or in more than ``frequent`` of the sets that consist of little else, go last
 in the order: for them no pairs are made unless a set consists of little else, and those pairs come
 from a join that Spark splits by itself.  Two sets that share nothing but frequent shingles have at
@@ -25,6 +26,8 @@ share an id are one node with the links of all its rows; other columns are not r
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -230,12 +233,13 @@ def links(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
     # copies are left out by a bitmap of the representatives: one that passes by chance is only one node more
     rep = Membership(members.filter("rep is not null").select("rep").distinct())
 
-    # first round: each node and the least node of each of its first shingles
-    few = _postings(sig, rep, FIRST)
-    lead = (few.groupBy("s").agg(F.count("*").alias("c"), F.min(F.struct("n", "doc")).alias("lead")).filter("c > 1")
-            .select("s", F.col("lead.doc").alias("a"), F.col("lead.n").alias("lead_n")))
-    near = (few.join(lead, "s").filter(f"doc <> a and 100 * lead_n >= {percent} * n")
-            .groupBy("a", F.col("doc").alias("b")).agg(F.count("*").alias("c"), F.first("lead_n").alias("n"))
+    # first round: each node and the least node of its size class for each of its first shingles; a lead of another
+    # size is seldom like all the texts of a large group, and would leave the group's members apart
+    size_class = F.col("n") if percent >= 100 else F.floor(F.log(F.col("n")) / F.lit(math.log(100 / percent)))
+    few = _postings(sig, rep, FIRST).withColumn("cls", size_class)
+    lead = few.groupBy("s", "cls").agg(F.count("*").alias("c"), F.min("doc").alias("a")).filter("c > 1").drop("c")
+    near = (few.join(lead, ["s", "cls"]).filter("doc <> a")
+            .groupBy("a", F.col("doc").alias("b")).agg(F.count("*").alias("c"), F.min("n").alias("n"))
             .filter(f"4 * c >= least({FIRST}, n)"))
     first = stored(spark, _verify(spark, docs, near, size, t), "links")
     comp = components(spark, first)
