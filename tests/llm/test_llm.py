@@ -83,6 +83,32 @@ def test_jaccard_links(spark, size, percent, frequent):
         assert r.component_id == (None if r.doc_id is None else root(r.doc_id))
 
 
+def test_jaccard_links_in_a_group_around_the_threshold(spark):
+    r = random.Random(5)
+    base = [f"w{k}" for k in range(100)]
+    rows = []
+    for i in range(70):                                  # 0 to 5 changed words: similarities from under 0.6 to 1
+        w = list(base)
+        for k in r.sample(range(100), i % 6):
+            w[k] = f"x{i}_{k}"
+        rows.append((i, " ".join(w)))
+    sets = {i: {tuple(t.split()[j:j + 4]) for j in range(97)} for i, t in rows}
+    comp = {i: i for i in sets}
+    for _ in sets:                                       # smallest reachable id, by repeated passes
+        for a in sets:
+            for b in sets:
+                if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                    comp[a] = comp[b] = min(comp[a], comp[b])
+    assert len(set(comp.values())) > 5
+    old = jaccard_join.links.__defaults__
+    jaccard_join.links.__defaults__ = (*old[:-1], 3)     # so few make a shingle frequent
+    try:
+        out = jaccard_join.link_components(spark, docs(spark, rows)).collect()
+    finally:
+        jaccard_join.links.__defaults__ = old
+    assert {x.doc_id: x.component_id for x in out} == comp
+
+
 def test_keep_one_and_empty_tables(spark):
     d = docs(spark, [(1, "a b c d e f g"), (2, "a b c d e f g"), (2, "a b c d e f g"), (5, "q"), (5, "q"), (8, None), (None, "a b c d e f g")])
     kept = jaccard_join.keep_one(spark, d)
