@@ -8,9 +8,10 @@ page itself marks up decides the rest: blocks in menus, headers, footers, sideba
 forms and reader comments go; where there is an ``article`` (else a ``main``) element only its blocks stay,
 and those are the page's own text even where another page quotes them.
 
-A host with many pages is dealt into groups of some ``GROUP`` pages by a hash of the path, each
-sorted and compared by itself, so no host is one task.  Equal pages in a row count as one page here, so that
-their neighbours are other pages; inside a task three pages are held at once.
+All pages are range-partitioned by (host, path, URL, id), so a host with many pages is many tasks.  Equal pages
+in a row count as one run, whose neighbours are the page before and the page after it.  A run at the edge of a
+partition is finished in a second step, when the edges of the partitions before and after it are known, so the
+result does not depend on where the partitions end.
 
 Defined cases: null html is empty text; null urls have no neighbour; equal URLs are neighbours; unclosed
 elements end with their parent or the page; a page without text has the empty string.
@@ -18,17 +19,24 @@ elements end with their parent or the page; a page without text has the empty st
 
 from __future__ import annotations
 
+import pickle
 import re
+import tempfile
+import zlib
+from bisect import bisect_right
 from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrule.llm.common import map_arrow
+from ferrule.llm.common import map_arrow, stored
 
-#: Pages of one host that are sorted and compared together, about.
-GROUP = 256
+#: Pages of one range partition, about; with more than ``RANGES`` partitions' worth of pages they grow.
+GROUP = 64
+RANGES = 4096
+#: Bytes of a run of pages that a task holds in memory before it puts them in a temporary file.
+HELD = 1 << 22
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rb rp rt s samp "
@@ -142,18 +150,63 @@ def _common(a: list[str], b: list[str]) -> set[int]:
     return out
 
 
-def main_text(page: list[tuple[str, int]], others: list[list[tuple[str, int]]]) -> str:
-    """The page's own text, given the pages that are nearest by URL."""
+def _site(page: list[tuple[str, int]], other: list[tuple[str, int]]) -> set[int]:
+    """Indices of the page's blocks that the nearest page shows to be the site's."""
     lines = [t for t, _ in page]
-    site: set[int] = set()
-    for o in others:
-        shared = _common(lines, [t for t, _ in o])
-        if sum(len(lines[i]) for i in shared) * 2 <= sum(map(len, lines)):
-            site |= shared
+    shared = _common(lines, [t for t, _ in other])
+    return shared if sum(len(lines[i]) for i in shared) * 2 <= sum(map(len, lines)) else set()
+
+
+def _same(page: list[tuple[str, int]], other: list[tuple[str, int]]) -> bool:
+    return page == other
+
+
+def _text(page: list[tuple[str, int]], site: set[int]) -> str:
     stay = next((p for p in (ARTICLE, MAIN) if any(x == p for _, x in page)), ELSEWHERE)
     return "\n".join(t for i, (t, p) in enumerate(page) if p == stay and (p == ARTICLE or i not in site))
 
 
+def main_text(page: list[tuple[str, int]], others: list[list[tuple[str, int]]]) -> str:
+    """The page's own text, given the pages that are nearest by URL."""
+    return _text(page, set().union(*(_site(page, o) for o in others)))
+
+
+def _key(site, path, url, page_id, tie) -> tuple:
+    """Sorts as Spark sorts these columns."""
+    return site, path, url, page_id is not None, page_id or 0, tie
+
+
+def _bounds(src: DataFrame) -> list[tuple]:
+    """Keys that part the pages with a URL into ranges of about equal numbers of rows."""
+    keys = src.filter("url is not null").select("site", "path", "url", "page_id", "tie")
+    n = keys.count()
+    parts = min(RANGES, -(-n // GROUP))
+    if parts < 2:
+        return []
+    # a sample by hash: the same rows in every run
+    share = min(1 << 30, -(-(16 * parts << 30) // n))
+    sample = sorted(_key(*r) for r in keys.filter(F.pmod(F.xxhash64("url", "page_id", "tie"), F.lit(1 << 30)) < share).collect())
+    return [sample[k * len(sample) // parts] for k in range(1, parts)] if sample else []
+
+
+def _contexts(edges: list[tuple]) -> dict[int, tuple]:
+    """part: (the page before its first run, the page after its last one), from
+    (part, site, page) of the first, the second run's first, the last run's predecessor and the last page of each part."""
+    edges = sorted(edges, key=lambda e: e[0])
+    out: dict[int, list] = {e[0]: [None, None] for e in edges}
+    for order, side, near, inner, far in ((edges, 0, 1, 3, 4), (edges[::-1], 1, 4, 2, 1)):
+        for before, e in zip(order, order[1:]):
+            if before[far][0] != e[near][0]:
+                continue                                       # another host
+            if not _same(before[far][1], e[near][1]):
+                out[e[0]][side] = before[far][1]
+            elif before[inner] is None:
+                out[e[0]][side] = out[before[0]][side]         # all of that part is the same run
+            elif before[inner][0] == e[near][0]:
+                out[e[0]][side] = before[inner][1]
+    return {k: tuple(v) for k, v in out.items()}
+
+
 def extract(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) of every row of ``pages``."""
     def parse(b):
@@ -167,48 +220,114 @@ def extract(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", url_
     src = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).alias("html"))
     host = F.lower(F.regexp_extract("url", r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1))
     path = F.regexp_extract("url", r"^(?:(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*)?([^?#]*)", 1)
-    site = F.coalesce(host, F.lit(""))
-    sizes = src.select(site.alias("site")).groupBy("site").agg(F.ceil(F.count("*") / GROUP).alias("groups"))
-    lines = map_arrow(src, parse, "page_id long, url string, lines array<string>, places array<tinyint>")
-    keyed = (lines.withColumn("site", site).withColumn("path", F.coalesce(path, F.lit("")))
-             .join(sizes, "site"))
-    # null urls are no neighbours of anything: each in a group of its own hash
-    dealt = keyed.withColumn("part", F.when(F.col("url").isNull(), F.xxhash64("page_id"))
-                             .otherwise(F.pmod(F.crc32(F.encode("path", "UTF-8")), F.col("groups"))))
-    near = dealt.repartition("site", "part").sortWithinPartitions("site", "part", "path", "url", "page_id")
+    src = src.select("page_id", "url", "html", F.coalesce(host, F.lit("")).alias("site"), F.coalesce(path, F.lit("")).alias("path"),
+                     F.xxhash64("html").alias("tie"))
+    bounds = spark.sparkContext.broadcast(_bounds(src))
+
+    def dealt(b):
+        keys = [b.column(k).to_pylist() for k in range(5)]
+        # null urls are no neighbours of anything: parts below 0
+        part = pa.array([-1 - ((r[3] or 0) ^ r[4]) % (1 << 30) if r[2] is None else bisect_right(bounds.value, _key(*r)) for r in zip(*keys)], pa.int64())
+        at = 0
+        for x in parse(pa.RecordBatch.from_arrays([b.column(3), b.column(2), b.column(5)], ["page_id", "url", "html"])):
+            n = x.num_rows
+            yield pa.RecordBatch.from_arrays([part.slice(at, n), *(b.column(k).slice(at, n) for k in (0, 1, 4)), *x.columns],
+                                             ["part", "site", "path", "tie", "page_id", "url", "lines", "places"])
+            at += n
+
+    near = map_arrow(src.select("site", "path", "url", "page_id", "tie", "html"), dealt,
+                     "part long, site string, path string, tie long, page_id long, url string, lines array<string>, places array<tinyint>")
+    near = near.repartition("part").sortWithinPartitions("part", "site", "path", "url", "page_id", "tie")
 
     def compare(batches):
-        held: list[tuple] = []                                 # the last runs of equal pages: (key, blocks, their ids and urls)
+        """Rows with the text; rows with the pickled page where a neighbour is in another part; and the edges of each part."""
         out: list[tuple] = []
+        run: list = []                                         # site, last page, page before the run (None: none), left is open
+        held = None                                            # the pages of the run: (page, ids and urls), one by one
+        part = first = second = before = None
+
+        def close(after, right_open):
+            held.seek(0)
+            for _ in range(run[4]):
+                page, members = pickle.load(held)
+                site = set().union(*(_site(page, o) for o in (run[2], after) if o is not None))
+                state = None
+                if run[3] or right_open:
+                    state = zlib.compress(pickle.dumps((page, site, run[3], right_open)), 1)
+                text = None if state else _text(page, site)
+                for pid, url in members:
+                    out.append((part, pid, url, text, state))
+                    if len(out) >= 256:
+                        yield batch()
+            held.seek(0)
+            held.truncate()
+
+        def keep(page, members):
+            pickle.dump((page, members), held)
+            run[4] += 1
 
-        def emit(i):
-            key, page, members = held[i]
-            near = [held[j][1] for j in (i - 1, i + 1) if 0 <= j < len(held) and held[j][0] == key]
-            text = main_text(page, near)
-            out.extend((pid, url, text) for pid, url in members)
+        def end_part():
+            keep(now[0], now[1])
+            yield from close(None, True)
+            edge = part, first, second, before, (run[0], run[1])
+            out.append((part, None, None, None, b"E" + zlib.compress(pickle.dumps(edge), 1)))
 
         def batch():
-            rows = pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.string(), pa.string()))],
-                                              ["page_id", "url", "text"])
+            kinds = pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary()
+            rows = pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate(kinds)],
+                                              ["part", "page_id", "url", "text", "state"])
             out.clear()
             return rows
 
-        for b in batches:
-            cols = [b.column(k).to_pylist() for k in range(6)]
-            for site, part, pid, url, text, place in zip(*cols):
-                page = list(zip(text, place))
-                if held and held[-1][:2] == ((site, part), page):
-                    held[-1][2].append((pid, url))
-                    continue
-                held.append(((site, part), page, [(pid, url)]))
-                if len(held) > 3:
-                    held.pop(0)
-                if len(held) > 1:
-                    emit(len(held) - 2)
+        now = None                                             # the last page and its members
+        with tempfile.SpooledTemporaryFile(max_size=HELD) as held:
+            for b in batches:
+                for p, site, pid, url, text, place in zip(*(b.column(k).to_pylist() for k in range(6))):
+                    page = list(zip(text, place))
+                    if url is None:
+                        out.append((p, pid, url, _text(page, set()), None))
+                        continue
+                    if part is not None and p != part:
+                        yield from end_part()
+                        part = None
+                    if part is None:
+                        part, first, second, before = p, (site, page), None, None
+                        run, now = [site, page, None, True, 0], (page, [(pid, url)])
+                    elif site == run[0] and page == now[0]:
+                        now[1].append((pid, url))
+                    else:
+                        keep(*now)
+                        now = page, [(pid, url)]
+                        if site == run[0] and _same(run[1], page):
+                            run[1] = page
+                        else:
+                            yield from close(page if site == run[0] else None, False)
+                            second = second or (site, page)
+                            before = run[0], run[1]
+                            run = [site, page, run[1] if site == run[0] else None, False, 0]
+                    if len(out) >= 256:
+                        yield batch()
+            if part is not None:
+                yield from end_part()
             if out:
                 yield batch()
-        if held:
-            emit(len(held) - 1)
-            yield batch()
-    return near.select("site", "part", "page_id", "url", "lines", "places").mapInArrow(
-        compare, "page_id long, url string, text string").select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+    found = stored(spark, near.select("part", "site", "page_id", "url", "lines", "places").mapInArrow(
+        compare, "part long, page_id long, url string, text string, state binary"), "pages")
+    is_edge = F.coalesce(F.substring("state", 1, 1) == F.lit(b"E"), F.lit(False))
+    edges = [pickle.loads(zlib.decompress(r.state[1:])) for r in found.filter(is_edge).select("state").toLocalIterator()]
+    contexts = spark.sparkContext.broadcast(_contexts(edges))
+
+    def finish(b):
+        texts = []
+        for part, text, state in zip(*(b.column(k).to_pylist() for k in (0, 3, 4))):
+            if state is not None:
+                page, site, *sides = pickle.loads(zlib.decompress(state))
+                for o, is_open in zip(contexts.value[part], sides):
+                    if is_open and o is not None:
+                        site |= _site(page, o)
+                text = _text(page, site)
+            texts.append(text)
+        yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(texts, pa.string())], ["page_id", "url", "text"])
+    return map_arrow(found.filter(~is_edge), finish, "page_id long, url string, text string").select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

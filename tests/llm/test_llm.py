@@ -174,6 +174,21 @@ def test_html_extraction(spark):
     assert (out[4], out[5], out[6], out[None]) == (["plain <text"], [""], [""], ["unclosed x"])
 
 
+@pytest.mark.parametrize("group", [256, 7, 1])
+def test_html_extraction_compares_the_nearest_urls_of_a_large_host(spark, monkeypatch, group):
+    monkeypatch.setattr(extraction, "GROUP", group)
+    r = random.Random(8)
+    rows, want = [], {}
+    for k in range(300):                                 # 100 sections of 3 pages, each with a line of its own
+        own = " ".join("".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(20))
+        rows.append((k, f"http://big.org/s{k // 3:03}/{k}", f"<div>Section {k // 3} offers and notes</div><div>{own}</div>"))
+        want[k] = own
+    rows += [(1000 + k, "http://big.org/s050/150x", "<div>Section 50 offers and notes</div><div>a copy that is there very often</div>") for k in range(40)]
+    want |= {1000 + k: "a copy that is there very often" for k in range(40)}
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {x.page_id: x.text for x in extraction.extract(spark, pages).collect()} == want
+
+
 def test_decontamination(spark):
     r = random.Random(5)
     vocab = [f"v{i}" for i in range(400)]
