@@ -2,19 +2,23 @@
 
 Each page becomes its text blocks in page order.  Pages are sorted by URL path within their host and
 each is compared with its neighbours there: blocks on the longest common subsequence of two pages'
-blocks belong to the site, not to the page, and are deleted.  A neighbour that shares more than half
-of the page's blocks is a copy of it and says nothing about the site; it is not compared.  What the
+blocks belong to the site, not to the page, and are deleted, however much of the page they are.  Only blocks that
+are not marked up as menus and the like are compared.  A page whose other blocks are equal to this one's, or edits of
+them (three words in four the same, numbers apart), is a copy: it says nothing about the site, and the next
+page that is none is compared instead.  Where one of two pages holds all blocks of the other, nothing tells
+which of both cases it is; there the shared blocks are deleted only from a page of which they are at most half.  What the
 page itself marks up decides the rest: blocks in menus, headers, footers, sidebars, notices, adverts,
 forms and reader comments go; where there is an ``article`` (else a ``main``) element only its blocks stay,
 and those are the page's own text even where another page quotes them.
 
-All pages are range-partitioned by (host, path, URL, id), so a host with many pages is many tasks.  Equal pages
+All pages are range-partitioned by (host, path, URL, id), so a host with many pages is many tasks.  Copies
 in a row count as one run, whose neighbours are the page before and the page after it.  A run at the edge of a
 partition is finished in a second step, when the edges of the partitions before and after it are known, so the
 result does not depend on where the partitions end.
 
 Defined cases: null html is empty text; null urls have no neighbour; equal URLs are neighbours; unclosed
-elements end with their parent or the page; a page without text has the empty string.
+elements end with their parent or the page; a page without text has the empty string; a page with marked blocks only
+is no neighbour.
 """
 
 from __future__ import annotations
@@ -24,6 +28,7 @@ import re
 import tempfile
 import zlib
 from bisect import bisect_right
+from collections import Counter
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -51,6 +56,7 @@ _SELF_CLOSING_PARENT = {"p": frozenset({"p"}), "li": frozenset({"li"}), "dt": fr
                         "tr": frozenset({"tr", "td", "th"}), "td": frozenset({"td", "th"}), "th": frozenset({"td", "th"}),
                         "option": frozenset({"option"})}
 _SPACE = re.compile(r"\s+")
+_DIGITS = re.compile(r"\d+")
 
 #: Where a block stands: in boilerplate, in the page's article, in its main part, elsewhere.
 BOILERPLATE, ARTICLE, MAIN, ELSEWHERE = 0, 1, 2, 3
@@ -150,15 +156,41 @@ def _common(a: list[str], b: list[str]) -> set[int]:
     return out
 
 
+def _own(page: list[tuple[str, int]]) -> list[int]:
+    """Indices of the blocks that are not marked as boilerplate."""
+    return [i for i, (_, p) in enumerate(page) if p != BOILERPLATE]
+
+
+def _shared(page: list[tuple[str, int]], other: list[tuple[str, int]]) -> tuple[set[int], list[str], list[str]]:
+    """Indices of the page's unmarked blocks that both have, and the texts of those that only one of both has."""
+    own, theirs = _own(page), [other[i][0] for i in _own(other)]
+    shared = {own[k] for k in _common([page[i][0] for i in own], theirs)}
+    left = Counter(theirs)
+    left.subtract(page[i][0] for i in shared)
+    return shared, [page[i][0] for i in own if i not in shared], list(left.elements())
+
+
+def _edited(a: list[str], b: list[str]) -> bool:
+    """Whether two pages that differ in these blocks are copies of one another."""
+    if not a and not b:
+        return True
+    x, y = (Counter(_DIGITS.sub("0", " ".join(t)).split()) for t in (a, b))
+    return bool(a and b) and (x & y).total() * 4 >= max(x.total(), y.total()) * 3
+
+
 def _site(page: list[tuple[str, int]], other: list[tuple[str, int]]) -> set[int]:
     """Indices of the page's blocks that the nearest page shows to be the site's."""
-    lines = [t for t, _ in page]
-    shared = _common(lines, [t for t, _ in other])
-    return shared if sum(len(lines[i]) for i in shared) * 2 <= sum(map(len, lines)) else set()
+    shared, rest, others = _shared(page, other)
+    if _edited(rest, others):
+        return set()
+    if (not rest or not others) and sum(len(page[i][0]) for i in shared) * 2 > sum(len(page[i][0]) for i in _own(page)):
+        return set()
+    return shared
 
 
 def _same(page: list[tuple[str, int]], other: list[tuple[str, int]]) -> bool:
-    return page == other
+    """Whether the pages are equal or near-equal."""
+    return page == other or _edited(*_shared(page, other)[1:])
 
 
 def _text(page: list[tuple[str, int]], site: set[int]) -> str:
@@ -284,7 +316,7 @@ def extract(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", url_
             for b in batches:
                 for p, site, pid, url, text, place in zip(*(b.column(k).to_pylist() for k in range(6))):
                     page = list(zip(text, place))
-                    if url is None:
+                    if url is None or not _own(page):
                         out.append((p, pid, url, _text(page, set()), None))
                         continue
                     if part is not None and p != part:

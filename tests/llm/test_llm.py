@@ -189,6 +189,25 @@ def test_html_extraction_compares_the_nearest_urls_of_a_large_host(spark, monkey
     assert {x.page_id: x.text for x in extraction.extract(spark, pages).collect()} == want
 
 
+@pytest.mark.parametrize("group", [64, 2])
+def test_html_extraction_where_shared_lines_outweigh_the_pages_own(spark, monkeypatch, group):
+    monkeypatch.setattr(extraction, "GROUP", group)
+    site = "<nav>Home</nav>" + "".join(f"<div>{w} is what everybody reads on this site all day long, says {w}</div>" for w in ("One", "Two", "Three"))
+    story = ["The cat sat on a mat", "Rain fell over the hills", "Nobody came to dinner", "Prices rose once more", "A ship left port early", "Snow closed both roads"]
+    rows, want = [], {}
+    for k, t in enumerate(story):
+        copies = 30 if k == 2 else 1                     # copies with another date: the next different page is compared
+        for c in range(copies):
+            i = 100 * k + c
+            date = f"<div>Printed on {c + 1} May 2024</div>" if copies > 1 else ""
+            rows.append((i, f"http://s.org/{k}/{c:02}", f"{site}{date}<div>{t}</div><footer>us</footer>"))
+            want[i] = f"Printed on {c + 1} May 2024\n{t}" if copies > 1 else t
+    rows.append((900, "http://s.org/2/15x", "<nav>only a menu</nav>"))
+    want[900] = ""
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {x.page_id: x.text for x in extraction.extract(spark, pages).collect()} == want
+
+
 def test_decontamination(spark):
     r = random.Random(5)
     vocab = [f"v{i}" for i in range(400)]
