@@ -41,10 +41,10 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def stored(spark: SparkSession, df: DataFrame, name: str, **options: str) -> DataFrame:
     """Cut the lineage: write to the shared folder as Parquet and read it back."""
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     spark.sparkContext._jvm.System.gc()        # the driver's garbage holds the shuffle files of this write
     return spark.read.schema(df.schema).parquet(path)
 

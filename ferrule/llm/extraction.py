@@ -244,10 +244,9 @@ def extract(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", url_
     def parse(b):
         for a in range(0, b.num_rows, 512):
             s = b.slice(a, 512)
-            found = [blocks(h) for h in s.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [s.column(0), s.column(1), pa.array([[t for t, _ in f] for f in found], pa.list_(pa.string())),
-                 pa.array([[p for _, p in f] for f in found], pa.list_(pa.int8()))], ["page_id", "url", "lines", "places"])
+            # marked blocks are neither compared nor kept
+            found = [zlib.compress(pickle.dumps([x for x in blocks(h) if x[1] != BOILERPLATE])) for h in s.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([s.column(0), s.column(1), pa.array(found, pa.binary())], ["page_id", "url", "page"])
 
     src = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).alias("html"))
     host = F.lower(F.regexp_extract("url", r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1))
@@ -264,11 +263,11 @@ def extract(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", url_
         for x in parse(pa.RecordBatch.from_arrays([b.column(3), b.column(2), b.column(5)], ["page_id", "url", "html"])):
             n = x.num_rows
             yield pa.RecordBatch.from_arrays([part.slice(at, n), *(b.column(k).slice(at, n) for k in (0, 1, 4)), *x.columns],
-                                             ["part", "site", "path", "tie", "page_id", "url", "lines", "places"])
+                                             ["part", "site", "path", "tie", "page_id", "url", "page"])
             at += n
 
     near = map_arrow(src.select("site", "path", "url", "page_id", "tie", "html"), dealt,
-                     "part long, site string, path string, tie long, page_id long, url string, lines array<string>, places array<tinyint>")
+                     "part long, site string, path string, tie long, page_id long, url string, page binary")
     near = near.repartition("part").sortWithinPartitions("part", "site", "path", "url", "page_id", "tie")
 
     def compare(batches):
@@ -314,8 +313,8 @@ def extract(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", url_
         now = None                                             # the last page and its members
         with tempfile.SpooledTemporaryFile(max_size=HELD) as held:
             for b in batches:
-                for p, site, pid, url, text, place in zip(*(b.column(k).to_pylist() for k in range(6))):
-                    page = list(zip(text, place))
+                for p, site, pid, url, packed in zip(*(b.column(k).to_pylist() for k in range(5))):
+                    page = pickle.loads(zlib.decompress(packed))
                     if url is None or not _own(page):
                         out.append((p, pid, url, _text(page, set()), None))
                         continue
@@ -344,8 +343,8 @@ def extract(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", url_
             if out:
                 yield batch()
 
-    found = stored(spark, near.select("part", "site", "page_id", "url", "lines", "places").mapInArrow(
-        compare, "part long, page_id long, url string, text string, state binary"), "pages")
+    found = stored(spark, near.select("part", "site", "page_id", "url", "page").mapInArrow(
+        compare, "part long, page_id long, url string, text string, state binary"), "pages", compression="zstd")
     is_edge = F.coalesce(F.substring("state", 1, 1) == F.lit(b"E"), F.lit(False))
     edges = [pickle.loads(zlib.decompress(r.state[1:])) for r in found.filter(is_edge).select("state").toLocalIterator()]
     contexts = spark.sparkContext.broadcast(_contexts(edges))
