@@ -330,6 +330,23 @@ def test_secret_scan(spark):
     assert a.log_likelihood("0a1b") > a.log_likelihood("zzzz")
 
 
+def grammar_rows(r, alphabet, n):
+    """Labelled credentials of one format, long words around them, and one credential without a label."""
+    rows = []
+    for i in range(200):
+        words = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randrange(12, 20))) for _ in range(15)]
+        rows.append((i, f"{' '.join(words)} token: {''.join(r.choices(alphabet, k=n))} end"))
+    hidden = "".join(r.choices(alphabet, k=n))
+    return [*rows, (900, f"see {hidden} there")], f"grammar:4:{4 + n}"
+
+
+def test_secret_scan_finds_an_unlabelled_mixed_case_credential(spark):
+    rows, want = grammar_rows(random.Random(9), "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", 32)
+    out = {x.doc_id: x.spans for x in secrets.scan(spark, docs(spark, rows)).collect()}
+    assert out[900] == want
+    assert sum("grammar" in x for x in out.values()) <= 3
+
+
 def test_sentencepiece(spark):
     import sentencepiece
 
