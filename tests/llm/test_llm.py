@@ -347,6 +347,14 @@ def test_secret_scan_finds_an_unlabelled_mixed_case_credential(spark):
     assert sum("grammar" in x for x in out.values()) <= 3
 
 
+@pytest.mark.parametrize("alphabet,n", [("ABCDEFGHIJKLMNOPQRSTUVWXYZ", 14), ("ABCXYZ.789", 30)])
+def test_secret_scan_scores_short_letter_only_and_dotted_credentials(spark, alphabet, n):
+    rows, want = grammar_rows(random.Random(10), alphabet, n)
+    out = {x.doc_id: x.spans for x in secrets.scan(spark, docs(spark, rows)).collect()}
+    assert out[900] == want
+    assert sum("grammar" in x for x in out.values()) <= 3
+
+
 def test_sentencepiece(spark):
     import sentencepiece
 
