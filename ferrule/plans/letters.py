@@ -9,9 +9,8 @@ Physical shape.  Every step is keyed by loan number until the rule tables, then
 * the population and the scrubbed exceptions are materialised once (reliable checkpoints, like the
   report's temp tables); the population keeps a hash partitioning on ``loan_number``, so the rule
   frames that re-join it on that key shuffle only the exception side;
-* the final flags: when loan numbers and exception ids are unique (checked once), every flag comes
-  from one CASE over the single population ⋈ exceptions join; otherwise the three flag frames are
-  joined back on ``exception_id`` as the report does (its row multiplication for repeated ids kept);
+* the final flags: the three flag frames are joined back on ``exception_id`` as the report does, for all
+  data (its row multiplication for repeated ids and its NULL flag for a NULL id kept);
 * the template report is built from per-loan *distinct* template values of each kind, so a loan
   with many exceptions of one kind cannot blow up into the product of its rows (see README).
 Rule tables are data (``Rule`` lists); ``rule_hits`` counts the rows each rule decides.
@@ -425,17 +424,10 @@ def run(tables: dict[str, DataFrame], params: LetterParams | None = None, ordere
         "_hoa_m": lambda: hoa_frame(*shared(), p),
         "_occ_m": lambda: occ_frame(*shared(), p),
         "_nts_m": lambda: nts_frame(*shared(), p),
-        # multi-reader outputs.  With unique loan numbers and exception ids (checked once on the
-        # materialised frames) the flags come from one join; otherwise the report's join form.
-        "_unique": lambda: materialized and keys_unique(r["_population_m"], "loan_number")
-        and keys_unique(r["_exceptions_m"], "exception_id"),
-        "_flags_m": lambda: flag_frame(*shared(), p),
-        "final": lambda: (final_flags_unique(r["_flags_m"], shared()[1]) if r["_unique"] else
-                          final_flags(*shared(), r["_hoa_m"], r["_occ_m"], r["_nts_m"])),
-        "templates": lambda: (letter_templates_unique(shared()[0], r["_flags_m"]) if r["_unique"] else
-                              letter_templates(shared()[0], r["_hoa_m"], r["_occ_m"], r["_nts_m"])),
+        # multi-reader outputs: the report's join form
+        "final": lambda: final_flags(*shared(), r["_hoa_m"], r["_occ_m"], r["_nts_m"]),
+        "templates": lambda: letter_templates(shared()[0], r["_hoa_m"], r["_occ_m"], r["_nts_m"]),
         "manifest": lambda: manifest(r["final"], tables["loan_master"], p, ordered),
-        "rule_hits": lambda: (rule_coverage_unique(r["_flags_m"], p) if r["_unique"] else
-                              rule_coverage(*shared(), p)),
+        "rule_hits": lambda: rule_coverage(*shared(), p),
     })
     return r

@@ -107,3 +107,13 @@ def test_unique_key_fast_path_equals_join_form(spark):
     t_exact = L.letter_templates(pop, hoa, occ, nts)
     t_fast = L.letter_templates_unique(pop, flags)
     assert t_exact.exceptAll(t_fast).count() == 0 and t_fast.exceptAll(t_exact).count() == 0
+
+
+def test_null_and_repeated_exception_ids_follow_the_join_form(spark):
+    loans = [("1", "Grp 2 FNMA", 97.2, 5, "PO Box 7", "N1", "12345")]
+    for ids, want, sent in (([10, None], [(10, "Send Ledger 1"), (None, None)], [10]),
+                            ([10, 10], [(10, "Send Ledger 1")] * 4, [10])):
+        exceptions = [dict(id=i, loan="1", doc="HOA", issue="Missing") for i in ids]
+        out = L.run(_tables(spark, loans, exceptions), L.LetterParams(as_of=AS_OF))
+        assert sorted(((r.exception_id, r.send_flag) for r in out["final"].collect()), key=str) == sorted(want, key=str)
+        assert [r.exception_id for r in out["manifest"].collect()] == sent
