@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from ferrule.llm import decontaminate, extraction, jaccard_join, language, pieces, quality, records, secrets, substring_dedup, topk
+from pyspark.sql import functions as F
+
+from ferrule.llm import (decontaminate, extraction, jaccard_join, language, lexical, line_dedup, pieces, quality, records, secrets,
+                         substring_dedup, topk, whitening)
 from ferrule.llm.common import table
 
 
@@ -50,10 +53,26 @@ def op10_sentencepiece(spark, sf_dir):
     return pieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_whitening(spark, sf_dir):
+    out = whitening.whiten(spark, table(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.expr("try_cast(deviation as long)"))
+
+
+def op12_lexical_search(spark, sf_dir):
+    return lexical.top_documents(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_line_dedup(spark, sf_dir):
+    return line_dedup.digest(line_dedup.dedup_lines(spark, table(spark, sf_dir, "documents")))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_jaccard_join, op3_language_id, op4_html_extraction,
                                    op5_decontamination, op6_top_k, op7_token_records, op8_substring_dedup, op9_secret_scan,
-                                   op10_sentencepiece)}
+                                   op10_sentencepiece, op11_whitening, op12_lexical_search, op13_line_dedup)}
 
+_LOWER = "translate(%s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = "unnest(regexp_extract_all(" + _LOWER % "text" + r", '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))"
+_STRIP = "trim(line, concat(chr(32), chr(9), chr(10), chr(11), chr(12), chr(13)))"
 _WORDS = r"list_filter(regexp_split_to_array(%s, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 ORACLE = {
@@ -98,4 +117,32 @@ kept AS (
     CASE WHEN gone IS NULL THEN w ELSE list_transform(list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(gone, i)), lambda i: w[i]) END AS k
   FROM w LEFT JOIN lists USING (r))
 SELECT doc_id, n AS n_words, removed AS n_removed, sha256(array_to_string(k, ' ')) AS kept_sha256 FROM kept""",
+    "op12_lexical_search": f"""
+WITH t AS (SELECT r, doc_id, {_TERMS} AS term FROM (SELECT row_number() OVER () AS r, * FROM documents)),
+tf AS (SELECT r, doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+size AS (SELECT r, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY r),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM size),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), total),
+asked AS (SELECT DISTINCT item_id, {_TERMS} AS term FROM benchmark),
+scored AS (
+  SELECT item_id, r, doc_id,
+    CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM asked JOIN weight USING (term) JOIN tf USING (term) JOIN size USING (r), total GROUP BY item_id, r, doc_id),
+ranked AS (
+  SELECT item_id, doc_id, score,
+    CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50""",
+    "op13_line_dedup": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+x AS (SELECT r, coalesce(doc_id, 9223372036854775807) AS doc, unnest(l) AS line, unnest(range(len(l))) AS i FROM d),
+k AS (SELECT *, {_LOWER % _STRIP} AS key FROM x),
+owner AS (SELECT key, min(doc) AS least FROM k WHERE length(key) >= 10 GROUP BY key),
+kept AS (SELECT k.*, coalesce(least < doc, false) AS gone FROM k LEFT JOIN owner USING (key)),
+g AS (
+  SELECT r, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+  FROM kept GROUP BY r)
+SELECT doc_id, n_lines, n_dropped, kept_sha256 FROM g JOIN d USING (r)""",
 }
