@@ -133,6 +133,16 @@ def q_document_match(spark, sf_dir):
     return _documents(spark, sf_dir)["matches"]
 
 
+@register("document_counts")
+def q_document_counts(spark, sf_dir):
+    return _documents(spark, sf_dir)["document_counts"]
+
+
+@register("exception_document_dates")
+def q_exception_document_dates(spark, sf_dir):
+    return _documents(spark, sf_dir)["exception_dates"]
+
+
 @register("latest_valid_document")
 def q_latest_valid_document(spark, sf_dir):
     return _documents(spark, sf_dir)["latest_valid"]

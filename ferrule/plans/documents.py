@@ -4,17 +4,21 @@ invalid, and keep the newest valid document per exception.
 The source report builds ``#INVALID`` as base ⋈ invalid-ids(loan) ⋈ documents(loan): every
 document is repeated once per invalid id of its loan, flagged 'Invalid' against the id it equals and
 'Valid' against every other id (or once 'Valid' when the loan has no ids).  The final step joins each
-exception to *all* ``#INVALID`` rows of its loan.  Materialising those products is quadratic per loan,
-so here they are carried as counts, which is exact:
-
-* ``n_ids``   = invalid ids of the loan                 (one grouped pass over the id list)
-* ``n_match`` = invalid ids equal to the document's guid (grouped by (loan, guid), equi-joined)
-* a matched document stands for ``n_match`` 'Invalid' rows and ``max(n_ids - n_match, 0)`` 'Valid'
-  rows (1 'Valid' row when ``n_ids`` = 0).
-Document ⋈ exception matching is one equi-join on (loan, document code): each exception offers
-its two codes (exploded), the second with the recency condition, so the OR of the source's
-predicate never becomes a filter above a loan-only join.  Output rows the report repeats are re-expanded with
-``explode(sequence(1, n))`` at the very end, so results stay whole.
+exception to *all* ``#INVALID`` rows of its loan.  Both products are quadratic for a loan with many
+exceptions, documents or ids, so nothing here pairs exceptions with documents:
+
+* ``asks``: what the base rows ask for, grouped by (loan, document code), with the number of rows that
+  ask at any age and of those that ask among recent documents only (the report's second code);
+* ``asked_documents``: each document once, with the number of base rows that ask for it (``n_asking``)
+  and the rows it stands for against the loan's invalid ids: ``n_match`` (ids equal to its guid) 'Invalid'
+  rows and ``n_ids - n_match`` 'Valid' ones, or 1 'Valid' row when the loan lists nothing;
+* ``exception_dates``: newest valid and newest invalid date for each (loan, code), and from there for each
+  exception through the codes it asks for;
+* ``latest_valid``: base rows grouped by what the report shows, joined to the documents of that date; a
+  row the report repeats is one row with ``n_rows``.
+
+No step makes more rows than there are documents, or codes asked for; only the last one has a row for each
+shown exception and newest document.  ``document_match`` lists the report's pairs themselves, for those who want them.
 """
 
 from __future__ import annotations
@@ -112,41 +116,76 @@ def min_letter_date(exceptions: DataFrame) -> DataFrame:
                              by_kind(F.col("document"), MIN_DATE_SETS, GC, row_min).cast("date").alias("min_letter_date"))
 
 
-def matches(b: DataFrame, t: dict[str, DataFrame], p: DocumentParams) -> DataFrame:
-    """Base rows ⋈ repository documents with the counts that stand for the invalid-id fan-out.
+def offers(b: DataFrame, *keep: str) -> DataFrame:
+    """Each base row's two document codes: its own at any age, the second one among recent documents only."""
+    codes = F.explode(F.array(
+        F.struct(ci_key("excp_fn_code").alias("code"), F.lit(False).alias("recent_only")),
+        F.struct(ci_key(F.coalesce(F.col("por_fn_code_2"), F.lit(NO_SECOND_CODE))).alias("code"), F.lit(True).alias("recent_only"))))
+    return b.select(*keep, codes.alias("o")).where(F.col("o.code").isNotNull()).select(*keep, "o.code", "o.recent_only")
 
-    One row per (base row, matching document): loan_number, exception_id, document, obj_id,
-    original_doc_nm, cre_dt, n_valid, n_invalid.
-    """
-    docs = t["document_repository"].select(
-        strip_zeros("loan_key").alias("loan_number"), ci_key("doc_type_cd").alias("_code"), "original_doc_nm", "obj_id", "cre_dt")
+
+def asks(b: DataFrame) -> DataFrame:
+    """(loan_number, code, n_any, n_recent): base rows that ask for a code at any age, or among recent documents."""
+    return offers(b, "loan_number").groupBy("loan_number", "code").agg(
+        F.count_if(~F.col("recent_only")).alias("n_any"), F.count_if("recent_only").alias("n_recent"))
+
+
+def _documents(t: dict[str, DataFrame], p: DocumentParams) -> DataFrame:
     recent = F.abs(month_diff(date_lit(p.run_ts.date()), F.col("cre_dt").cast("date"))) <= p.recency_months
-    # the OR of the two code branches becomes one equi-join on (loan, code): every base row offers
-    # its two codes (the second one with the recency condition); the two codes of a row always
-    # differ, so a document matches through at most one of them
-    offers = F.explode(F.array(
-        F.struct(F.col("excp_fn_code").alias("code"), F.lit(False).alias("needs_recent")),
-        F.struct(F.coalesce(F.col("por_fn_code_2"), F.lit(NO_SECOND_CODE)).alias("code"),
-                 F.lit(True).alias("needs_recent"))))
-    bc = b.select("loan_number", "exception_id", "document", offers.alias("o")) \
-        .select("loan_number", "exception_id", "document", ci_key(F.col("o.code")).alias("_code"),
-                F.col("o.needs_recent").alias("_needs_recent"))
-    m = (bc.join(docs, ["loan_number", "_code"])
-         .where(~F.col("_needs_recent") | recent).drop("_needs_recent"))
-    # invalid ids: one grouping by (loan, guid) gives both the ids per loan and the ids per guid
+    return t["document_repository"].select(strip_zeros("loan_key").alias("loan_number"), ci_key("doc_type_cd").alias("code"),
+                                           "original_doc_nm", "obj_id", "cre_dt", recent.alias("recent"))
+
+
+def _with_listed(m: DataFrame, t: dict[str, DataFrame]) -> DataFrame:
+    """Add the rows a document stands for against its loan's invalid ids: ``n_valid`` and ``n_invalid``."""
+    # one grouping by (loan, guid) gives both the ids per loan and the ids per guid
     ids = t["invalid_documents"].groupBy(F.col("loan_nbr").alias("loan_number"), ci_key("guid").alias("_guid")) \
         .agg(F.count(F.lit(1)).alias("_n"))
     per_loan = ids.groupBy("loan_number").agg(F.sum("_n").alias("n_ids"))
     per_guid = ids.where(F.col("_guid").isNotNull()).select("loan_number", "_guid", F.col("_n").alias("n_match"))
-    m = (m.join(per_loan, "loan_number", "left")
-         .withColumn("_guid", ci_key(braced("obj_id")))
-         .join(per_guid, ["loan_number", "_guid"], "left").drop("_guid"))
-    n_ids = F.coalesce(F.col("n_ids"), F.lit(0))
-    n_match = F.coalesce(F.col("n_match"), F.lit(0))
-    # only what the later steps read; the base columns come back through the exception id
-    return m.select("loan_number", "exception_id", "document", "obj_id", "original_doc_nm", "cre_dt",
-                    F.when(n_ids == 0, F.lit(1)).otherwise(n_ids - n_match).alias("n_valid"),
-                    n_match.alias("n_invalid"))
+    n_ids, n_match = F.coalesce("n_ids", F.lit(0)), F.coalesce("n_match", F.lit(0))
+    return (m.join(per_loan, "loan_number", "left").withColumn("_guid", ci_key(braced("obj_id")))
+            .join(per_guid, ["loan_number", "_guid"], "left")
+            .withColumn("n_valid", F.when(n_ids == 0, F.lit(1)).otherwise(n_ids - n_match)).withColumn("n_invalid", n_match)
+            .drop("_guid", "n_ids", "n_match"))
+
+
+def asked_documents(b: DataFrame, t: dict[str, DataFrame], p: DocumentParams) -> DataFrame:
+    """Repository documents that some base row asks for, each once: loan_number, code, original_doc_nm, obj_id, cre_dt,
+    recent, n_any, n_asking, n_valid, n_invalid."""
+    d = _documents(t, p).join(asks(b), ["loan_number", "code"])
+    asking = F.col("n_any") + F.when(F.col("recent"), F.col("n_recent")).otherwise(0)
+    return _with_listed(d.withColumn("n_asking", asking).where(F.col("n_asking") > 0).drop("n_recent"), t)
+
+
+def document_counts(d: DataFrame) -> DataFrame:
+    """The report's ``#INVALID`` rows by document, over all exceptions that match it."""
+    return (d.groupBy("loan_number", "obj_id", recode("original_doc_nm", INVALID_TYPES).alias("invalid_excp_type"), "cre_dt")
+            .agg(F.sum(F.col("n_asking") * F.col("n_valid")).cast("long").alias("n_valid"),
+                 F.sum(F.col("n_asking") * F.col("n_invalid")).cast("long").alias("n_invalid")))
+
+
+def exception_dates(b: DataFrame, d: DataFrame) -> DataFrame:
+    """(exception_id, valid_dt, invalid_dt): newest valid and newest invalid document of each exception."""
+    dt_ = F.col("cre_dt")
+    valid, invalid, recent = F.col("n_valid") > 0, F.col("n_invalid") > 0, F.col("recent")
+    newest = d.groupBy("loan_number", "code").agg(
+        F.max(F.when(valid, dt_)).alias("valid"), F.max(F.when(invalid, dt_)).alias("invalid"),
+        F.max(F.when(valid & recent, dt_)).alias("valid_recent"), F.max(F.when(invalid & recent, dt_)).alias("invalid_recent"))
+
+    def newest_of(name):
+        return F.max(F.when(F.col("recent_only"), F.col(f"{name}_recent")).otherwise(F.col(name))).alias(f"{name}_dt")
+    return (offers(b, "loan_number", "exception_id").where(F.col("exception_id").isNotNull())
+            .join(newest, ["loan_number", "code"])
+            .groupBy("exception_id").agg(newest_of("valid"), newest_of("invalid"))
+            .where(F.col("valid_dt").isNotNull() | F.col("invalid_dt").isNotNull()))
+
+
+def matches(b: DataFrame, t: dict[str, DataFrame], p: DocumentParams) -> DataFrame:
+    """The pairs themselves: one row per (base row, matching document) with the rows it stands for."""
+    o = offers(b, "loan_number", "exception_id", "document")
+    m = _documents(t, p).join(o, ["loan_number", "code"]).where(~F.col("recent_only") | F.col("recent"))
+    return _with_listed(m.select("loan_number", "exception_id", "document", "obj_id", "original_doc_nm", "cre_dt"), t)
 
 
 def document_match(m: DataFrame) -> DataFrame:
@@ -162,25 +201,37 @@ def document_match(m: DataFrame) -> DataFrame:
             .agg(F.sum("f.n").cast("long").alias("n_rows")))
 
 
-def latest_valid(b: DataFrame, m: DataFrame, p: DocumentParams, ordered: bool = True) -> DataFrame:
-    """Newest valid document per exception, later than its newest invalid one (D5)."""
-    per_exc = m.groupBy("exception_id").agg(
-        F.max(F.when(F.col("n_invalid") > 0, F.col("cre_dt"))).alias("invalid_dt"),
-        F.max(F.when(F.col("n_valid") > 0, F.col("cre_dt"))).alias("valid_dt"))
-    key = "loan_number" if p.match_on == "loan" else "exception_id"
-    # every #INVALID row of the key at a given date, with its multiplicity
-    cand = (m.groupBy(F.col(key).alias("_k"), F.col("cre_dt").alias("_dt"), "obj_id")
-            .agg(F.sum(F.col("n_valid") + F.col("n_invalid")).alias("_n")))
+SHOWN = ["loan_number", "refreshed", "mca", "mca_flag", "document", "issue", "exception_request_date"]
+
+
+def latest_valid(b: DataFrame, d: DataFrame, p: DocumentParams, ordered: bool = True) -> DataFrame:
+    """Newest valid document per exception, later than its newest invalid one (D5).
+
+    One row for each row the report shows, with ``n_rows``, the number of times it shows it: the base
+    rows with these values times the ``#INVALID`` rows of the document.
+    """
     never = ts_lit(SENTINEL_NEVER_DATE)
-    a = (b.join(per_exc, "exception_id", "inner")
-         .where(F.col("valid_dt") > F.coalesce(F.col("invalid_dt"), never)))
-    j = a.join(cand, (F.col(key) == F.col("_k")) & (F.col("_dt") == F.col("valid_dt")), "inner")
-    out = (j.select("loan_number", "refreshed", "mca", "mca_flag", braced("obj_id").alias("guid"),
-                    F.col("_dt").alias("date_created"), "document", "issue", "exception_request_date",
-                    F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))).alias("_copy"))
-           .drop("_copy"))
-    if ordered:
-        out = out.orderBy(F.col("document"), F.col("mca").desc(), "loan_number", "guid")
+    dates = exception_dates(b, d).where(F.col("valid_dt") > F.coalesce(F.col("invalid_dt"), never)).select("exception_id", "valid_dt")
+    rows = F.col("n_valid") + F.col("n_invalid")
+    by_loan = p.match_on == "loan"
+    key = "loan_number" if by_loan else "exception_id"
+    a = b.join(dates, "exception_id").groupBy(*SHOWN, *([] if by_loan else [key]), "valid_dt").agg(F.count(F.lit(1)).alias("_n_base"))
+    if by_loan:
+        # every document of the loan at that date, whichever exception asked for it
+        docs = d.groupBy("loan_number", F.col("cre_dt").alias("valid_dt"), "obj_id").agg(F.sum(F.col("n_asking") * rows).alias("_n_doc"))
+    else:
+        own = (offers(b, "exception_id", "loan_number").groupBy("exception_id", "loan_number", "code", "recent_only")
+               .agg(F.count(F.lit(1)).alias("_n_off")).join(dates, "exception_id"))
+        docs = (own.join(d.withColumnRenamed("cre_dt", "valid_dt"), ["loan_number", "code", "valid_dt"])
+                .where(~F.col("recent_only") | F.col("recent"))
+                .groupBy("exception_id", "valid_dt", "obj_id").agg(F.sum(F.col("_n_off") * rows).alias("_n_doc")))
+    out = (a.join(docs, [key, "valid_dt"])
+           .groupBy(*SHOWN, braced("obj_id").alias("guid"), F.col("valid_dt").alias("date_created"))
+           .agg(F.sum(F.col("_n_base") * F.col("_n_doc")).cast("long").alias("n_rows"))
+           .select("loan_number", "refreshed", "mca", "mca_flag", "guid", "date_created", "document", "issue",
+                   "exception_request_date", "n_rows"))
+    if ordered:                      # the whole key, so that the order is unique and a range can split any value
+        out = out.orderBy("document", F.desc("mca"), "loan_number", "guid", "date_created", "issue", "exception_request_date")
     return out
 
 
@@ -189,8 +240,8 @@ def run(tables: dict[str, DataFrame], params: DocumentParams | None = None, orde
     """tables: loan_status, workable, exceptions, assignment, exception_total, roster,
     invalid_documents, document_repository.
 
-    The newest-valid step reads the base and the matches twice each; with ``materialized`` it reads
-    one checkpointed copy of each.  Single-reader outputs use the plain plans.
+    The newest-valid step reads the base three times and the asked documents twice; with
+    ``materialized`` it reads one checkpointed copy of each.  Single-reader outputs use the plain plans.
     """
     p = params or DocumentParams()
     r: JobResult
@@ -202,10 +253,12 @@ def run(tables: dict[str, DataFrame], params: DocumentParams | None = None, orde
         # single-reader outputs: plain plans
         "base": lambda: base(tables, p),
         "matches": lambda: document_match(matches(r["base"], tables, p)),
-        # the newest-valid step reads the base twice and the matches twice: one materialised copy
-        # each (not force-partitioned: a loan or exception may hold a large share of the rows)
+        # read several times: one materialised copy each (not force-partitioned: a loan or exception may
+        # hold a large share of the rows)
         "_base_m": lambda: mat(base(tables, p)),
-        "_matches_m": lambda: mat(matches(r["_base_m"], tables, p)),
-        "latest_valid": lambda: latest_valid(r["_base_m"], r["_matches_m"], p, ordered),
+        "_asked_m": lambda: mat(asked_documents(r["_base_m"], tables, p)),
+        "document_counts": lambda: document_counts(asked_documents(r["base"], tables, p)),
+        "exception_dates": lambda: exception_dates(r["_base_m"], r["_asked_m"]),
+        "latest_valid": lambda: latest_valid(r["_base_m"], r["_asked_m"], p, ordered),
     })
     return r

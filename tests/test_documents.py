@@ -3,6 +3,8 @@ import datetime as dt
 
 import duckdb
 import pandas as pd
+import pytest
+from pyspark.sql import functions as F
 
 from ferrule.checks import oracle_documents as OD
 from ferrule.plans import documents as DOC
@@ -111,8 +113,92 @@ def test_count_based_fan_out_equals_brute_force(spark):
         rows[r[0], r[3], r[6]] += r[7]
     assert dict(rows) == fan_out(pdfs)
     assert got == want and len(got) > 5
-    got = norm(tuple(r) for r in out["latest_valid"].select("loan_number", "guid", "date_created", "document").collect())
-    want = norm(brute_force(pdfs, "SELECT loan_number, guid, date_created, document FROM (" + OD.latest("loan_number") + ")"))
+    got = norm(tuple(r) for r in out["latest_valid"].select("loan_number", "guid", "date_created", "document", "n_rows").collect())
+    want = norm(brute_force(pdfs, "SELECT loan_number, guid, date_created, document, n_rows FROM (" + OD.latest("loan_number") + ")"))
     assert got == want
     # the loan whose newest document is invalid gets nothing; the zero key gets nothing
     assert {r[0] for r in got} == {"2", "3"}
+
+
+def report_rows(pdfs, by_loan):
+    """The final report, one row at a time as it is written: base x #INVALID of the loan, with the exception's dates."""
+    base = brute_force(pdfs, "SELECT loan_number, exception_id, document, issue, upper(excp_fn_code), upper(coalesce(por_fn_code_2, 'NOTPOREXCEPTION')) FROM base")
+    invalid = []
+    for loan, exc, document, issue, own, second in base:
+        for d in pdfs["document_repository"].itertuples():
+            age = 12 * (AS_OF.year - d.cre_dt.year) + AS_OF.month - d.cre_dt.month
+            code = d.doc_type_cd.upper()
+            if d.loan_key.replace("0", " ").lstrip().replace(" ", "0") != loan or not (code == own or (code == second and abs(age) <= 10)):
+                continue
+            for guid in list(pdfs["invalid_documents"].query("loan_nbr == @loan").guid) or [None]:
+                invalid.append((loan, exc, d.obj_id, d.cre_dt, (guid or "").upper() == f"{{{d.obj_id}}}".upper()))
+    out = collections.Counter()
+    for loan, exc, document, issue, *_ in base:
+        good = max((r[3] for r in invalid if exc is not None and r[1] == exc and not r[4]), default=None)
+        bad = max((r[3] for r in invalid if exc is not None and r[1] == exc and r[4]), default=dt.datetime(1900, 1, 1))
+        if good is not None and good > bad:
+            for r in invalid:
+                if (r[0] == loan if by_loan else r[1] == exc) and r[3] == good:
+                    out[loan, f"{{{r[2]}}}", r[3], document, issue] += 1
+    return out
+
+
+def with_odd_ids(pdfs):
+    """Exceptions with a NULL id, and an id that two exceptions of different loans and documents share."""
+    exc = pdfs["exceptions"]
+    more = exc[exc.exception_id.isin([200, 300])].copy()
+    more["exception_id"] = more["exception_id"].map({200: None, 300: 201})
+    pdfs["exceptions"] = pd.concat([exc.astype({"exception_id": "Int64"}), more.astype({"exception_id": "Int64"})], ignore_index=True).astype({"exception_id": "float64"})
+    for c in ["exception_request_date", "exception_status_date", *DOC.GC, *DOC.LEDGER, *DOC.NON_GC]:
+        pdfs["exceptions"][c] = pd.to_datetime(pdfs["exceptions"][c]).astype("datetime64[us]")
+    return pdfs
+
+
+@pytest.mark.parametrize("match_on", ["loan", "exception"])
+def test_latest_valid_counts_the_rows_of_the_report(spark, match_on):
+    pdfs = with_odd_ids(fixture())
+    sdfs = {k: to_spark(spark, v) for k, v in pdfs.items()}
+    out = DOC.run(sdfs, DOC.DocumentParams(as_of=AS_OF, match_on=match_on))["latest_valid"]
+    got = {(r.loan_number, r.guid, r.date_created, r.document, r.issue): r.n_rows for r in out.collect()}
+    want = report_rows(pdfs, match_on == "loan")
+    assert got == {(a, b, c.to_pydatetime(), d, e): n for (a, b, c, d, e), n in want.items()}
+    assert max(got.values()) > 1
+
+
+def output_rows(df):
+    """Rows out of every operator of the executed plan (after the action)."""
+    found = []
+
+    def walk(p):
+        for unwrap in ("executedPlan", "plan"):
+            if p.nodeName() in ("AdaptiveSparkPlan", "ResultQueryStage", "ShuffleQueryStage", "BroadcastQueryStage", "TableCacheQueryStage") and hasattr(p, unwrap):
+                try:
+                    return walk(getattr(p, unwrap)())
+                except Exception:                              # the other accessor is the right one
+                    continue
+        m = p.metrics().get("numOutputRows")
+        if m.isDefined():
+            found.append((p.nodeName(), m.get().value()))
+        for i in range(p.children().size()):
+            walk(p.children().apply(i))
+    qe = df._jdf.queryExecution()
+    qe.toRdd().count()
+    walk(qe.executedPlan())
+    return found
+
+
+def test_no_operator_pairs_the_exceptions_of_a_hot_loan_with_its_documents(spark):
+    n = 3000
+    k = F.when(F.col("id") % 2 == 0, "7").otherwise((100 + F.col("id")).cast("string"))
+    exc = spark.range(n).select(F.col("id").alias("exception_id"), k.alias("loan_number"), F.lit("HOA").alias("document"), F.lit("I").alias("issue"))
+    base = exc.select("*", F.lit(AS_OF).cast("timestamp_ntz").alias("refreshed"), F.lit(97.0).alias("mca"), F.lit("< 97.5").alias("mca_flag"),
+                      F.lit(AS_OF.date()).alias("exception_request_date"), F.lit("HOADOCS").alias("excp_fn_code"), F.lit(None).cast("string").alias("por_fn_code_2"))
+    docs = spark.range(n).select(k.alias("loan_key"), F.lit("HOADOCS").alias("doc_type_cd"), F.lit("HOADOCS").alias("original_doc_nm"),
+                                 F.col("id").cast("string").alias("obj_id"), F.timestamp_seconds(F.col("id") * 86400).cast("timestamp_ntz").alias("cre_dt"))
+    listed = spark.createDataFrame([("7", "{1}")] * 5, "loan_nbr string, guid string")
+    p = DOC.DocumentParams(as_of=AS_OF)
+    d = DOC.asked_documents(base, {"document_repository": docs, "invalid_documents": listed}, p)
+    out = DOC.latest_valid(base, d, p, ordered=False)
+    rows = output_rows(out)
+    assert len(rows) > 10 and max(r[1] for r in rows) <= 2 * n, rows
+    assert out.agg(F.sum("n_rows")).first()[0] == (n // 2) ** 2 * 5 + n // 2      # as many rows as the report would show
