@@ -33,7 +33,8 @@ VIEWS["v_loan_status"] = f"""SELECT CAST(c_custkey AS VARCHAR) AS loan_number,
 FROM customer"""
 
 VIEWS["v_hud_status"] = f"""SELECT CAST(c_custkey AS VARCHAR) AS loan_number, {HUD_SQL} AS hud_status,
- 'Agent ' || CAST(c_custkey % 7 AS VARCHAR) AS hud_assigned_to FROM customer"""
+ 'Agent ' || CAST(c_custkey % 7 AS VARCHAR) AS hud_assigned_to FROM customer
+UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'HUD Denied', 'Agent 9' FROM customer WHERE c_custkey % 53 = 0"""
 
 VIEWS["v_workable"] = """SELECT CAST(c_custkey AS VARCHAR) AS loan_number,
  CASE WHEN c_acctbal > 5000 THEN 'Pending QC' ELSE 'Complete' END AS final_review_status,
@@ -76,7 +77,8 @@ VIEWS["v_letter_dates"] = "SELECT l_orderkey, " + ",\n ".join(_MX.format(c=c, n=
     ("l_linenumber = 7 AND l_returnflag = 'A'", "sent_to_inspection_vendor"),
 ]) + "\nFROM lineitem GROUP BY l_orderkey"
 
-VIEWS["v_exceptions"] = f"""SELECT o_orderkey AS exception_id, CAST(o_custkey AS VARCHAR) AS loan_number,
+VIEWS["v_exceptions"] = f"""SELECT CASE WHEN o_orderkey % 97 = 0 THEN NULL WHEN o_orderkey // 2 % 89 = 0 THEN o_orderkey // 2 * 2
+   ELSE o_orderkey END AS exception_id, CAST(o_custkey AS VARCHAR) AS loan_number,
  CASE substring(o_orderpriority, 1, 1) WHEN '1' THEN 'HOA' WHEN '2' THEN 'Current OCC Cert'
    WHEN '3' THEN CASE WHEN o_orderkey % 2 = 0 THEN 'Death Cert HACG' ELSE 'Death Cert' END
    WHEN '4' THEN CASE WHEN o_orderkey % 2 = 0 THEN 'Trust - HACG' ELSE 'TRUST' END

@@ -96,7 +96,7 @@ def q_exception_scrub(spark, sf_dir):
 
 for _key, _part in [("hoa_flags", "hoa"),
                     ("occ_flags", "occ"), ("nts_flags", "nts"), ("final_flags", "final"),
-                    ("letter_templates", "templates"), ("letter_manifest", "manifest")]:
+                    ("letter_manifest", "manifest")]:
     def _mk(part):
         def q(spark, sf_dir):
             return _letters(spark, sf_dir)[part]
@@ -105,6 +105,12 @@ for _key, _part in [("hoa_flags", "hoa"),
     QUERIES[_key] = _mk(_part)
 
 
+@register("letter_templates")
+def q_letter_templates(spark, sf_dir):
+    out = _letters(spark, sf_dir)["templates"]
+    return out.withColumn("n_rows", F.col("n_rows").cast("long"))      # no loan of these tables passes 64 bits
+
+
 @register("rule_hits")
 def q_rule_hits(spark, sf_dir):
     return _letters(spark, sf_dir)["rule_hits"]

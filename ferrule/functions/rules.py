@@ -62,14 +62,15 @@ def band(c, bands: Sequence[tuple], default: str | None = "Error") -> Column:
     return first_match(rules, default)
 
 
-def rule_hits(df: DataFrame, rules: Sequence[Rule], table: str = "") -> DataFrame:
+def rule_hits(df: DataFrame, rules: Sequence[Rule], table: str = "", n: Column | None = None) -> DataFrame:
     """Rows decided by each rule: (table, rule, label, n); rule 0 is the ELSE branch.
 
-    One aggregation with map-side combine, so a dominant rule costs no more than a rare one.
+    ``n``: how many rows each row stands for (default one).  One aggregation with map-side combine, so a
+    dominant rule costs no more than a rare one.
     """
     labels = F.create_map(*[x for i, r in enumerate(rules, start=1)
                             for x in (F.lit(i), F.lit(r.label))])
-    return (df.select(rule_index(rules).alias("rule"))
-            .groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
+    return (df.select(rule_index(rules).alias("rule"), (F.lit(1) if n is None else n).cast("long").alias("n"))
+            .groupBy("rule").agg(F.sum("n").alias("n"))
             .select(F.lit(table).alias("table"), "rule",
                     F.coalesce(labels[F.col("rule")], F.lit("ELSE")).alias("label"), "n"))

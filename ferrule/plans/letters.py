@@ -2,18 +2,22 @@
 to send through three ordered rule tables (HOA, occupancy certificate, death/trust/repair), choose
 templates per loan, and emit the mailing manifest.
 
-Physical shape.  Every step is keyed by loan number until the rule tables, then by exception id:
-
-* population = loans ⋈ HUD status ⋈ workable ⋈ loan master, all on ``loan_number``; the HUD
-  filter makes that join inner, so it is written inner and the filter reaches the scan;
-* the population and the scrubbed exceptions are materialised once (reliable checkpoints, like the
-  report's temp tables); the population keeps a hash partitioning on ``loan_number``, so the rule
-  frames that re-join it on that key shuffle only the exception side;
-* the final flags: the three flag frames are joined back on ``exception_id`` as the report does, for all
-  data (its row multiplication for repeated ids and its NULL flag for a NULL id kept);
-* the template report is built from per-loan *distinct* template values of each kind, so a loan
-  with many exceptions of one kind cannot blow up into the product of its rows (see README).
-Rule tables are data (``Rule`` lists); ``rule_hits`` counts the rows each rule decides.
+Physical shape.  The report scrubs the exceptions with the population, joins the population to the
+result again for each rule table, joins three rule tables back by exception id, and joins five of them by
+loan.  Here the population meets the exceptions once:
+
+* ``scrub_pairs`` is that one join: a row for each (loan row, exception) of a loan whose scrub keeps the
+  exception, with the population columns, and ``n_kept``, the number of times the report's scrubbed table
+  holds the exception (the loan rows that admit it).  Loan rows are counted by loan and threshold before the
+  join, so no pair of loan rows is ever made;
+* the HOA and OCC tables are filters of it, the NTS table joins it to itself by exception id as the report does;
+* the final flags come from one grouping by exception id that carries each table's flags with their counts:
+  a repeated id multiplies the rows exactly as the report's joins do, and a NULL id matches nothing;
+* the template report counts rows per (loan, kind, template) and multiplies the counts of the kinds
+  (``n_rows``), which is the report's row product without its rows.
+
+A row that the report repeats is repeated only at the boundary (``_repeated``); inside, it has a count.
+Rule tables are data (``Rule`` lists); ``rule_coverage`` counts the rows each rule decides.
 """
 
 from __future__ import annotations
@@ -21,11 +25,11 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferrule.functions.rowwise import by_kind, row_count, row_max
-from ferrule.functions.rules import Rule, first_match, rule_hits, rule_index
+from ferrule.functions.rules import Rule, first_match, rule_hits
 from ferrule.functions.semantics import (address_class, ci_eq, ci_in, ci_not_in, date_lit, day_diff,
                                          in_or_null, month_diff, real, ts_lit, us_date, zip4)
 from ferrule.plans import JobResult
@@ -125,22 +129,52 @@ def population(t: dict[str, DataFrame], p: LetterParams) -> DataFrame:
 
 # ---- L2 exception scrub -------------------------------------------------------------------------
 
-def exception_scrub(t: dict[str, DataFrame], pop: DataFrame, p: LetterParams) -> DataFrame:
-    e = t["exceptions"]
-    mca = F.col("mca")
+#: The scrub admits an exception by its document and the loan's percent; so many loan rows reach each bound.
+BOUNDS = {95: "_n95", 96: "_n96"}
+
+
+def _admitted(p: LetterParams) -> dict[int, Column]:
+    """Percent bound -> the exceptions it applies to (each exception has at most one bound)."""
     doc = F.col("document")
-    still_open = ci_not_in("exception_status", p.closed_statuses)
-    branches = (
-        (ci_in(doc, ["Current Occ Cert"]) & (mca >= 95))
-        | (ci_in(doc, ["Death Cert HACG", "Trust - HACG"]) & (mca >= 95))
-        | ((mca >= 95) & ci_not_in(F.coalesce(F.col("proof_of_repairs_status"), F.lit("No Status")), [REPAIRS_INCOMPLETE])
-           & ci_in(doc, ["Proof of Repair"]))
-        | (ci_in(doc, ["HOA"]) & (mca >= 96) & ci_in("issue", p.hoa_issues))
-    )
-    j = pop.select("loan_number", "mca").join(e, "loan_number", "inner").where(still_open & branches)
-    return j.select(*[F.col(c) for c in e.columns],
+    repairs = ci_not_in(F.coalesce(F.col("proof_of_repairs_status"), F.lit("No Status")), [REPAIRS_INCOMPLETE])
+    return {95: ci_in(doc, ["Current Occ Cert", "Death Cert HACG", "Trust - HACG"]) | (ci_in(doc, ["Proof of Repair"]) & repairs),
+            96: ci_in(doc, ["HOA"]) & ci_in("issue", p.hoa_issues)}
+
+
+def scrub_pairs(t: dict[str, DataFrame], pop: DataFrame, p: LetterParams) -> DataFrame:
+    """Every (loan row, exception) of a loan with a row that admits the exception (L2, and the join of L3-L6).
+
+    Columns of both, ``max_date``, ``ltr_count``, ``n_loan`` (equal loan rows this one stands for), ``n_kept`` (rows
+    of the exception in the scrubbed table) and ``admits`` (whether this loan row is one that admits it).
+    """
+    of_loan = Window.partitionBy("loan_number")
+    mca, n = F.col("mca"), F.col("n_loan")
+    pop = pop.groupBy(*pop.columns).agg(F.count(F.lit(1)).alias("n_loan")).select(
+        "*", *[F.sum(F.when(mca >= k, n).otherwise(0)).over(of_loan).alias(c) for k, c in BOUNDS.items()])
+    kinds = _admitted(p)
+    kept, admits = F.lit(0), F.lit(False)
+    for k, cond in kinds.items():
+        cond = F.coalesce(cond, F.lit(False))
+        kept = F.when(cond, F.col(BOUNDS[k])).otherwise(kept)
+        admits = admits | (cond & F.coalesce(mca >= k, F.lit(False)))
+    doc = F.col("document")
+    e = t["exceptions"].where(ci_not_in("exception_status", p.closed_statuses))
+    return (pop.join(e, "loan_number", "inner")
+            .select("*", kept.cast("long").alias("n_kept"), admits.alias("admits"),
                     by_kind(doc, MAX_DATE_SETS, DEFAULT_MAX_DATE_SET, row_max).alias("max_date"),
                     row_count(LTR_COUNT_SET).alias("ltr_count"))
+            .where(F.col("n_kept") > 0).drop(*BOUNDS.values()))
+
+
+def _repeated(df: DataFrame, n: Column) -> DataFrame:
+    """Each row as often as the report holds it (almost always once)."""
+    return df.withColumn("_copy", F.explode(F.sequence(F.lit(1), n.cast("int")))).drop("_copy")
+
+
+def exception_scrub(t: dict[str, DataFrame], pop: DataFrame, p: LetterParams) -> DataFrame:
+    """The scrubbed exceptions: a row for each loan row that admits the exception."""
+    cols = [*t["exceptions"].columns, "max_date", "ltr_count"]
+    return _repeated(scrub_pairs(t, pop, p).where("admits"), F.col("n_loan")).select(*cols)
 
 
 # ---- L3-L5 rule tables --------------------------------------------------------------------------
@@ -216,59 +250,107 @@ def _dated(cols) -> list[Column]:
     return [F.col(c).cast("date").alias(c) for c in cols]
 
 
-def _rule_base(pop: DataFrame, exc: DataFrame) -> DataFrame:
-    """Population ⋈ exceptions on loan number (both already hash-partitioned on it)."""
-    return pop.join(exc, "loan_number", "inner")
-
-
-def hoa_frame(pop: DataFrame, exc: DataFrame, p: LetterParams, with_rules: bool = False) -> DataFrame:
-    j = _rule_base(pop, exc).where(ci_eq("document", "HOA") & (F.col("mca") >= 96))
-    if with_rules:
-        return j
-    return j.select("loan_number", date_lit(p.run_date).alias("today"), "loan_status", "tag_2", "incurable_flag",
-                    real("mca").alias("mca"), first_match(hoa_rules(p), DNS).alias("send_flag"),
-                    "exception_id", "document", "exception_status", "issue", *_dated(LETTER_DATE_COLUMNS),
-                    F.col("max_date").cast("date").alias("max_date"),
-                    # as written, the day difference of this report carries the name of the letter count
-                    day_diff(date_lit(p.run_date), F.col("max_date")).alias("ltr_count"))
-
-
-def occ_frame(pop: DataFrame, exc: DataFrame, p: LetterParams, with_rules: bool = False) -> DataFrame:
-    j = _rule_base(pop, exc).where(ci_eq("document", "Current OCC Cert") & (F.col("mca") >= 95))
-    if with_rules:
-        return j
-    return j.select("loan_number", date_lit(p.run_date).alias("today"), "loan_status", "tag_2", "incurable_flag",
-                    real("mca").alias("mca"), first_match(occ_rules(p), DNS).alias("send_flag"),
-                    "exception_id", "document", "exception_status", "issue", *_dated(LETTER_DATE_COLUMNS),
-                    F.col("max_date").cast("date").alias("max_date"), "ltr_count")
-
-
-def nts_frame(pop: DataFrame, exc: DataFrame, p: LetterParams, with_rules: bool = False) -> DataFrame:
-    # loan -> exception id -> exception: equals a direct join while exception ids are unique
-    b = exc.select("loan_number", F.col("exception_id").alias("_b_id"))
-    c = exc.drop("loan_number")
-    j = (pop.join(b, "loan_number", "inner").join(c, F.col("_b_id") == F.col("exception_id"), "inner")
-         .where((F.col("mca") >= 95) & ci_in("document", NTS_DOCUMENTS)).drop("_b_id"))
-    if with_rules:
-        return j
-    return j.select("loan_number", date_lit(p.run_date).alias("today"), "loan_status", "tag_2", "incurable_flag",
-                    real("mca").alias("mca"), first_match(nts_rules(p), DNS).alias("send_flag"),
-                    "exception_id", "proof_of_repairs_status", "sent_to_inspection_vendor",
-                    "document", "exception_status", "issue", *_dated(LETTER_DATE_COLUMNS),
-                    F.col("max_date").cast("date").alias("max_date"), "ltr_count")
+def hoa_rows(j: DataFrame) -> DataFrame:
+    return j.where(ci_eq("document", "HOA") & (F.col("mca") >= 96))
+
+
+def occ_rows(j: DataFrame) -> DataFrame:
+    return j.where(ci_eq("document", "Current OCC Cert") & (F.col("mca") >= 95))
+
+
+def _flagged(j: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Rows of a rule table with their flag and ``_n``, how often the report holds the row."""
+    return j.withColumn("send_flag", first_match(rules, DNS)).withColumn("_n", F.col("n_loan") * F.col("n_kept"))
+
+
+def _nts_exceptions(j: DataFrame) -> DataFrame:
+    """Scrubbed death/trust/repair exceptions: the rows that admit them, once each (``_n_c``: rows of the scrubbed table)."""
+    return j.where(F.col("admits") & ci_in("document", NTS_DOCUMENTS)).withColumn("_n_c", F.col("n_loan"))
+
+
+_LOAN_SIDE = ["loan_number", "loan_status", "tag_2", "incurable_flag", "mca"]
+
+
+def nts_rows(j: DataFrame) -> DataFrame:
+    """Loan -> exception id -> exception (NTS): the loan columns of the rows that hold an id with the exceptions of that id."""
+    loans = (j.where(F.col("mca") >= 95).groupBy("exception_id", *_LOAN_SIDE)
+             .agg(F.sum(F.col("n_loan") * F.col("n_kept")).alias("_n_b")))
+    return (_nts_exceptions(j).drop(*_LOAN_SIDE).join(loans, "exception_id", "inner")
+            .withColumn("_n", F.col("_n_b") * F.col("_n_c")))
+
+
+def _shown(p: LetterParams) -> list:
+    return ["loan_number", date_lit(p.run_date).alias("today"), "loan_status", "tag_2", "incurable_flag", real("mca").alias("mca"), "send_flag",
+            "exception_id"]
+
+
+def _rest(p: LetterParams) -> list:
+    return ["document", "exception_status", "issue", *_dated(LETTER_DATE_COLUMNS), F.col("max_date").cast("date").alias("max_date")]
+
+
+def hoa_frame(j: DataFrame, p: LetterParams) -> DataFrame:
+    # as written, the day difference of this report carries the name of the letter count
+    return _repeated(_flagged(hoa_rows(j), hoa_rules(p)), F.col("_n")).select(
+        *_shown(p), *_rest(p), day_diff(date_lit(p.run_date), F.col("max_date")).alias("ltr_count"))
+
+
+def occ_frame(j: DataFrame, p: LetterParams) -> DataFrame:
+    return _repeated(_flagged(occ_rows(j), occ_rules(p)), F.col("_n")).select(*_shown(p), *_rest(p), "ltr_count")
+
+
+def nts_frame(j: DataFrame, p: LetterParams) -> DataFrame:
+    rows = nts_rows(j).withColumn("send_flag", first_match(nts_rules(p), DNS))
+    return _repeated(rows, F.col("_n")).select(*_shown(p), "proof_of_repairs_status", "sent_to_inspection_vendor", *_rest(p), "ltr_count")
 
 
 # ---- L6 final, L7 templates, L9 manifest --------------------------------------------------------
 
-def final_flags(pop: DataFrame, exc: DataFrame, hoa: DataFrame, occ: DataFrame, nts: DataFrame) -> DataFrame:
-    z = pop.select("loan_number", F.col("mca").alias("mca_percent"))
-    flags = []
-    out = exc.join(z, "loan_number", "left")                      # RIGHT JOIN with the exceptions kept
-    for i, f in enumerate((hoa, occ, nts)):
-        name = f"_flag{i}"
-        out = out.join(f.select(F.col("exception_id"), F.col("send_flag").alias(name)), "exception_id", "left")
-        flags.append(F.col(name))
-    return out.select(F.coalesce(*flags).alias("send_flag"), "mca_percent", *[F.col(c) for c in exc.columns])
+def flag_counts(j: DataFrame, p: LetterParams) -> DataFrame:
+    """(exception_id, hoa, occ, nts): the flags each rule table holds for an id, with the number of its rows.
+
+    The NTS table holds each scrubbed exception of an id once for each of the loan rows that hold the id.
+    """
+    doc_nts = F.col("admits") & ci_in("document", NTS_DOCUMENTS)
+    rows = F.col("n_loan") * F.col("n_kept")
+
+    def entry(kind, cond, flag, n):
+        return F.struct(F.lit(kind).alias("kind"), F.when(cond, flag).alias("flag"), n.alias("n"))
+    kinds = F.array(
+        entry("hoa", ci_eq("document", "HOA") & (F.col("mca") >= 96), first_match(hoa_rules(p), DNS), rows),
+        entry("occ", ci_eq("document", "Current OCC Cert") & (F.col("mca") >= 95), first_match(occ_rules(p), DNS), rows),
+        entry("nts", doc_nts, first_match(nts_rules(p), DNS), F.col("n_loan")),
+        entry("loans", F.col("mca") >= 95, F.lit(""), rows))
+    one = (j.where(F.col("exception_id").isNotNull())
+           .select("exception_id", F.explode(F.filter(kinds, lambda k: k["flag"].isNotNull())).alias("k"))
+           .groupBy("exception_id", "k.kind", "k.flag").agg(F.sum("k.n").alias("n")))
+    lists = one.groupBy("exception_id").agg(
+        *[F.collect_list(F.when(F.col("kind") == k, F.struct("flag", "n"))).alias(k) for k in ("hoa", "occ", "nts")],
+        F.coalesce(F.sum(F.when(F.col("kind") == "loans", F.col("n"))), F.lit(0)).alias("_loans"))
+    nts = F.when(F.col("_loans") > 0, F.transform("nts", lambda x: F.struct(x["flag"].alias("flag"), (x["n"] * F.col("_loans")).alias("n"))))
+    return lists.select("exception_id", "hoa", "occ", F.coalesce(nts, F.filter("nts", lambda x: F.lit(False))).alias("nts"))
+
+
+def final_counts(j: DataFrame, p: LetterParams) -> DataFrame:
+    """Scrubbed exceptions with the flag of the first table that holds their id, and ``_n`` rows of each."""
+    counts = flag_counts(j, p)
+
+    def rows(k):                       # a left join keeps one row where a table has none
+        return F.greatest(F.aggregate(k, F.lit(0).cast("long"), lambda s, x: s + x["n"]), F.lit(1))
+    first = (F.when(F.size("hoa") > 0, F.transform("hoa", lambda x: F.struct(x["flag"].alias("flag"), (x["n"] * rows("occ") * rows("nts")).alias("n"))))
+             .when(F.size("occ") > 0, F.transform("occ", lambda x: F.struct(x["flag"].alias("flag"), (x["n"] * rows("nts")).alias("n"))))
+             .when(F.size("nts") > 0, F.col("nts")))
+    flags = counts.select("exception_id", first.alias("_flags"))
+    none = F.array(F.struct(F.lit(None).cast("string").alias("flag"), F.lit(1).cast("long").alias("n")))
+    out = j.join(flags, "exception_id", "left").withColumn("_flag", F.explode(F.coalesce("_flags", none)))
+    return out.withColumn("send_flag", F.col("_flag.flag")).withColumn("_n", F.col("_flag.n") * F.col("n_loan") * F.col("n_kept"))
+
+
+def _final_columns(exceptions: DataFrame) -> list:
+    return ["send_flag", F.col("mca").alias("mca_percent"), *exceptions.columns, "max_date", "ltr_count"]
+
+
+def final_flags(final: DataFrame, exceptions: DataFrame) -> DataFrame:
+    return _repeated(final, F.col("_n")).select(*_final_columns(exceptions))
 
 
 def _template(col: str, flag: Column, doc: Column | None) -> Column:
@@ -282,42 +364,39 @@ def _template(col: str, flag: Column, doc: Column | None) -> Column:
 
 
 TEMPLATE_COLUMNS = ["hoa_template", "occ_template", "dc_template", "trust_template", "por_template"]
-_NO_TEMPLATE = "\u0000"          # stands for NULL inside a set (collect_set drops NULLs)
 
 
-def letter_templates(pop: DataFrame, hoa: DataFrame, occ: DataFrame, nts: DataFrame) -> DataFrame:
-    """Distinct template combinations per loan.
+def letter_templates(pop: DataFrame, j: DataFrame, p: LetterParams) -> DataFrame:
+    """Template combinations per loan, with ``n_rows``: how many rows of the report's product show them.
 
-    Every flagged row contributes (loan, kind, template); one grouping by loan collects the *set*
-    of template values of each kind (at most three), and the sets are expanded into their product
-    (at most 3*3*2*2*3 rows per loan).  That is the distinct form of the per-loan row product,
-    without materialising the product of the loan's rows.
+    Rows are counted by (loan, kind, template) first, so a kind has at most three entries of a loan; a combination's
+    rows are the product of its entries' counts and of the loan's rows in the population.  The product of five counts
+    can pass 64 bits, so ``n_rows`` is a decimal.
     """
     flag = F.col("send_flag")
-    parts = [hoa.select("loan_number", F.lit("hoa_template").alias("kind"),
-                        _template("hoa_template", flag, None).alias("tpl")),
-             occ.select("loan_number", F.lit("occ_template").alias("kind"),
-                        _template("occ_template", flag, None).alias("tpl"))]
+    nts = nts_rows(j).withColumn("send_flag", first_match(nts_rules(p), DNS))
+    doc_kind = F.lit(None).cast("string")
+    doc_template = F.lit(None).cast("string")
     for col, doc in TEMPLATE_DOCUMENT.items():
-        parts.append(nts.where(ci_in("document", [doc]))
-                     .select("loan_number", F.lit(col).alias("kind"), _template(col, flag, F.col("document")).alias("tpl")))
-    rows = parts[0]
-    for p_ in parts[1:]:
-        rows = rows.unionByName(p_)
-    tpl = F.coalesce(F.col("tpl"), F.lit(_NO_TEMPLATE))
-    sets = rows.groupBy("loan_number").agg(
-        *[F.collect_set(F.when(F.col("kind") == k, tpl)).alias(k) for k in TEMPLATE_COLUMNS])
-    out = pop.select("loan_number").distinct().join(sets, "loan_number", "left")
-    for k in TEMPLATE_COLUMNS:
-        # a kind without rows (or a loan without any) is one NULL template
-        arr = F.when(F.size(F.coalesce(F.col(k), F.array())) == 0, F.array(F.lit(_NO_TEMPLATE))).otherwise(F.col(k))
-        out = out.withColumn(k, F.explode(arr))
-    return out.select("loan_number", *[F.when(F.col(k) == _NO_TEMPLATE, F.lit(None).cast("string"))
-                                       .otherwise(F.col(k)).alias(k) for k in TEMPLATE_COLUMNS])
+        doc_kind = F.when(ci_in("document", [doc]), F.lit(col)).otherwise(doc_kind)
+        doc_template = F.when(ci_in("document", [doc]), _template(col, flag, F.col("document"))).otherwise(doc_template)
+    rows = (_flagged(hoa_rows(j), hoa_rules(p)).select("loan_number", F.lit("hoa_template").alias("kind"), _template("hoa_template", flag, None).alias("tpl"), "_n")
+            .unionByName(_flagged(occ_rows(j), occ_rules(p)).select("loan_number", F.lit("occ_template").alias("kind"), _template("occ_template", flag, None).alias("tpl"), "_n"))
+            .unionByName(nts.select("loan_number", doc_kind.alias("kind"), doc_template.alias("tpl"), "_n")))
+    bags = (rows.groupBy("loan_number", "kind", "tpl").agg(F.sum("_n").alias("n")).groupBy("loan_number")
+            .agg(*[F.collect_list(F.when(F.col("kind") == k, F.struct("tpl", F.col("n").cast("decimal(38,0)").alias("n")))).alias(k)
+                   for k in TEMPLATE_COLUMNS]))
+    out = pop.groupBy("loan_number").agg(F.count(F.lit(1)).cast("decimal(38,0)").alias("n_rows")).join(bags, "loan_number", "left")
+    none = F.array(F.struct(F.lit(None).cast("string").alias("tpl"), F.lit(1).cast("decimal(38,0)").alias("n")))
+    for k in TEMPLATE_COLUMNS:         # a kind without rows is one NULL template
+        out = out.withColumn(k, F.explode(F.when(F.size(k) > 0, F.col(k)).otherwise(none)))
+        out = out.withColumn("n_rows", (F.col("n_rows") * F.col(f"{k}.n")).cast("decimal(38,0)"))
+    return out.select("loan_number", *[F.col(f"{k}.tpl").alias(k) for k in TEMPLATE_COLUMNS], "n_rows")
 
 
 def manifest(final: DataFrame, master: DataFrame, p: LetterParams, ordered: bool = True) -> DataFrame:
-    a = final.where(~F.col("send_flag").isin(DNS)).drop("mca_percent")   # NULL flag is dropped too
+    # NULL flag is dropped too; only the loan's percent from the master is shown
+    a = final.where(~F.col("send_flag").isin(DNS)).select("document", "send_flag", "exception_id", "loan_number", "borrower_name", "coborrower_name")
     cmt = master.withColumnRenamed("loan_nbr", "_cmt_loan")                # percent comes from the master
     j = a.join(cmt, a.loan_number == cmt._cmt_loan, "left")
     out = j.select(
@@ -331,65 +410,17 @@ def manifest(final: DataFrame, master: DataFrame, p: LetterParams, ordered: bool
         F.col("mca_percent").alias("mca_percent"),
     ).distinct()
     if ordered:
-        # document and address class have a handful of values: the exception id lets the range
-        # partitioner split a dominant document across tasks
-        out = out.orderBy("document", "po_box_flag", "exception_id")
+        # document and address class have a handful of values: the ids let the range partitioner split
+        # a dominant document across tasks, and make the order of repeated exception ids definite
+        out = out.orderBy("document", "po_box_flag", "exception_id", "loan_nbr", "send_flag")
     return out
 
 
-def rule_coverage(pop: DataFrame, exc: DataFrame, p: LetterParams) -> DataFrame:
+def rule_coverage(j: DataFrame, p: LetterParams) -> DataFrame:
     """Rows decided by each rule of the three tables (rule 0 = ELSE)."""
-    return (rule_hits(hoa_frame(pop, exc, p, True), hoa_rules(p), "HOA")
-            .unionByName(rule_hits(occ_frame(pop, exc, p, True), occ_rules(p), "OCC"))
-            .unionByName(rule_hits(nts_frame(pop, exc, p, True), nts_rules(p), "NTS")))
-
-
-def keys_unique(df: DataFrame, key: str) -> bool:
-    """True when no key value repeats (one aggregation with map-side combine, one boolean back)."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).limit(1).count() == 0
-
-
-def flag_frame(pop: DataFrame, exc: DataFrame, p: LetterParams) -> DataFrame:
-    """Every scrubbed exception with the rule table that decides it and its send flag, in one join.
-
-    Valid only when loan numbers (population) and exception ids (exceptions) are unique: then each
-    row of the HOA, OCC and NTS frames is exactly one exception row, so the three frames and the
-    joins back on the exception id collapse into one CASE per row.
-    """
-    j = _rule_base(pop, exc)
-    doc, mca = F.col("document"), F.col("mca")
-    kind = (F.when(ci_eq(doc, "HOA") & (mca >= 96), F.lit("HOA"))
-            .when(ci_eq(doc, "Current OCC Cert") & (mca >= 95), F.lit("OCC"))
-            .when((mca >= 95) & ci_in(doc, NTS_DOCUMENTS), F.lit("NTS")))
-    flag = (F.when(F.col("_kind") == "HOA", first_match(hoa_rules(p), DNS))
-            .when(F.col("_kind") == "OCC", first_match(occ_rules(p), DNS))
-            .when(F.col("_kind") == "NTS", first_match(nts_rules(p), DNS)))
-    return j.withColumn("_kind", kind).withColumn("send_flag", flag)
-
-
-def final_flags_unique(flags: DataFrame, exc: DataFrame) -> DataFrame:
-    """``final_flags`` for unique keys: the flag frame already holds every exception once."""
-    return flags.select("send_flag", F.col("mca").alias("mca_percent"), *[F.col(c) for c in exc.columns])
-
-
-def letter_templates_unique(pop: DataFrame, flags: DataFrame) -> DataFrame:
-    """``letter_templates`` for unique keys, from the one-pass flag frame."""
-    k = F.col("_kind")
-    return letter_templates(pop, flags.where(k == "HOA"), flags.where(k == "OCC"), flags.where(k == "NTS"))
-
-
-def rule_coverage_unique(flags: DataFrame, p: LetterParams) -> DataFrame:
-    """``rule_coverage`` for unique keys: one grouping over the one-pass flag frame."""
-    k = F.col("_kind")
-    tables = {"HOA": hoa_rules(p), "OCC": occ_rules(p), "NTS": nts_rules(p)}
-    idx = None
-    for name, rules in tables.items():
-        idx = F.when(k == name, rule_index(rules)) if idx is None else idx.when(k == name, rule_index(rules))
-    labels = F.create_map(*[x for name, rules in tables.items() for i, r in enumerate(rules, start=1)
-                            for x in (F.lit(f"{name}:{i}"), F.lit(r.label))])
-    counts = flags.where(k.isNotNull()).groupBy(k.alias("table"), idx.alias("rule")).agg(F.count(F.lit(1)).alias("n"))
-    key = F.concat(F.col("table"), F.lit(":"), F.col("rule").cast("string"))
-    return counts.select("table", "rule", F.coalesce(labels[key], F.lit("ELSE")).alias("label"), "n")
+    n = F.col("n_loan") * F.col("n_kept")
+    return (rule_hits(hoa_rows(j), hoa_rules(p), "HOA", n).unionByName(rule_hits(occ_rows(j), occ_rules(p), "OCC", n))
+            .unionByName(rule_hits(nts_rows(j), nts_rules(p), "NTS", F.col("_n"))))
 
 
 def run(tables: dict[str, DataFrame], params: LetterParams | None = None, ordered: bool = True,
@@ -397,37 +428,30 @@ def run(tables: dict[str, DataFrame], params: LetterParams | None = None, ordere
     """tables: loan_status, hud_status, workable, loan_master, exceptions.
 
     Returns population, exceptions, hoa, occ, nts, final, templates, manifest, rule_hits (each
-    built on first access, see ``JobResult``).  Outputs that read the population and the scrubbed
-    exceptions several times (final, templates, manifest, rule_hits) share one materialised copy
-    of each (``materialized``); outputs that read them once use the plain plans.
+    built on first access, see ``JobResult``).  hoa, occ and exceptions read the joined pairs once and
+    write nothing; the other outputs read them several times and share one materialised copy
+    (``materialized``), so that every source table is read once.
     """
     p = params or LetterParams()
     r: JobResult
 
-    def shared():
-        """The population and exceptions as read by outputs that read them several times."""
-        if not materialized:
-            return r["population"], r["exceptions"]
-        return r["_population_m"], r["_exceptions_m"]
+    def mat(df):
+        return materialize(df) if materialized else df
 
     r = JobResult({
         # single-reader outputs: plain plans, nothing written
         "population": lambda: population(tables, p),
         "exceptions": lambda: exception_scrub(tables, r["population"], p),
-        "hoa": lambda: hoa_frame(r["population"], r["exceptions"], p),
-        "occ": lambda: occ_frame(r["population"], r["exceptions"], p),
-        "nts": lambda: nts_frame(r["population"], r["exceptions"], p),
-        # shared intermediates, materialised once (not force-partitioned: later joins shuffle anyway,
-        # and a hot loan would become one task)
-        "_population_m": lambda: materialize(population(tables, p)),
-        "_exceptions_m": lambda: materialize(exception_scrub(tables, r["_population_m"], p)),
-        "_hoa_m": lambda: hoa_frame(*shared(), p),
-        "_occ_m": lambda: occ_frame(*shared(), p),
-        "_nts_m": lambda: nts_frame(*shared(), p),
-        # multi-reader outputs: the report's join form
-        "final": lambda: final_flags(*shared(), r["_hoa_m"], r["_occ_m"], r["_nts_m"]),
-        "templates": lambda: letter_templates(shared()[0], r["_hoa_m"], r["_occ_m"], r["_nts_m"]),
-        "manifest": lambda: manifest(r["final"], tables["loan_master"], p, ordered),
-        "rule_hits": lambda: rule_coverage(*shared(), p),
+        "hoa": lambda: hoa_frame(scrub_pairs(tables, r["population"], p), p),
+        "occ": lambda: occ_frame(scrub_pairs(tables, r["population"], p), p),
+        # shared, materialised once (not force-partitioned: later joins shuffle anyway, and a hot loan
+        # would become one task)
+        "_population_m": lambda: mat(population(tables, p)),
+        "_pairs_m": lambda: mat(scrub_pairs(tables, r["population"], p)),
+        "nts": lambda: nts_frame(r["_pairs_m"], p),
+        "final": lambda: final_flags(final_counts(r["_pairs_m"], p), tables["exceptions"]),
+        "templates": lambda: letter_templates(r["_population_m"], mat(scrub_pairs(tables, r["_population_m"], p)), p),
+        "manifest": lambda: manifest(final_counts(r["_pairs_m"], p), tables["loan_master"], p, ordered),
+        "rule_hits": lambda: rule_coverage(r["_pairs_m"], p),
     })
     return r

@@ -107,12 +107,14 @@ def loan_status(d: Driver) -> DataFrame:
 
 @_view
 def hud_status(d: Driver) -> DataFrame:
+    """One row for each loan, and a second one for some: those loans repeat in the population."""
     c = d["customer"]
-    return c.select(
-        _s("c_custkey").alias("loan_number"),
-        _pick("c_custkey", ["Not Started", "HUD Denied", "Not Started", "Pkg Submitted to HUD", "HUD Approved"]).alias("hud_status"),
-        F.concat(F.lit("Agent "), (F.col("c_custkey") % 7).cast("string")).alias("hud_assigned_to"),
-    )
+    status = _pick("c_custkey", ["Not Started", "HUD Denied", "Not Started", "Pkg Submitted to HUD", "HUD Approved"])
+    agent = F.concat(F.lit("Agent "), (F.col("c_custkey") % 7).cast("string"))
+    second = F.col("second") == 1
+    return (c.withColumn("second", F.explode(F.sequence(F.lit(0), F.when(F.col("c_custkey") % 53 == 0, 1).otherwise(0))))
+            .select(_s("c_custkey").alias("loan_number"), F.when(second, "HUD Denied").otherwise(status).alias("hud_status"),
+                    F.when(second, "Agent 9").otherwise(agent).alias("hud_assigned_to")))
 
 
 @_view
@@ -183,8 +185,10 @@ def letter_dates(d: Driver) -> DataFrame:
 
 @_view
 def exceptions(d: Driver) -> DataFrame:
+    """Exceptions are orders; some have no id, and some pairs of neighbours (mostly of different loans) share one."""
     o = d["orders"]
     k = F.col("o_orderkey")
+    exception_id = F.when(k % 97 == 0, F.lit(None).cast("long")).when(F.floor(k / 2) % 89 == 0, k - k % 2).otherwise(k)
     pr = F.substring("o_orderpriority", 1, 1)
     doc = (F.when(pr == "1", "HOA").when(pr == "2", "Current OCC Cert")
            .when(pr == "3", F.when(k % 2 == 0, "Death Cert HACG").otherwise("Death Cert"))
@@ -195,7 +199,7 @@ def exceptions(d: Driver) -> DataFrame:
     repairs = (F.when(k % 3 == 0, "Report/Inspection complete repairs are not complete")
                .when(k % 3 == 2, "Repairs complete"))
     base = o.select(
-        k.alias("exception_id"), _s("o_custkey").alias("loan_number"), doc.alias("document"),
+        k.alias("_order"), exception_id.alias("exception_id"), _s("o_custkey").alias("loan_number"), doc.alias("document"),
         _pick("o_orderkey", ISSUES).alias("issue"), status.alias("exception_status"),
         (F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")).alias("exception_status_date"),
         F.concat(F.lit("User "), (k % 5).cast("string")).alias("exception_status_updated_by"),
@@ -206,7 +210,7 @@ def exceptions(d: Driver) -> DataFrame:
         F.when(F.col("o_custkey") % 2 == 0, F.concat(F.lit("Co-Borrower "), _s("o_custkey"))).alias("coborrower_name"),
     )
     dates = letter_dates(d)
-    return base.join(dates, base.exception_id == dates.l_orderkey, "left").drop("l_orderkey")
+    return base.join(dates, base._order == dates.l_orderkey, "left").drop("l_orderkey", "_order")
 
 
 # W2 roles

@@ -89,24 +89,33 @@ def test_letter_scenarios(spark):
     assert ("4", None, "93-65 CHP Death Certificate Template") in tpl
 
 
-def test_unique_key_fast_path_equals_join_form(spark):
+def test_template_rows_are_the_report_product(spark):
+    """Three HOA exceptions (two templates), two repairs, a loan without any: rows multiply, NULL kinds count once."""
+    loans = [("1", "Grp 2 FNMA", 97.2, 5, "PO Box 7", "N1", "12345"), ("2", None, 96.2, 5, "1 Main", "N1", "12345")]
+    exceptions = [dict(id=10, loan="1", doc="HOA", issue="Missing"), dict(id=11, loan="1", doc="HOA", issue="Missing"),
+                  dict(id=12, loan="1", doc="HOA", issue="Missing Contact Info"),
+                  dict(id=13, loan="1", doc="Proof of Repair"), dict(id=14, loan="1", doc="Proof of Repair")]
+    t = _tables(spark, loans, exceptions)
+    t["hud_status"] = t["hud_status"].unionByName(t["hud_status"].where("loan_number = '2'"))
+    out = L.run(t, L.LetterParams(as_of=AS_OF))["templates"].collect()
+    got = {(r.loan_number, (r.hoa_template or "")[:5], (r.por_template or "")[:5]): int(r.n_rows) for r in out}
+    assert got == {("1", "94-13", "93-62"): 4, ("1", "94-32", "93-62"): 2, ("2", "", ""): 2}
+    # a hot loan: five million rows of each kind would be a product beyond 64 bits; only counts are multiplied
+    many = [dict(id=i, loan="1", doc=d, issue="Missing") for i, d in enumerate(["HOA", "Current OCC Cert", "Death Cert HACG", "Trust - HACG", "Proof of Repair"] * 40)]
+    out = L.run(_tables(spark, loans[:1], many), L.LetterParams(as_of=AS_OF))["templates"].collect()
+    assert [int(r.n_rows) for r in out] == [40 ** 5]
+
+
+def test_each_table_is_read_once(spark):
     from ferrule.checks import queries as Q
     from ferrule.sources import adapter as A
-    t = Q._letter_tables(A.driver(spark, SF01))
-    p = L.LetterParams(as_of=AS_OF)
-    pop = L.population(t, p)
-    exc = L.exception_scrub(t, pop, p)
-    assert L.keys_unique(pop, "loan_number") and L.keys_unique(exc, "exception_id")
-    hoa, occ, nts = L.hoa_frame(pop, exc, p), L.occ_frame(pop, exc, p), L.nts_frame(pop, exc, p)
-    flags = L.flag_frame(pop, exc, p)
-    exact = L.final_flags(pop, exc, hoa, occ, nts)
-    fast = L.final_flags_unique(flags, exc)
-    assert exact.exceptAll(fast).count() == 0 and fast.exceptAll(exact).count() == 0
-    h_exact, h_fast = L.rule_coverage(pop, exc, p), L.rule_coverage_unique(flags, p)
-    assert sorted(map(tuple, h_exact.collect())) == sorted(map(tuple, h_fast.collect()))
-    t_exact = L.letter_templates(pop, hoa, occ, nts)
-    t_fast = L.letter_templates_unique(pop, flags)
-    assert t_exact.exceptAll(t_fast).count() == 0 and t_fast.exceptAll(t_exact).count() == 0
+    d = A.Driver(spark, SF001)
+    for part in ("hoa", "occ"):
+        plan = L.run(Q._letter_tables(d), L.LetterParams(as_of=AS_OF))[part]._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("l_shipdate") and plan.count("Relation [l_") == 1 and plan.count("Relation [o_") == 1, plan
+    for part in ("nts", "final", "manifest", "rule_hits"):             # from the one materialised join
+        plan = L.run(Q._letter_tables(d), L.LetterParams(as_of=AS_OF))[part]._jdf.queryExecution().optimizedPlan().toString()
+        assert "Relation [l_" not in plan and "Relation [o_" not in plan, part
 
 
 def test_null_and_repeated_exception_ids_follow_the_join_form(spark):

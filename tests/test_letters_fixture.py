@@ -11,6 +11,7 @@ import itertools
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from ferrule.checks import oracle_letters as OL
 from ferrule.checks.compare import compare
@@ -69,7 +70,11 @@ def fixture(spark):
                 if doc == "HOA" and i % 4 == 1 and r == 0:   # a second exception of the same kind on the loan
                     exc.append(tuple([next(eid)] + row[1:]))
     exc.append(tuple([exc[5][0]] + list(exc[40][1:])))   # a repeated exception id on another loan
+    for n, i in enumerate(range(0, 800, 9)):                # ids shared by exceptions of other documents and loans, and NULL ids
+        exc.append(tuple([None if n % 4 == 3 else exc[i][0]] + list(exc[i + 389][1:])))
     hud.append(("1", "Not Started", "A9"))                 # a second HUD row: loan 1 repeats in the population
+    for k in ("6", "8", "24"):                             # and two percents for one loan, on different sides of a bound
+        master.append((k, 95.25 if k != "6" else 96.75, *master[int(k)][2:]))
     s = spark.createDataFrame
     ts = "timestamp_ntz"
     t = {
@@ -93,7 +98,7 @@ def setup(spark):
     t = fixture(spark)
     con = duckdb.connect()
     for name, df in t.items():
-        con.register(f"v_{name}", df.toPandas())
+        con.register(f"v_{name}", df.toArrow())
     out = L.run(t, L.LetterParams(as_of=AS_OF), ordered=False)
     return out, con
 
@@ -103,14 +108,11 @@ def sql(body):
     return f"WITH {ctes}\n{body}"
 
 
-@pytest.mark.parametrize("part,body", [
-    ("population", "SELECT * FROM ls"), ("exceptions", "SELECT * FROM ex"), ("hoa", "SELECT * FROM hoa"),
-    ("occ", "SELECT * FROM occ"), ("nts", "SELECT * FROM nts"), ("final", "SELECT * FROM fin"),
-    ("templates", OL._TPL), ("manifest", OL._MANIFEST), ("rule_hits", OL._HITS),
-])
-def test_fixture_matches_report_sql(setup, part, body):
+@pytest.mark.parametrize("part", list(OL.PARTS))
+def test_fixture_matches_report_sql(setup, part):
     out, con = setup
-    r = compare(out[part], con, sql(body))
+    got = out[part].withColumn("n_rows", F.col("n_rows").cast("long")) if part == "templates" else out[part]
+    r = compare(got, con, sql(OL.PARTS[part]))
     assert r["cols_match"], r
     assert r["spark_rows"] == r["duck_rows"] and r["spark_rows"] > 0, r
     assert r["values_match"], r
@@ -126,3 +128,7 @@ def test_fixture_population_repeats_a_loan(setup):
     out, _ = setup
     counts = {r.loan_number: r["count"] for r in out["population"].groupBy("loan_number").count().collect()}
     assert counts.get("1") == 2
+    percents = out["population"].groupBy("loan_number").agg(F.countDistinct("mca").alias("n")).where("n > 1")
+    assert percents.count() >= 2
+    ids = out["exceptions"].groupBy("exception_id").agg(F.countDistinct("loan_number").alias("n")).where("n > 1 or exception_id is null")
+    assert ids.count() >= 3
