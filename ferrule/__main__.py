@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ferrule.plans import JobResult, bonus, climate, documents, employees, letters, slow_movers
 from ferrule.sources.io import read_csv, write_json_rows
 from ferrule.sources.schemas import SCHEMAS
+from ferrule.sources.scope import Intermediates
 
 
 def _date(s: str) -> dt.date:
@@ -51,10 +52,15 @@ def _climate(t, a) -> JobResult:
         "station_activity": lambda: climate.station_activity(m()),
         "top_station_hist": lambda: climate.top_station_hist(m(), start),
         "stations": lambda: climate.station_list(s()),
+        "date_values": lambda: climate.date_values(m()),
         "tobs_last_year": lambda: climate.last_year_values(m()),
         "temps_from_start": lambda: climate.temperature_stats(m(), start),
         "temps_in_range": lambda: climate.temperature_stats(m(), start, end),
         "precipitation_summary": lambda: climate.precipitation_summary(m(), start, end),
+        "trip_last_year": lambda: climate.trip_last_year(m(), start, end),
+        "daily_normals": lambda: climate.daily_normals(m(), start, end),
+        "rain_per_station": lambda: climate.rain_per_station(m(), s(), start, end),
+        "june_december": lambda: climate.june_december(m()),
     })
 
 
@@ -63,7 +69,7 @@ JOBS = {
     "documents": lambda t, a: documents.run(t, documents.DocumentParams(as_of=a.as_of, match_on=a.match_on)),
     "bonus": lambda t, a: JobResult({"status": lambda: bonus.run(t, a.start, a.end)}),
     "slow-movers": lambda t, a: JobResult({"report": lambda: slow_movers.run_for_month(
-        t, a.as_of, eom_inclusive=a.eom_inclusive)}),
+        t, a.as_of, strict_year=a.strict_year, eom_inclusive=a.eom_inclusive)}),
     "employees": _employees,
     "climate": _climate,
 }
@@ -82,6 +88,7 @@ def parse(argv=None) -> argparse.Namespace:
     ap.add_argument("--year", type=int, default=1986)
     ap.add_argument("--match-on", choices=["loan", "exception"], default="loan")
     ap.add_argument("--eom-inclusive", action="store_true")
+    ap.add_argument("--strict-year", action="store_true", help="last business date of the month itself, not of that month in any year")
     return ap.parse_args(argv)
 
 
@@ -94,12 +101,13 @@ def main(argv=None, spark: SparkSession | None = None) -> list[str]:
     for spec in a.table:
         name, path = spec.split("=", 1)
         tables[name] = read_csv(spark, path, SCHEMAS[name]) if path.endswith(".csv") else spark.read.parquet(path)
-    outputs = JOBS[a.job](tables, a)
-    names = a.output or [n for n in outputs if not n.startswith("_")]
-    for n in names:
-        path = f"{a.out.rstrip('/')}/{n}"
-        if a.format == "json":
-            write_json_rows(outputs[n], path)
-        else:
-            outputs[n].write.mode("overwrite").parquet(path)
+    with Intermediates():                    # what the job stores on its way is deleted when it ends, or fails
+        outputs = JOBS[a.job](tables, a)
+        names = a.output or [n for n in outputs if not n.startswith("_")]
+        for n in names:
+            path = f"{a.out.rstrip('/')}/{n}"
+            if a.format == "json":
+                write_json_rows(outputs[n], path)
+            else:
+                outputs[n].write.mode("overwrite").parquet(path)
     return names

@@ -1,5 +1,5 @@
-"""DuckDB oracle for the slow-mover report and the history operators (source shape: one aggregate
-per derived table, self-join on the group maximum)."""
+"""DuckDB oracle for the slow-mover report and the history operators: one windowed pass over the exception
+history, one grouped pass over the loan history."""
 
 from __future__ import annotations
 
@@ -10,31 +10,29 @@ BOM, EOM = "DATE '2024-01-10'", "DATE '2024-01-20'"
 CLOSED = up("RESOLVED", "CLOSED", "NOT VALID", "CLOSED WITH VENDOR", "INCURABLE")
 
 
-def _snap(d):
-    return (f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY loan_nbr ORDER BY eff_dttm DESC, seq DESC) AS rn "
-            f"FROM v_loan_history WHERE CAST(eff_dttm AS DATE) <= {d}) WHERE rn = 1")
-
-
-def slow_sql(BOM: str, EOM: str) -> str:
-    QUAL = (f"({ci('doc_desc')} IN ({up('Loss Draft')}) OR {ci('issu_desc')} IN ({up('Forced Placed Insurance', 'Not enough repays')}))"
-            f" AND CAST(eff_dttm AS DATE) <= {EOM}")
-    return f"""SELECT DISTINCT a.loan_nbr, a.mca_percent AS eom_mca, a.loan_status AS eom_loan_status, bmca.mca_percent AS bom_mca,
- e.excp_id, {BOM} AS month, coalesce(e.doc_desc, 'No Exception') AS doc_desc, e.issu_desc, e.excp_sts_desc, e.eff_dttm,
- coalesce(b.open_excp, e.excp_rqst_dttm) AS open_excp, c.close_excp
-FROM ({_snap(EOM)}) a
-LEFT JOIN (SELECT * FROM v_exception_history WHERE {QUAL}) e ON a.loan_nbr = e.loan_nbr
-LEFT JOIN (SELECT excp_id, max(eff_dttm) AS end_excp FROM v_exception_history WHERE {QUAL} GROUP BY excp_id) d
-  ON CAST(e.excp_id AS VARCHAR) = CAST(d.excp_id AS VARCHAR)
-LEFT JOIN (SELECT excp_id, max(eff_dttm) AS open_excp FROM v_exception_history
-           WHERE {QUAL} AND {ci('excp_sts_desc')} NOT IN ({CLOSED}) GROUP BY excp_id) b
-  ON CAST(e.excp_id AS VARCHAR) = CAST(b.excp_id AS VARCHAR)
-LEFT JOIN (SELECT excp_id, max(eff_dttm) AS close_excp FROM v_exception_history
-           WHERE ({ci('doc_desc')} IN ({up('Loss Draft')}) OR {ci('issu_desc')} IN ({up('Forced Placed Insurance', 'Not enough repays')}))
-             AND {ci('excp_sts_desc')} IN ({CLOSED}) AND CAST(eff_dttm AS DATE) BETWEEN {BOM} AND {EOM} GROUP BY excp_id) c
-  ON e.excp_id = c.excp_id
-LEFT JOIN ({_snap(BOM)}) bmca ON a.loan_nbr = bmca.loan_nbr
-WHERE (e.eff_dttm = d.end_excp) AND ((c.close_excp BETWEEN CAST({BOM} AS TIMESTAMP) AND CAST({EOM} AS TIMESTAMP))
-   OR (c.close_excp IS NULL AND {ci('e.excp_sts_desc')} NOT IN ({CLOSED})))"""
+def _state(name: str, d: str) -> str:
+    return f"arg_max(row(mca_percent, loan_status), row(eff_dttm, seq)) FILTER (CAST(eff_dttm AS DATE) <= {d}) AS {name}"
+
+
+def states(new: str, old: str) -> str:
+    """Every loan's state at two dates, from one grouping."""
+    return f"""SELECT loan_nbr, a[1] AS new_mca_percent, a[2] AS new_loan_status, b[1] AS old_mca_percent, b[2] AS old_loan_status
+FROM (SELECT loan_nbr, {_state('a', new)}, {_state('b', old)} FROM v_loan_history GROUP BY loan_nbr) WHERE a IS NOT NULL"""
+
+
+def slow_sql(bom: str, eom: str) -> str:
+    closed = f"{ci('excp_sts_desc')} IN ({CLOSED})"
+    return f"""SELECT DISTINCT loan_nbr, new_mca_percent AS eom_mca, new_loan_status AS eom_loan_status, old_mca_percent AS bom_mca, excp_id,
+ {bom} AS month, coalesce(doc_desc, 'No Exception') AS doc_desc, issu_desc, excp_sts_desc, eff_dttm,
+ coalesce(last_open, excp_rqst_dttm) AS open_excp, last_closed AS close_excp
+FROM (SELECT *, max(eff_dttm) OVER each AS newest, max(eff_dttm) FILTER (NOT is_closed) OVER each AS last_open,
+       max(eff_dttm) FILTER (is_closed AND CAST(eff_dttm AS DATE) >= {bom}) OVER each AS last_closed
+      FROM (SELECT *, {closed} AS is_closed FROM v_exception_history
+            WHERE CAST(eff_dttm AS DATE) <= {eom} AND excp_id IS NOT NULL
+             AND ({ci('doc_desc')} = 'LOSS DRAFT' OR {ci('issu_desc')} IN ('FORCED PLACED INSURANCE', 'NOT ENOUGH REPAYS')))
+      WINDOW each AS (PARTITION BY excp_id)) AS h
+JOIN ({states(eom, bom)}) AS s USING (loan_nbr)
+WHERE eff_dttm = newest AND CASE WHEN last_closed IS NULL THEN NOT is_closed ELSE last_closed <= CAST({eom} AS TIMESTAMP) END"""
 
 
 SLOW = slow_sql(BOM, EOM)
@@ -46,12 +44,10 @@ ORACLE = {
     "period_bounds": with_views("""SELECT DATE '2001-08-01' AS bom, eom,
  CAST(strftime(DATE '2001-08-01', '%Y%m%d') AS INTEGER) AS bom_int, CAST(strftime(eom, '%Y%m%d') AS INTEGER) AS eom_int
 FROM (SELECT CAST(max(bus_proc_dt) AS DATE) AS eom FROM v_business_dates WHERE month(bus_proc_dt) = month(DATE '2001-09-01') - 1)"""),
-    "latest_per_key": with_views("""SELECT h.* FROM v_exception_history h
-JOIN (SELECT excp_id, max(eff_dttm) AS m FROM v_exception_history GROUP BY excp_id) x
-  ON h.excp_id = x.excp_id AND h.eff_dttm = x.m"""),
-    "snapshot_compare": with_views(f"""SELECT n.loan_nbr, n.mca_percent AS new_mca_percent, n.loan_status AS new_loan_status,
- o.mca_percent AS old_mca_percent, o.loan_status AS old_loan_status
-FROM ({_snap(EOM)}) n LEFT JOIN ({_snap(BOM)}) o ON n.loan_nbr = o.loan_nbr"""),
+    "latest_per_key": with_views("SELECT * FROM v_exception_history QUALIFY rank() OVER (PARTITION BY excp_id ORDER BY eff_dttm DESC) = 1"),
+    "snapshot_compare": with_views(states(EOM, BOM)),
+    "snapshot_parameters": with_views(f"""SELECT loan_nbr, new_mca_percent AS eom_mca, old_mca_percent AS bom_mca,
+ new_mca_percent - old_mca_percent AS change FROM ({states(EOM, BOM)}) AS s"""),
     "slow_movers": with_views(SLOW),
     "slow_movers_month": with_views(slow_sql(MONTH_BOM, MONTH_EOM)),
 }

@@ -33,8 +33,17 @@ _SHORTEST = "CASE " + " ".join(
     for p in range(1, 10)) + " END"
 _MONEY = (f"'$' || CASE WHEN {_F} = floor({_F}) THEN CAST(CAST({_F} AS BIGINT) AS VARCHAR) ELSE {_SHORTEST} END")
 
-_DEPT = """SELECT a.emp_no, a.last_name, a.first_name, c.dept_name FROM v_employees a
-JOIN v_dept_emp b ON a.emp_no = b.emp_no JOIN v_departments c ON b.dept_no = c.dept_no"""
+# PostgreSQL's text of a REAL from 1e6 on: the fewest digits nearer to it than half the gap to the next REAL
+_LARGE = "CASE " + " ".join(
+    f"WHEN abs(CAST(printf('%.{p}e', CAST({{x}} AS DOUBLE)) AS DOUBLE) - {{x}}) < pow(2, floor(log2({{x}})) - 24) THEN printf('%.{p}e', CAST({{x}} AS DOUBLE))"
+    for p in range(9)) + " END"
+
+
+def _works_in(only: str = "true") -> str:
+    """Employees by department: the assignments of the wanted departments, then names."""
+    return f"""SELECT emp_no, last_name, first_name, dept_name
+FROM (SELECT emp_no, dept_name FROM v_dept_emp JOIN v_departments USING (dept_no) WHERE {only}) AS w JOIN v_employees USING (emp_no)"""
+
 
 TOP = "(SELECT station FROM v_measurement GROUP BY station ORDER BY count(id) DESC, station LIMIT 1)"
 DAILY = ("SELECT date, round(avg(prcp), 4) AS precipitation FROM v_measurement "
@@ -63,17 +72,18 @@ FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""",
     "snapshot_sql": with_views("""SELECT loan_nbr, mca_percent, loan_status, eff_dttm FROM (
  SELECT *, row_number() OVER (PARTITION BY loan_nbr ORDER BY eff_dttm DESC, seq DESC) AS rn
  FROM v_loan_history WHERE CAST(eff_dttm AS DATE) <= DATE '2024-01-20') WHERE rn = 1"""),
-    "emp_salary": with_views(f"""SELECT e.emp_no, e.last_name, e.first_name, e.gender, {_MONEY} AS salary
-FROM v_employees e JOIN v_salaries s ON e.emp_no = s.emp_no"""),
+    "emp_salary": with_views(f"SELECT emp_no, last_name, first_name, gender, {_MONEY} AS salary FROM v_salaries s JOIN v_employees USING (emp_no)"),
+    "money_exponent": f"""SELECT o_orderkey, concat('$', CASE WHEN v < 1000000 THEN CAST(CAST(v AS BIGINT) AS VARCHAR) ELSE {_LARGE.format(x='v')} END)
+  AS price_text FROM (SELECT o_orderkey, CAST(o_totalprice * 100 AS FLOAT) AS v FROM orders) AS cents""",
     "hired_in_year": with_views("""SELECT emp_no, last_name, first_name, hire_date FROM v_employees
-WHERE date_part('year', CAST(hire_date AS DATE)) = 1996"""),
-    "managers": with_views("""SELECT a.dept_no, a.dept_name, b.emp_no, c.last_name, c.first_name, c.hire_date AS start_date,
- CASE WHEN CAST(b.to_date AS DATE) = DATE '9999-01-01' THEN 'Still Employeed' ELSE CAST(b.to_date AS VARCHAR) END AS end_date
-FROM v_departments a JOIN v_dept_manager b ON a.dept_no = b.dept_no JOIN v_employees c ON b.emp_no = c.emp_no"""),
-    "emp_department": with_views(_DEPT),
-    "name_prefix": with_views("SELECT * FROM v_employees WHERE first_name = 'red' AND substring(last_name, 1, 1) = 'b'"),
-    "one_department": with_views(_DEPT + " WHERE c.dept_no = 'd007'"),
-    "two_departments": with_views(_DEPT + " WHERE c.dept_no IN ('d007', 'd005')"),
+WHERE hire_date BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'"""),
+    "managers": with_views("""SELECT dept_no, dept_name, emp_no, last_name, first_name, hire_date AS start_date,
+ coalesce(CAST(nullif(to_date, DATE '9999-01-01') AS VARCHAR), 'Still Employeed') AS end_date
+FROM v_dept_manager JOIN v_employees USING (emp_no) JOIN v_departments USING (dept_no)"""),
+    "emp_department": with_views(_works_in()),
+    "name_prefix": with_views("SELECT * FROM v_employees WHERE starts_with(last_name, 'b') AND first_name = 'red'"),
+    "one_department": with_views(_works_in("dept_no = 'd007'")),
+    "two_departments": with_views(_works_in("list_contains(['d007', 'd005'], dept_no)")),
     "name_frequency": with_views("SELECT last_name, count(last_name) AS count_of_last_name FROM v_employees GROUP BY last_name"),
     "salary_histogram": with_views(hist_sql("SELECT salary FROM v_salaries", "salary", 10)),
     "avg_by_title": with_views("""SELECT t.title, round(avg(s.salary), 4) AS avg_salary
@@ -117,6 +127,18 @@ FROM (SELECT count(CASE WHEN month(date) = 6 THEN tobs END) AS n1, avg(CASE WHEN
              count(CASE WHEN month(date) = 12 THEN tobs END) AS n2, avg(CASE WHEN month(date) = 12 THEN tobs END) AS mean2,
              var_samp(CASE WHEN month(date) = 12 THEN tobs END) AS var2 FROM v_price_series)"""),
     "nth_row": with_views(f"SELECT * FROM ({DAILY}) ORDER BY date LIMIT 1 OFFSET 10"),
+    "middle_row": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 1 OFFSET (SELECT count(*) // 2 FROM orders)",
+    "csv_rows": "SELECT c_custkey, c_name || ', \"of\" ' || c_mktsegment AS c_name, c_nationkey, c_acctbal FROM customer "
+                "WHERE c_custkey % 41 <> 0 AND c_custkey % 43 <> 0 AND c_custkey % 47 <> 0",
+    "csv_rejects": """SELECT concat_ws(',', c_custkey, '"' || c_name || ', ""of"" ' || c_mktsegment || '"', c_nationkey,
+ CASE WHEN c_custkey % 43 = 0 THEN NULL WHEN c_custkey % 41 = 0 THEN 'n/a' ELSE CAST(c_acctbal AS VARCHAR) END,
+ CASE WHEN c_custkey % 47 = 0 THEN 'more,more' END) AS line
+FROM customer WHERE c_custkey % 41 = 0 OR c_custkey % 43 = 0 OR c_custkey % 47 = 0""",
+    "checked_write": with_views("SELECT count(*) AS n_rows, " + ", ".join(f"count(*) FILTER ({c} IS NULL) AS null_{c}" for c in
+                                ["exception_id", "loan_number", "proof_of_repairs_status", "coborrower_name", "non_gc_letter_sent_3"])
+                                + """, count(*) FILTER (NOT EXISTS (SELECT 1 FROM customer WHERE c_acctbal >= 0 AND CAST(c_custkey AS VARCHAR) = loan_number))
+ AS orphans_active_loan FROM v_exceptions"""),
+    "unlabelled_documents": "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
     "null_check": """SELECT """ + ", ".join(
         f"count(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in
         ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",

@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferrule.functions import sql as FSQL
+from ferrule.functions.semantics import money_text
 from ferrule.operators import history as H
 from ferrule.operators import quality as Q
+from ferrule.operators.stats import nth_row
 from ferrule.plans import bonus
 from ferrule.plans import climate as CL
 from ferrule.plans import documents as DOC
@@ -22,7 +24,8 @@ from ferrule.plans import employees as EMP
 from ferrule.plans import letters as L
 from ferrule.plans import slow_movers as SM
 from ferrule.sources import adapter as A
-from ferrule.sources.io import to_json_rows
+from ferrule.sources.io import load_csv, to_json_rows
+from ferrule.sources.scope import Intermediates, table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -84,7 +87,11 @@ def _letters(spark, sf_dir) -> dict[str, DataFrame]:
 
 @register("base_population")
 def q_base_population(spark, sf_dir):
-    return L.population(_letter_tables(A.driver(spark, sf_dir)), L.LetterParams(as_of=A.AS_OF_TS))
+    """Read from tables stored with match keys, so that the text filters reach their scans."""
+    d = A.driver(spark, sf_dir)
+    t = _letter_tables(d) | {"loan_status": A.stored(d, A.loan_status, "loan_status", "group"),
+                             "hud_status": A.stored(d, A.hud_status, "hud_status")}
+    return L.population(t, L.LetterParams(as_of=A.AS_OF_TS))
 
 
 @register("exception_scrub")
@@ -131,7 +138,12 @@ def _documents(spark, sf_dir):
 
 @register("open_exception_base")
 def q_open_exception_base(spark, sf_dir):
-    return _documents(spark, sf_dir)["base"]
+    """Read from tables stored with match keys, so that the text filters reach their scans."""
+    d = A.driver(spark, sf_dir)
+    t = _document_tables(d) | {"loan_status": A.stored(d, A.loan_status, "loan_status", "group"),
+                               "exceptions": A.stored(d, A.exceptions, "document", "exception_status"),
+                               "assignment": A.stored(d, A.assignment, "hud_status")}
+    return DOC.run(t, DOC.DocumentParams(as_of=A.AS_OF_TS))["base"]
 
 
 @register("document_match")
@@ -184,15 +196,27 @@ def q_latest_per_key(spark, sf_dir):
 @register("snapshot_compare")
 def q_snapshot_compare(spark, sf_dir):
     loans = A.loan_history(A.driver(spark, sf_dir))
-    new = H.snapshot(loans, "loan_nbr", "eff_dttm", SM_EOM, ties=False, tie_break="seq")
-    old = H.snapshot(loans, "loan_nbr", "eff_dttm", SM_BOM, ties=False, tie_break="seq")
-    return H.compare_snapshots(new, old, "loan_nbr", ["mca_percent", "loan_status"])
+    return H.compare_states(loans, "loan_nbr", "eff_dttm", SM_EOM, SM_BOM, ["mca_percent", "loan_status"], tie_break="seq")
+
+
+@register("snapshot_parameters")
+def q_snapshot_parameters(spark, sf_dir):
+    """Both ends of the period in SQL, the script's variables bound as parameters."""
+    return FSQL.run_sql(spark, """
+        SELECT loan_nbr, eom.mca_percent AS eom_mca, bom.mca_percent AS bom_mca, eom.mca_percent - bom.mca_percent AS change
+        FROM (SELECT loan_nbr,
+                     max_by(struct(mca_percent), struct(eff_dttm, seq)) FILTER (WHERE CAST(eff_dttm AS DATE) <= :eom) AS eom,
+                     max_by(struct(mca_percent), struct(eff_dttm, seq)) FILTER (WHERE CAST(eff_dttm AS DATE) <= :bom) AS bom
+              FROM {loans} WHERE CAST(eff_dttm AS DATE) <= greatest(:bom, :eom) GROUP BY loan_nbr)
+        WHERE eom IS NOT NULL""", {"bom": SM_BOM, "eom": SM_EOM}, loans=A.loan_history(A.driver(spark, sf_dir)))
 
 
 @register("slow_movers")
 def q_slow_movers(spark, sf_dir):
+    """The exception history is stored with match keys, so that its text filters reach the scan."""
     d = A.driver(spark, sf_dir)
-    return SM.run({"exception_history": A.exception_history(d), "loan_history": A.loan_history(d)}, SM_BOM, SM_EOM)
+    history = A.stored(d, A.exception_history, "doc_desc", "issu_desc")
+    return SM.run({"exception_history": history, "loan_history": A.loan_history(d)}, SM_BOM, SM_EOM)
 
 
 @register("slow_movers_month")
@@ -225,6 +249,13 @@ def q_emp_salary(spark, sf_dir):
     return EMP.salary_report(_hr(spark, sf_dir))
 
 
+@register("money_exponent")
+def q_money_exponent(spark, sf_dir):
+    """Amounts from 1e6 on are written with an exponent."""
+    o = A.driver(spark, sf_dir)["orders"]
+    return o.select("o_orderkey", money_text(F.col("o_totalprice") * 100).alias("price_text"))
+
+
 @register("hired_in_year")
 def q_hired_in_year(spark, sf_dir):
     return EMP.hired_in_year(_hr(spark, sf_dir), HIRE_YEAR)
@@ -371,7 +402,14 @@ def q_nth_row(spark, sf_dir):
     return _round(CL.nth_daily_mean(_m(spark, sf_dir), C_START, C_END, 10), {"precipitation": 4})
 
 
-# ---- sinks and data quality ---------------------------------------------------------------------
+@register("middle_row")
+def q_middle_row(spark, sf_dir):
+    """The order at the middle position of all orders by price."""
+    o = A.driver(spark, sf_dir)["orders"].select("o_orderkey", "o_totalprice")
+    return nth_row(o, [F.desc("o_totalprice"), F.col("o_orderkey")], o.count() // 2)
+
+
+# ---- sources, sinks and data quality ---------------------------------------------------------------------
 
 
 @register("json_rows")
@@ -382,6 +420,52 @@ def q_json_rows(spark, sf_dir):
     return rows.select(F.from_json(rows.columns[0], st.schema).alias("r")).select("r.*")
 
 
+CSV_SCHEMA = "c_custkey long, c_name string, c_nationkey int, c_acctbal double"
+
+
+def _csv_of_customers(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """The customers as a CSV with quoted commas and quotes; some lines hold a text for a number, lack a field or have
+    two too many."""
+    c = A.driver(spark, sf_dir)["customer"]
+    k = F.col("c_custkey")
+    line = F.concat_ws(",", k.cast("string"), F.concat(F.lit('"'), "c_name", F.lit(', ""of"" '), "c_mktsegment", F.lit('"')),
+                       F.col("c_nationkey").cast("string"),
+                       F.when(k % 43 == 0, F.lit(None).cast("string")).when(k % 41 == 0, F.lit("n/a")).otherwise(F.col("c_acctbal").cast("string")),
+                       F.when(k % 47 == 0, F.lit("more,more")))
+    path = table_path(spark, "csv")
+    c.select(line.alias("value")).write.text(path)
+    return load_csv(spark, path, CSV_SCHEMA, header=False)
+
+
+@register("csv_rows")
+def q_csv_rows(spark, sf_dir):
+    return _csv_of_customers(spark, sf_dir)[0]
+
+
+@register("csv_rejects")
+def q_csv_rejects(spark, sf_dir):
+    return _csv_of_customers(spark, sf_dir)[1]
+
+
+@register("checked_write")
+def q_checked_write(spark, sf_dir):
+    """Constraint counts of the exception table, observed while it is written."""
+    d = A.driver(spark, sf_dir)
+    active = A.loan_status(d).where("loan_status = 'Active'")
+    with Intermediates():
+        counts = Q.write_checked(A.exceptions(d), table_path(spark, "checked"),
+                                 ["exception_id", "loan_number", "proof_of_repairs_status", "coborrower_name", "non_gc_letter_sent_3"],
+                                 {"active_loan": ("loan_number", active, "loan_number")})
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} long" for c in counts))
+
+
+@register("unlabelled_documents")
+def q_unlabelled_documents(spark, sf_dir):
+    """Documents without a label: orphans of a reference that is not complete."""
+    d = A.driver(spark, sf_dir)
+    return Q.fk_orphans(d["documents"].select("doc_id", "source"), "doc_id", d["labels"])
+
+
 @register("null_check")
 def q_null_check(spark, sf_dir):
     return Q.null_counts(A.driver(spark, sf_dir)["lineitem"])

@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 __all__ = [
-    "col_", "ci_key", "ci_eq", "ci_in", "ci_not_in", "in_or_null", "ci_like",
+    "KEY_SUFFIX", "col_", "ci_key", "ci_eq", "ci_in", "ci_not_in", "in_or_null", "ci_like",
     "day_diff", "month_diff", "yyyymmdd", "us_date", "same_day_last_year", "as_date",
     "real", "money_text", "zip4", "strip_zeros", "braced", "sentinel_date_text",
     "address_class", "recode", "date_lit", "ts_lit",
@@ -63,7 +63,14 @@ def as_date(c) -> Column:
 # The reports compare 'Current Occ Cert' with 'Current OCC Cert' and 'TRUST' with 'Trust' and expect
 # a match; trailing blanks are also ignored by that collation.  We compare on upper(rtrim(x)).
 
-def ci_key(c) -> Column:
+#: A table may hold the match key of its text column ``x`` as ``x__key`` (``ferrule.sources.matchable``).
+KEY_SUFFIX = "__key"
+
+
+def ci_key(c, df=None) -> Column:
+    """Match key of a text column: ``upper(rtrim(x))``, or the stored key if ``df`` has one for the column."""
+    if df is not None and isinstance(c, str) and c + KEY_SUFFIX in df.columns:
+        return df[c + KEY_SUFFIX]
     return F.upper(F.rtrim(col_(c)))
 
 
@@ -77,18 +84,18 @@ def ci_eq(a, b) -> Column:
     return ci_key(a) == ci_key(b)
 
 
-def ci_in(c, values: Iterable[str]) -> Column:
-    return ci_key(c).isin([_norm(v) for v in values])
+def ci_in(c, values: Iterable[str], df=None) -> Column:
+    """``IN``; with ``df`` given, on the table's stored match key where it has one (pushed to the scan)."""
+    return ci_key(c, df).isin([_norm(v) for v in values])
 
 
-def ci_not_in(c, values: Iterable[str]) -> Column:
+def ci_not_in(c, values: Iterable[str], df=None) -> Column:
     """``NOT IN``: a NULL input gives NULL, which a filter treats as false."""
-    return ~ci_in(c, values)
+    return ~ci_in(c, values, df)
 
 
-def in_or_null(c, values: Iterable[str], ci: bool = True) -> Column:
-    c = col_(c)
-    return (ci_in(c, values) if ci else c.isin(list(values))) | c.isNull()
+def in_or_null(c, values: Iterable[str], ci: bool = True, df=None) -> Column:
+    return (ci_in(c, values, df) if ci else col_(c).isin(list(values))) | col_(c).isNull()
 
 
 def ci_like(c, pattern: str) -> Column:
@@ -132,11 +139,17 @@ def real(c) -> Column:
 
 
 def money_text(c) -> Column:
-    """``concat('$', CAST(x AS real))`` as PostgreSQL prints it: integral values without '.0', others
-    as the shortest text of the REAL.  Exact for |x| < 1e6 (salaries); from 1e6 on PostgreSQL
-    switches to exponent form (``1.234567e+06``), which this fixed-point rendering does not copy."""
+    """``concat('$', CAST(x AS real))`` as PostgreSQL prints it: the shortest text of the REAL, integral values
+    without '.0', and from 1e6 on with an exponent (``$1.234567e+06``): the fewest digits that are nearer to the
+    value than half its distance to the next REAL."""
     f = col_(c).cast("float")
-    txt = F.when(f == F.floor(f), f.cast("bigint").cast("string")).otherwise(f.cast("string"))
+    x = F.abs(f).cast("double")
+    half_gap = F.pow(F.lit(2.0), F.floor(F.log2(x)) - 24)
+    texts = [F.format_string(f"%.{digits}e", x) for digits in range(9)]
+    large = F.coalesce(*[F.when(F.abs(t.cast("double") - x) < half_gap, t) for t in texts])
+    txt = (F.when(F.isnan(f) | (x == float("inf")), f.cast("string"))
+           .when(x >= 1e6, F.concat(F.when(f < 0, "-").otherwise(""), large))
+           .when(f == F.floor(f), f.cast("bigint").cast("string")).otherwise(f.cast("string")))
     return F.concat(F.lit("$"), txt)
 
 

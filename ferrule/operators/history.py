@@ -7,6 +7,8 @@ Histories hold many rows per key with an effective timestamp.  The operators red
   ``rank() = 1`` filter, which Spark plans as a partial ``WindowGroupLimit`` before the shuffle:
   each map task forwards only its own top-ranked rows per key, so a key holding a third of all rows
   ships a handful of rows, not a third of the table.
+* ``snapshots`` takes the state of every key at several points in time in one grouped pass, without a window and a
+  scan for each date.
 * ``conditional_max`` / ``window_bounds_agg`` compute several MIN/MAX-with-a-condition columns in a
   single ``groupBy`` (partial aggregation on the map side), instead of one aggregate + join each.
 """
@@ -15,14 +17,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferrule.functions.semantics import col_, date_lit, ts_lit
 
-__all__ = ["latest_per_key", "snapshot", "conditional_max", "conditional_min",
-           "window_bounds_agg", "compare_snapshots"]
+__all__ = ["latest_per_key", "snapshot", "snapshots", "conditional_max", "window_bounds_agg", "compare_snapshots", "compare_states"]
 
 
 def _keys(keys) -> list[str]:
@@ -42,6 +44,12 @@ def latest_per_key(df: DataFrame, keys, order_col, ties: bool = True) -> DataFra
     return df.withColumn("_r", fn.over(w)).where(F.col("_r") == 1).drop("_r")
 
 
+def _until(eff_col, as_of) -> Column:
+    if isinstance(as_of, dt.datetime):
+        return col_(eff_col) <= ts_lit(as_of)
+    return col_(eff_col).cast("date") <= date_lit(as_of)
+
+
 def snapshot(df: DataFrame, key, eff_col: str, as_of, ties: bool = True, tie_break=None) -> DataFrame:
     """State of every key as of a point in time: latest row with ``eff_col <= as_of``.
 
@@ -51,14 +59,34 @@ def snapshot(df: DataFrame, key, eff_col: str, as_of, ties: bool = True, tie_bre
     so it reaches the Parquet scan (and partition pruning when the history is stored partitioned by
     effective month).
     """
-    if isinstance(as_of, dt.datetime):
-        cond = col_(eff_col) <= ts_lit(as_of)
-    else:
-        cond = col_(eff_col).cast("date") <= date_lit(as_of)
+    cond = _until(eff_col, as_of)
     order = [eff_col] + ([tie_break] if tie_break is not None else [])
     return latest_per_key(df.where(cond), key, order, ties=ties)
 
 
+def snapshots(df: DataFrame, key, eff_col: str, as_of: Mapping[str, object], cols: Sequence[str], tie_break=None) -> DataFrame:
+    """State of every key at each of the named points in time: (key, <name> struct of ``cols``), NULL where a key
+    has no row yet.
+
+    One scan and one grouping: for each date ``max_by(cols, (eff, tie_break))`` over the rows up to it, with partial
+    aggregation, so a key with a third of all rows sends one row from each task.  The filter on the latest date
+    reaches the scan.  Tied rows count once, as ``snapshot(ties=False)`` does.
+    """
+    order = F.struct(col_(eff_col), *([] if tie_break is None else [col_(tie_break)]))
+    until = {name: _until(eff_col, a) for name, a in as_of.items()}
+    state = F.struct(*[col_(c) for c in cols])
+    return (df.where(reduce(Column.__or__, until.values())).groupBy(*_keys(key))
+            .agg(*[F.max_by(state, F.when(cond, order)).alias(name) for name, cond in until.items()]))
+
+
+def compare_states(df: DataFrame, key, eff_col: str, new, old, cols: Sequence[str], tie_break=None,
+                   new_prefix: str = "new_", old_prefix: str = "old_") -> DataFrame:
+    """``compare_snapshots`` of two dates of one history, read once: keys with a state at ``new``."""
+    s = snapshots(df, key, eff_col, {"_new": new, "_old": old}, cols, tie_break).where(F.col("_new").isNotNull())
+    return s.select(*_keys(key), *[F.col(f"_new.{c}").alias(new_prefix + c) for c in cols],
+                    *[F.col(f"_old.{c}").alias(old_prefix + c) for c in cols])
+
+
 def conditional_max(df: DataFrame, keys, value_col, conditions: Mapping[str, Column | None]) -> DataFrame:
     """One pass: ``max(value) filter (where cond)`` for each named condition, grouped by key."""
     v = col_(value_col)
@@ -66,12 +94,6 @@ def conditional_max(df: DataFrame, keys, value_col, conditions: Mapping[str, Col
     return df.groupBy(*_keys(keys)).agg(*aggs)
 
 
-def conditional_min(df: DataFrame, keys, value_col, conditions: Mapping[str, Column | None]) -> DataFrame:
-    v = col_(value_col)
-    aggs = [F.min(v if cond is None else F.when(cond, v)).alias(name) for name, cond in conditions.items()]
-    return df.groupBy(*_keys(keys)).agg(*aggs)
-
-
 def window_bounds_agg(df: DataFrame, keys, date_col, lo, hi, min_name: str = "min_date",
                       max_name: str = "max_date") -> DataFrame:
     """First and last ``date_col`` per key whose calendar date lies in ``[lo, hi]`` (one pass).

@@ -49,12 +49,22 @@ def top_1(df: DataFrame, order: Sequence[Column]) -> DataFrame:
 
 
 def nth_row(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
-    """Row at 0-based position ``n`` of the sorted frame (``iloc[n]``).
+    """Row at 0-based position ``n`` of the sorted frame (``iloc[n]``); no row when it is shorter.
 
-    Each task keeps its first ``n+1`` rows, so memory is bounded by the requested position;
-    meant for positions into a short ordered report (a year of daily values), not deep offsets.
+    The frame is range-sorted and stored with each row's partition and place; the sizes of the partitions (one row
+    each) give the position of each partition's first row, and one filter finds the row.  No task holds more than a
+    partition, whatever ``n`` is.  ``order`` should end in a unique column: it makes the position definite and
+    lets the ranges split equal values.
     """
-    return df.orderBy(*order).offset(n).limit(1)
+    from ferrule.sources.io import materialize
+
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    s = materialize(df.orderBy(*order).withColumn("_part", F.spark_partition_id()).withColumn("_place", place))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    first = (s.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+             .select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_first")))
+    return (s.join(F.broadcast(first), "_part").where(F.col("_first") + F.col("_place") == F.lit(n))
+            .drop("_part", "_place", "_first"))
 
 
 def range_stats(df: DataFrame, date_col, c, start, stop=None,

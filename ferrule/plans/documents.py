@@ -78,10 +78,11 @@ class DocumentParams:
 
 def base(t: dict[str, DataFrame], p: DocumentParams) -> DataFrame:
     """Open exceptions of the workable population with assignment, totals and roster (D1-D3)."""
-    e = t["exceptions"].where(ci_in("document", p.documents) & ci_not_in("exception_status", p.closed_statuses))
-    a = t["loan_status"].where(ci_in("loan_status", ["Active"]) & F.col("tag_2").isNull()
-                               & F.col("incurable_flag").isin("0") & in_or_null("group", p.groups))
-    c = t["assignment"].where(ci_not_in("hud_status", p.hud_excluded))   # NULL status fails, so inner
+    e, a, c = t["exceptions"], t["loan_status"], t["assignment"]
+    e = e.where(ci_in("document", p.documents, e) & ci_not_in("exception_status", p.closed_statuses, e))
+    a = a.where(ci_in("loan_status", ["Active"], a) & F.col("tag_2").isNull()
+                & F.col("incurable_flag").isin("0") & in_or_null("group", p.groups, df=a))
+    c = c.where(ci_not_in("hud_status", p.hud_excluded, c))              # NULL status fails, so inner
     r = t["roster"]
     j = (a.join(t["workable"], "loan_number", "left")
          .join(e, "loan_number", "inner")                                 # WHERE document IS NOT NULL

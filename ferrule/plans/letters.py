@@ -34,6 +34,7 @@ from ferrule.functions.semantics import (address_class, ci_eq, ci_in, ci_not_in,
                                          in_or_null, month_diff, real, ts_lit, us_date, zip4)
 from ferrule.plans import JobResult
 from ferrule.sources.io import materialize
+from ferrule.sources.matchable import visible
 from ferrule.sources.schemas import LETTER_DATE_COLUMNS
 
 # ---- fixed values of the report ---------------------------------------------------------------
@@ -47,6 +48,7 @@ NON_GC_ISSUES = ("Missing Contact Info", "Authorization Received - Invalid")
 VALID_AUTH_ISSUE = "Authorization Received - Valid"
 REPAIRS_INCOMPLETE = "Report/Inspection complete repairs are not complete"
 NTS_DOCUMENTS = ("Death Cert HACG", "Trust - HACG", "Proof of Repair")
+SCRUBBED_DOCUMENTS = ("HOA", "Current OCC Cert", *NTS_DOCUMENTS)
 DNS = "DO_NOT_SEND"
 AMOUNT = "50"
 
@@ -109,9 +111,10 @@ def mca_flag(c) -> Column:
 # ---- L1 population ------------------------------------------------------------------------------
 
 def population(t: dict[str, DataFrame], p: LetterParams) -> DataFrame:
-    a = t["loan_status"].where(ci_in("loan_status", ["Active"]) & F.col("tag_2").isNull()
-                               & F.col("incurable_flag").isin("0") & in_or_null("group", p.groups))
-    b = t["hud_status"].where(ci_in("hud_status", p.hud_statuses))
+    a, b = t["loan_status"], t["hud_status"]
+    a = a.where(ci_in("loan_status", ["Active"], a) & F.col("tag_2").isNull()
+                & F.col("incurable_flag").isin("0") & in_or_null("group", p.groups, df=a))
+    b = b.where(ci_in("hud_status", p.hud_statuses, b))
     d = t["loan_master"].withColumnRenamed("loan_nbr", "loan_number")
     j = (a.join(b, "loan_number", "inner")                       # WHERE on B turns the left join inner
          .join(t["workable"], "loan_number", "left")
@@ -158,7 +161,9 @@ def scrub_pairs(t: dict[str, DataFrame], pop: DataFrame, p: LetterParams) -> Dat
         kept = F.when(cond, F.col(BOUNDS[k])).otherwise(kept)
         admits = admits | (cond & F.coalesce(mca >= k, F.lit(False)))
     doc = F.col("document")
-    e = t["exceptions"].where(ci_not_in("exception_status", p.closed_statuses))
+    e = t["exceptions"]
+    # the documents that any branch admits: implied by the branches, and a filter that can reach the scan
+    e = e.where(ci_not_in("exception_status", p.closed_statuses, e) & ci_in("document", SCRUBBED_DOCUMENTS, e))
     return (pop.join(e, "loan_number", "inner")
             .select("*", kept.cast("long").alias("n_kept"), admits.alias("admits"),
                     by_kind(doc, MAX_DATE_SETS, DEFAULT_MAX_DATE_SET, row_max).alias("max_date"),
@@ -173,7 +178,7 @@ def _repeated(df: DataFrame, n: Column) -> DataFrame:
 
 def exception_scrub(t: dict[str, DataFrame], pop: DataFrame, p: LetterParams) -> DataFrame:
     """The scrubbed exceptions: a row for each loan row that admits the exception."""
-    cols = [*t["exceptions"].columns, "max_date", "ltr_count"]
+    cols = [*visible(t["exceptions"]), "max_date", "ltr_count"]
     return _repeated(scrub_pairs(t, pop, p).where("admits"), F.col("n_loan")).select(*cols)
 
 
@@ -346,7 +351,7 @@ def final_counts(j: DataFrame, p: LetterParams) -> DataFrame:
 
 
 def _final_columns(exceptions: DataFrame) -> list:
-    return ["send_flag", F.col("mca").alias("mca_percent"), *exceptions.columns, "max_date", "ltr_count"]
+    return ["send_flag", F.col("mca").alias("mca_percent"), *visible(exceptions), "max_date", "ltr_count"]
 
 
 def final_flags(final: DataFrame, exceptions: DataFrame) -> DataFrame:

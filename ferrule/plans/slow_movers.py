@@ -7,7 +7,7 @@ pass computes the last effective time, the last open-status time and the last cl
 period per exception (map-side partial aggregation, so a hot exception costs one row per task);
 the latest status rows come from ``rank() = 1`` (partial WindowGroupLimit before the shuffle).  Both
 are hash-partitioned on ``excp_id`` and join without a new exchange; only then is the result joined
-to the two loan snapshots, which are themselves reduced to one row per loan first.
+to the loans' states at both ends of the period, which one grouped pass over the loan history gives.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferrule.functions.semantics import ci_in, ci_not_in, date_lit, yyyymmdd
-from ferrule.operators.history import latest_per_key, snapshot
+from ferrule.operators.history import latest_per_key, snapshots
 
 # ---- fixed values of the report ---------------------------------------------------------------
 CLOSED_STATUSES = ("RESOLVED", "CLOSED", "NOT VALID", "CLOSED WITH VENDOR", "INCURABLE")
@@ -58,7 +58,7 @@ def run_for_month(tables: dict[str, DataFrame], as_of, strict_year: bool = False
 
 
 def qualifying_history(history: DataFrame, eom) -> DataFrame:
-    cond = (ci_in("doc_desc", DOCUMENTS) | ci_in("issu_desc", ISSUES)) & \
+    cond = (ci_in("doc_desc", DOCUMENTS, history) | ci_in("issu_desc", ISSUES, history)) & \
         (F.col("eff_dttm").cast("date") <= date_lit(eom))
     return history.where(cond)
 
@@ -72,9 +72,25 @@ def exception_bounds(hist: DataFrame, bom, eom) -> DataFrame:
                                         F.max(F.when(closed_in, eff)).alias("close_excp"))
 
 
+def loan_states(tables: dict[str, DataFrame], bom, eom) -> DataFrame:
+    """(loan_nbr, eom_mca, eom_loan_status, bom_mca) of the loans known at the end of the period."""
+    if "eom_loans" in tables:
+        end = tables["eom_loans"].select("loan_nbr", F.col("mca_percent").alias("eom_mca"), F.col("loan_status").alias("eom_loan_status"))
+        return end.join(tables["bom_loans"].select("loan_nbr", F.col("mca_percent").alias("bom_mca")), "loan_nbr", "left")
+    h = tables["loan_history"]
+    both = snapshots(h, "loan_nbr", "eff_dttm", {"eom": eom, "bom": bom}, ["mca_percent", "loan_status"],
+                     tie_break="seq" if "seq" in h.columns else None)
+    return both.where(F.col("eom").isNotNull()).select(
+        "loan_nbr", F.col("eom.mca_percent").alias("eom_mca"), F.col("eom.loan_status").alias("eom_loan_status"),
+        F.col("bom.mca_percent").alias("bom_mca"))
+
+
 def run(tables: dict[str, DataFrame], bom, eom, eom_inclusive: bool = False) -> DataFrame:
     """tables: ``exception_history`` (excp_id, loan_nbr, doc_desc, issu_desc, excp_sts_desc,
-    eff_dttm, excp_rqst_dttm) and ``loan_history`` (loan_nbr, seq, mca_percent, loan_status, eff_dttm).
+    eff_dttm, excp_rqst_dttm), and the loans at both ends of the period: ``eom_loans`` (loan_nbr, mca_percent,
+    loan_status) and ``bom_loans`` (loan_nbr, mca_percent) as the warehouse's snapshot functions give them, or a
+    ``loan_history`` (loan_nbr, mca_percent, loan_status, eff_dttm, and ``seq`` to order rows of one time)
+    from which both are taken in one pass.
 
     ``bom``/``eom`` are dates or date Columns (e.g. ``period_bounds(...).select('eom').scalar()``).
     As written, a close during the EOM day after midnight is dropped (the close time is compared
@@ -83,20 +99,13 @@ def run(tables: dict[str, DataFrame], bom, eom, eom_inclusive: bool = False) ->
     hist = qualifying_history(tables["exception_history"], eom)
     latest = latest_per_key(hist, "excp_id", "eff_dttm", ties=True)
     bounds = exception_bounds(hist, bom, eom)
-    loans = tables["loan_history"]
-    eom_snap = snapshot(loans, "loan_nbr", "eff_dttm", eom, ties=False, tie_break="seq") \
-        .select("loan_nbr", F.col("mca_percent").alias("eom_mca"), F.col("loan_status").alias("eom_loan_status"))
-    bom_snap = snapshot(loans, "loan_nbr", "eff_dttm", bom, ties=False, tie_break="seq") \
-        .select("loan_nbr", F.col("mca_percent").alias("bom_mca"))
     close = F.col("close_excp")
     if eom_inclusive:
         in_period = close.cast("date").between(date_lit(bom), date_lit(eom))
     else:
         in_period = close.between(date_lit(bom).cast("timestamp_ntz"), date_lit(eom).cast("timestamp_ntz"))
     keep = in_period | (close.isNull() & ci_not_in("excp_sts_desc", CLOSED_STATUSES))
-    j = (latest.join(bounds, "excp_id", "inner").where(keep)
-         .join(eom_snap, "loan_nbr", "inner")
-         .join(bom_snap, "loan_nbr", "left"))
+    j = latest.join(bounds, "excp_id", "inner").where(keep).join(loan_states(tables, bom, eom), "loan_nbr", "inner")
     return j.select("loan_nbr", "eom_mca", "eom_loan_status", "bom_mca", "excp_id",
                     date_lit(bom).alias("month"), F.coalesce(F.col("doc_desc"), F.lit(NO_EXCEPTION)).alias("doc_desc"),
                     "issu_desc", "excp_sts_desc", "eff_dttm",

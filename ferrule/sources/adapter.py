@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferrule.functions.semantics import braced
+from ferrule.sources import matchable
+from ferrule.sources.scope import table_path
 
 AS_OF = dt.date(2001, 9, 1)
 AS_OF_TS = dt.datetime(2001, 9, 1)
@@ -68,6 +70,16 @@ def _view(fn):
     return wrapper
 
 
+def stored(d: Driver, view, *match: str) -> DataFrame:
+    """A role view stored once for a session with match keys for its filtered text columns, and read back."""
+    key = f"{view.__name__}__stored"
+    if key not in d._views:
+        path = table_path(d.spark, view.__name__)
+        matchable.store(view(d), path, match)
+        d._views[key] = matchable.load(d.spark, path)
+    return d._views[key]
+
+
 def _s(c) -> F.Column:
     return F.col(c).cast("string")
 
@@ -214,6 +226,7 @@ def exceptions(d: Driver) -> DataFrame:
 
 
 # W2 roles
+@_view
 def assignment(d: Driver) -> DataFrame:
     c = d["customer"]
     return c.select(

@@ -6,9 +6,11 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-__all__ = ["read_csv", "read_csv_tables", "read_table", "read_parquet_tables", "read_jdbc", "with_row_id",
+from ferrule.sources.scope import exists, table_path
+
+__all__ = ["read_csv", "load_csv", "read_csv_tables", "read_table", "read_jdbc", "with_row_id",
            "to_json_rows", "write_json_rows", "materialize"]
 
 
@@ -21,20 +23,36 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFr
             .option("dateFormat", "yyyy-MM-dd").option("mode", "FAILFAST").schema(schema).csv(path))
 
 
+def load_csv(spark: SparkSession, path: str, schema: StructType | str, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of a CSV that may hold bad lines: the typed rows, and a quarantine of the raw lines.
+
+    A line is rejected as a whole if a value does not parse as its type or the number of fields is wrong; it never
+    becomes a row of NULLs.  Both parts come from one read, whose result is stored (``rejects`` is the column
+    ``line``), so a file is parsed once however often they are used.
+    """
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    # every column nullable while it is read: a NOT NULL declaration would turn a missing value into a default
+    fields = [StructField(f.name, f.dataType, True) for f in schema.fields]
+    raw = (spark.read.option("header", header).option("quote", '"').option("escape", '"').option("dateFormat", "yyyy-MM-dd")
+           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_line")
+           .schema(StructType([*fields, StructField("_line", StringType(), True)])).csv(path))
+    kept = materialize(raw)
+    return kept.where("_line is null").drop("_line"), kept.where("_line is not null").select(F.col("_line").alias("line"))
+
+
 def read_csv_tables(spark: SparkSession, folder: str, names: Iterable[str] | None = None) -> dict[str, DataFrame]:
-    """``{name: read_csv(f'{folder}/{name}.csv', SCHEMAS[name])}`` for the declared tables present.
+    """``{name: read_csv(f'{folder}/{name}.csv', SCHEMAS[name])}`` for the declared tables present, in any store.
 
     File readers make every column nullable, so the NOT NULL declarations are checked afterwards
     with ``ferrule.operators.quality.null_counts`` (one pass per table).
     """
-    import os
-
     from ferrule.sources.schemas import SCHEMAS
 
     out = {}
     for n in (names or SCHEMAS):
         path = f"{folder.rstrip('/')}/{n}.csv"
-        if names is not None or os.path.exists(path):
+        if names is not None or exists(spark, path):
             out[n] = read_csv(spark, path, SCHEMAS[n])
     return out
 
@@ -44,11 +62,6 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def read_parquet_tables(spark: SparkSession, root: str, names: Iterable[str]) -> dict[str, DataFrame]:
-    """``{name: spark.read.parquet(f'{root}/{name}.parquet')}`` (lazy; nothing is read yet)."""
-    return {n: spark.read.parquet(f"{root}/{n}.parquet") for n in names}
-
-
 def read_jdbc(spark: SparkSession, url: str, table: str, part_col: str | None = None,
               n: int | None = None, lower: int | None = None, upper: int | None = None,
               properties: dict | None = None) -> DataFrame:
@@ -79,34 +92,14 @@ def write_json_rows(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
-def materialize(df: DataFrame, *partition_cols: str, how: str = "checkpoint") -> DataFrame:
+def materialize(df: DataFrame, *partition_cols: str) -> DataFrame:
     """Materialise an intermediate that later steps read several times (a temp table).
 
-    Both forms write into the shared ``spark.checkpoint.dir``, cut the lineage and survive executor
-    loss.  ``how="checkpoint"`` (default) is a reliable checkpoint; it keeps the partitioning of
-    ``partition_cols`` (hash-partitioned first), so later joins on that key need no shuffle, and it
-    measured faster than a Parquet round trip for the intermediates of the jobs here.
-    ``how="parquet"`` writes a Parquet table and reads it back, so later reads get column pruning
-    and filter pushdown: the better choice for a wide frame that later steps read selectively.
+    Written once as Parquet into the shared ``spark.checkpoint.dir`` and read back: the lineage is cut, the table
+    survives executor loss, nothing stays cached, and later reads get column pruning and filter pushdown.  The table
+    belongs to the enclosing ``Intermediates`` block and is deleted with it (``ferrule.sources.scope``).
     """
-    import uuid
-
-    from pyspark import StorageLevel
-
-    from ferrule.session import ensure_checkpoint_dir
-
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark)
-    if how == "parquet":
-        path = f"{root.rstrip('/')}/ferrule-tables/{uuid.uuid4().hex}"
-        (df.repartition(*partition_cols) if partition_cols else df).write.mode("error").parquet(path)
-        return spark.read.parquet(path)
-    if partition_cols:
-        df = df.repartition(*partition_cols)
-    # the checkpoint write re-runs the plan after the counting job; the short-lived persist makes
-    # that second pass read the first pass's blocks instead of recomputing the input
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
+    path = table_path(spark, "table")
+    (df.repartition(*partition_cols) if partition_cols else df).write.mode("error").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -15,6 +15,15 @@ def _s(*fields, nullable=True):
 
 S, I, L, D, DT, TS = StringType(), IntegerType(), LongType(), DoubleType(), DateType(), TimestampNTZType()
 
+# The letter-date columns of the exception table, in report order.
+LETTER_DATE_COLUMNS = [
+    "gift_card_letter_sent", "gift_card_letter_sent_2", "gift_card_letter_sent_3",
+    "sent_for_gift_card_processing", "document_returned", "ledger_letter_document_returned",
+    "ledger_letter_sent_1", "ledger_letter_sent_2", "ledger_letter_sent_3",
+    "ledger_sent_for_gift_card_processing", "non_gc_letter_sent_1", "non_gc_letter_sent_2",
+    "non_gc_letter_sent_3", "non_gc_letter_document_returned",
+]
+
 SCHEMAS = {
     # HR schema (declared NOT NULL everywhere)
     "departments": _s(("dept_no", S), ("dept_name", S), nullable=False),
@@ -36,15 +45,23 @@ SCHEMAS = {
                       ("next_year_anniversary", TS), ("status_description", S), ("borrower_mail_address", S),
                       ("borrower_mail_city", S), ("borrower_mail_state", S), ("borrower_mail_zip_code", S),
                       ("prop_address", S), ("prop_city", S), ("prop_state", S), ("prop_zip_code", S)),
+    "exceptions": _s(("exception_id", L), ("loan_number", S), ("document", S), ("issue", S), ("exception_status", S),
+                     ("exception_status_date", TS), ("exception_status_updated_by", S), ("exception_assigned_to", S),
+                     ("exception_request_date", TS), ("proof_of_repairs_status", S), ("borrower_name", S), ("coborrower_name", S),
+                     *[(c, TS) for c in LETTER_DATE_COLUMNS], ("sent_to_inspection_vendor", TS)),
+    "assignment": _s(("loan_number", S), ("hud_status", S), ("hud_assigned_to", S), ("hud_preliminary_title_approval", S)),
+    "exception_total": _s(("loan_number", S), ("open_exceptions", I), ("open_curative", I), ("open_hacg", I)),
+    "roster": _s(("agnt_nm", S), ("mgr_nm", S), ("st_loc", S)),
+    "invalid_documents": _s(("loan_nbr", S), ("guid", S)),
+    "document_repository": _s(("loan_key", S), ("doc_type_cd", S), ("original_doc_nm", S), ("obj_id", S), ("cre_dt", TS)),
+    "submissions": _s(("loan_nbr", S), ("dt_sbmt_to_hud", TS)),
+    "denials": _s(("loan_nbr", S), ("hud_prelim_ttl_dny_dt", TS)),
+    "status_snapshot": _s(("loan_nbr", S), ("status_code", I), ("status_description", S)),
+    "status_history": _s(("loan_nbr", S), ("status_code", I), ("status_description", S), ("eff_dttm", TS)),
+    "loan_history": _s(("loan_nbr", S), ("seq", L), ("mca_percent", D), ("loan_status", S), ("eff_dttm", TS)),
+    "eom_loans": _s(("loan_nbr", S), ("mca_percent", D), ("loan_status", S)),
+    "bom_loans": _s(("loan_nbr", S), ("mca_percent", D)),
+    "business_dates": _s(("bus_proc_dt", TS)),
     "exception_history": _s(("excp_id", L), ("loan_nbr", S), ("doc_desc", S), ("issu_desc", S),
                             ("excp_sts_desc", S), ("eff_dttm", TS), ("excp_rqst_dttm", TS)),
 }
-
-# The letter-date columns of the exception table, in report order.
-LETTER_DATE_COLUMNS = [
-    "gift_card_letter_sent", "gift_card_letter_sent_2", "gift_card_letter_sent_3",
-    "sent_for_gift_card_processing", "document_returned", "ledger_letter_document_returned",
-    "ledger_letter_sent_1", "ledger_letter_sent_2", "ledger_letter_sent_3",
-    "ledger_sent_for_gift_card_processing", "non_gc_letter_sent_1", "non_gc_letter_sent_2",
-    "non_gc_letter_sent_3", "non_gc_letter_document_returned",
-]
