@@ -144,19 +144,24 @@ def _admitted(p: LetterParams) -> dict[int, Column]:
             96: ci_in(doc, ["HOA"]) & ci_in("issue", p.hoa_issues)}
 
 
-def scrub_pairs(t: dict[str, DataFrame], pop: DataFrame, p: LetterParams) -> DataFrame:
-    """Every (loan row, exception) of a loan with a row that admits the exception (L2, and the join of L3-L6).
-
-    Columns of both, ``max_date``, ``ltr_count``, ``n_loan`` (equal loan rows this one stands for), ``n_kept`` (rows
-    of the exception in the scrubbed table) and ``admits`` (whether this loan row is one that admits it).
-    """
+def loan_rows(pop: DataFrame) -> DataFrame:
+    """Population rows, equal ones once (``n_loan``), with the number of the loan's rows that reach each bound."""
     of_loan = Window.partitionBy("loan_number")
     mca, n = F.col("mca"), F.col("n_loan")
-    pop = pop.groupBy(*pop.columns).agg(F.count(F.lit(1)).alias("n_loan")).select(
+    return pop.groupBy(*pop.columns).agg(F.count(F.lit(1)).alias("n_loan")).select(
         "*", *[F.sum(F.when(mca >= k, n).otherwise(0)).over(of_loan).alias(c) for k, c in BOUNDS.items()])
-    kinds = _admitted(p)
+
+
+def scrub_pairs(t: dict[str, DataFrame], loans: DataFrame, p: LetterParams) -> DataFrame:
+    """Every (loan row, exception) of a loan with a row that admits the exception (L2, and the join of L3-L6).
+
+    Columns of ``loan_rows`` and of the exceptions, ``max_date``, ``ltr_count``, ``n_kept`` (rows of the exception
+    in the scrubbed table) and ``admits`` (whether this loan row is one that admits it).  ``loans`` should be a stored
+    table: then both sides of the join are plain shuffles, and AQE splits a loan that holds many exceptions.
+    """
+    mca = F.col("mca")
     kept, admits = F.lit(0), F.lit(False)
-    for k, cond in kinds.items():
+    for k, cond in _admitted(p).items():
         cond = F.coalesce(cond, F.lit(False))
         kept = F.when(cond, F.col(BOUNDS[k])).otherwise(kept)
         admits = admits | (cond & F.coalesce(mca >= k, F.lit(False)))
@@ -164,7 +169,7 @@ def scrub_pairs(t: dict[str, DataFrame], pop: DataFrame, p: LetterParams) -> Dat
     e = t["exceptions"]
     # the documents that any branch admits: implied by the branches, and a filter that can reach the scan
     e = e.where(ci_not_in("exception_status", p.closed_statuses, e) & ci_in("document", SCRUBBED_DOCUMENTS, e))
-    return (pop.join(e, "loan_number", "inner")
+    return (loans.join(e, "loan_number", "inner")
             .select("*", kept.cast("long").alias("n_kept"), admits.alias("admits"),
                     by_kind(doc, MAX_DATE_SETS, DEFAULT_MAX_DATE_SET, row_max).alias("max_date"),
                     row_count(LTR_COUNT_SET).alias("ltr_count"))
@@ -179,7 +184,7 @@ def _repeated(df: DataFrame, n: Column) -> DataFrame:
 def exception_scrub(t: dict[str, DataFrame], pop: DataFrame, p: LetterParams) -> DataFrame:
     """The scrubbed exceptions: a row for each loan row that admits the exception."""
     cols = [*visible(t["exceptions"]), "max_date", "ltr_count"]
-    return _repeated(scrub_pairs(t, pop, p).where("admits"), F.col("n_loan")).select(*cols)
+    return _repeated(scrub_pairs(t, materialize(loan_rows(pop)), p).where("admits"), F.col("n_loan")).select(*cols)
 
 
 # ---- L3-L5 rule tables --------------------------------------------------------------------------
@@ -371,7 +376,7 @@ def _template(col: str, flag: Column, doc: Column | None) -> Column:
 TEMPLATE_COLUMNS = ["hoa_template", "occ_template", "dc_template", "trust_template", "por_template"]
 
 
-def letter_templates(pop: DataFrame, j: DataFrame, p: LetterParams) -> DataFrame:
+def letter_templates(loans: DataFrame, j: DataFrame, p: LetterParams) -> DataFrame:
     """Template combinations per loan, with ``n_rows``: how many rows of the report's product show them.
 
     Rows are counted by (loan, kind, template) first, so a kind has at most three entries of a loan; a combination's
@@ -391,7 +396,7 @@ def letter_templates(pop: DataFrame, j: DataFrame, p: LetterParams) -> DataFrame
     bags = (rows.groupBy("loan_number", "kind", "tpl").agg(F.sum("_n").alias("n")).groupBy("loan_number")
             .agg(*[F.collect_list(F.when(F.col("kind") == k, F.struct("tpl", F.col("n").cast("decimal(38,0)").alias("n")))).alias(k)
                    for k in TEMPLATE_COLUMNS]))
-    out = pop.groupBy("loan_number").agg(F.count(F.lit(1)).cast("decimal(38,0)").alias("n_rows")).join(bags, "loan_number", "left")
+    out = loans.groupBy("loan_number").agg(F.sum("n_loan").cast("decimal(38,0)").alias("n_rows")).join(bags, "loan_number", "left")
     none = F.array(F.struct(F.lit(None).cast("string").alias("tpl"), F.lit(1).cast("decimal(38,0)").alias("n")))
     for k in TEMPLATE_COLUMNS:         # a kind without rows is one NULL template
         out = out.withColumn(k, F.explode(F.when(F.size(k) > 0, F.col(k)).otherwise(none)))
@@ -433,9 +438,9 @@ def run(tables: dict[str, DataFrame], params: LetterParams | None = None, ordere
     """tables: loan_status, hud_status, workable, loan_master, exceptions.
 
     Returns population, exceptions, hoa, occ, nts, final, templates, manifest, rule_hits (each
-    built on first access, see ``JobResult``).  hoa, occ and exceptions read the joined pairs once and
-    write nothing; the other outputs read them several times and share one materialised copy
-    (``materialized``), so that every source table is read once.
+    built on first access, see ``JobResult``).  The population with its counts is stored (a row for each loan), so
+    that its join with the exceptions is one of two plain shuffles; outputs that read the joined pairs several
+    times share one stored copy of them.  Every source table is read once.
     """
     p = params or LetterParams()
     r: JobResult
@@ -444,18 +449,17 @@ def run(tables: dict[str, DataFrame], params: LetterParams | None = None, ordere
         return materialize(df) if materialized else df
 
     r = JobResult({
-        # single-reader outputs: plain plans, nothing written
         "population": lambda: population(tables, p),
-        "exceptions": lambda: exception_scrub(tables, r["population"], p),
-        "hoa": lambda: hoa_frame(scrub_pairs(tables, r["population"], p), p),
-        "occ": lambda: occ_frame(scrub_pairs(tables, r["population"], p), p),
-        # shared, materialised once (not force-partitioned: later joins shuffle anyway, and a hot loan
-        # would become one task)
-        "_population_m": lambda: mat(population(tables, p)),
-        "_pairs_m": lambda: mat(scrub_pairs(tables, r["population"], p)),
+        "exceptions": lambda: _repeated(r["_pairs"].where("admits"), F.col("n_loan")).select(*visible(tables["exceptions"]), "max_date", "ltr_count"),
+        "hoa": lambda: hoa_frame(r["_pairs"], p),
+        "occ": lambda: occ_frame(r["_pairs"], p),
+        # stored once (not force-partitioned: later joins shuffle anyway, and a hot loan would become one task)
+        "_loans_m": lambda: mat(loan_rows(population(tables, p))),
+        "_pairs": lambda: scrub_pairs(tables, r["_loans_m"], p),
+        "_pairs_m": lambda: mat(r["_pairs"]),
         "nts": lambda: nts_frame(r["_pairs_m"], p),
         "final": lambda: final_flags(final_counts(r["_pairs_m"], p), tables["exceptions"]),
-        "templates": lambda: letter_templates(r["_population_m"], mat(scrub_pairs(tables, r["_population_m"], p)), p),
+        "templates": lambda: letter_templates(r["_loans_m"], r["_pairs_m"], p),
         "manifest": lambda: manifest(final_counts(r["_pairs_m"], p), tables["loan_master"], p, ordered),
         "rule_hits": lambda: rule_coverage(r["_pairs_m"], p),
     })
