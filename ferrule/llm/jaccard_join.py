@@ -30,7 +30,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ferrule.llm.common import Membership, Words, lists, map_arrow, mix, signed, slices, stored
@@ -42,6 +42,8 @@ FREQUENT_MAX = 200_000
 FIRST = 16
 #: Candidates of one probe are dealt over so many groups.
 SALTS = 64
+#: Bytes of text handled at once: several of these steps run in one task, each with a worker of its own.
+SLICE = 1 << 20
 _TRIE_STEP = 128
 _TRIE_BATCH = 256
 
@@ -49,7 +51,7 @@ _TRIE_BATCH = 256
 def shingle_sets(column: pa.Array, size: int):
     """(row, sorted distinct shingle fingerprints as int64) for each text of the column."""
     row = 0
-    for a, b, data, off in slices(column):
+    for a, b, data, off in slices(column, SLICE):
         w = Words(data, off, lower=True)
         h = signed(w.windows(size, salt=size))
         for d in range(b - a):
@@ -343,7 +345,11 @@ def link_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
 
 def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
              percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that have the least id of their component, one of each id; rows with a null id stay."""
+    """The rows of ``docs`` that have the least id of their component; rows with a null id stay.
+
+    Of rows that share this id and the text one stays, the first by their JSON; rows that share the id but hold
+    different texts all stay, whether they are alike or not.
+    """
     comp = stored(spark, link_components(spark, docs, id_col, text_col, size, percent), "components")
     gone = comp.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone_")).distinct()
     kept = docs.join(gone, docs[id_col] == F.col("gone_"), "left_anti")
@@ -351,4 +357,10 @@ def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_
     if again.isEmpty():
         return kept
     twice = kept[id_col] == F.col("again_")
-    return kept.join(again, twice, "left_anti").unionByName(kept.join(again, twice, "left_semi").dropDuplicates([id_col]))
+    name = "row_"
+    while name in docs.columns:
+        name += "_"
+    # row_number = 1: each task sends one row of a group
+    equal = Window.partitionBy(id_col, text_col).orderBy(F.to_json(F.struct(*docs.columns)))
+    first = (kept.join(again, twice, "left_semi").withColumn(name, F.row_number().over(equal)).filter(F.col(name) == 1).drop(name))
+    return kept.join(again, twice, "left_anti").unionByName(first)

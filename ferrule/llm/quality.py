@@ -34,6 +34,8 @@ _CLASS[10] = 4
 _CLASS[[ord(c) for c in ".,;:!?'\"-()"]] = 5
 _CLASS[128:] = 7
 
+#: Bytes of text handled at once.
+SLICE = 1 << 20
 FEATURES = ("log_bytes", "log_words", "upper", "digit", "space", "lines", "punctuation", "symbol", "non_ascii",
             "word_length", "word_length_spread", "distinct_words", "top_word", "distinct_pairs", "symbol_words",
             "byte_entropy")
@@ -47,7 +49,7 @@ def _share(a, n):
 def features(column: pa.Array) -> np.ndarray:
     """One row of ``FEATURES`` for each text of the column; whole texts are counted."""
     out = []
-    for a, b, data, off in slices(column):
+    for a, b, data, off in slices(column, SLICE):
         m = b - a
         size = np.diff(off)
         doc = np.repeat(np.arange(m), size)

@@ -9,8 +9,9 @@ pruned.  What each task found best is merged by one grouped ranking.  Queries ar
 at most ``QUERIES`` rows, so memory does not grow with the table; every row is searched.
 
 Defined cases: vectors that are null or hold a null or non-finite component take no part, nor do
-null ids; rows that share an id count once (their least vector); only vectors of the same length
-are compared; with fewer than k candidates all are returned; equal scores go by the smaller id.
+null ids; rows that share an id are candidates each, and none of them for a query of that id; equal queries
+count once, and different queries of one id are ranked together; only vectors of the same length are compared; with fewer than k candidates all are returned;
+equal scores go by the smaller id; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -97,14 +98,14 @@ def top_k(spark: SparkSession, vectors: DataFrame, id_col: str = "vec_id", vec_c
     v = (vectors.select(F.col(id_col).cast("long").alias("id"), x.alias("x"))
          .filter("id is not null and x is not null and forall(x, v -> v is not null and not isnan(v) and abs(v) < double('Infinity'))")
          .select("id", F.transform("x", lambda c: F.floor(c * scale).cast("double")).alias("x")))
-    v = v.groupBy("id").agg(F.min("x").alias("x"))
-    v = stored(spark, v.withColumn("part", F.xxhash64("id")), "vectors")
+    # dealt by a row's number too, so that many equal rows do not make one block; stored, so the numbers stay
+    v = stored(spark, v.withColumn("part", F.xxhash64("id", "x", F.monotonically_increasing_id())), "vectors")
     n, nq = v.agg(F.count("*"), F.count_if(F.col("id") % every == 0)).first()
     blocks, qblocks = max(1, -(-n // BLOCK)), max(1, -(-nq // QUERIES))
-    dealt = (v.withColumn("part", F.pmod("part", F.lit(blocks))).repartition("part").sortWithinPartitions("part"))
+    dealt = v.withColumn("part", F.pmod("part", F.lit(blocks))).repartition(blocks, "part").sortWithinPartitions("part")
     found = None
     for qb in range(qblocks):
-        rows = v.filter(f"id % {every} = 0").filter(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(qblocks)) == qb).select("id", "x").collect()
+        rows = v.filter(f"id % {every} = 0").filter(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(qblocks)) == qb).select("id", "x").distinct().collect()
         by_dim: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for dim in {len(r.x) for r in rows}:
             own = [r for r in rows if len(r.x) == dim]
