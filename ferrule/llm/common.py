@@ -8,6 +8,7 @@ window's fingerprint is the same construction over word fingerprints.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 from itertools import repeat
@@ -29,6 +30,11 @@ _LOWER[65:91] += 32
 _SEP = np.zeros(256, dtype=bool)
 _SEP[[0x20, 9, 10, 11, 12, 13]] = True
 _BASE = {"byte": 0x9E3779B97F4A7C15 | 5, "word": 0xD1342543DE82EF95 | 5}
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+    _LIBC.malloc_trim(0)
+except (OSError, AttributeError):            # another C library
+    _LIBC = None
 _POW: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -151,12 +157,21 @@ def lists(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(off), pa.array(values))
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers outlive their task, and several of them share an executor."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """mapInArrow with one function call per batch."""
     def run(batches):
         for b in batches:
             if b.num_rows:
                 yield from fn(b)
+                del b
+                give_back()
     return df.mapInArrow(run, schema)
 
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ferrule.llm.common import Membership, Words, lists, map_arrow, mix, signed, slices, stored
+from ferrule.llm.common import Membership, Words, give_back, lists, map_arrow, mix, signed, slices, stored
 from ferrule.llm.components import components
 
 #: At most so many frequent shingles are put last in the order (8 bytes each, broadcast).
@@ -43,7 +43,7 @@ FIRST = 16
 #: Candidates of one probe are dealt over so many groups.
 SALTS = 64
 #: Bytes of text handled at once: several of these steps run in one task, each with a worker of its own.
-SLICE = 1 << 20
+SLICE = 1 << 18
 _TRIE_STEP = 128
 _TRIE_BATCH = 256
 
@@ -176,6 +176,7 @@ def _verify(spark: SparkSession, docs: DataFrame, pairs: DataFrame, size: int, t
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()),
                                                   pa.array([y for _, y in out], pa.int64())], ["a", "b"])
                 out.clear()
+            give_back()
         flush()
         if out:
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()),

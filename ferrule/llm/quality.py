@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ferrule.llm.common import Words, crc_mod, slices, stored
+from ferrule.llm.common import Words, crc_mod, give_back, slices, stored
 
 #: Byte classes: lower, upper, digit, space, line end, sentence punctuation, other ASCII, non-ASCII.
 _CLASS = np.full(256, 6, dtype=np.int64)
@@ -35,7 +35,7 @@ _CLASS[[ord(c) for c in ".,;:!?'\"-()"]] = 5
 _CLASS[128:] = 7
 
 #: Bytes of text handled at once.
-SLICE = 1 << 20
+SLICE = 1 << 18
 FEATURES = ("log_bytes", "log_words", "upper", "digit", "space", "lines", "punctuation", "symbol", "non_ascii",
             "word_length", "word_length_spread", "distinct_words", "top_word", "distinct_pairs", "symbol_words",
             "byte_entropy")
@@ -139,6 +139,7 @@ def _with_features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]),
                                                            pa.array(x.ravel()))], ["id", "x"])
+                give_back()
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")).mapInArrow(
         run, "id long, x array<double>")
 
@@ -181,5 +182,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: s
             if b.num_rows:
                 keep = pa.array(model.score(features(b.column(at))))
                 yield pa.RecordBatch.from_arrays([*b.columns, keep], [*b.schema.names, name])
+                del b
+                give_back()
     schema = StructType([*docs.schema.fields, StructField(name, DoubleType())])
     return docs.mapInArrow(run, schema).filter(F.col(name) >= 0.5).select(*docs.columns)
