@@ -14,9 +14,9 @@ a name of their attempt and rename at the end: a task that runs again replaces i
 are cut at ``SHARD_BYTES``; a task holds a few megabytes at once.
 
 Encoding.  White space before a word belongs to the unit "white space + word", which the byte-level
-pre-tokenizer always splits from what precedes it; each distinct unit is encoded once in a worker by the
-tokenizers library and remembered.  Texts where that does not hold (Unicode white space, special
-tokens) are encoded whole.
+pre-tokenizer always splits from what precedes it; so does it an ASCII punctuation mark (no apostrophe) after a letter
+or digit, where a further unit begins.  Each distinct unit is encoded by the tokenizers library and remembered in the
+worker.  Texts where that does not hold (Unicode white space, special tokens) are encoded whole.
 
 Defined cases: null and empty texts are records with the end id only; a null doc_id comes first; rows that
 share an id are separate records, in the order of a hash of their texts; an empty table has no shard.
@@ -40,13 +40,41 @@ from ferrule.llm.common import _BYTE, _SEP, UnitCache, _spans, shared_path, slic
 
 SHARD_BYTES = 64 << 20
 #: Distinct units remembered by a worker.
-CACHE_UNITS = 400_000
+CACHE_UNITS = 800_000
 _SLICE = 2 << 20
 _HEAD = struct.Struct("<QI")
 _BODY = struct.Struct("<qBB")
 _CRC = struct.Struct("<I")
-#: Characters that the pre-tokenizer takes for white space and a split at ASCII white space does not.
-_ODD_SPACE = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+#: Characters that the pre-tokenizer takes for white space and a split at ASCII white space does not, in UTF-8 as numbers
+#: of three bytes, by the number of bytes that count.
+_ODD_SPACE: dict[int, list[int]] = {1: [], 2: [], 3: []}
+for _c in (chr(c) for c in range(0x3001)):
+    _b = _c.encode("utf-8", "surrogatepass")
+    if _c.isspace() and not _SEP[_b[0]]:
+        _ODD_SPACE[len(_b)].append(int.from_bytes(_b, "big"))
+_ODD_FIRST = np.zeros(256, dtype=bool)
+_ODD_FIRST[[c >> 8 * (n - 1) for n, group in _ODD_SPACE.items() for c in group]] = True
+#: ASCII punctuation at which a unit may begin; the apostrophe may belong to what precedes it.
+_MARK = np.zeros(256, dtype=bool)
+_MARK[[c for c in range(0x21, 0x7F) if not chr(c).isalnum() and c != 0x27]] = True
+_ALNUM = np.zeros(256, dtype=bool)
+_ALNUM[[c for c in range(0x80) if chr(c).isalnum()]] = True
+#: Second bytes of the letters that UTF-8 writes as C3 and one byte more.
+_LATIN = np.zeros(256, dtype=bool)
+_LATIN[[c for c in range(0x80, 0xC0) if chr(c + 0x40).isalpha()]] = True
+#: A unit that ends before any mark: set before units that begin with one, which a join would add to the unit before.
+_GUARD = b" a"
+
+
+def _odd_spaces(data: np.ndarray) -> np.ndarray:
+    """Where such a character begins."""
+    at = np.flatnonzero(_ODD_FIRST[data])
+    code = np.zeros(len(at), dtype=np.int64)
+    odd = np.zeros(len(at), dtype=bool)
+    for n in (1, 2, 3):
+        code = code << 8 | data[np.minimum(at + n - 1, len(data) - 1)]
+        odd |= np.isin(code, _ODD_SPACE[n])
+    return at[odd]
 
 
 def masked(data: bytes) -> int:
@@ -98,15 +126,24 @@ class UnitEncoder:
             self.width[i] = len(t)                               # one character for each byte
         self.units = UnitCache(self.dtype, CACHE_UNITS)
 
-    def _learn(self, hashes: list[int], units: list[bytes]) -> None:
-        ids = np.array(self.tok.encode(b"".join(units).decode("utf-8"), add_special_tokens=False).ids, dtype=np.int64)
+    def _ids(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each unit, all ids) of units that the pre-tokenizer splits from one another."""
+        ids = np.array(self.tok.encode_batch_fast([b"".join(units).decode("utf-8")], add_special_tokens=False)[0].ids, dtype=np.int64)
         ends = np.searchsorted(np.cumsum(self.width[ids]), np.cumsum([len(u) for u in units]), side="left") + 1
-        self.units.add(hashes, np.diff(ends, prepend=0), ids)
+        return np.diff(ends, prepend=0), ids
+
+    def _learn(self, hashes: list[int], units: list[bytes], guarded: bool = False) -> None:
+        if guarded:
+            counts, ids = self._ids([x for u in units for x in (_GUARD, u)])
+            unit = np.arange(len(counts)) % 2 == 1
+            self.units.add(hashes, counts[unit], ids[np.repeat(unit, counts)])
+        else:
+            self.units.add(hashes, *self._ids(units))
 
     def encode(self, data: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
         """Ids of each text of a slice."""
         raw = data.tobytes()
-        odd = {m.start() for m in _ODD_SPACE.finditer(raw)}
+        odd = set(_odd_spaces(data).tolist())
         for s in self.special:
             odd.update(m.start() for m in re.finditer(re.escape(s), raw))
         whole = {int(np.searchsorted(off, p, side="right")) - 1 for p in odd}
@@ -116,6 +153,9 @@ class UnitEncoder:
             first = sep.copy()
             first[1:] &= ~sep[:-1]
             first[off[:-1][off[:-1] < len(data)]] = True
+            letter = _ALNUM[data]
+            letter[1:] |= _LATIN[data[1:]] & (data[:-1] == 0xC3)
+            first[1:] |= _MARK[data[1:]] & letter[:-1]
             s = np.flatnonzero(first)
             e = np.append(s[1:], len(data))
             h, at, inv = np.unique(_spans(_BYTE[data], s, e, "byte"), return_index=True, return_inverse=True)
@@ -123,14 +163,15 @@ class UnitEncoder:
             slot = self.units.find(keys)
             new = np.flatnonzero(slot < 0)
             if len(new):
-                # units that begin and end as " word" does are encoded in one string; the others alone
-                strange = set(inv[np.searchsorted(s, list(odd), side="right") - 1].tolist()) if odd else set()
-                plain = sep[s[at[new]]] & ~sep[e[at[new]] - 1]
-                rest = [k for k, p in zip(new.tolist(), plain) if p and k not in strange]
-                for a in range(0, len(rest), 4096):
-                    part = rest[a:a + 4096]
-                    self._learn([keys[k] for k in part], [raw[s[at[k]]:e[at[k]]] for k in part])
-                for k in (k for k, p in zip(new.tolist(), plain) if not p or k in strange):
+                # units that begin with white space or a mark and end as words do are encoded in one string; the others alone
+                strange = inv[np.searchsorted(s, list(odd), side="right") - 1] if odd else np.empty(0, np.int64)
+                begin, joins = data[s[at[new]]], ~sep[e[at[new]] - 1] & ~np.isin(new, strange)
+                space, mark = joins & _SEP[begin], joins & _MARK[begin]
+                for some, guarded in ((new[space], False), (new[mark], True)):
+                    for a in range(0, len(some), 4096):
+                        part = some[a:a + 4096].tolist()
+                        self._learn([keys[k] for k in part], [raw[s[at[k]]:e[at[k]]] for k in part], guarded)
+                for k in new[~space & ~mark].tolist():
                     self._learn([keys[k]], [raw[s[at[k]]:e[at[k]]]])
                 slot[new] = [self.units.slot[keys[k]] for k in new.tolist()]
             ids, total = self.units.gather(slot[inv])
