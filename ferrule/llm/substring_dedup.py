@@ -11,17 +11,20 @@ The repeated windows of a document join into maximal spans, which are cut out of
 A single broadcast automaton of the whole corpus would have no size bound, so each shard's automaton lives in the task
 that holds the shard.  Anchors with more than ``SHARD`` distinct surroundings (a passage in very many texts) are no
 shard of one task: their windows are counted by fingerprint, with partial sums before the shuffle.  Nothing is capped.
+The occurrences of the commonest anchors are not shuffled by anchor: that these occur again is broadcast to them.
 
 Words are compared by 64-bit fingerprints where they are counted and as they are inside the automata.
 
 Defined cases: null and empty texts have no words and keep none; texts shorter than the window keep all words; a null
-id is a document like any other; repeated rows are copies of each other, so their windows are repeated.
+id is a document like any other; repeated rows are copies of each other, so their windows are repeated.  Rows are told
+apart by a fingerprint of id and text, so a shared or null id makes no long list.  Other columns are not read.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +35,8 @@ WINDOW, ANCHOR = 35, 16
 SIDE = WINDOW - ANCHOR
 AROUND = SIDE + 1
 SHARD = 1000
+#: Anchors that hold more than one part in so many of all repeated occurrences are broadcast: fewer than this number.
+HOT = 1000
 
 
 def _slide(x: np.ndarray, k: int, best) -> np.ndarray:
@@ -76,8 +81,8 @@ def _signatures(docs: DataFrame) -> DataFrame:
         join = lambda parts: np.concatenate(parts) if parts else np.empty(0, np.int64)
         n = np.array(n)
         yield pa.RecordBatch.from_arrays([b.column(0), lists(join(anchors), n), lists(join(around), n), lists(join(at), n)],
-                                         ["doc", "a", "c", "at"])
-    return map_arrow(docs, run, "doc long, a array<long>, c array<long>, at array<long>").filter("size(a) > 0")
+                                         ["row", "a", "c", "at"])
+    return map_arrow(docs, run, "row long, a array<long>, c array<long>, at array<long>").filter("size(a) > 0")
 
 
 class SuffixAutomaton:
@@ -226,67 +231,90 @@ def _windows(rows: DataFrame) -> DataFrame:
     return map_arrow(rows.select("a", "c", "k", "left", "words"), batches, "a long, c long, k long, bit int, g long, g2 long")
 
 
+def _repeated(spark: SparkSession, one: DataFrame) -> DataFrame:
+    """The occurrences (row, a, c, at) whose anchor occurs again, and whether its surroundings differ."""
+    again = stored(spark, one.groupBy("a").agg(F.count("*").alias("k"), F.min("c").alias("lo"), F.max("c").alias("hi")).filter("k > 1")
+                   .select("a", "k", (F.col("lo") != F.col("hi")).alias("differ")), "repeated")
+    total = again.agg(F.sum("k")).first()[0] or 0
+    hot = F.broadcast(again.filter(F.col("k") * HOT > total).select("a", "differ"))
+    rest = again.filter(F.col("k") * HOT <= total).select("a", "differ")
+    return one.join(hot, "a").unionByName(one.join(hot, "a", "left_anti").join(rest, "a"))
+
+
 def spans_to_remove(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """(doc, places): the anchors (at, mask) of each document (doc, text) around which windows are repeated."""
+    """(row, places): the anchors (at, mask) of each text of (row, text) around which windows are repeated."""
     sig = stored(spark, _signatures(docs), "anchors")
-    one = sig.select("doc", F.explode(F.arrays_zip("a", "c", "at")).alias("x")).select("doc", "x.a", "x.c", "x.at")
-    again = (one.groupBy("a").agg(F.count("*").alias("k"), F.min("c").alias("lo"), F.max("c").alias("hi")).filter("k > 1")
-             .select("a", (F.col("lo") != F.col("hi")).alias("differ")))
-    occ = stored(spark, one.join(again, "a"), "occurrences")
-    same = occ.filter("not differ").select("doc", "at", F.lit((1 << AROUND) - 1).alias("mask"))
+    one = sig.select("row", F.explode(F.arrays_zip("a", "c", "at")).alias("x")).select("row", "x.a", "x.c", "x.at")
+    occ = stored(spark, _repeated(spark, one), "occurrences")
+    same = occ.filter("not differ").select("row", "at", F.lit((1 << AROUND) - 1).alias("mask"))
     differ = occ.filter("differ")
-    kinds = differ.groupBy("a", "c").agg(F.count("*").alias("k"), F.min(F.struct("doc", "at")).alias("x"))
-    big = kinds.groupBy("a").agg((F.count("*") > SHARD).alias("big"))
-    ask = (kinds.join(big, "a").select(F.col("x.doc").alias("doc"), F.struct("a", "c", "k", "big", F.col("x.at").alias("at")).alias("p"))
-           .groupBy("doc").agg(F.collect_list("p").alias("places")))
-    texts = docs.join(ask.withColumnRenamed("doc", "doc_"), F.col("doc").eqNullSafe(F.col("doc_"))).select("text", "places")
-    around = stored(spark, _surroundings(texts), "surroundings")
+    kinds = stored(spark, differ.groupBy("a", "c").agg(F.count("*").alias("k"), F.min(F.struct("row", "at")).alias("x")), "kinds")
+    # stored, so that the join below has a plain shuffle on both sides, which may be split
+    big = stored(spark, kinds.groupBy("a").agg((F.count("*") > SHARD).alias("big")), "sizes")
+    ask = (kinds.join(big, "a").select(F.col("x.row").alias("row"), F.struct("a", "c", "k", "big", F.col("x.at").alias("at")).alias("p"))
+           .groupBy("row").agg(F.collect_list("p").alias("places")))
+    around = stored(spark, _surroundings(docs.join(ask, "row").select("text", "places")), "surroundings")
     masks = _masks(around.filter("not big").select("a", "c", "k", "left", "words"))
     win = _windows(around.filter("big"))
     often = win.groupBy("a", "bit", "g", "g2").agg(F.sum("k").alias("n")).filter("n > 1").drop("n")
     more = (win.join(often, ["a", "bit", "g", "g2"], "left_semi").groupBy("a", "c")
             .agg(F.expr("bit_or(shiftleft(1, bit))").alias("mask")))
     decided = stored(spark, masks.unionByName(more).filter("mask <> 0"), "masks")
-    parts = differ.select("a", "c", "doc", "at").join(decided, ["a", "c"]).select("doc", "at", "mask")
-    return (same.unionByName(parts).distinct().groupBy("doc").agg(F.collect_list(F.struct("at", "mask")).alias("places")))
-
-
-def _keep(w: Words, s: int, e: int, places) -> np.ndarray:
-    """Which words of a text stay."""
-    gone = np.zeros(e - s + 1, dtype=np.int64)
-    key = _text_key(w, s, e)
-    for p in places or ():
-        if p["at"] >> 31 == key:
-            j, mask = p["at"] & 0x7FFFFFFF, p["mask"]
-            for i in range(AROUND):
-                x = j - i
-                if mask >> i & 1 and 0 <= x <= e - s - WINDOW:
-                    gone[x] += 1
-                    gone[x + WINDOW] -= 1
-    return np.cumsum(gone)[:e - s] == 0
+    parts = differ.select("a", "c", "row", "at").join(decided, ["a", "c"]).select("row", "at", "mask")
+    return (same.unionByName(parts).distinct().groupBy("row").agg(F.collect_list(F.struct("at", "mask")).alias("places")))
+
+
+def _keep(w: Words, places: pa.ListArray) -> np.ndarray:
+    """Which words of the texts stay, given each text's places."""
+    count = pc.fill_null(pc.list_value_length(places), 0).to_numpy()
+    flat = places.flatten()
+    at, mask = (flat.field(k).to_numpy() for k in range(2))
+    doc = np.repeat(np.arange(len(count)), count)
+    key = np.zeros(len(count), dtype=np.int64)
+    for d in np.flatnonzero(count).tolist():
+        key[d] = _text_key(w, int(w.first[d]), int(w.first[d + 1]))
+    mine = at >> 31 == key[doc]
+    j, mask, doc = at[mine] & 0x7FFFFFFF, mask[mine], doc[mine]
+    begin, last = w.first[doc], w.first[doc + 1] - w.first[doc] - WINDOW
+    start = np.zeros(len(w.starts) + WINDOW, dtype=np.int32)    # WINDOW places in front: no window covers what is before it
+    for i in range(AROUND):
+        x = j - i
+        some = (mask >> i & 1 != 0) & (x >= 0) & (x <= last)
+        start[WINDOW + begin[some] + x[some]] = 1
+    windows = np.cumsum(start)
+    return windows[WINDOW:] == windows[:len(w.starts)]
+
+
+def _join(w: Words, off: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, pa.StringArray]:
+    """(number of kept words of each text, these joined by one space)."""
+    before = np.concatenate([[0], np.cumsum(keep)])[w.first]
+    start, end = w.starts[keep], w.ends[keep]
+    last = np.zeros(len(start), dtype=bool)
+    last[before[1:][np.diff(before) > 0] - 1] = True
+    step = np.zeros(len(w.data) + 1, dtype=np.int8)
+    step[start] += 1
+    step[end + ~last] -= 1                                      # the byte after a word becomes the space
+    inside = np.cumsum(step[:-1], dtype=np.int8) != 0
+    data = w.data.copy()
+    data[end[~last]] = 0x20
+    at = np.concatenate([[0], np.cumsum(inside)])[off].astype(np.int32)
+    texts = pa.StringArray.from_buffers(len(off) - 1, pa.py_buffer(at), pa.py_buffer(data[inside]))
+    return np.diff(before), texts
 
 
 def dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, n_removed, kept): the kept words of every row of ``docs``, joined by one space."""
     d = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    places = spans_to_remove(spark, d).withColumnRenamed("doc", "doc_")
-    rows = d.join(places, F.col("doc").eqNullSafe(F.col("doc_")), "left").select("doc", "text", "places")
+    d = d.withColumn("row", F.xxhash64(F.col("doc").isNull(), "doc", "text"))
+    rows = d.join(spans_to_remove(spark, d.select("row", "text")), "row", "left").select("doc", "text", "places")
 
     def run(b):
-        where = b.column(2).to_pylist()
         for x, y, data, off in slices(b.column(1)):
             w = Words(data, off)
-            raw = data.tobytes()
-            n, removed, kept = [], [], []
-            for i in range(y - x):
-                s, e = int(w.first[i]), int(w.first[i + 1])
-                keep = _keep(w, s, e, where[x + i])
-                st, en = w.starts[s:e][keep].tolist(), w.ends[s:e][keep].tolist()
-                n.append(e - s)
-                removed.append(e - s - len(st))
-                kept.append(b" ".join([raw[a:z] for a, z in zip(st, en)]).decode("utf-8"))
-            yield pa.RecordBatch.from_arrays([b.column(0).slice(x, y - x), pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
-                                              pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
+            kept, texts = _join(w, off, _keep(w, b.column(2).slice(x, y - x)))
+            n = np.diff(w.first)
+            yield pa.RecordBatch.from_arrays([b.column(0).slice(x, y - x), pa.array(n, pa.int64()), pa.array(n - kept, pa.int64()), texts],
+                                             ["doc_id", "n_words", "n_removed", "kept"])
     return map_arrow(rows, run, "doc_id long, n_words long, n_removed long, kept string")
 
 
