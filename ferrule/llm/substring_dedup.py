@@ -255,8 +255,8 @@ def spans_to_remove(spark: SparkSession, docs: DataFrame) -> DataFrame:
            .groupBy("row").agg(F.collect_list("p").alias("places")))
     around = stored(spark, _surroundings(docs.join(ask, "row").select("text", "places")), "surroundings")
     masks = _masks(around.filter("not big").select("a", "c", "k", "left", "words"))
-    win = _windows(around.filter("big"))
-    often = win.groupBy("a", "bit", "g", "g2").agg(F.sum("k").alias("n")).filter("n > 1").drop("n")
+    win = stored(spark, _windows(around.filter("big")), "windows")
+    often = stored(spark, win.groupBy("a", "bit", "g", "g2").agg(F.sum("k").alias("n")).filter("n > 1").drop("n"), "often")
     more = (win.join(often, ["a", "bit", "g", "g2"], "left_semi").groupBy("a", "c")
             .agg(F.expr("bit_or(shiftleft(1, bit))").alias("mask")))
     decided = stored(spark, masks.unionByName(more).filter("mask <> 0"), "masks")
