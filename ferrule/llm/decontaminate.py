@@ -5,16 +5,21 @@ fingerprint is the 64-bit SimHash of its weighted five-word shingles; fingerprin
 multi-index: eight blocks of eight bits, and for each block a table of all items whose block lies within
 ``radius // 8`` bits, so by the pigeonhole principle every item within ``radius`` is found.  What it
 finds is verified exactly: the weighted Jaccard similarity of the shingle multisets, at least
-``similarity``.  A shingle weighs log(1 + items / items having it).
+``similarity``.  A shingle weighs log(1 + min(items / items having it, ``RARE``)), counted by Spark over the
+whole benchmark.  Shingles that no item or only one has weigh the most, so only those of more items need a table, and
+with ``RARE`` at most ``RARE`` times as many shingles as an average item has can be in it, however many items there are.
 
 A window can only be similar if the text holds enough of the item's shingle weight, so windows are
 taken only around texts' shingles that occur in an item (looked up for every shingle of every text).
-The benchmark is broadcast in blocks of at most ``BLOCK`` items; documents are never shuffled.
+Items are indexed and broadcast in blocks of about ``BLOCK`` items or ``BLOCK_BYTES`` of text, one after the other: a block's
+finds are stored before the next is built.  How the items fall into blocks changes no result.  With one block documents
+are not shuffled; with more they are joined to the finds by the SHA-256 of their text.
 
 Defined cases: null or empty items match nothing; items with fewer than five words are one shingle,
 found where the text has exactly these words in a row; texts shorter than an item are one window;
 null and empty texts have no item; repeated items are reported by each of their ids; null item ids
-are ignored; rows with a null doc_id are checked like any other.
+are ignored; rows with a null doc_id are checked like any other, and repeated rows each have their answer; without
+items or without documents nothing is found; columns of the documents keep their names, whatever these are.
 """
 
 from __future__ import annotations
@@ -28,11 +33,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from ferrule.llm.common import Words, mix, slices
+from ferrule.llm.common import Words, map_arrow, mix, signed, slices, stored
 
-#: Items broadcast at once (some 50 words each: about 10 MB).
+#: Items, and bytes of their texts, that are indexed and broadcast at once, about.
 BLOCK = 20_000
+BLOCK_BYTES = 1 << 23
 SHINGLE = 5
+#: Shingles of fewer items than one in ``RARE`` all weigh the same.
+RARE = 1000
 _BITS = np.uint64(1) << np.arange(64, dtype=np.uint64)
 
 
@@ -43,29 +51,56 @@ def simhash(shingles: np.ndarray, weights: np.ndarray, starts: np.ndarray, size:
     return ((total[starts + size] - total[starts] > 1e-9) * _BITS).sum(1, dtype=np.uint64)
 
 
+def _sets(column: pa.Array):
+    """(row, number of words, shingles) of every text that has words."""
+    row = 0
+    for a, b, data, off in slices(column):
+        w = Words(data, off, lower=True)
+        h = w.windows(SHINGLE)
+        for d in range(b - a):
+            s, e = w.first[d], w.first[d + 1]
+            if e > s:
+                yield row + d, int(e - s), h[s:e - SHINGLE + 1].copy() if e - s >= SHINGLE else np.array([w.span(s, e, salt=int(e - s))])
+        row += b - a
+
+
+class Weights:
+    """Weights of shingles, by the number of items (of all blocks) that have them."""
+
+    def __init__(self, items: int, keys: np.ndarray, df: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.most = keys[order], math.log(1 + min(items, RARE))
+        self.of_keys = np.log1p(np.minimum(items / df[order], RARE))
+
+    def __call__(self, s: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.full(len(s), self.most)
+        at = np.minimum(np.searchsorted(self.keys, s), len(self.keys) - 1)
+        return np.where(self.keys[at] == s, self.of_keys[at], self.most)
+
+
+def _weights(items: DataFrame) -> Weights:
+    def count(b):
+        every = [np.unique(s) for _, _, s in _sets(b.column(0))]
+        if every:
+            g, c = np.unique(np.concatenate(every), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array([None, *signed(g).tolist()], pa.int64()), pa.array([len(every), *c.tolist()], pa.int64())],
+                                             ["g", "df"])
+    df = map_arrow(items.select("text"), count, "g long, df long").groupBy("g").agg(F.sum("df").alias("df"))
+    n = df.filter("g is null").agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
+    common = df.filter(f"g is not null and df > 1 and df > {n} / {RARE}").toArrow()
+    return Weights(n, common["g"].to_numpy().astype(np.int64).view(np.uint64), common["df"].to_numpy())
+
+
 class _Index:
     """One block of items: shingles by fingerprint, and the multi-index of each item size."""
 
-    def __init__(self, items: list[tuple[int, str]], similarity: float, radius: int):
-        self.similarity, self.radius = similarity, radius
-        self.ids, self.words, sets = [], [], []
-        data = pa.array([t for _, t in items], pa.string())
-        row = 0
-        for a, b, buf, off in slices(data):
-            w = Words(buf, off, lower=True)
-            h = w.windows(SHINGLE)
-            for d in range(b - a):
-                s, e = w.first[d], w.first[d + 1]
-                if e > s:
-                    self.ids.append(items[row][0])
-                    self.words.append(int(e - s))
-                    sets.append(h[s:e - SHINGLE + 1].copy() if e - s >= SHINGLE else np.array([w.span(s, e, salt=int(e - s))]))
-                row += 1
-        self.sets = sets
-        df = Counter(x for s in sets for x in set(s.tolist()))
-        self.keys = np.array(sorted(df), dtype=np.uint64)
-        self.weights = np.array([math.log(1 + len(sets) / df[int(k)]) for k in self.keys])
-        self.most = math.log(1 + len(sets)) if sets else 0.0
+    def __init__(self, items: list[tuple[int, str]], weight: Weights, similarity: float, radius: int):
+        self.weight, self.similarity, self.radius = weight, similarity, radius
+        found = list(_sets(pa.array([t for _, t in items], pa.string())))
+        self.ids, self.words = [items[row][0] for row, _, _ in found], [m for _, m, _ in found]
+        self.sets = sets = [s for _, _, s in found]
+        self.keys = np.unique(np.concatenate([np.empty(0, np.uint64), *sets]))
         self.total = [self.weight(s).sum() for s in sets]
         self.holders = defaultdict(list)
         for i, s in enumerate(sets):
@@ -86,12 +121,6 @@ class _Index:
                         blocks[b][((f >> (8 * b)) & 255) ^ v].append(k)
             self.tables[m] = (prints, blocks, np.array(own))
 
-    def weight(self, s: np.ndarray) -> np.ndarray:
-        if not len(self.keys):
-            return np.zeros(len(s))
-        at = np.minimum(np.searchsorted(self.keys, s), len(self.keys) - 1)
-        return np.where(self.keys[at] == s, self.weights[at], self.most)
-
     def known(self, h: np.ndarray) -> np.ndarray:
         """Positions of shingles that occur in an item."""
         if not len(self.keys):
@@ -183,27 +212,53 @@ def _find(index: _Index, column: pa.Array) -> list[list[int]]:
     return out
 
 
-def _indexes(spark: SparkSession, benchmark: DataFrame, similarity: float, radius: int):
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id is not null and text is not null").distinct()
-    blocks = max(1, -(-items.count() // BLOCK))
+def _blocks(spark: SparkSession, benchmark: DataFrame, similarity: float, radius: int):
+    """The broadcast index of each block of items, one at a time."""
+    items = stored(spark, benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter(
+        "item_id is not null and text is not null").distinct(), "items")
+    n, size = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    blocks = max(1, -(-n // BLOCK), -(-size // BLOCK_BYTES))
+    weight = _weights(items)
     for k in range(blocks):
-        rows = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).collect()
-        yield spark.sparkContext.broadcast(_Index([(r.item_id, r.text) for r in rows], similarity, radius))
+        rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
+        yield k + 1 == blocks, spark.sparkContext.broadcast(_Index([(r.item_id, r.text) for r in rows], weight, similarity, radius))
 
 
 def with_items(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, text_col: str = "text", out: str = "items",
                similarity: float = 0.8, radius: int = 23) -> DataFrame:
     """``docs`` and one more column: the sorted ids of the benchmark items that its text contains."""
-    indexes = list(_indexes(spark, benchmark, similarity, radius))
-    at = docs.columns.index(text_col)
-
-    def run(batches):
-        for b in batches:
-            if b.num_rows:
-                lists = [_find(i.value, b.column(at)) for i in indexes]
-                merged = [sorted(set().union(*x)) for x in zip(*lists)]
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(merged, pa.list_(pa.int64()))], [*b.schema.names, out])
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(out, ArrayType(LongType()))]))
+    kind = ArrayType(LongType())
+    parts = []
+    for last, index in _blocks(spark, benchmark, similarity, radius):
+        if last and not parts:
+            at = docs.columns.index(text_col)
+
+            def run(batches, index=index):
+                for b in batches:
+                    if b.num_rows:
+                        found = pa.array(_find(index.value, b.column(at)), pa.list_(pa.int64()))
+                        yield pa.RecordBatch.from_arrays([*b.columns, found], [*b.schema.names, out])
+            return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(out, kind)]))
+
+        def pairs(b, index=index):
+            found = _find(index.value, b.column(0))
+            hit = [i for i, x in enumerate(found) if x]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(hit, pa.int64())), pa.array([found[i] for i in hit], pa.list_(pa.int64()))],
+                                             ["text", "found"])
+        texts = docs.select(F.col(text_col).alias("text"))
+        parts.append(stored(spark, map_arrow(texts, pairs, "text string, found array<long>").select(
+            F.sha2("text", 256).alias("key"), "found").distinct(), "found"))
+        index.destroy()
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionAll(p)
+    # distinct ids of one text: at most the items
+    every = every.select("key", F.explode("found").alias("item")).groupBy("key").agg(F.sort_array(F.collect_set("item")).alias("found"))
+    key, names = "key_", docs.columns
+    while key in names or key == out:
+        key += "_"
+    joined = docs.withColumn(key, F.sha2(F.col(text_col), 256)).join(every.select(F.col("key").alias(key), F.col("found").alias(key + "f")), key, "left")
+    return joined.select(*names, F.coalesce(F.col(key + "f"), F.array().cast(kind)).alias(out))
 
 
 def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -208,7 +208,9 @@ def test_html_extraction_where_shared_lines_outweigh_the_pages_own(spark, monkey
     assert {x.page_id: x.text for x in extraction.extract(spark, pages).collect()} == want
 
 
-def test_decontamination(spark):
+@pytest.mark.parametrize("block", [decontaminate.BLOCK, 9])
+def test_decontamination(spark, monkeypatch, block):
+    monkeypatch.setattr(decontaminate, "BLOCK", block)
     r = random.Random(5)
     vocab = [f"v{i}" for i in range(400)]
     items = [(i, " ".join(r.choice(vocab) for _ in range(r.choice([3, 8, 20, 40])))) for i in range(30)]
@@ -246,6 +248,50 @@ def test_decontamination(spark):
     clean = decontaminate.keep_clean(spark, d, bench)
     assert clean.columns == d.columns and {x.doc_id for x in clean.collect()} == {i for i, h in out.items() if not h}
     assert decontaminate.keep_clean(spark, d, bench.filter("item_id = 999")).count() == d.count()
+    assert decontaminate.contamination(spark, d.limit(0), bench).count() == 0
+
+
+@pytest.mark.parametrize("rare", [decontaminate.RARE, 3])
+def test_decontamination_weighs_shingles_over_all_blocks(spark, monkeypatch, rare):
+    """Items that share shingles with items of other blocks, windows around 0.8, against brute force."""
+    monkeypatch.setattr(decontaminate, "RARE", rare)
+    r = random.Random(15)
+    line = [f"c{i}" for i in range(14)]                        # a passage that most items share
+    items = [(i, " ".join([f"i{i}w{j}" for j in range(16)] + (line if i % 4 else []))) for i in range(40)]
+    df = collections.Counter()
+    for _, t in items:
+        w = t.split()
+        df.update({tuple(w[j:j + 5]) for j in range(len(w) - 4)})
+
+    def weight(g):
+        return np.log1p(min(len(items) / df.get(g, 1), rare))
+    rows, want, near = [], {}, 0
+    for n in range(60):
+        k = r.randrange(40)
+        w = items[k][1].split()
+        for _ in range(n % 3):                                 # changed at one end, or in the shared passage
+            j = r.choice([0, 1, len(w) - 1, len(w) - 2])
+            w[j] = f"x{n}"
+        rows.append((n, " ".join(w)))
+        hit = set()
+        for i, t in items:
+            v = t.split()
+            a = collections.Counter(tuple(v[j:j + 5]) for j in range(len(v) - 4))
+            for s in range(max(1, len(w) - len(v) + 1)):
+                b = collections.Counter(tuple(w[j:j + 5]) for j in range(s, min(s + len(v), len(w)) - 4))
+                score = sum(c * weight(g) for g, c in (a & b).items()) / sum(c * weight(g) for g, c in (a | b).items())
+                near += .7 < score < .9
+                if score >= .8:
+                    hit.add(i)
+        want[n] = sorted(hit)
+    assert near > 10
+    d = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, key_ string, items_ int")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for block in (100, 7):
+        monkeypatch.setattr(decontaminate, "BLOCK", block)
+        assert {x.doc_id: list(x["items"]) for x in decontaminate.contamination(spark, d, bench).collect()} == want
+        clean = decontaminate.keep_clean(spark, d, bench)
+        assert clean.columns == d.columns and {x.doc_id for x in clean.collect()} == {i for i, h in want.items() if not h}
 
 
 def test_top_k(spark):
