@@ -16,19 +16,22 @@ in a row count as one run, whose neighbours are the page before and the page aft
 partition is finished in a second step, when the edges of the partitions before and after it are known, so the
 result does not depend on where the partitions end.
 
-Defined cases: null html is empty text; null urls have no neighbour; equal URLs are neighbours; unclosed
-elements end with their parent or the page; a page without text has the empty string; a page with marked blocks only
+Defined cases: null html is empty text; null urls have no neighbour; equal URLs are neighbours; repeated rows each have
+their text; no pages, no rows; other columns, whatever their names, are not read; unclosed
+elements end with their parent or the page, and an inline element's end tag ends the innermost open one of its name in the same block; a page without text has the empty string; a page with marked blocks only
 is no neighbour.
 """
 
 from __future__ import annotations
 
+import math
 import pickle
 import re
 import tempfile
 import zlib
 from bisect import bisect_right
 from collections import Counter
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -49,31 +52,59 @@ _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em f
 _DROP = frozenset("script style noscript template head title nav footer aside form button select textarea option iframe object svg "
                   "canvas audio video dialog menu".split())
 _ROLE = frozenset("navigation banner contentinfo complementary search alert dialog menu menubar alertdialog form".split())
-_HINT = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|banner|sponsor(?:ed)?|promo|cookies?|consent|notice|alert|popup|modal|"
-                   r"sidebar|side|menu|nav|navbar|navigation|breadcrumbs?|toolbar|header|masthead|footer|comments?|disqus|replies|"
-                   r"share|sharing|social|related|recommended|newsletter|subscribe|login|signup|search|pagination|pager|skip)(?:$|[\s_-]|\d)", re.I)
+#: Words of a class or id that mark site text, and words that may stand beside them in one name.
+_HINTS = frozenset("ad ads advert adverts advertisement advertising banner sponsor sponsored promo cookie cookies consent notice alert popup modal "
+                   "sidebar side menu nav navbar navigation breadcrumb breadcrumbs toolbar header masthead footer comment comments disqus replies "
+                   "share sharing social related recommended newsletter subscribe login signup search pagination pager skip".split())
+_FRAME = frozenset("area bar bottom box btn button buttons center col column container content float form global group inner item items left link "
+                   "links list main middle outer page panel placeholder popular post posts primary reader readers right row secondary section site "
+                   "slot stories sub text thread to top unit user users widget widgets wrap wrapper x".split())
 _SELF_CLOSING_PARENT = {"p": frozenset({"p"}), "li": frozenset({"li"}), "dt": frozenset({"dt", "dd"}), "dd": frozenset({"dt", "dd"}),
                         "tr": frozenset({"tr", "td", "th"}), "td": frozenset({"td", "th"}), "th": frozenset({"td", "th"}),
                         "option": frozenset({"option"})}
 _SPACE = re.compile(r"\s+")
 _DIGITS = re.compile(r"\d+")
+_NAME_WORDS = re.compile(r"[a-z]+")
 
 #: Where a block stands: in boilerplate, in the page's article, in its main part, elsewhere.
 BOILERPLATE, ARTICLE, MAIN, ELSEWHERE = 0, 1, 2, 3
 
 
+@lru_cache(4096)
+def _marks(names: str) -> bool:
+    """Whether one of these classes names site text as a whole: ``side-bar-left`` does, ``side-effects`` does not."""
+    for name in names.lower().split():
+        words = _NAME_WORDS.findall(name)
+        if not _HINTS.isdisjoint(words) and all(w in _HINTS or w in _FRAME for w in words):
+            return True
+    return False
+
+
 class _Blocks(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, int]] = []          # tag, in boilerplate, place
+        self.open: list[tuple[str, bool, int, bool]] = []    # tag, in boilerplate, place, inline and only text
+        self.tags: dict[str, int] = {}                       # how many are open
         self.blocks: list[tuple[str, int]] = []
         self.now: list[str] = []
 
+    def _state(self) -> tuple[bool, int]:
+        return self.open[-1][1:3] if self.open else (False, ELSEWHERE)
+
+    def _cut(self, start: int):
+        for o in self.open[start:]:
+            self.tags[o[0]] -= 1
+        del self.open[start:]
+
+    def _push(self, tag: str, drop: bool, place: int, plain: bool = False):
+        self.open.append((tag, drop, place, plain))
+        self.tags[tag] = self.tags.get(tag, 0) + 1
+
     def _end_block(self):
         if self.now:
             text = _SPACE.sub(" ", "".join(self.now)).strip()
             if text:
-                drop, place = (self.open[-1][1], self.open[-1][2]) if self.open else (False, ELSEWHERE)
+                drop, place = self._state()
                 self.blocks.append((text, BOILERPLATE if drop else place))
             self.now = []
 
@@ -84,39 +115,50 @@ class _Blocks(HTMLParser):
             elif tag not in _INLINE:
                 self._end_block()
             return
-        if tag in _INLINE:
-            if not self._hinted(attrs):
-                return
+        hinted = bool(attrs) and self._hinted(attrs)
+        if tag in _INLINE and not hinted:
+            drop, place = self._state()
+            self._push(tag, drop, place, True)
+            return
         self._end_block()
         close = _SELF_CLOSING_PARENT.get(tag)
-        if close:
+        if close and any(self.tags.get(t) for t in close):
             for i in range(len(self.open) - 1, -1, -1):
                 if self.open[i][0] in close:
-                    del self.open[i:]
+                    self._cut(i)
                     break
                 if self.open[i][0] in ("ul", "ol", "dl", "table", "div", "article", "section", "body", "blockquote"):
                     break
-        drop, place = (self.open[-1][1], self.open[-1][2]) if self.open else (False, ELSEWHERE)
-        role = next((v or "" for k, v in attrs if k == "role"), "").lower()
+        drop, place = self._state()
+        role = next((v or "" for k, v in attrs if k == "role"), "").lower() if attrs else ""
         if tag == "article":
             place = ARTICLE
         elif (tag == "main" or role == "main") and place != ARTICLE:
             place = MAIN
         drop = drop or tag in _DROP or (tag == "header" and place != ARTICLE) or role in _ROLE or (
-            tag not in ("body", "html", "article", "main") and self._hinted(attrs))
-        self.open.append((tag, drop, place))
+            hinted and tag not in ("body", "html", "article", "main"))
+        self._push(tag, drop, place)
 
     @staticmethod
     def _hinted(attrs) -> bool:
-        return any(k in ("class", "id") and v and _HINT.search(v) or k == "hidden" or k == "aria-hidden" and v == "true" for k, v in attrs)
+        return any(k in ("class", "id") and v and _marks(v) or k == "hidden" or k == "aria-hidden" and v == "true" for k, v in attrs)
 
     def handle_endtag(self, tag):
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                self._end_block()
-                del self.open[i:]
-                return
-        if tag not in _INLINE:
+        inline = tag in _INLINE
+        if self.tags.get(tag):
+            for i in range(len(self.open) - 1, -1, -1):
+                name, _, _, plain = self.open[i]
+                if name == tag:
+                    if plain:                                # what opened inside it stays open
+                        self.tags[tag] -= 1
+                        del self.open[i]
+                    else:
+                        self._end_block()
+                        self._cut(i)
+                    return
+                if inline and name not in _INLINE and name not in _SELF_CLOSING_PARENT:
+                    break                                    # an inline element ends inside its block
+        if not inline:
             self._end_block()
 
     def handle_data(self, data):
@@ -136,20 +178,56 @@ def blocks(html: str | None) -> list[tuple[str, int]]:
 
 
 def _common(a: list[str], b: list[str]) -> set[int]:
-    """Indices of a on a longest common subsequence with b."""
+    """Indices of a on a longest common subsequence with b; of several, that which matches the earliest lines.
+
+    Row j tells for every i whether a[i:] has a longer common subsequence with b[j:] than a[i + 1:] has: one bit each,
+    kept in one integer, bit 0 for the last i (a clear bit: longer).  Every ``step``-th row is kept, and the rows between two
+    of them are made again on the way back; the places of a line are one such integer, kept if there are over sqrt(len(a)).
+    That makes some 3 * sqrt(n) integers of n bits for n lines.
+    """
     both = set(a) & set(b)
-    ia, ib = [i for i, x in enumerate(a) if x in both], [j for j, x in enumerate(b) if x in both]
-    best = [[0] * (len(ib) + 1) for _ in range(len(ia) + 1)]
-    for i in range(len(ia) - 1, -1, -1):
-        row, below = best[i], best[i + 1]
-        for j in range(len(ib) - 1, -1, -1):
-            row[j] = below[j + 1] + 1 if a[ia[i]] == b[ib[j]] else max(below[j], row[j + 1])
-    out, i, j = set(), 0, 0
-    while i < len(ia) and j < len(ib):
-        if a[ia[i]] == b[ib[j]]:
+    ia, b = [i for i, x in enumerate(a) if x in both], [x for x in b if x in both]
+    n, m = len(ia), len(b)
+    full = (1 << n) - 1
+    places: dict[str, list[int]] = {}
+    for i, k in enumerate(ia):
+        places.setdefault(a[k], []).append(n - 1 - i)
+
+    def as_bits(at: list[int]) -> int:
+        if len(at) == 1:
+            return 1 << at[0]
+        bits = bytearray(at[0] // 8 + 1)
+        for p in at:
+            bits[p >> 3] |= 1 << (p & 7)
+        return int.from_bytes(bits, "little")
+    often = {x: as_bits(at) for x, at in places.items() if len(at) ** 2 > n}
+
+    def above(row: int, j: int) -> int:
+        """Row j of row j + 1."""
+        x = b[j]
+        hit = row & (often[x] if x in often else as_bits(places[x]))
+        return ((row + hit) | (row - hit)) & full
+
+    step = math.isqrt(m) + 1
+    kept, row = {m: full}, full
+    for j in range(m - 1, 0, -1):
+        row = above(row, j)
+        if j % step == 0:
+            kept[j] = row
+    out, i, j, rows, low = set(), 0, 0, [], 0
+    while i < n and j < m:
+        if a[ia[i]] == b[j]:
             out.add(ia[i])
             i, j = i + 1, j + 1
-        elif best[i + 1][j] >= best[i][j + 1]:
+            continue
+        if not low <= j < low + len(rows):
+            high = min(m, (j // step + 1) * step)
+            rows = [kept[high]]
+            for k in range(high - 1, j - 1, -1):
+                rows.append(above(rows[-1], k))
+            rows.reverse()
+            low = j
+        if rows[j - low] >> (n - 1 - i) & 1:
             i += 1
         else:
             j += 1

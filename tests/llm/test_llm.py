@@ -208,6 +208,69 @@ def test_html_extraction_where_shared_lines_outweigh_the_pages_own(spark, monkey
     assert {x.page_id: x.text for x in extraction.extract(spark, pages).collect()} == want
 
 
+def test_common_lines_against_a_table():
+    def table(a, b):
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in reversed(range(len(a))):
+            for j in reversed(range(len(b))):
+                best[i][j] = best[i + 1][j + 1] + 1 if a[i] == b[j] else max(best[i + 1][j], best[i][j + 1])
+        return best
+    r = random.Random(3)
+    for _ in range(600):
+        a, b = ([r.choice("abcdefgh"[:r.randrange(1, 9)]) for _ in range(r.randrange(0, 40))] for _ in range(2))
+        at, b_only = [i for i, v in enumerate(a) if v in b], [v for v in b if v in a]
+        a_only = [a[i] for i in at]
+        best, i, j, want = table(a_only, b_only), 0, 0, set()
+        while i < len(a_only) and j < len(b_only):
+            if a_only[i] == b_only[j]:
+                want.add(at[i])
+                i, j = i + 1, j + 1
+            elif best[i + 1][j] >= best[i][j + 1]:
+                i += 1
+            else:
+                j += 1
+        got = extraction._common(a, b)
+        assert len(got) == best[0][0] and got == want
+
+
+def test_common_lines_of_very_long_pages():
+    import tracemalloc
+    r = random.Random(6)
+    a = [f"line {r.randrange(30_000)}" for _ in range(50_000)]
+    b = [x for x in a if r.random() < .9]
+    for _ in range(5_000):
+        b.insert(r.randrange(len(b)), "other")
+    tracemalloc.start()
+    found = sorted(extraction._common(a, b))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [a[i] for i in found] == [x for x in b if x != "other"] and peak < 64 << 20
+    assert len(extraction._common(["same"] * 50_000, ["same"] * 50_000)) == 50_000
+
+
+@pytest.mark.parametrize("html, want", [
+    ("<p>a</p><span class='ad'>AD1 <span>AD2</span> AD3</span><p>b</p>", ["a", "b"]),
+    ("<div>x <span class='ad'>A<b>B<span class='promo'>C</span>D</b>E <a href=u>F</a></span>y</div>", ["x", "y"]),
+    ("<div>x <span class='ad'><div>A <span>B</span> C</div>D</span>y</div>", ["x", "y"]),
+    ("<div><b>x <i>y</b> z</i> <u>w</div><p>v</p>", ["x y z w", "v"]),
+    ("<i><nav>m </i> n</nav>t", ["t"]),
+    ("<p class='side-effects'>a</p><ul id='search-results'><li>b</li></ul><p class='menu-engineering header-only'>c</p>", ["a", "b", "c"]),
+    ("<div class='site-header'>a</div><div class='main-nav'>b</div><div class='ad-300x250'>c</div><div id='comments'>d</div>"
+     "<div class='related-posts'>e</div><div class='cookie_notice'>f</div><div class='Sidebar left'>g</div><p>t</p>", ["t"]),
+    ("<ul><li><b>a<li>b</b></ul><table><tr><td><font>c<td>d</table>", ["a", "b", "c", "d"]),
+])
+def test_html_blocks(html, want):
+    assert [t for t, p in extraction.blocks(html) if p != extraction.BOILERPLATE] == want
+
+
+def test_html_extraction_of_no_pages_and_other_columns(spark):
+    page = "<div>menu of all</div><p>{}</p>"
+    rows = [(i, f"http://a.org/{i}", page.format(t), "x", 3) for i, t in enumerate(["first own line", "and a second text", "third one here"])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string, part int")
+    assert {r.page_id: r.text for r in extraction.extract(spark, pages).collect()} == {0: "first own line", 1: "and a second text", 2: "third one here"}
+    assert extraction.extract(spark, pages.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("block", [decontaminate.BLOCK, 9])
 def test_decontamination(spark, monkeypatch, block):
     monkeypatch.setattr(decontaminate, "BLOCK", block)
