@@ -1,7 +1,7 @@
 """Language identification by language-bitmask n-gram filters.
 
 Training counts the character 4-grams of each language (letters in lower case, anything else one
-space) and keeps the commonest ``grams`` of each language that are not far commoner in another one.
+space) and keeps the ``per_language`` commonest of each language that are not far commoner in another one.
 They go into one bit-sliced Bloom filter: a row of bits for each position, a bit for each language, so that the AND
 of a gram's rows returns all languages that may contain it.  A text's languages are counted over all
 its grams, each count is corrected for that language's false positives, (c - n f) / (1 - f), and the
@@ -12,7 +12,8 @@ text is predicted from all of its grams.  The filter has a fixed size and is bro
 
 Defined cases: null text or a text without a letter is ``und`` with score 0; a null id never trains
 and is not held out; a text none of whose grams is known gets the commonest trained language with
-score 0; with no training rows every text is ``und``; ties go to the language commoner in training.
+score 0; with no training rows every text is ``und``; ties go to the language commoner in training; repeated rows each have
+their answer, an empty table has none, and other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -21,10 +22,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ferrule.llm.common import SLICE_BYTES, crc_mod, map_arrow, mix, signed
+from ferrule.llm.common import SLICE_BYTES, crc_mod, map_arrow, mix, signed, stored
 
 GRAM = 4
 _LETTER: np.ndarray | None = None
@@ -124,22 +125,24 @@ def fit(docs: DataFrame, train_docs: int = 20_000, per_language: int = 40_000, b
                 u, c = np.unique(g[code == k], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(u), pa.string()), pa.array(signed(u)), pa.array(c)],
                                                  ["lang", "g", "c"])
-    counts = map_arrow(rows.select("text", "lang"), count, "lang string, g long, c long").groupBy("lang", "g").agg(F.sum("c").alias("c"))
+    spark = docs.sparkSession
+    counts = stored(spark, map_arrow(rows.select("text", "lang"), count, "lang string, g long, c long").groupBy("lang", "g").agg(
+        F.sum("c").alias("c")), "grams")
     totals = {r.lang: r.c for r in counts.groupBy("lang").agg(F.sum("c").alias("c")).collect()}
     languages = sorted(totals, key=lambda x: (-totals[x], x))
     f = LanguageFilter(languages, bits, [np.zeros(1 << bits, np.uint8) for _ in range((len(languages) + 7) // 8)],
                        np.zeros(max(1, len(languages))))
     if not languages:
         return f
-    spark = docs.sparkSession
     share = counts.join(F.broadcast(spark.createDataFrame(list(totals.items()), "lang string, total long")), "lang").withColumn(
         "p", F.col("c") / F.col("total"))
     top = share.groupBy("g").agg(F.max("p").alias("most"))
     own = share.join(top, "g").filter("c >= 3 and p >= 0.1 * most")
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("c"), "g"))
+    kept = own.select("lang", "g", place.alias("place")).filter(F.col("place") <= per_language).select("lang", "g").toArrow()
+    names, g = np.array(kept["lang"].to_pylist(), dtype=object), kept["g"].to_numpy().astype(np.int64).view(np.uint64)
     for k, name in enumerate(languages):
-        kept = own.filter(F.col("lang") == name).orderBy(F.desc("c"), "g").limit(per_language).select("g").collect()
-        g = np.array([r.g for r in kept], dtype=np.int64).view(np.uint64)
-        for p in f.positions(g):
+        for p in f.positions(g[names == name]):
             f.rows[k // 8][p] |= np.uint8(1 << (k % 8))
     f.false_rate = np.array([((f.rows[k // 8] >> np.uint8(k % 8)) & 1).mean() ** f.hashes for k in range(len(languages))])
     return f

@@ -153,6 +153,17 @@ def test_language(spark):
     assert all(x.held_out == (i is not None and zlib.crc32(str(i).encode()) % 4 == 2) for i, x in out.items())
 
 
+def test_language_ties_repeated_rows_and_other_columns(spark):
+    rows = [(i, t, k, "z", 1) for i in range(40) for t, k in (("abcd efgh", "aa"), ("ijkl mnop", "bb"))]
+    schema = "doc_id long, text string, lang string, g string, score int"
+    d = spark.createDataFrame([*rows, (50, "abcd ijkl", None, "z", 1), (50, "abcd ijkl", None, "z", 1), (51, "qqqq", None, "z", 1)], schema)
+    out = [(x.doc_id, x.lang_pred, x.score) for x in language.identify(spark, d).collect()]
+    assert [x[1] for x in out if x[0] == 50] == ["aa", "aa"]
+    assert len(out) == 83 and [x[1:] for x in out if x[0] == 51] == [("aa", 0.0)]
+    assert language.identify(spark, d.limit(0)).count() == 0
+    assert {x.lang_pred for x in language.identify(spark, d.filter("doc_id >= 50")).collect()} == {"und"}
+
+
 def test_html_extraction(spark):
     def page(body, menu="Home News"):
         return (f"<html><head><title>T</title><script>if (a<b) x('</p>')</script></head><body><nav>{menu}</nav><div>All rights kept</div>"
