@@ -617,3 +617,29 @@ def test_pipeline_stages_work_on_what_came_before(spark, tmp_path):
         ids = now
     last = corpus_pipeline.STAGES[-1][1](spark, docs_, SF001)
     assert {r.doc_id for r in last.collect()} == ids and last.filter("not round_trip").count() == 0
+
+
+def test_pipeline_stages_of_odd_rows_and_empty_tables(spark):
+    import corpus_pipeline
+
+    SF001 = "/root/testdata/sf0.001"
+    rows = [(None, None, "x", 1), (None, "one two three four five six", "x", 2), (1, None, None, 3), (2, "", "x", 4), (2, "", "x", 4),
+            (3, "one two three four five six", "x", 5), (4, "one two three four five six", "x", 6)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, items_ string, n_chars long")
+    stages = dict(corpus_pipeline.STAGES)
+    for name in ("quality", "jaccard_dedup", "decontamination", "secrets"):
+        none = stages[name](spark, d.limit(0), SF001)
+        assert none.columns == d.columns and none.count() == 0
+    assert stages["sentencepiece"](spark, d.limit(0), SF001).count() == 0
+
+    def kept(name):
+        out = stages[name](spark, d, SF001)
+        assert out.columns == d.columns
+        return collections.Counter((r.doc_id, r.text, r["items_"]) for r in out.collect())
+    every = collections.Counter((i, t, v) for i, t, v, _ in rows)
+    assert kept("decontamination") == kept("secrets") == every
+    assert kept("jaccard_dedup") == every - collections.Counter([(2, "", "x"), (4, "one two three four five six", "x")])
+    assert not kept("quality") - every
+    last = stages["sentencepiece"](spark, d, SF001).collect()
+    assert collections.Counter(r.doc_id for r in last) == collections.Counter(i for i, *_ in rows)
+    assert all(r.n_tokens == 0 for r in last if r.doc_id in (1, 2))
