@@ -12,7 +12,8 @@ Only models that leave the text as it is but for a word mark in front and for sp
 hold no mark after another character, are accepted; others raise ValueError.
 
 Defined cases: null text encodes like an empty one, as no ids; decoding no ids gives an empty text; a word mark
-(U+2581) in the text decodes as a space; units longer than ``LONG`` characters are relaxed one at a time.
+(U+2581) in the text decodes as a space; units longer than ``LONG`` characters are relaxed one at a time;
+repeated rows each have their ids, an empty table has none, and other columns are not read.
 """
 
 from __future__ import annotations

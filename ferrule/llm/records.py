@@ -19,7 +19,7 @@ or digit, where a further unit begins.  Each distinct unit is encoded by the tok
 worker.  Texts where that does not hold (Unicode white space, special tokens) are encoded whole.
 
 Defined cases: null and empty texts are records with the end id only; a null doc_id comes first; rows that
-share an id are separate records, in the order of a hash of their texts; an empty table has no shard.
+share an id are separate records, in the order of a hash of their texts; an empty table has no shard; other columns are not read.
 """
 
 from __future__ import annotations
