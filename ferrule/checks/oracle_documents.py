@@ -77,6 +77,14 @@ FROM newest n JOIN base b USING (exception_id) JOIN matched m ON m.{key} = b.{ke
 WHERE n.bad IS NULL OR n.good > n.bad GROUP BY ALL"""
 
 
+def latest_rows(key: str) -> str:
+    return f"""SELECT b.loan_number, b.refreshed, b.mca, b.mca_flag, concat('{{', m.obj_id, '}}') AS guid, m.cre_dt AS date_created,
+ b.document, b.issue, b.exception_request_date
+FROM newest n JOIN base b USING (exception_id) JOIN matched m ON m.{key} = b.{key} AND m.cre_dt = n.good,
+ range(CAST(m.valid_rows + m.invalid_rows AS BIGINT)) AS copies
+WHERE n.bad IS NULL OR n.good > n.bad"""
+
+
 COUNTS = """SELECT loan_number, obj_id, invalid_excp_type, cre_dt, CAST(sum(valid_rows) AS BIGINT) AS n_valid,
  CAST(sum(invalid_rows) AS BIGINT) AS n_invalid FROM matched GROUP BY ALL"""
 
@@ -93,8 +101,8 @@ CTES = [("kinds_asked", KINDS), ("open_exceptions_asked", OPEN_EXCEPTIONS), ("as
 ORACLE = {
     "open_exception_base": with_views("SELECT * FROM base", *CTES),
     "document_match": with_views(MATCH, *CTES),
-    "latest_valid_document": with_views(latest("loan_number"), *CTES),
-    "latest_valid_by_exception": with_views(latest("exception_id"), *CTES),
+    "latest_valid_document": with_views(latest_rows("loan_number"), *CTES),
+    "latest_valid_by_exception": with_views(latest_rows("exception_id"), *CTES),
     "document_counts": with_views(COUNTS, *CTES),
     "exception_document_dates": with_views(DATED, *CTES),
     "row_min_date": with_views(f"""SELECT exception_id, document, {_first_letter('coalesce(letter_sets, 0)')} AS min_letter_date

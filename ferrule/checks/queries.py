@@ -163,14 +163,14 @@ def q_exception_document_dates(spark, sf_dir):
 
 @register("latest_valid_document")
 def q_latest_valid_document(spark, sf_dir):
-    return _documents(spark, sf_dir)["latest_valid"]
+    return _documents(spark, sf_dir)["latest_valid_rows"]
 
 
 @register("latest_valid_by_exception")
 def q_latest_valid_by_exception(spark, sf_dir):
     """The tight form: an exception only picks up its own documents."""
     t = _document_tables(A.driver(spark, sf_dir))
-    return DOC.run(t, DOC.DocumentParams(as_of=A.AS_OF_TS, match_on="exception"))["latest_valid"]
+    return DOC.run(t, DOC.DocumentParams(as_of=A.AS_OF_TS, match_on="exception"))["latest_valid_rows"]
 
 
 @register("row_min_date")

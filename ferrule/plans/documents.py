@@ -15,9 +15,10 @@ exceptions, documents or ids, so nothing here pairs exceptions with documents:
 * ``exception_dates``: newest valid and newest invalid date for each (loan, code), and from there for each
   exception through the codes it asks for;
 * ``latest_valid``: base rows grouped by what the report shows, joined to the documents of that date; a
-  row the report repeats is one row with ``n_rows``.
+  row the report repeats is one row with ``n_rows``;
+* ``latest_valid_rows``: the report's rows, as often as it shows them.
 
-No step makes more rows than there are documents, or codes asked for; only the last one has a row for each
+No step makes more rows than there are documents, or codes asked for; only the last ones have a row for each
 shown exception and newest document.  ``document_match`` lists the report's pairs themselves, for those who want them.
 """
 
@@ -203,37 +204,60 @@ def document_match(m: DataFrame) -> DataFrame:
 
 
 SHOWN = ["loan_number", "refreshed", "mca", "mca_flag", "document", "issue", "exception_request_date"]
+REPORT = ["loan_number", "refreshed", "mca", "mca_flag", "guid", "date_created", "document", "issue", "exception_request_date"]
+#: Copies of one report row that are made in one place; more of them are sorted as rows of their own.
+COPIES = 10_000
 
 
-def latest_valid(b: DataFrame, d: DataFrame, p: DocumentParams, ordered: bool = True) -> DataFrame:
-    """Newest valid document per exception, later than its newest invalid one (D5).
-
-    One row for each row the report shows, with ``n_rows``, the number of times it shows it: the base
-    rows with these values times the ``#INVALID`` rows of the document.
-    """
+def _newest(b: DataFrame, d: DataFrame, p: DocumentParams) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Base rows whose newest valid document is later than their newest invalid one, with its date; the documents of a
+    key and date with ``_n_doc``, the ``#INVALID`` rows they stand for; and the columns that join the two."""
     never = ts_lit(SENTINEL_NEVER_DATE)
     dates = exception_dates(b, d).where(F.col("valid_dt") > F.coalesce(F.col("invalid_dt"), never)).select("exception_id", "valid_dt")
     rows = F.col("n_valid") + F.col("n_invalid")
-    by_loan = p.match_on == "loan"
-    key = "loan_number" if by_loan else "exception_id"
-    a = b.join(dates, "exception_id").groupBy(*SHOWN, *([] if by_loan else [key]), "valid_dt").agg(F.count(F.lit(1)).alias("_n_base"))
-    if by_loan:
+    if p.match_on == "loan":
         # every document of the loan at that date, whichever exception asked for it
+        key = "loan_number"
         docs = d.groupBy("loan_number", F.col("cre_dt").alias("valid_dt"), "obj_id").agg(F.sum(F.col("n_asking") * rows).alias("_n_doc"))
     else:
+        key = "exception_id"
         own = (offers(b, "exception_id", "loan_number").groupBy("exception_id", "loan_number", "code", "recent_only")
                .agg(F.count(F.lit(1)).alias("_n_off")).join(dates, "exception_id"))
         docs = (own.join(d.withColumnRenamed("cre_dt", "valid_dt"), ["loan_number", "code", "valid_dt"])
                 .where(~F.col("recent_only") | F.col("recent"))
                 .groupBy("exception_id", "valid_dt", "obj_id").agg(F.sum(F.col("_n_off") * rows).alias("_n_doc")))
-    out = (a.join(docs, [key, "valid_dt"])
+    return b.select(*SHOWN, "exception_id").join(dates, "exception_id"), docs, [key, "valid_dt"]
+
+
+def _order() -> list:
+    """The whole key, so that the order is unique and a range can split any value."""
+    return ["document", F.desc("mca"), "loan_number", "guid", "date_created", "issue", "exception_request_date"]
+
+
+def latest_valid(b: DataFrame, d: DataFrame, p: DocumentParams, ordered: bool = True) -> DataFrame:
+    """Newest valid document per exception, later than its newest invalid one (D5), counted.
+
+    One row for each row the report shows, with ``n_rows``, the number of times it shows it: the base
+    rows with these values times the ``#INVALID`` rows of the document.
+    """
+    a, docs, keys = _newest(b, d, p)
+    a = a.groupBy(*dict.fromkeys([*SHOWN, *keys])).agg(F.count(F.lit(1)).alias("_n_base"))
+    out = (a.join(docs, keys)
            .groupBy(*SHOWN, braced("obj_id").alias("guid"), F.col("valid_dt").alias("date_created"))
-           .agg(F.sum(F.col("_n_base") * F.col("_n_doc")).cast("long").alias("n_rows"))
-           .select("loan_number", "refreshed", "mca", "mca_flag", "guid", "date_created", "document", "issue",
-                   "exception_request_date", "n_rows"))
-    if ordered:                      # the whole key, so that the order is unique and a range can split any value
-        out = out.orderBy("document", F.desc("mca"), "loan_number", "guid", "date_created", "issue", "exception_request_date")
-    return out
+           .agg(F.sum(F.col("_n_base") * F.col("_n_doc")).cast("long").alias("n_rows")).select(*REPORT, "n_rows"))
+    return out.orderBy(*_order()) if ordered else out
+
+
+def latest_valid_rows(b: DataFrame, d: DataFrame, p: DocumentParams, ordered: bool = True) -> DataFrame:
+    """The report itself (D5): its rows as often as it shows them, each base row with each ``#INVALID`` row."""
+    a, docs, keys = _newest(b, d, p)
+    n = F.col("_n_doc")
+    out = (a.join(docs, keys).withColumn("guid", braced("obj_id")).withColumnRenamed("valid_dt", "date_created")
+           .select(*REPORT, "_n_doc", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_n_doc - 1) div {COPIES}"))).alias("_part")))
+    if ordered:                      # before the copies are made
+        out = out.orderBy(*_order(), "_part")
+    return out.select(*REPORT, F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(COPIES), n - F.col("_part") * COPIES))).alias("_copy")) \
+        .select(*REPORT)
 
 
 def run(tables: dict[str, DataFrame], params: DocumentParams | None = None, ordered: bool = True,
@@ -261,5 +285,6 @@ def run(tables: dict[str, DataFrame], params: DocumentParams | None = None, orde
         "document_counts": lambda: document_counts(asked_documents(r["base"], tables, p)),
         "exception_dates": lambda: exception_dates(r["_base_m"], r["_asked_m"]),
         "latest_valid": lambda: latest_valid(r["_base_m"], r["_asked_m"], p, ordered),
+        "latest_valid_rows": lambda: latest_valid_rows(r["_base_m"], r["_asked_m"], p, ordered),
     })
     return r

@@ -165,6 +165,27 @@ def test_latest_valid_counts_the_rows_of_the_report(spark, match_on):
     assert max(got.values()) > 1
 
 
+@pytest.mark.parametrize("copies", [10_000, 2])
+@pytest.mark.parametrize("match_on", ["loan", "exception"])
+def test_latest_valid_rows_are_the_rows_of_the_report(spark, monkeypatch, match_on, copies):
+    monkeypatch.setattr(DOC, "COPIES", copies)
+    pdfs = with_odd_ids(fixture())
+    sdfs = {k: to_spark(spark, v) for k, v in pdfs.items()}
+    out = DOC.run(sdfs, DOC.DocumentParams(as_of=AS_OF, match_on=match_on))["latest_valid_rows"]
+    rows = out.collect()
+    got = collections.Counter((r.loan_number, r.guid, r.date_created, r.document, r.issue) for r in rows)
+    want = report_rows(pdfs, match_on == "loan")
+    assert got == {(a, b, c.to_pydatetime(), d, e): n for (a, b, c, d, e), n in want.items()}
+    assert max(got.values()) > 2 and [r.document for r in rows] == sorted(r.document for r in rows)
+
+
+@pytest.mark.parametrize("name", ["latest_valid_document", "latest_valid_by_exception"])
+def test_registered_reports_repeat_rows(spark, name):
+    from ferrule.checks.oracle import ORACLE
+    from ferrule.checks.queries import QUERIES
+    assert "range(" in ORACLE[name] and "n_rows" not in QUERIES[name](spark, "/root/testdata/sf0.001").columns
+
+
 def output_rows(df):
     """Rows out of every operator of the executed plan (after the action)."""
     found = []
