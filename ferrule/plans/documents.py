@@ -138,15 +138,20 @@ def _documents(t: dict[str, DataFrame], p: DocumentParams) -> DataFrame:
                                            "original_doc_nm", "obj_id", "cre_dt", recent.alias("recent"))
 
 
-def _with_listed(m: DataFrame, t: dict[str, DataFrame]) -> DataFrame:
-    """Add the rows a document stands for against its loan's invalid ids: ``n_valid`` and ``n_invalid``."""
-    # one grouping by (loan, guid) gives both the ids per loan and the ids per guid
+def _listed(t: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """Invalid ids by loan (``n_ids``), and by loan and guid (``n_match``)."""
+    # one grouping by (loan, guid) gives both
     ids = t["invalid_documents"].groupBy(F.col("loan_nbr").alias("loan_number"), ci_key("guid").alias("_guid")) \
         .agg(F.count(F.lit(1)).alias("_n"))
-    per_loan = ids.groupBy("loan_number").agg(F.sum("_n").alias("n_ids"))
-    per_guid = ids.where(F.col("_guid").isNotNull()).select("loan_number", "_guid", F.col("_n").alias("n_match"))
+    return (ids.groupBy("loan_number").agg(F.sum("_n").alias("n_ids")),
+            ids.where(F.col("_guid").isNotNull()).select("loan_number", "_guid", F.col("_n").alias("n_match")))
+
+
+def _with_listed(m: DataFrame, per_guid: DataFrame) -> DataFrame:
+    """Add the rows a document stands for against its loan's ``n_ids`` invalid ids: ``n_valid`` and ``n_invalid``."""
     n_ids, n_match = F.coalesce("n_ids", F.lit(0)), F.coalesce("n_match", F.lit(0))
-    return (m.join(per_loan, "loan_number", "left").withColumn("_guid", ci_key(braced("obj_id")))
+    # a document of a loan that lists nothing has nothing to look up
+    return (m.withColumn("_guid", F.when(n_ids > 0, ci_key(braced("obj_id"))))
             .join(per_guid, ["loan_number", "_guid"], "left")
             .withColumn("n_valid", F.when(n_ids == 0, F.lit(1)).otherwise(n_ids - n_match)).withColumn("n_invalid", n_match)
             .drop("_guid", "n_ids", "n_match"))
@@ -155,9 +160,11 @@ def _with_listed(m: DataFrame, t: dict[str, DataFrame]) -> DataFrame:
 def asked_documents(b: DataFrame, t: dict[str, DataFrame], p: DocumentParams) -> DataFrame:
     """Repository documents that some base row asks for, each once: loan_number, code, original_doc_nm, obj_id, cre_dt,
     recent, n_any, n_asking, n_valid, n_invalid."""
-    d = _documents(t, p).join(asks(b), ["loan_number", "code"])
+    per_loan, per_guid = _listed(t)
+    # the ids of a loan come with what it asks for, so that documents are joined once less
+    d = _documents(t, p).join(asks(b).join(per_loan, "loan_number", "left"), ["loan_number", "code"])
     asking = F.col("n_any") + F.when(F.col("recent"), F.col("n_recent")).otherwise(0)
-    return _with_listed(d.withColumn("n_asking", asking).where(F.col("n_asking") > 0).drop("n_recent"), t)
+    return _with_listed(d.withColumn("n_asking", asking).where(F.col("n_asking") > 0).drop("n_recent"), per_guid)
 
 
 def document_counts(d: DataFrame) -> DataFrame:
@@ -185,9 +192,10 @@ def exception_dates(b: DataFrame, d: DataFrame) -> DataFrame:
 
 def matches(b: DataFrame, t: dict[str, DataFrame], p: DocumentParams) -> DataFrame:
     """The pairs themselves: one row per (base row, matching document) with the rows it stands for."""
-    o = offers(b, "loan_number", "exception_id", "document")
+    per_loan, per_guid = _listed(t)
+    o = offers(b, "loan_number", "exception_id", "document").join(per_loan, "loan_number", "left")
     m = _documents(t, p).join(o, ["loan_number", "code"]).where(~F.col("recent_only") | F.col("recent"))
-    return _with_listed(m.select("loan_number", "exception_id", "document", "obj_id", "original_doc_nm", "cre_dt"), t)
+    return _with_listed(m.select("loan_number", "exception_id", "document", "obj_id", "original_doc_nm", "cre_dt", "n_ids"), per_guid)
 
 
 def document_match(m: DataFrame) -> DataFrame:
@@ -205,6 +213,7 @@ def document_match(m: DataFrame) -> DataFrame:
 
 SHOWN = ["loan_number", "refreshed", "mca", "mca_flag", "document", "issue", "exception_request_date"]
 REPORT = ["loan_number", "refreshed", "mca", "mca_flag", "guid", "date_created", "document", "issue", "exception_request_date"]
+ASKING = ["exception_id", "excp_fn_code", "por_fn_code_2"]
 #: Copies of one report row that are made in one place; more of them are sorted as rows of their own.
 COPIES = 10_000
 
@@ -266,7 +275,8 @@ def run(tables: dict[str, DataFrame], params: DocumentParams | None = None, orde
     invalid_documents, document_repository.
 
     The newest-valid step reads the base three times and the asked documents twice; with
-    ``materialized`` it reads one checkpointed copy of each.  Single-reader outputs use the plain plans.
+    ``materialized`` it reads one checkpointed copy of each, with the columns that it reads and no others (the base
+    has 28, some of them from further joins and groupings).  Single-reader outputs use the plain plans.
     """
     p = params or DocumentParams()
     r: JobResult
@@ -280,10 +290,11 @@ def run(tables: dict[str, DataFrame], params: DocumentParams | None = None, orde
         "matches": lambda: document_match(matches(r["base"], tables, p)),
         # read several times: one materialised copy each (not force-partitioned: a loan or exception may
         # hold a large share of the rows)
-        "_base_m": lambda: mat(base(tables, p)),
-        "_asked_m": lambda: mat(asked_documents(r["_base_m"], tables, p)),
+        "_offers_m": lambda: mat(base(tables, p).select("loan_number", *ASKING)),
+        "_base_m": lambda: mat(base(tables, p).select(*SHOWN, *ASKING)),
+        "_asked_m": lambda: mat(asked_documents(r["_base_m"], tables, p).drop("original_doc_nm", "n_any")),
         "document_counts": lambda: document_counts(asked_documents(r["base"], tables, p)),
-        "exception_dates": lambda: exception_dates(r["_base_m"], r["_asked_m"]),
+        "exception_dates": lambda: exception_dates(r["_offers_m"], asked_documents(r["_offers_m"], tables, p)),
         "latest_valid": lambda: latest_valid(r["_base_m"], r["_asked_m"], p, ordered),
         "latest_valid_rows": lambda: latest_valid_rows(r["_base_m"], r["_asked_m"], p, ordered),
     })

@@ -186,6 +186,16 @@ def test_registered_reports_repeat_rows(spark, name):
     assert "range(" in ORACLE[name] and "n_rows" not in QUERIES[name](spark, "/root/testdata/sf0.001").columns
 
 
+def test_stored_base_has_only_the_columns_that_are_read(spark):
+    pdfs = with_odd_ids(fixture())
+    out = DOC.run({k: to_spark(spark, v) for k, v in pdfs.items()}, DOC.DocumentParams(as_of=AS_OF))
+    assert out["_base_m"].columns == [*DOC.SHOWN, "exception_id", "excp_fn_code", "por_fn_code_2"]
+    assert out["_offers_m"].columns == ["loan_number", "exception_id", "excp_fn_code", "por_fn_code_2"]
+    assert not {"original_doc_nm", "n_any"} & set(out["_asked_m"].columns)
+    got = {r.exception_id: (r.valid_dt, r.invalid_dt) for r in out["exception_dates"].collect()}
+    assert got == {e: (good, bad) for e, good, bad in brute_force(pdfs, OD.DATED)} and len(got) > 3
+
+
 def output_rows(df):
     """Rows out of every operator of the executed plan (after the action)."""
     found = []
