@@ -1,11 +1,14 @@
 """Secret scan: fixed formats, and automata inferred from the credentials that these find.
 
 The fixed formats (``KINDS``) give the base spans and, with them, labelled credentials.  For each kind
-a probabilistic automaton is inferred from at most ``SAMPLE`` distinct credentials (those with the
-smallest hashes, none longer than ``LONGEST``): a prefix tree over character classes whose states are merged, in breadth-first order,
-whenever their outgoing and stopping frequencies are compatible (Hoeffding bound) all the way down.  A background
-automaton is inferred in the same way from long tokens that touch no base span and equal no labelled credential,
-those with the smallest hashes.  Every long token of every text is
+a probabilistic automaton is inferred from all its distinct credentials: a prefix acceptor over character classes
+whose states are the position (from ``DEPTH`` on, one position) and the class before it, with frequencies that Spark counts
+over every credential, and whose states are merged, in breadth-first order, into the first state whose
+outgoing and stopping frequencies are compatible (Hoeffding bound) all the way down; the frequencies of the merged states
+are then counted over every credential again.  Half of a kind's credentials (by hash) are learned, the others set its threshold.
+A background automaton is inferred in the same way from all distinct long tokens that touch no base span and equal no
+labelled credential.  The driver gets counts by state and by score (in steps of 1 / ``STEPS``), which do not grow with the texts.
+Every long token of every text is
 scored: log likelihood ratio per character of its best format against the background.  It is added as a
 ``grammar`` span if it scores above all but a ``FALSE_RATE`` share of the background and no lower than nearly all
 labelled credentials of that kind do, and touches no base span.  Base spans are never changed.
@@ -37,11 +40,9 @@ ADDED = "grammar"
 #: Tokens that are scored: runs of the characters and the least length of labelled credentials.
 TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]{12,}")
 
-#: Bounds of what is learned from: distinct credentials of a kind, background tokens, and the length of either (longer
-#: ones are scored like any other, whole, but not learned from).
-SAMPLE = 400
-BACKGROUND = 5 * SAMPLE
-LONGEST = 256
+#: Positions that are states of their own, and steps of scores in which thresholds are counted.
+DEPTH = 64
+STEPS = 1024
 FALSE_RATE = 0.001
 _KEYWORDS = re.compile(rb"password|passwd|secret|token|api_?key", re.I)
 _CREDENTIAL = np.zeros(256, dtype=bool)
@@ -57,11 +58,12 @@ _CLASSES = {**{c: ("0", 10) for c in "0123456789"}, **{c: ("a", 6) for c in "abc
             **{c: ("A", 6) for c in "ABCDEF"}, **{c: ("G", 20) for c in "GHIJKLMNOPQRSTUVWXYZ"}}
 
 
-def _classes(s: str) -> str:
-    return "".join(_CLASSES.get(c, (c, 1))[0] for c in s)
-
-
-_SIZE = {k: n for k, n in _CLASSES.values()}
+_NAMES = sorted({k for k, _ in _CLASSES.values()} | set("+/_.=-"))
+_N = len(_NAMES)                               # classes are 0 .. _N - 1; _N is the stop, and the class before the first
+_CLASS = np.zeros(256, dtype=np.int64)
+for _c in set(_CLASSES) | set("+/_.=-"):
+    _CLASS[ord(_c)] = _NAMES.index(_CLASSES.get(_c, (_c, 1))[0])
+_LOG_SIZE = np.log([{k: n for k, n in _CLASSES.values()}.get(k, 1) for k in _NAMES] + [1])
 
 
 def base_spans(text: str) -> list[tuple[str, int, int, str]]:
@@ -72,107 +74,135 @@ def base_spans(text: str) -> list[tuple[str, int, int, str]]:
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
+class _Strings:
+    """Strings as classes: one after the other, the longest first."""
+
+    def __init__(self, strings: list[str]):
+        size = np.array([len(x) for x in strings], dtype=np.int64)
+        self.order = np.argsort(-size, kind="stable")
+        self.size = size[self.order]
+        self.data = _CLASS[np.frombuffer("".join(strings[i] for i in self.order).encode("ascii", "replace"), dtype=np.uint8)]
+        self.start = np.cumsum(self.size) - self.size
+
+    def contexts(self) -> tuple[np.ndarray, np.ndarray]:
+        """(keys, counts) of state * (_N + 1) + symbol in the prefix acceptor, the stop included."""
+        n, ends = len(self.size), self.start + self.size
+        symbol = np.insert(self.data, ends, _N)
+        first = self.start + np.arange(n)                       # each string has one symbol more
+        at = np.arange(len(symbol)) - np.repeat(first, self.size + 1)
+        before = np.concatenate([[_N], symbol[:-1]])
+        before[first] = _N
+        return np.unique((np.minimum(at, DEPTH) * (_N + 1) + before) * (_N + 1) + symbol, return_counts=True)
+
+    def walk(self, to: np.ndarray):
+        """(indexes in length order, states, symbols) at each position; the stop as the last symbol."""
+        state = np.zeros(len(self.size), dtype=np.int64)
+        active = len(state)
+        for j in range(int(self.size[0]) + 1 if active else 0):
+            longer = int(np.searchsorted(-self.size, -j, side="left"))           # strings with a character j
+            if longer < active:
+                yield slice(longer, active), state[longer:active], np.full(active - longer, _N)
+            active = longer
+            symbol = self.data[self.start[:active] + j]
+            if active:
+                yield slice(0, active), state[:active], symbol
+                state[:active] = to[state[:active], symbol]
+
+
 class Automaton:
-    """A deterministic probabilistic automaton: transition and stop counts by state."""
-
-    def __init__(self, strings: list[str], alpha: float = 0.05):
-        self.next: list[dict[str, int]] = [{}]
-        self.count: list[dict[str, int]] = [{}]
-        self.stop = [0]
-        for s in strings:                                        # the prefix tree
-            q = 0
-            for c in _classes(s):
-                self.count[q][c] = self.count[q].get(c, 0) + 1
-                if c not in self.next[q]:
-                    self.next[q][c] = len(self.next)
-                    self.next.append({})
-                    self.count.append({})
-                    self.stop.append(0)
-                q = self.next[q][c]
-            self.stop[q] += 1
-        self.bound = math.sqrt(0.5 * math.log(2 / alpha))
-        self._merge_states()
-        self.alphabet = max(2, len({c for n in self.count for c in n}) + 1)
-
-    def _total(self, q: int) -> int:
-        return self.stop[q] + sum(self.count[q].values())
-
-    def _compatible(self, a: int, b: int) -> bool:
-        todo = [(a, b)]
-        while todo:
-            a, b = todo.pop()
-            m, n = self._total(a), self._total(b)
-            if not m or not n:
-                continue
-            limit = self.bound * (1 / math.sqrt(m) + 1 / math.sqrt(n))
-            if abs(self.stop[a] / m - self.stop[b] / n) > limit:
-                return False
-            for c in self.count[a].keys() | self.count[b].keys():
-                if abs(self.count[a].get(c, 0) / m - self.count[b].get(c, 0) / n) > limit:
-                    return False
-                if c in self.next[a] and c in self.next[b]:
-                    todo.append((self.next[a][c], self.next[b][c]))
-        return True
-
-    def _fold(self, a: int, b: int) -> None:
-        """Add the subtree at b to state a."""
-        todo = [(a, b)]
-        while todo:
-            a, b = todo.pop()
-            self.stop[a] += self.stop[b]
-            for c, n in self.count[b].items():
-                self.count[a][c] = self.count[a].get(c, 0) + n
-                if c in self.next[a]:
-                    todo.append((self.next[a][c], self.next[b][c]))
-                else:
-                    self.next[a][c] = self.next[b][c]
-
-    def _merge_states(self) -> None:
-        red, blue = [0], [(0, c) for c in sorted(self.next[0])]
-        while blue:
-            r, c = blue.pop(0)
-            b = self.next[r][c]
-            if b in red:
-                continue
-            into = next((q for q in red if self._compatible(q, b)), None)
-            if into is None:
-                red.append(b)
-                blue += [(b, x) for x in sorted(self.next[b])]
-            else:
-                self.next[r][c] = into
-                self._fold(into, b)
-                known = set(blue)
-                blue += [(q, x) for q in red for x in sorted(self.next[q]) if self.next[q][x] not in red and (q, x) not in known]
+    """A deterministic probabilistic automaton: transitions, and transition and stop counts, by state."""
+
+    def __init__(self, strings: list[str] = (), alpha: float = 0.05):
+        s = _Strings(list(strings))
+        keys, counts = s.contexts()
+        self._merge_states(keys, counts, alpha)
+        self.learn(*self.used(s))
+
+    def _merge_states(self, keys: np.ndarray, counts: np.ndarray, alpha: float = 0.05) -> None:
+        """Transitions of the merged states from the counts of the prefix acceptor; the last state is the unknown."""
+        m = _N + 1
+        states, row = np.unique(keys // m, return_inverse=True)           # breadth first: by position
+        count = np.zeros((len(states), m))
+        np.add.at(count, (row, keys % m), counts)
+        total = count.sum(1)
+        share, width = count / total[:, None], math.sqrt(0.5 * math.log(2 / alpha)) / np.sqrt(total)
+        after = np.minimum(states // m + 1, DEPTH)[:, None] * m + np.arange(_N)
+        to = np.where(count[:, :_N] > 0, np.searchsorted(states, after), -1)
+        apart = np.zeros((len(states), len(states)), dtype=bool)
+        for c in range(m):
+            apart |= np.abs(share[:, c, None] - share[None, :, c]) > width[:, None] + width[None, :]
+        moves = [(np.flatnonzero(to[:, c] >= 0), c) for c in range(_N)]
+        before = -1
+        while before != (before := int(apart.sum())):           # all the way down
+            for have, c in moves:
+                apart[np.ix_(have, have)] |= apart[np.ix_(to[have, c], to[have, c])]
+        red: list[int] = []
+        into = np.zeros(len(states), dtype=np.int64)
+        for q in range(len(states)):
+            fits = np.flatnonzero(~apart[q, red])
+            into[q] = fits[0] if len(fits) else len(red)
+            if not len(fits):
+                red.append(q)
+        unknown = len(red)
+        self.to = np.full((unknown + 1, _N), unknown)
+        for c in range(_N):
+            seen = np.flatnonzero(states % m == c)
+            if len(seen):                                       # where a merged state has no such move
+                self.to[:unknown, c] = into[seen[0]]
+            for q in range(len(states) - 1, -1, -1):            # the first of its states decides
+                if to[q, c] >= 0:
+                    self.to[into[q], c] = into[to[q, c]]
+        for k, q in enumerate(red):
+            have = to[q] >= 0
+            self.to[k, have] = into[to[q, have]]
+
+    def used(self, s: _Strings) -> tuple[np.ndarray, np.ndarray]:
+        """(keys, counts) of state * (_N + 1) + symbol over the strings."""
+        n = np.zeros(len(self.to) * (_N + 1), dtype=np.int64)
+        for _, state, symbol in s.walk(self.to):
+            n += np.bincount(state * (_N + 1) + symbol, minlength=len(n))
+        return np.flatnonzero(n), n[n > 0]
+
+    def learn(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        """Probabilities from the counts, with one pseudo count for each class and the stop."""
+        n = np.zeros(len(self.to) * (_N + 1))
+        n[keys] = counts
+        n = n.reshape(len(self.to), _N + 1)
+        alphabet = max(2, int((n[:, :_N].sum(0) > 0).sum()) + 1)
+        self.log = np.log((n + 0.5) / (n.sum(1, keepdims=True) + 0.5 * alphabet)) - _LOG_SIZE
+
+    def log_likelihoods(self, s: _Strings) -> np.ndarray:
+        out = np.zeros(len(s.size))
+        for rows, state, symbol in s.walk(self.to):
+            out[rows] += self.log[state, symbol]
+        back = np.empty_like(out)
+        back[s.order] = out
+        return back
 
     def log_likelihood(self, s: str) -> float:
-        """Natural log of the probability of s, with one pseudo count for each class and the stop."""
-        q, out = 0, 0.0
-        for c in _classes(s):
-            n = self.count[q].get(c, 0) if q is not None else 0
-            m = self._total(q) if q is not None else 0
-            out += math.log((n + 0.5) / (m + 0.5 * self.alphabet)) - math.log(_SIZE.get(c, 1))
-            q = self.next[q].get(c) if q is not None else None
-        n, m = (self.stop[q], self._total(q)) if q is not None else (0, 0)
-        return out + math.log((n + 0.5) / (m + 0.5 * self.alphabet))
+        """Natural log of the probability of s."""
+        return float(self.log_likelihoods(_Strings([s]))[0])
 
 
 class Grammar:
-    def __init__(self, credentials: dict[str, list[str]], background: list[str]):
-        # every second credential is learned, the others set the threshold
-        self.formats = {k: Automaton(v[::2]) for k, v in sorted(credentials.items()) if v}
-        self.background = Automaton(background)
-        self.least = {}
-        for k, values in credentials.items():
-            if values:
-                own = np.quantile([self.score(k, v) for v in values[1::2] or values], 0.02)
-                other = np.quantile([self.score(k, v) for v in background], 1 - FALSE_RATE) if background else 0.0
-                self.least[k] = max(float(own), float(other), 0.0)
-
-    def score(self, kind: str, s: str) -> float:
-        return (self.formats[kind].log_likelihood(s) - self.background.log_likelihood(s)) / (len(s) + 1)
+    def __init__(self, formats: dict[str, Automaton], background: Automaton):
+        self.formats, self.background = formats, background
+        self.least: dict[str, float] = {}
+
+    def scores(self, values: list[str]) -> dict[str, np.ndarray]:
+        s, n = _Strings(values), np.array([len(v) + 1 for v in values])
+        other = self.background.log_likelihoods(s)
+        return {k: (f.log_likelihoods(s) - other) / n for k, f in self.formats.items()}
+
+    def accepted(self, values: list[str]) -> set[str]:
+        ok = np.zeros(len(values), dtype=bool)
+        if values:
+            for k, x in self.scores(values).items():
+                ok |= x > self.least[k]
+        return {v for v, y in zip(values, ok) if y}
 
     def accepts(self, s: str) -> bool:
-        return any(self.score(k, s) > self.least[k] for k in self.formats)
+        return s in self.accepted([s])
 
 
 def _runs(mask: np.ndarray, cut: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -209,46 +239,91 @@ def _tokens(text: str, spans) -> list[tuple[int, int, str]]:
             if not any(s < m.end() and m.start() < e for _, s, e, _ in spans)]
 
 
-def _hash(value: str) -> int:
-    return int.from_bytes(hashlib.blake2b(value.encode(), digest_size=8).digest(), "big", signed=True)
+_PLAIN = 1 << len(KINDS)                       # in ``found``: a token that is not labelled
+
+
+def _counted(rows: DataFrame, count) -> dict[tuple[str, int], tuple[np.ndarray, np.ndarray]]:
+    """(kind or background, half) -> keys and counts, summed by Spark; ``count`` gives them for the strings of one batch."""
+    def run(b):
+        values, found, half = b.column(0).to_pylist(), b.column(1).to_numpy(), b.column(2).to_numpy()
+        out = []
+        for k, name in enumerate((*KINDS, "background")):
+            for x in (0, 1):
+                mask = (found == _PLAIN) & (x == 0) if k == len(KINDS) else (found >> k & 1 == 1) & (half == x)
+                if mask.any():
+                    out += [(f, x, *pair) for f, pair in count(name, [values[i] for i in np.flatnonzero(mask)])]
+        for f, x, keys, n in out:
+            yield pa.RecordBatch.from_arrays([pa.array([f] * len(keys), pa.string()), pa.array([x] * len(keys), pa.int32()),
+                                              pa.array(keys, pa.int64()), pa.array(n, pa.int64())], ["name", "half", "key", "n"])
+    got = map_arrow(rows, run, "name string, half int, key long, n long").groupBy("name", "half", "key").agg(F.sum("n").alias("n")).toArrow()
+    out: dict[tuple[str, int], list] = {}
+    for name, half, key, n in zip(*(got.column(c).to_pylist() for c in ("name", "half", "key", "n"))):
+        out.setdefault((name, half), []).append((key, n))
+    return {k: tuple(np.array(v, dtype=np.int64) for v in zip(*sorted(pairs))) for k, pairs in out.items()}
+
+
+def _quantile(counts: tuple[np.ndarray, np.ndarray], share: float) -> int:
+    """The least key that at least this share of the counts does not exceed."""
+    keys, n = counts
+    return int(keys[np.searchsorted(np.cumsum(n), share * n.sum())])
 
 
 def infer(spark: SparkSession, docs: DataFrame, text_col: str = "text") -> Grammar | None:
-    """Automata from the credentials of all texts; None where there is none."""
-    def found(b):
-        values, background = set(), {}
+    """Automata from the credentials and tokens of all texts; None where there is no credential."""
+    def find(b):
         for a, z, data, off in slices(b.column(0)):
+            found: dict[str, int] = {}
             for d in _promising(data, off, True).tolist():
                 text = data[off[d]:off[d + 1]].tobytes().decode("utf-8")
                 base = base_spans(text)
-                values.update((kind, value) for kind, _, _, value in base if len(value) <= LONGEST)
-                for m in TOKEN.finditer(text):
-                    if len(m[0]) <= LONGEST and not any(x < m.end() and m.start() < y for _, x, y, _ in base):
-                        background[m[0]] = None
-        # the least of all rows are among the least of each batch
-        values.update(("background", v) for v in sorted(background, key=lambda v: (_hash(v), v))[:BACKGROUND])
-        rows = sorted(values)
-        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.string()), pa.array([v for _, v in rows], pa.string()),
-                                          pa.array([_hash(v) for _, v in rows], pa.int64())], ["kind", "value", "h"])
-
-    rows = map_arrow(docs.select(text_col), found, "kind string, value string, h long").distinct()
-    rows = stored(spark, rows, "credentials")
-    got = {kind: [r.value for r in rows.filter(F.col("kind") == kind).orderBy("h", "value").limit(SAMPLE).collect()] for kind in KINDS}
-    words = rows.filter("kind = 'background'").orderBy("h", "value").limit(BACKGROUND).select("value")
-    labelled = rows.filter("kind <> 'background'").select("value")
-    background = sorted((r.value for r in words.join(labelled, "value", "left_anti").collect()), key=lambda v: (_hash(v), v))
-    return Grammar(got, background) if any(got.values()) else None
+                for kind, _, _, value in base:
+                    found[value] = found.get(value, 0) | 1 << KINDS.index(kind)
+                for _, _, value in _tokens(text, base):
+                    found[value] = found.get(value, 0) | _PLAIN
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int32())], ["value", "found"])
+
+    rows = map_arrow(docs.select(text_col), find, "value string, found int").groupBy("value").agg(F.expr("bit_or(found)").alias("found"))
+    rows = stored(spark, rows.withColumn("half", F.pmod(F.xxhash64("value"), F.lit(2)).cast("int")), "credentials")
+    context = _counted(rows, lambda name, values: [(name, _Strings(values).contexts())])
+    # a kind with credentials in one half only learns from that half and takes its threshold from it
+    learned = {k: 0 if (k, 0) in context else 1 for k in KINDS if (k, 0) in context or (k, 1) in context}
+    if not learned:
+        return None
+    shapes = {}
+    for name, half in [*learned.items(), ("background", 0)]:
+        shapes[name] = Automaton()
+        if (name, half) in context:
+            shapes[name]._merge_states(*context[name, half])
+    walked = _counted(rows, lambda name, values: [(name, shapes[name].used(_Strings(values)))] if name in shapes else [])
+    for name, half in [*learned.items(), ("background", 0)]:
+        none = (np.empty(0, np.int64), np.empty(0, np.int64))
+        shapes[name].learn(*walked.get((name, half), none))
+    grammar = Grammar({k: shapes[k] for k in learned}, shapes["background"])
+
+    def steps(name, values):
+        at = {k: np.unique(np.floor(x * STEPS).astype(np.int64), return_counts=True) for k, x in grammar.scores(values).items()}
+        return [(f"other {k}", x) for k, x in at.items()] if name == "background" else [(name, at[name])]
+    scored = _counted(rows, steps)
+    for k in learned:
+        own = _quantile(scored[k, 1] if (k, 1) in scored else scored[k, 0], 0.02) / STEPS
+        other = (_quantile(scored[f"other {k}", 0], 1 - FALSE_RATE) + 1) / STEPS if (f"other {k}", 0) in scored else 0.0
+        grammar.least[k] = max(own, other, 0.0)
+    return grammar
 
 
 def _scan(grammar: Grammar | None, column: pa.Array):
     """(row, base spans, all spans) of the rows that have any."""
     for a, z, data, off in slices(column):
+        rows = []
         for d in _promising(data, off, grammar is not None).tolist():
             text = data[off[d]:off[d + 1]].tobytes().decode("utf-8")
             base = base_spans(text)
-            more = [(ADDED, s, e, v) for s, e, v in _tokens(text, base) if grammar.accepts(v)] if grammar else []
+            rows.append((a + d, base, _tokens(text, base) if grammar else []))
+        good = grammar.accepted(list({v for _, _, tokens in rows for _, _, v in tokens})) if grammar else set()
+        for row, base, tokens in rows:
+            more = [(ADDED, s, e, v) for s, e, v in tokens if v in good]
             if base or more:
-                yield a + d, base, sorted(base + more, key=lambda s: (s[1], (*KINDS, ADDED).index(s[0])))
+                yield row, base, sorted(base + more, key=lambda s: (s[1], (*KINDS, ADDED).index(s[0])))
 
 
 def _joined(spans) -> str:

@@ -587,6 +587,26 @@ def test_secret_scan_scores_short_letter_only_and_dotted_credentials(spark, alph
     assert sum("grammar" in x for x in out.values()) <= 3
 
 
+def test_secrets_are_learned_from_every_credential_and_token(spark):
+    """More than 400 credentials and 2,000 tokens, long ones too: counts as from all of them at once, however they are dealt."""
+    r = random.Random(15)
+    values = ["".join(r.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ", k=14)) for _ in range(900)] + ["".join(r.choices("0123456789.", k=400)) for _ in range(300)]
+    words = ["".join(r.choices("ghijklmnopqrstuvwxyz", k=r.randrange(12, 20))) for _ in range(5000)]
+    rows = [(f"{' '.join(words[5 * i:5 * i + 5])} token: {v}",) for i, v in enumerate(values)] + [(" ".join(words),)]
+    a = secrets.infer(spark, spark.createDataFrame(rows, "text string").repartition(7))
+    b = secrets.infer(spark, spark.createDataFrame(rows[::-1], "text string").coalesce(1))
+    want = secrets.Automaton(sorted(set(words)))
+    for g in (a, b):
+        assert (g.background.to == want.to).all() and np.allclose(g.background.log, want.log)
+        assert (g.formats["assign"].log == a.formats["assign"].log).all() and g.least == a.least
+        # both shapes of the credentials are known (of the long ones, the least likely set the threshold)
+        assert sum(g.accepts("".join(r.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ", k=14))) for _ in range(50)) > 40
+        assert sum(g.accepts("".join(r.choices("0123456789.", k=400))) for _ in range(50)) > 40
+        assert not any(g.accepts(w) for w in words[:500])
+    one = secrets.infer(spark, spark.createDataFrame([("secret=abcdefGHIJKL12",)], "text string"))
+    assert set(one.formats) == {"assign"} and one.least["assign"] >= 0
+
+
 def test_sentencepiece(spark):
     import sentencepiece
 
