@@ -3,8 +3,10 @@
 Method.  A document's set is its distinct word shingles as 64-bit fingerprints, in one global order
 (frequent shingles last, else by fingerprint).  Two sets that link share a shingle in their prefixes
 (the first n - ceil(t n) + 1 elements), so candidates come from joins on prefix shingles; the number of
-shared prefix shingles bounds the whole overlap and removes most of them.  Each remaining candidate is
-decided exactly: the sets compared with one probe form a trie (sorted sets, shared prefixes walked
+shared prefix shingles bounds the whole overlap and removes most of them.  Each set also has a sketch,
+about a bit a shingle: the parity of its shingles at each place.  Places where two sketches differ are a
+lower bound of the shingles that only one set has, which removes nearly all other candidates before
+their texts are moved.  Each remaining candidate is decided exactly: the sets compared with one probe form a trie (sorted sets, shared prefixes walked
 once), along which the partial overlap is carried, and a subtree ends when the elements left cannot
 reach the needed overlap.
 
@@ -44,6 +46,8 @@ FIRST = 16
 SALTS = 64
 #: Bytes of text handled at once: several of these steps run in one task, each with a worker of its own.
 SLICE = 1 << 18
+#: Documents whose whole sets are sent out at once.
+PART = 256
 _TRIE_STEP = 128
 _TRIE_BATCH = 256
 
@@ -82,19 +86,32 @@ class Threshold:
         return -(-self.percent * (a + b) // (100 + self.percent))
 
 
+def sketch(mixed: np.ndarray) -> np.ndarray:
+    """Parity of the elements at each of 64 places or more: the first power of two above their number.
+
+    Halves joined by exclusive or are the sketch of half the length.
+    """
+    places = 1 << max(6, len(mixed).bit_length())
+    odd = np.bincount((mixed & np.uint64(places - 1)).astype(np.int64), minlength=places).astype(np.uint8) & 1
+    return np.packbits(odd, bitorder="little").view(np.int64)
+
+
 def _signatures(docs: DataFrame, size: int, t: Threshold) -> DataFrame:
     def run(b):
-        ids, n, h1, h2, pre = [], [], [], [], []
+        n, h1, h2, pre, bits = [], [], [], [], []
         for row, s in shingle_sets(b.column(1), size):
             u = s.view(np.uint64)
+            m = mix(u)
             n.append(len(s))
-            h1.append(mix(u).sum(dtype=np.uint64))
+            h1.append(m.sum(dtype=np.uint64))
             h2.append(mix(u ^ np.uint64(0xA5A5A5A5DEADBEEF)).sum(dtype=np.uint64))
             pre.append(s[:t.kept(len(s))])
+            bits.append(sketch(m))
         yield pa.RecordBatch.from_arrays(
             [b.column(0), pa.array(n, pa.int64()), pa.array(signed(np.array(h1))), pa.array(signed(np.array(h2))),
-             lists(np.concatenate(pre), np.array([len(p) for p in pre]))], ["doc", "n", "h1", "h2", "pre"])
-    return map_arrow(docs, run, "doc long, n long, h1 long, h2 long, pre array<long>")
+             lists(np.concatenate(pre), np.array([len(p) for p in pre])),
+             lists(np.concatenate(bits), np.array([len(p) for p in bits]))], ["doc", "n", "h1", "h2", "pre", "bits"])
+    return map_arrow(docs, run, "doc long, n long, h1 long, h2 long, pre array<long>, bits array<long>")
 
 
 def _postings(sig: DataFrame, rep: Membership, first: int | None = None, having: Membership | None = None) -> DataFrame:
@@ -138,9 +155,31 @@ def _by_trie(probe: np.ndarray, cands: list[tuple[int, np.ndarray]], t: Threshol
     return out
 
 
-def _verify(spark: SparkSession, docs: DataFrame, pairs: DataFrame, size: int, t: Threshold) -> DataFrame:
-    """The pairs (a, b) that link."""
+def _may_link(spark: SparkSession, sig: DataFrame, pairs: DataFrame, t: Threshold) -> DataFrame:
+    """(a, b, salt): the pairs of which some rows' sketches leave room for a link."""
     p = stored(spark, pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int").alias("salt")), "pairs")
+    ids = p.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    rows = Membership(ids).rows(sig.select("doc", "n", "bits").filter("n > 0"))
+    probe = (p.select("a", "salt").distinct()                    # the rows of a probe with many candidates are dealt out
+             .join(rows.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("bits").alias("x")), "a"))
+    both = (p.join(rows.select(F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("y")), "b")
+            .join(probe, ["a", "salt"])
+            .filter(f"100 * least(na, nb) >= {t.percent} * greatest(na, nb)"))
+    k = F.least(F.size("x"), F.size("y"))                        # longer ones than twice that are not compared
+
+    def cut(bits):
+        return F.when(F.size(bits) > k, F.zip_with(F.slice(bits, F.lit(1), k), F.slice(bits, k + 1, k),
+                                                   lambda v, w: v.bitwiseXOR(w))).otherwise(F.col(bits))
+    differ = F.aggregate(F.zip_with(cut("x"), cut("y"), lambda v, w: F.bit_count(v.bitwiseXOR(w))), F.lit(0),
+                         lambda acc, v: acc + v)
+    whole = F.col("na") + F.col("nb")
+    room = ((whole - differ) * (100 + t.percent) >= 2 * t.percent * whole) | (F.greatest(F.size("x"), F.size("y")) > 2 * k)
+    return both.filter(room).select("a", "b", "salt").distinct()
+
+
+def _verify(spark: SparkSession, docs: DataFrame, sig: DataFrame, pairs: DataFrame, size: int, t: Threshold) -> DataFrame:
+    """The pairs (a, b) that link."""
+    p = stored(spark, _may_link(spark, sig, pairs, t), "pairs")
     ask = (p.select(F.col("a").alias("id"), "a", "salt", F.lit(0).alias("kind")).distinct()
            .unionByName(p.select(F.col("b").alias("id"), "a", "salt", F.lit(1).alias("kind"))))
     texts = Membership(ask.select("id").distinct()).rows(docs)   # before the shuffle of texts
@@ -191,10 +230,13 @@ def _is_in(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
 
 
-def _cuts(rows: DataFrame, frequent: np.ndarray, t: Threshold) -> DataFrame:
-    """Where each prefix ends in the order (frequent, fingerprint).  ``short``: the kept elements do not reach it.
+def _cuts(sig: DataFrame, rep: Membership, frequent: np.ndarray, t: Threshold) -> DataFrame:
+    """Where each representative's prefix ends in the order (frequent, fingerprint).  ``short``: the kept elements do not reach it.
     ``n_late``: a bound of the set's frequent shingles, exact where the prefix reaches into them."""
     def run(b):
+        doc = b.column(0)
+        keep = rep.mask(doc.fill_null(0).to_numpy()) & doc.is_valid().to_numpy(zero_copy_only=False) & (b.column(1).to_numpy() > 0)
+        b = b.filter(pa.array(keep))
         n, pre = b.column(1).to_numpy(), b.column(2)
         off, flat = pre.offsets.to_numpy(), pre.values.to_numpy(zero_copy_only=False)
         late = _is_in(flat, frequent)
@@ -217,7 +259,7 @@ def _cuts(rows: DataFrame, frequent: np.ndarray, t: Threshold) -> DataFrame:
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(cut, pa.int64()), pa.array(cut_late, pa.int64()),
                                           pa.array(short), pa.array(n_late, pa.int64())],
                                          ["doc", "n", "cut", "cut_late", "short", "n_late"])
-    return map_arrow(rows.select("doc", "n", "pre"), run,
+    return map_arrow(sig.select("doc", "n", "pre"), run,
                      "doc long, n long, cut long, cut_late long, short boolean, n_late long")
 
 
@@ -244,26 +286,25 @@ def links(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
     near = (few.join(lead, ["s", "cls"]).filter("doc <> a")
             .groupBy("a", F.col("doc").alias("b")).agg(F.count("*").alias("c"), F.min("n").alias("n"))
             .filter(f"4 * c >= least({FIRST}, n)"))
-    first = stored(spark, _verify(spark, docs, near, size, t), "links")
+    first = stored(spark, _verify(spark, docs, sig, near, size, t), "links")
     comp = components(spark, first)
 
     # second round: exact, between components
     by_doc = comp.select(F.col("node").alias("doc"), "component")
-    twice = _postings(sig, rep).groupBy("s").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo <> hi")
+    twice = _postings(sig, rep).groupBy("s").agg(F.count("*").alias("c")).filter("c > 1")    # rows of one id are left out below
     found = _postings(sig, rep, having=Membership(stored(spark, twice.select("s"), "twice")))
     shared = stored(spark, found.join(by_doc, "doc", "left").select("s", "doc", F.coalesce("component", "doc").alias("comp")), "shared")
     several = stored(spark, shared.select("s", "comp").distinct().groupBy("s").agg(F.count("*").alias("k")).filter("k > 1"), "several")
     many = stored(spark, several.filter(F.col("k") > frequent).orderBy(F.desc("k"), "s").limit(FREQUENT_MAX).select("s"), "frequent")
-    heads = rep.rows(sig.select("doc", "n", "pre")).filter("n > 0")
     late = _ordered(many)
-    short = stored(spark, _cuts(heads, late, t).filter("short").select("doc").distinct(), "short")
+    short = stored(spark, _cuts(sig, rep, late, t).filter("short").select("doc").distinct(), "short")
     if not short.isEmpty():              # sets of little else: what is frequent in them beyond their kept elements, too
-        more = (_whole_sets(Membership(short).rows(docs), size).groupBy("s").agg(F.count("*").alias("k"))
+        more = (_whole_sets(docs, Membership(short), size).groupBy("s").agg(F.count("*").alias("k"))
                 .filter(F.col("k") > frequent).join(many, "s", "left_anti")
                 .orderBy(F.desc("k"), "s").limit(max(0, FREQUENT_MAX - len(late))).select("s"))
         many = stored(spark, many.unionByName(more), "frequent")
         late = _ordered(many)
-    cuts = stored(spark, _cuts(heads, late, t), "cuts")
+    cuts = stored(spark, _cuts(sig, rep, late, t), "cuts")
     short = cuts.filter("short").select("doc").distinct()
     some = not short.isEmpty()
     place = cuts.join(by_doc, "doc", "left").withColumn("comp", F.coalesce("component", "doc")).drop("component", "short")
@@ -271,10 +312,10 @@ def links(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
     rows = shared.select("s", "doc").join(several.select("s"), "s", "left_semi")
     low = F.lit(np.iinfo(np.int64).min)
     if some:                                                 # elements of these sets beyond the kept ones
-        rest = stored(spark, _whole(Membership(short).rows(docs), late, size, t), "rest")
+        rest = stored(spark, _whole(docs, Membership(short), late, size, t), "rest")
         extra = Membership(rest.select("s").distinct())      # what passes by chance is a posting all the same
         rows = (rows.unionByName(_postings(sig, rep, having=extra).select("s", "doc"))
-                .unionByName(rest.select("s", "doc")).distinct())
+                .unionByName(rest.select("s", "doc")))       # repeated ones are left out with their places, by document
         ends = rest.groupBy("doc").agg(F.max(F.struct(F.col("late").cast("int").alias("late"), "s")).alias("e"),
                                        F.max("n_late").alias("l"))
         place = (place.join(ends, "doc", "left")
@@ -301,7 +342,7 @@ def links(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
     # frequent shingles were left out, c has all the others, and ``rest`` bounds the frequent ones in common.
     left = f"coalesce(rest, ({percent} * nq + 99) div 100 - 1)"
     both = both.filter(f"(c + {left}) * {100 + percent} >= {percent} * (na + nb)").select("a", "b").distinct()
-    second = stored(spark, _verify(spark, docs, both, size, t), "links")
+    second = stored(spark, _verify(spark, docs, sig, both, size, t), "links")
     return members, first.unionByName(second)
 
 
@@ -310,25 +351,38 @@ def _ordered(shingles: DataFrame) -> np.ndarray:
     return np.sort(np.array([r.s for r in shingles.collect()], dtype=np.int64))
 
 
-def _whole_sets(docs: DataFrame, size: int) -> DataFrame:
-    """(s): one row for each shingle of each set."""
+def _parts(b: pa.RecordBatch, some: Membership):
+    """The batch's rows of these documents, a few at a time: read in one step, so that no task needs two workers."""
+    ids = b.column(0)
+    keep = np.flatnonzero(some.mask(ids.fill_null(0).to_numpy()) & ids.is_valid().to_numpy(zero_copy_only=False))
+    for a in range(0, len(keep), PART):
+        yield b.take(pa.array(keep[a:a + PART]))
+
+
+def _whole_sets(docs: DataFrame, some: Membership, size: int) -> DataFrame:
+    """(s): one row for each shingle of each set of these documents."""
     def run(b):
-        for _, s in shingle_sets(b.column(1), size):
-            yield pa.RecordBatch.from_arrays([pa.array(s)], ["s"])
+        for part in _parts(b, some):
+            sets = [s for _, s in shingle_sets(part.column(1), size)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets))], ["s"])
     return map_arrow(docs.select("doc", "text"), run, "s long")
 
 
-def _whole(docs: DataFrame, frequent: np.ndarray, size: int, t: Threshold) -> DataFrame:
-    """(doc, s, late, n_late): the prefix of whole sets, and how many frequent shingles the set has."""
+def _whole(docs: DataFrame, some: Membership, frequent: np.ndarray, size: int, t: Threshold) -> DataFrame:
+    """(doc, s, late, n_late): the prefix of these documents' whole sets, and how many frequent shingles the set has."""
     def run(b):
-        ids = b.column(0).to_pylist()
-        for row, s in shingle_sets(b.column(1), size):
-            late = _is_in(s, frequent)
-            k = t.prefix(len(s))
-            p = np.concatenate([s[~late], s[late]])[:k]
-            f = np.concatenate([late[~late], late[late]])[:k]
-            yield pa.RecordBatch.from_arrays([pa.array([ids[row]] * len(p), pa.int64()), pa.array(p), pa.array(f),
-                                              pa.array(np.full(len(p), late.sum(), np.int64))], ["doc", "s", "late", "n_late"])
+        for part in _parts(b, some):
+            ps, fs, k, n = [], [], [], []
+            for _, s in shingle_sets(part.column(1), size):
+                late = _is_in(s, frequent)
+                first = np.argsort(late, kind="stable")[:t.prefix(len(s))]
+                ps.append(s[first])
+                fs.append(late[first])
+                k.append(len(first))
+                n.append(int(late.sum()))
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part.column(0).to_numpy(), k)), pa.array(np.concatenate(ps)),
+                                              pa.array(np.concatenate(fs)), pa.array(np.repeat(np.array(n, np.int64), k))],
+                                             ["doc", "s", "late", "n_late"])
     return map_arrow(docs.select("doc", "text"), run, "doc long, s long, late boolean, n_late long")
 
 
