@@ -22,6 +22,8 @@ from ferrule.session import ensure_checkpoint_dir
 
 #: Bytes of text handled at once inside a task: bounds the temporary arrays (about 60 bytes a byte).
 SLICE_BYTES = 1 << 20
+#: Rows of whole texts that a task gives back at once.
+GIVEN_ROWS = 512
 
 _rng = np.random.default_rng(20240501)
 _BYTE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -164,6 +166,12 @@ def give_back() -> None:
         _LIBC.malloc_trim(0)
 
 
+def parts(b: pa.RecordBatch, rows: int = GIVEN_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batch a few rows at a time, not copied: the executor reads each batch that a task gives back as a whole."""
+    for a in range(0, b.num_rows, rows):
+        yield b.slice(a, rows)
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """mapInArrow with one function call per batch."""
     def run(batches):
@@ -258,5 +266,5 @@ class Membership:
             v = b.column(0)
             keep = self.mask(v.fill_null(0).to_numpy()) & v.is_valid().to_numpy(zero_copy_only=False)
             if keep.any():
-                yield b.filter(pa.array(keep))
+                yield from parts(b.filter(pa.array(keep)))
         return map_arrow(df, run, df.schema)

@@ -33,12 +33,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from ferrule.llm.common import Words, give_back, map_arrow, mix, signed, slices, stored
+from ferrule.llm.common import Words, give_back, map_arrow, mix, parts, signed, slices, stored
 
 #: Items, and bytes of their texts, that are indexed and broadcast at once, about.
 BLOCK = 20_000
 BLOCK_BYTES = 1 << 23
 SHINGLE = 5
+#: Bytes of text handled at once; windows whose SimHashes are taken at once span about so many shingles, or the item's size.
+SLICE = 1 << 18
+SPAN = 1 << 12
 #: Shingles of fewer items than one in ``RARE`` all weigh the same.
 RARE = 1000
 _BITS = np.uint64(1) << np.arange(64, dtype=np.uint64)
@@ -54,7 +57,7 @@ def simhash(shingles: np.ndarray, weights: np.ndarray, starts: np.ndarray, size:
 def _sets(column: pa.Array):
     """(row, number of words, shingles) of every text that has words."""
     row = 0
-    for a, b, data, off in slices(column):
+    for a, b, data, off in slices(column, SLICE):
         w = Words(data, off, lower=True)
         h = w.windows(SHINGLE)
         for d in range(b - a):
@@ -160,11 +163,8 @@ class _Index:
                 continue
             at = np.array(sorted(starts))
             size = min(size, len(h))
-            lo = int(at[0])
-            part = h[lo:int(at[-1]) + size]
-            prints = simhash(part, self.weight(part), at - lo, size)
             own, blocks, items = self.tables[m]
-            for s, f in zip(at.tolist(), prints.tolist()):
+            for s, f in self._prints(h, at, size):
                 near = {k for b in range(8) for k in blocks[b][(f >> (8 * b)) & 255]}
                 for k in near:
                     i = int(items[k])
@@ -173,6 +173,15 @@ class _Index:
                         found.add(i)
         return found
 
+    def _prints(self, h: np.ndarray, at: np.ndarray, size: int):
+        """(start, SimHash) of the windows of this size, taken over a part of the text at a time: 64 numbers a shingle."""
+        a = 0
+        while a < len(at):
+            b = int(np.searchsorted(at, at[a] + max(SPAN, size), side="right"))
+            part = h[at[a]:at[b - 1] + size]
+            yield from zip(at[a:b].tolist(), simhash(part, self.weight(part), at[a:b] - at[a], size).tolist())
+            a = b
+
     def _distinct(self, i: int) -> float:
         """Weight of the item if no shingle repeats in it; else 0: no bound from distinct shingles."""
         return self.total[i] if len(np.unique(self.sets[i])) == len(self.sets[i]) else 0.0
@@ -188,7 +197,7 @@ def _by(keys, of):
 def _find(index: _Index, column: pa.Array) -> list[list[int]]:
     """Sorted item ids for each text."""
     out = []
-    for a, b, data, off in slices(column):
+    for a, b, data, off in slices(column, SLICE):
         w = Words(data, off, lower=True)
         h = w.windows(SHINGLE)
         n = np.diff(w.first)
@@ -228,16 +237,16 @@ def with_items(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, text_
                similarity: float = 0.8, radius: int = 23) -> DataFrame:
     """``docs`` and one more column: the sorted ids of the benchmark items that its text contains."""
     kind = ArrayType(LongType())
-    parts = []
+    finds = []
     for last, index in _blocks(spark, benchmark, similarity, radius):
-        if last and not parts:
+        if last and not finds:
             at = docs.columns.index(text_col)
 
             def run(batches, index=index):
                 for b in batches:
                     if b.num_rows:
                         found = pa.array(_find(index.value, b.column(at)), pa.list_(pa.int64()))
-                        yield pa.RecordBatch.from_arrays([*b.columns, found], [*b.schema.names, out])
+                        yield from parts(pa.RecordBatch.from_arrays([*b.columns, found], [*b.schema.names, out]))
                         del b, found
                         give_back()
             return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(out, kind)]))
@@ -248,11 +257,11 @@ def with_items(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, text_
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(hit, pa.int64())), pa.array([found[i] for i in hit], pa.list_(pa.int64()))],
                                              ["text", "found"])
         texts = docs.select(F.col(text_col).alias("text"))
-        parts.append(stored(spark, map_arrow(texts, pairs, "text string, found array<long>").select(
+        finds.append(stored(spark, map_arrow(texts, pairs, "text string, found array<long>").select(
             F.sha2("text", 256).alias("key"), "found").distinct(), "found"))
         index.destroy()
-    every = parts[0]
-    for p in parts[1:]:
+    every = finds[0]
+    for p in finds[1:]:
         every = every.unionAll(p)
     # distinct ids of one text: at most the items
     every = every.select("key", F.explode("found").alias("item")).groupBy("key").agg(F.sort_array(F.collect_set("item")).alias("found"))

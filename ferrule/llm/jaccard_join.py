@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ferrule.llm.common import Membership, Words, give_back, lists, map_arrow, mix, signed, slices, stored
+from ferrule.llm.common import Membership, Words, give_back, lists, map_arrow, mix, parts, signed, slices, stored
 from ferrule.llm.components import components
 
 #: At most so many frequent shingles are put last in the order (8 bytes each, broadcast).
@@ -398,6 +398,32 @@ def link_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
                     F.coalesce("component", "doc").alias("component_id")))
 
 
+def _told_apart(docs: DataFrame, id_col: str, gone: DataFrame, again: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` that surely stay, and those that joins must decide.  Bitmaps of the ids tell most rows without
+    moving them: one of the ids that may go, one of those that it holds by chance or that only repeat."""
+    some = Membership(gone.unionByName(again.select(F.col("again_").alias("gone_"))), least=22)
+    key = "key_"
+    while key in docs.columns:
+        key += "_"
+    ids = some.rows(docs.select(F.col(id_col).cast("long").alias(key), F.col(id_col).alias(key + "i")))
+    left = Membership(ids.join(gone, F.col(key + "i") == F.col("gone_"), "left_anti").select(key).distinct(), least=22)
+    rows = docs.select(F.col(id_col).cast("long").alias(key), "*")
+
+    def rows_of(doubt: bool):
+        def run(batches):
+            for b in batches:
+                for p in parts(b):
+                    v, valid = p.column(0).fill_null(0).to_numpy(), p.column(0).is_valid().to_numpy(zero_copy_only=False)
+                    held = some.mask(v) & valid
+                    yes = held & left.mask(v) if doubt else ~held
+                    if yes.any():
+                        yield p.filter(pa.array(yes))
+                del b
+                give_back()
+        return rows.mapInArrow(run, rows.schema).drop(key)
+    return rows_of(False), rows_of(True)
+
+
 def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
              percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that have the least id of their component; rows with a null id stay.
@@ -407,10 +433,11 @@ def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_
     """
     comp = stored(spark, link_components(spark, docs, id_col, text_col, size, percent), "components")
     gone = comp.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone_")).distinct()
-    kept = docs.join(gone, docs[id_col] == F.col("gone_"), "left_anti")
     again = comp.groupBy("doc_id").agg(F.count("*").alias("k")).filter("k > 1 and doc_id is not null").select(F.col("doc_id").alias("again_"))
+    sure, doubtful = _told_apart(docs, id_col, gone, again)
+    kept = doubtful.join(gone, doubtful[id_col] == F.col("gone_"), "left_anti")
     if again.isEmpty():
-        return kept
+        return sure.union(kept)
     twice = kept[id_col] == F.col("again_")
     name = "row_"
     while name in docs.columns:
@@ -418,4 +445,4 @@ def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_
     # row_number = 1: each task sends one row of a group
     equal = Window.partitionBy(id_col, text_col).orderBy(F.to_json(F.struct(*docs.columns)))
     first = (kept.join(again, twice, "left_semi").withColumn(name, F.row_number().over(equal)).filter(F.col(name) == 1).drop(name))
-    return kept.join(again, twice, "left_anti").unionByName(first)
+    return sure.union(kept.join(again, twice, "left_anti")).union(first)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ferrule.llm.common import Words, crc_mod, give_back, slices, stored
+from ferrule.llm.common import Words, crc_mod, give_back, parts, slices, stored
 
 #: Byte classes: lower, upper, digit, space, line end, sentence punctuation, other ASCII, non-ASCII.
 _CLASS = np.full(256, 6, dtype=np.int64)
@@ -181,7 +181,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: s
         for b in batches:
             if b.num_rows:
                 keep = pa.array(model.score(features(b.column(at))))
-                yield pa.RecordBatch.from_arrays([*b.columns, keep], [*b.schema.names, name])
+                yield from parts(pa.RecordBatch.from_arrays([*b.columns, keep], [*b.schema.names, name]))
                 del b
                 give_back()
     schema = StructType([*docs.schema.fields, StructField(name, DoubleType())])
