@@ -22,6 +22,10 @@ from ferrule.session import ensure_checkpoint_dir
 
 #: Bytes of text handled at once inside a task: bounds the temporary arrays (about 60 bytes a byte).
 SLICE_BYTES = 1 << 20
+#: Bytes of rows that a worker gets at once, or one row.  The executor holds such a batch twice outside its heap (as columns
+#: and as a message) and the worker once more, for each task; Spark's own limit is 64 MB.
+BATCH_BYTES = 2 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Rows of whole texts that a task gives back at once.
 GIVEN_ROWS = 512
 
@@ -172,15 +176,26 @@ def parts(b: pa.RecordBatch, rows: int = GIVEN_ROWS) -> Iterator[pa.RecordBatch]
         yield b.slice(a, rows)
 
 
+def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """mapInArrow with batches of ``BATCH_BYTES``; a session that sets Spark's limit itself keeps its own.
+
+    Spark reads the limit from the session when the rows are made, so it is set there and stays set.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH, None) is None:
+        conf.set(_BATCH, str(BATCH_BYTES))
+    return df.mapInArrow(fn, schema)
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """mapInArrow with one function call per batch."""
+    """map_batches with one function call per batch."""
     def run(batches):
         for b in batches:
             if b.num_rows:
                 yield from fn(b)
                 del b
                 give_back()
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)
 
 
 def crc_mod(col, n: int):

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from ferrule.llm.common import Words, give_back, map_arrow, mix, parts, signed, slices, stored
+from ferrule.llm.common import Words, give_back, map_arrow, map_batches, mix, parts, signed, slices, stored
 
 #: Items, and bytes of their texts, that are indexed and broadcast at once, about.
 BLOCK = 20_000
@@ -249,7 +249,7 @@ def with_items(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, text_
                         yield from parts(pa.RecordBatch.from_arrays([*b.columns, found], [*b.schema.names, out]))
                         del b, found
                         give_back()
-            return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(out, kind)]))
+            return map_batches(docs, run, StructType([*docs.schema.fields, StructField(out, kind)]))
 
         def pairs(b, index=index):
             found = _find(index.value, b.column(0))

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ferrule.llm.common import Membership, Words, give_back, lists, map_arrow, mix, parts, signed, slices, stored
+from ferrule.llm.common import Membership, Words, give_back, lists, map_arrow, map_batches, mix, parts, signed, slices, stored
 from ferrule.llm.components import components
 
 #: At most so many frequent shingles are put last in the order (8 bytes each, broadcast).
@@ -220,7 +220,7 @@ def _verify(spark: SparkSession, docs: DataFrame, sig: DataFrame, pairs: DataFra
         if out:
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()),
                                               pa.array([y for _, y in out], pa.int64())], ["a", "b"])
-    return rows.mapInArrow(run, "a long, b long").distinct()
+    return map_batches(rows, run, "a long, b long").distinct()
 
 
 def _is_in(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
@@ -420,7 +420,7 @@ def _told_apart(docs: DataFrame, id_col: str, gone: DataFrame, again: DataFrame)
                         yield p.filter(pa.array(yes))
                 del b
                 give_back()
-        return rows.mapInArrow(run, rows.schema).drop(key)
+        return map_batches(rows, run, rows.schema).drop(key)
     return rows_of(False), rows_of(True)
 
 

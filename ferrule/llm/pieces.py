@@ -29,11 +29,11 @@ from ferrule.llm.common import UnitCache, _spans, lists, map_arrow, mix
 
 MARK = "▁"
 LONG = 256
-CACHE_UNITS = 400_000
+CACHE_UNITS = 200_000
 #: Characters of text handled at once inside a task.
-SLICE_CHARS = 500_000
+SLICE_CHARS = 250_000
 #: Characters of new units indexed by one suffix array (about 250 bytes each).
-INDEX_CHARS = 250_000
+INDEX_CHARS = 64_000
 _NONE = np.int32(2 ** 31 - 1)
 
 

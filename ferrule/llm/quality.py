@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ferrule.llm.common import Words, crc_mod, give_back, parts, slices, stored
+from ferrule.llm.common import Words, crc_mod, give_back, map_batches, parts, slices, stored
 
 #: Byte classes: lower, upper, digit, space, line end, sentence punctuation, other ASCII, non-ASCII.
 _CLASS = np.full(256, 6, dtype=np.int64)
@@ -140,8 +140,8 @@ def _with_features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     [b.column(0), pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]),
                                                            pa.array(x.ravel()))], ["id", "x"])
                 give_back()
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")).mapInArrow(
-        run, "id long, x array<double>")
+    return map_batches(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")), run,
+                       "id long, x array<double>")
 
 
 def _labelled(feats: DataFrame, labels: DataFrame, label: str, folds: int, held: int) -> DataFrame:
@@ -185,4 +185,4 @@ def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: s
                 del b
                 give_back()
     schema = StructType([*docs.schema.fields, StructField(name, DoubleType())])
-    return docs.mapInArrow(run, schema).filter(F.col(name) >= 0.5).select(*docs.columns)
+    return map_batches(docs, run, schema).filter(F.col(name) >= 0.5).select(*docs.columns)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ferrule.llm.common import give_back, map_arrow, parts, slices, stored
+from ferrule.llm.common import give_back, map_arrow, map_batches, parts, slices, stored
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -370,7 +370,7 @@ def redact(spark: SparkSession, docs: DataFrame, text_col: str = "text", mark: s
                 yield from parts(pa.RecordBatch.from_arrays([column if k == at else c for k, c in enumerate(b.columns)], b.schema.names))
                 del b, column, texts
                 give_back()
-    return docs.mapInArrow(run, StructType([StructField(f.name, StringType() if f.name == text_col else f.dataType) for f in docs.schema]))
+    return map_batches(docs, run, StructType([StructField(f.name, StringType() if f.name == text_col else f.dataType) for f in docs.schema]))
 
 
 def _union(spans):

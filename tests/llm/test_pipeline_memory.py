@@ -6,8 +6,8 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 
-from ferrule.llm import decontaminate, jaccard_join
-from ferrule.llm.common import GIVEN_ROWS, Membership, parts
+from ferrule.llm import common, decontaminate, jaccard_join, pieces
+from ferrule.llm.common import GIVEN_ROWS, Membership, map_arrow, parts
 
 
 def _index(text):
@@ -79,3 +79,40 @@ def test_keep_one_moves_only_doubtful_rows(spark):
     sure, doubtful = jaccard_join._told_apart(docs, "doc_id", gone, again)
     ids = [x.doc_id for x in doubtful.collect()]
     assert sorted(ids) == [3, 3, 5, 5] and sure.count() == len(rows) - len(ids) - 11  # 11 rows surely go
+
+
+def test_workers_get_few_bytes_at_once(spark, tmp_path):
+    spark.range(3000).selectExpr("id", "repeat('some text', 900) as text").coalesce(1).write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")                  # 24 MB, in Spark's form one batch
+
+    def size(b):
+        yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "size"])
+
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    old = spark.conf.get(limit, None)
+    spark.conf.unset(limit)
+    try:
+        got = map_arrow(rows, size, "n long, size long").collect()
+        assert sum(x.n for x in got) == 3000
+        assert max(x.size for x in got) < common.BATCH_BYTES + 20_000  # the last row may go beyond
+        spark.conf.set(limit, "8m")                                # a limit of the session's own stays
+        own = map_arrow(rows, size, "n long, size long").collect()
+        assert 4_000_000 < max(x.size for x in own) < 8_500_000 and sum(x.n for x in own) == 3000
+    finally:
+        spark.conf.set(limit, old) if old else spark.conf.unset(limit)
+
+
+def test_pieces_index_few_characters_at_once():
+    import public_tokenizers
+
+    model = pieces.Pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    r = random.Random(8)
+    texts = [" ".join("".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(1000)) for _ in range(45)]
+    tracemalloc.start()
+    try:
+        found = [x for some in pieces._slices(texts) for x in model.encode(some)]
+        mb = tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+    assert [model.decode(x) for x in found] == texts
+    assert mb < 45                                       # 73 MB with slices of 500,000 and indexes of 250,000 characters
